@@ -1 +1,4 @@
 """Derived views and the registered queries with their SQL twins."""
+
+from wardlake.plans import common_queries, masking_queries  # noqa: F401
+from wardlake.plans.registry import QUERIES  # noqa: F401
