@@ -12,9 +12,11 @@ from wardlake.functions import detectors
 from wardlake.operators.common import as_list
 from wardlake.operators.rulesets import Classifier, CompiledSet, active_targets
 from wardlake.operators.sampling import KEYS, catalog_of, melt_columns, profile_columns, sample_rows
-from wardlake.operators.scaling import skew_join
 
 SCOPE = ("database_name", "schema_name", "table_name", "column_name", "classifier_name")
+# Scopes of a job, a database and a schema (depth 0 to 2) are shared by many findings.
+BROAD_DEPTH = 2
+SCOPE_SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -34,14 +36,13 @@ class JobOptions:
 def detect_entities(df: DataFrame, column: str, entity_types: Sequence[str] = detectors.ENTITY_TYPES,
                     minimum_score: float = 0.5) -> DataFrame:
     """One row per hit with its entity type and score, at or above the minimum."""
-    tagged = [
-        F.transform(
-            detectors.entity_hits(F.col(column), t),
-            lambda h, t=t: F.struct(F.lit(t).alias("entity_type"), h["hit"].alias("hit"),
-                                    h["score"].alias("score")),
-        )
-        for t in entity_types
-    ]
+    def tagged_hits(entity_type: str) -> Column:
+        return F.transform(
+            detectors.entity_hits(F.col(column), entity_type),
+            lambda h: F.struct(F.lit(entity_type).alias("entity_type"), h["hit"].alias("hit"),
+                               h["score"].alias("score")))
+
+    tagged = [tagged_hits(t) for t in entity_types]
     hits = df.select("*", F.explode(F.concat(*tagged)).alias("e"))
     return hits.select(
         *[c for c in df.columns if c != column], "e.entity_type", "e.hit", "e.score"
@@ -51,8 +52,7 @@ def detect_entities(df: DataFrame, column: str, entity_types: Sequence[str] = de
 def profiled_catalog(tables: dict[str, DataFrame], compiled: CompiledSet, options: JobOptions,
                      scope: dict[str, list[str]] | None = None) -> DataFrame:
     """Catalog rows with their profile; no table is read when no leaf needs data."""
-    chosen = {t: (scope or {}).get(t, df.columns) if scope is not None else df.columns
-              for t, df in tables.items()}
+    chosen = {t: df.columns if scope is None else scope.get(t, []) for t, df in tables.items()}
     chosen = {t: c for t, c in chosen.items() if c}
     if not chosen:
         chosen = {t: [] for t in tables}
@@ -249,26 +249,31 @@ def resolve_status(findings: DataFrame, decisions: DataFrame,
     """Findings with their review status: the most specific scope wins, then the latest.
 
     Decisions shrink to the latest one per scope first. A finding then looks up its
-    own six scopes by equi-join. Broad scopes are shared by many findings, so the
-    lookup uses the join that spreads hot keys.
+    own six scopes by equi-join. Scopes above a table are shared by very many
+    findings, so there both sides carry a salt: findings by their column, each such
+    decision (one per job, database or schema) once per salt.
     """
+    depths = range(len(SCOPE) + 1)
+    keys = ["job_id", *SCOPE]
+    spread = F.pmod(F.xxhash64("table_name", "column_name", "classifier_name"), F.lit(SCOPE_SALTS)).cast("int")
     paths = F.array(*[
-        F.struct(F.lit(d).alias("depth"), _scope_key(d).alias("scope_key"))
-        for d in range(len(SCOPE) + 1)
+        F.struct(F.lit(d).alias("depth"), _scope_key(d).alias("scope_key"),
+                 (spread if d <= BROAD_DEPTH else F.lit(0)).alias("salt"))
+        for d in depths
     ])
-    by_depth = reduce(
-        lambda acc, d: F.when(F.col("depth") == d, _scope_key(d)).otherwise(acc),
-        range(len(SCOPE) + 1), F.lit(None).cast("string"))
+    by_depth = reduce(lambda acc, d: F.when(F.col("depth") == d, _scope_key(d)).otherwise(acc),
+                      depths, F.lit(None).cast("string"))
     latest = (
         decisions.withColumn("depth", _scope_depth()).withColumn("scope_key", by_depth)
         .groupBy("job_id", "depth", "scope_key")
         .agg(F.max_by("confirmed_status", F.struct(*ts)).alias("decision"))
+        .withColumn("salt", F.explode(
+            F.when(F.col("depth") <= BROAD_DEPTH, F.sequence(F.lit(0), F.lit(SCOPE_SALTS - 1)))
+            .otherwise(F.array(F.lit(0)))))
     )
-    keys = ["job_id", *SCOPE]
-    probes = findings.select(*keys).distinct().select(*keys, F.explode(paths).alias("p")).select(
-        *keys, "p.depth", "p.scope_key")
+    probes = findings.select(*keys, F.explode(paths).alias("p")).select(*keys, "p.*")
     decided = (
-        skew_join(probes, latest, ["job_id", "depth", "scope_key"], "inner")
+        probes.join(latest, ["job_id", "depth", "scope_key", "salt"])
         .groupBy(*keys).agg(F.max_by("decision", "depth").alias("status"))
     )
     return findings.join(decided, keys, "left").withColumn("status", F.coalesce("status", F.lit("pending")))

@@ -97,11 +97,9 @@ def patch_rows(spark: SparkSession, base: str) -> DataFrame:
 
 
 @query("latest_version", """
-SELECT o_custkey, arg_max(o_orderkey, o_orderkey) AS o_orderkey,
-  arg_max(o_totalprice, struct_pack(d := o_orderdate, k := o_orderkey)) AS o_totalprice,
-  arg_max(o_orderstatus, struct_pack(d := o_orderdate, k := o_orderkey)) AS o_orderstatus
-FROM (SELECT o_custkey, o_orderkey, o_totalprice, o_orderstatus, DATE '2000-01-01' AS o_orderdate FROM orders)
-GROUP BY o_custkey""")
+SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice,
+  arg_max(o_orderstatus, o_orderkey) AS o_orderstatus
+FROM orders GROUP BY o_custkey""")
 def latest_version(spark: SparkSession, base: str) -> DataFrame:
     rows = D.load(spark, base, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
     return G.latest_version(rows, ["o_custkey"], "o_orderkey")
