@@ -219,12 +219,12 @@ def findings_rollup(findings: DataFrame) -> DataFrame:
 
 def _scope_depth() -> Column:
     """How many scope columns a decision names, from the database down."""
-    return reduce(lambda acc, c: acc + F.col(c).isNotNull().cast("int"), SCOPE, F.lit(0))
+    return F.expr(" + ".join(f"int({c} IS NOT NULL)" for c in SCOPE))
 
 
 def _scope_key(depth: int) -> Column:
     """Unambiguous text of the first ``depth`` scope columns."""
-    return F.to_json(F.array(*[F.col(c) for c in SCOPE[:depth]])) if depth else F.lit("[]")
+    return F.expr(f"to_json(array({', '.join(SCOPE[:depth])}))") if depth else F.lit("[]")
 
 
 def check_decision(**scope: str | None) -> None:
@@ -272,9 +272,13 @@ def resolve_status(findings: DataFrame, decisions: DataFrame,
             .otherwise(F.array(F.lit(0)))))
     )
     probes = findings.select(*keys, F.explode(paths).alias("p")).select(*keys, "p.*")
+    # Depth and verdict as one number: the greatest is the most specific decision,
+    # and a numeric maximum aggregates by hash.
+    verdict = F.col("depth") * 2 + (F.col("decision") == "approved").cast("int")
     decided = (
         probes.join(latest, ["job_id", "depth", "scope_key", "salt"])
-        .groupBy(*keys).agg(F.max_by("decision", "depth").alias("status"))
+        .groupBy(*keys).agg(F.max(verdict).alias("v"))
+        .select(*keys, F.when(F.col("v") % 2 == 1, "approved").otherwise("rejected").alias("status"))
     )
     return findings.join(decided, keys, "left").withColumn("status", F.coalesce("status", F.lit("pending")))
 

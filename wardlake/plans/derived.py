@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardlake.operators.audits import CATEGORIES
-from wardlake.sources.audit_log import EVENT_DDL
 
 TABLES = ("customer", "orders", "lineitem", "part", "supplier")
 ROLES = ("ADMIN", "ANALYST", "PUBLIC")
@@ -32,6 +31,11 @@ def sql_pick(options: tuple[str, ...], index: str) -> str:
     return f"[{listed}][CAST(({index}) % {len(options)} + 1 AS INTEGER)]"
 
 
+def spark_pick(options: tuple[str, ...], index: str) -> str:
+    listed = ", ".join(f"'{o}'" for o in options)
+    return f"element_at(array({listed}), CAST(({index}) % {len(options)} + 1 AS INT))"
+
+
 def text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
@@ -40,28 +44,22 @@ def text(*parts: Column | str) -> Column:
 
 
 def audits(spark: SparkSession, base: str) -> DataFrame:
-    user, k = F.col("user_id"), F.col("k")
-    e = load(spark, base, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    return e.select(
-        "event_id", F.col("ts").cast("timestamp").alias("event_time"), "user_id", "k", "event_type",
-        text("user_", user).alias("consuming_user"),
-        text("user_", user, "@example.com").alias("consuming_user_email"),
-        F.upper("event_type").alias("statement_type"),
-        F.lit("tpch").alias("database_name"), F.lit("main").alias("schema_name"),
-        pick(TABLES, k).alias("table_name"), text("col_", k % 7).alias("column_name"),
-        F.concat(F.upper("event_type"), F.lit(" "), pick(TABLES, k)).alias("statement_text"),
-        F.floor("value").cast("long").alias("row_count"),
-        (F.floor("value").cast("long") * 8).alias("bytes"),
-        (F.col("event_type") != "error").alias("execution_success"),
-        (user % 17 == 0).alias("policy_blocked"),
-        text("sc_", user % 5).alias("sidecar_id"),
-        text("sc_", user % 5, "_", k % 3).alias("sidecar_instance_id"),
-        text("repo_", k % 4).alias("repo_name"),
-        text("q_", F.col("event_id")).alias("query_id"),
-        pick(ROLES, user).alias("executing_role"),
-        pick(("PII", "MONEY"), k).alias("policy_tag_name"),
-        pick(TAG_VALUES, k).alias("policy_tag_value"),
-        pick(CATEGORIES, k).alias("category"),
+    e = load(spark, base, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    return e.selectExpr(
+        "event_id", "CAST(ts AS TIMESTAMP) AS event_time", "user_id", "k", "event_type",
+        "'user_' || user_id AS consuming_user",
+        "'user_' || user_id || '@example.com' AS consuming_user_email",
+        "upper(event_type) AS statement_type", "'tpch' AS database_name", "'main' AS schema_name",
+        f"{spark_pick(TABLES, 'k')} AS table_name", "'col_' || (k % 7) AS column_name",
+        f"upper(event_type) || ' ' || {spark_pick(TABLES, 'k')} AS statement_text",
+        "CAST(floor(value) AS BIGINT) AS row_count", "CAST(floor(value) AS BIGINT) * 8 AS bytes",
+        "event_type <> 'error' AS execution_success", "user_id % 17 = 0 AS policy_blocked",
+        "'sc_' || (user_id % 5) AS sidecar_id", "'sc_' || (user_id % 5) || '_' || (k % 3) AS sidecar_instance_id",
+        "'repo_' || (k % 4) AS repo_name", "'q_' || event_id AS query_id",
+        f"{spark_pick(ROLES, 'user_id')} AS executing_role",
+        f"{spark_pick(('PII', 'MONEY'), 'k')} AS policy_tag_name",
+        f"{spark_pick(TAG_VALUES, 'k')} AS policy_tag_value",
+        f"{spark_pick(CATEGORIES, 'k')} AS category",
     )
 
 
@@ -87,47 +85,29 @@ audits AS (
 
 def audit_events(spark: SparkSession, base: str) -> DataFrame:
     """The audits in the nested shape of sidecar events."""
-    a = audits(spark, base)
-
-    def column(name: Column) -> Column:
-        return F.struct(F.col("database_name").alias("database"), F.col("schema_name").alias("schema"),
-                        F.col("table_name").alias("table"), name.alias("column"))
-
-    none = F.array().cast("array<string>")
-    return a.select(
-        F.col("event_id").cast("string").alias("event_id"), F.lit("Query").alias("event_name"),
-        F.lit("sidecar").alias("event_source"), "event_time", F.lit(0).alias("event_time_nano_seconds"),
-        F.lit("1.0").alias("event_version"), F.lit("org").alias("org_id"),
-        text("track_", F.col("event_id")).alias("tracking_id"),
-        F.lit("cfg").alias("configuration_version_id"), F.lit("pol").alias("policy_version_id"),
-        F.struct(
-            text("conn_", F.col("user_id")).alias("connection_id"),
-            F.col("event_time").alias("connection_time"), text("10.0.0.", F.col("k")).alias("host"),
-            F.lit(5432).alias("port"), F.lit("psql").alias("application_name")).alias("client"),
-        F.struct(F.col("sidecar_id").alias("id"), F.col("sidecar_instance_id").alias("instance_id"),
-                 F.lit("1.2.3").alias("version")).alias("sidecar"),
-        F.struct(F.lit("db.example.com").alias("host"), F.col("repo_name").alias("name"),
-                 F.lit(5432).alias("port"), F.lit("Postgres").alias("type")).alias("repo"),
-        F.struct(
-            F.lit("svc").alias("repo_user"),
-            F.struct(F.col("consuming_user").alias("username"), F.col("consuming_user_email").alias("email"),
-                     F.array(F.col("executing_role")).alias("user_groups")).alias("consuming_user"),
-        ).alias("user_identity"),
-        F.struct(
-            F.col("statement_text").alias("statement"), F.col("statement_type").alias("statement_type"),
-            F.struct(F.col("policy_blocked").alias("block")).alias("applied_policy_result"),
-            none.alias("applied_policies"),
-            F.array(column(F.col("column_name"))).alias("scanned_columns"),
-            F.when(F.col("k") % 2 == 0, F.array(column(text("out_", F.col("k") % 3))))
-            .otherwise(F.array().cast("array<struct<database:string,schema:string,table:string,column:string>>"))
-            .alias("projected_columns"),
-            none.alias("destinations"),
-            F.struct(
-                F.col("execution_success").alias("success"),
-                F.concat((F.col("k") / 1000).cast("decimal(6,3)").cast("string"), F.lit("s")).alias("execution_time"),
-                F.lit("").alias("message"), F.col("row_count").alias("records"),
-                F.col("bytes").alias("bytes")).alias("response"),
-        ).alias("statement_request"),
+
+    def column(name: str) -> str:
+        return f"named_struct('database', database_name, 'schema', schema_name, 'table', table_name, 'column', {name})"
+
+    none = "CAST(array() AS ARRAY<STRING>)"
+    no_columns = "CAST(array() AS ARRAY<STRUCT<database: STRING, schema: STRING, table: STRING, column: STRING>>)"
+    return audits(spark, base).selectExpr(
+        "CAST(event_id AS STRING) AS event_id", "'Query' AS event_name", "'sidecar' AS event_source", "event_time",
+        "0 AS event_time_nano_seconds", "'1.0' AS event_version", "'org' AS org_id",
+        "'track_' || event_id AS tracking_id", "'cfg' AS configuration_version_id", "'pol' AS policy_version_id",
+        "named_struct('connection_id', 'conn_' || user_id, 'connection_time', event_time, 'host', '10.0.0.' || k, "
+        "'port', 5432, 'application_name', 'psql') AS client",
+        "named_struct('id', sidecar_id, 'instance_id', sidecar_instance_id, 'version', '1.2.3') AS sidecar",
+        "named_struct('host', 'db.example.com', 'name', repo_name, 'port', 5432, 'type', 'Postgres') AS repo",
+        "named_struct('repo_user', 'svc', 'consuming_user', named_struct('username', consuming_user, "
+        "'email', consuming_user_email, 'user_groups', array(executing_role))) AS user_identity",
+        "named_struct('statement', statement_text, 'statement_type', statement_type, "
+        "'applied_policy_result', named_struct('block', policy_blocked), "
+        f"'applied_policies', {none}, 'scanned_columns', array({column('column_name')}), "
+        f"""'projected_columns', CASE WHEN k % 2 = 0 THEN array({column("'out_' || (k % 3)")}) ELSE {no_columns} END, """
+        f"'destinations', {none}, 'response', named_struct('success', execution_success, "
+        "'execution_time', CAST(CAST(k / 1000 AS DECIMAL(6, 3)) AS STRING) || 's', 'message', '', "
+        "'records', row_count, 'bytes', bytes)) AS statement_request",
     )
 
 
@@ -137,9 +117,6 @@ def audit_lines(spark: SparkSession, base: str) -> DataFrame:
     return e.select(F.to_json(F.struct(*[F.col(c) for c in e.columns])).alias("value"))
 
 
-EVENT_COLUMNS_DDL = EVENT_DDL
-
-
 # ── inventory, findings, decisions ──────────────────────────────────────────
 
 DATA_TYPES = ("varchar", "decimal", "date", "bigint")
@@ -147,15 +124,11 @@ DATA_TYPES = ("varchar", "decimal", "date", "bigint")
 
 def inventory(spark: SparkSession, base: str) -> DataFrame:
     """One protected column per part."""
-    key = F.col("p_partkey")
-    return load(spark, base, "part").select(
-        key.alias("column_id"), text("db_", F.col("p_size") % 5).alias("database_name"),
-        F.lower("p_brand").alias("schema_name"),
-        F.concat(F.lower("p_type"), F.lit("_"), (key % 50).cast("string")).alias("table_name"),
-        text("col_", key).alias("column_name"), pick(DATA_TYPES, key).alias("data_type"),
-        F.col("p_size").alias("column_size"), F.col("p_name").alias("description"),
-        F.when(key % 50 < 5, "view").otherwise("table").alias("object_type"),
-    )
+    return load(spark, base, "part").selectExpr(
+        "p_partkey AS column_id", "'db_' || (p_size % 5) AS database_name", "lower(p_brand) AS schema_name",
+        "lower(p_type) || '_' || (p_partkey % 50) AS table_name", "'col_' || p_partkey AS column_name",
+        f"{spark_pick(DATA_TYPES, 'p_partkey')} AS data_type", "p_size AS column_size", "p_name AS description",
+        "CASE WHEN p_partkey % 50 < 5 THEN 'view' ELSE 'table' END AS object_type")
 
 
 INVENTORY = f"""
@@ -178,11 +151,10 @@ tables AS (SELECT DISTINCT database_name, schema_name, table_name, object_type F
 
 def assignments(spark: SparkSession, base: str) -> DataFrame:
     """Tags on the inventory's columns; a third of the columns has none."""
-    key = F.col("column_id")
-    return inventory(spark, base).filter(key % 3 != 0).select(
+    return inventory(spark, base).filter("column_id % 3 <> 0").selectExpr(
         "column_id", "database_name", "schema_name", "table_name", "column_name",
-        pick(("PII", "Money", "LEGACY", "pac_level"), key).alias("tag_name"),
-        pick(TAG_VALUES, key).alias("tag_value"))
+        f"{spark_pick(('PII', 'Money', 'LEGACY', 'pac_level'), 'column_id')} AS tag_name",
+        f"{spark_pick(TAG_VALUES, 'column_id')} AS tag_value")
 
 
 ASSIGNMENTS = INVENTORY + f""",
@@ -196,13 +168,13 @@ assignments AS (
 
 def findings_log(spark: SparkSession, base: str) -> DataFrame:
     """Findings of three jobs: line items say which classifier hit which column."""
-    hits = load(spark, base, "lineitem").groupBy(
-        F.col("l_partkey").alias("column_id"), pick(CLASSIFIERS, F.col("l_suppkey")).alias("classifier_name")
-    ).agg(F.count(F.lit(1)).alias("matched"), F.sum("l_quantity").cast("long").alias("sampled"))
-    return hits.join(inventory(spark, base), "column_id").select(
-        text("job_", F.col("column_id") % 3).alias("job_id"), "database_name", "schema_name", "table_name",
-        "column_name", "classifier_name", (F.col("matched") * 100.0 / F.col("sampled")).alias("score"),
-        "sampled", "matched")
+    hits = load(spark, base, "lineitem").selectExpr(
+        "l_partkey AS column_id", f"{spark_pick(CLASSIFIERS, 'l_suppkey')} AS classifier_name", "l_quantity"
+    ).groupBy("column_id", "classifier_name").agg(
+        F.expr("count(1) AS matched"), F.expr("CAST(sum(l_quantity) AS BIGINT) AS sampled"))
+    return hits.join(inventory(spark, base), "column_id").selectExpr(
+        "'job_' || (column_id % 3) AS job_id", "database_name", "schema_name", "table_name", "column_name",
+        "classifier_name", "matched * 100.0D / sampled AS score", "sampled", "matched")
 
 
 FINDINGS = INVENTORY + f""",
@@ -218,24 +190,17 @@ findings AS (
 
 def decisions(spark: SparkSession, base: str) -> DataFrame:
     """Review decisions at all scopes: one per order, about the column of its customer number."""
-    m, p = F.col("o_orderkey") % 20, F.col("column_id") % 3
-    depth = (
-        F.when((F.col("o_orderkey") % 5000 == 17) & (p == 0), 0)
-        .when((F.col("o_orderkey") % 1000 == 7) & (p <= 1), 1)
-        .when(m == 0, 2).when(m <= 2, 3).when(m <= 9, 4).otherwise(5)
-    )
-    rows = load(spark, base, "orders").join(
-        inventory(spark, base), F.col("o_custkey") == F.col("column_id")).withColumn("depth", depth)
-
-    def scoped(name: str, n: int) -> Column:
-        return F.when(F.col("depth") >= n, F.col(name)).alias(name)
-
-    return rows.select(
-        F.col("o_orderkey").alias("decision_id"), text("job_", p).alias("job_id"),
-        scoped("database_name", 1), scoped("schema_name", 2), scoped("table_name", 3), scoped("column_name", 4),
-        F.when(F.col("depth") == 5, pick(CLASSIFIERS, F.col("o_orderkey"))).alias("classifier_name"),
-        F.when(F.col("o_orderstatus") == "F", "rejected").otherwise("approved").alias("confirmed_status"),
-        F.col("o_orderdate").alias("decided_at"))
+    depth = """CASE WHEN o_orderkey % 5000 = 17 AND column_id % 3 = 0 THEN 0
+      WHEN o_orderkey % 1000 = 7 AND column_id % 3 <= 1 THEN 1 WHEN o_orderkey % 20 = 0 THEN 2
+      WHEN o_orderkey % 20 <= 2 THEN 3 WHEN o_orderkey % 20 <= 9 THEN 4 ELSE 5 END"""
+    rows = load(spark, base, "orders").join(inventory(spark, base), F.expr("o_custkey = column_id"))
+    return rows.selectExpr("*", f"{depth} AS depth").selectExpr(
+        "o_orderkey AS decision_id", "'job_' || (column_id % 3) AS job_id",
+        *[f"CASE WHEN depth >= {n} THEN {c} END AS {c}"
+          for n, c in enumerate(("database_name", "schema_name", "table_name", "column_name"), 1)],
+        f"CASE WHEN depth = 5 THEN {spark_pick(CLASSIFIERS, 'o_orderkey')} END AS classifier_name",
+        "CASE WHEN o_orderstatus = 'F' THEN 'rejected' ELSE 'approved' END AS confirmed_status",
+        "o_orderdate AS decided_at")
 
 
 DECISIONS = FINDINGS + f""",
@@ -280,12 +245,11 @@ reviewed AS (
 
 
 def heartbeats(spark: SparkSession, base: str) -> DataFrame:
-    user = F.col("user_id")
-    e = load(spark, base, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    return e.select(
-        "event_id", text("i_", user % 20).alias("instance_id"), text("a_", user % 4).alias("agent_id"),
-        F.col("ts").cast("timestamp").alias("checkin_time"), (F.col("k") % 7).alias("active_tasks"),
-        (F.col("k") % 3).alias("idle_tasks"), text("1.", F.col("k") % 4).alias("version"))
+    e = load(spark, base, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    return e.selectExpr(
+        "event_id", "'i_' || (user_id % 20) AS instance_id", "'a_' || (user_id % 4) AS agent_id",
+        "CAST(ts AS TIMESTAMP) AS checkin_time", "k % 7 AS active_tasks", "k % 3 AS idle_tasks",
+        "'1.' || (k % 4) AS version")
 
 
 HEARTBEATS = """
