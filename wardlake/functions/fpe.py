@@ -99,48 +99,56 @@ class _Ff1:
             "",
         )
 
-    def _round_value(self, i: Column, b: Column, u: Column, v: Column, modulus: Column) -> Column:
-        """The round function reduced by the modulus of this round."""
+    def _head(self, u: Column, v: Column, width: Column) -> Column:
+        """The part of the round input that does not change from round to round (hex)."""
         tweak = self.version.tweak_hex.upper()
         t = len(tweak) // 2
+        pad = F.pmod(-F.lit(t + 1) - width, F.lit(16))
+        return F.concat(
+            F.lit(f"010201{self.radix:06X}0A"), F.lpad(F.hex(F.pmod(u, F.lit(256))), 2, "0"),
+            F.lpad(F.hex(u + v), 8, "0"), F.lit(f"{t:08X}{tweak}"), F.repeat(F.lit("00"), pad))
+
+    def _round_value(self, i: Column, b: Column, head: Column, width: Column, modulus: Column) -> Column:
+        """The round function reduced by the modulus of this round."""
         key = F.unhex(F.lit(self.version.key_hex))
         zero_iv = F.unhex(F.lit("00" * 16))
-
-        def with_width(width: Column) -> Column:
-            pad = F.pmod(-F.lit(t + 1) - width, F.lit(16))
-            block = F.unhex(F.concat(
-                F.lit(f"010201{self.radix:06X}0A"),
-                F.lpad(F.hex(F.pmod(u, F.lit(256))), 2, "0"),
-                F.lpad(F.hex(u + v), 8, "0"),
-                F.lit(f"{t:08X}{tweak}"),
-                F.repeat(F.lit("00"), pad),
-                F.lpad(F.hex(i), 2, "0"),
-                F.lpad(F.hex(b), width * 2, F.lit("0")),
-            ))
-            cbc = F.aes_encrypt(block, key, F.lit("CBC"), F.lit("PKCS"), zero_iv)
-            # Output is the IV, the cipher blocks of the input, and one padding block.
-            mac = F.hex(F.substring(cbc, F.octet_length(cbc) - 31, F.lit(16)))
-            nibbles = F.when(width <= 4, F.lit(16)).otherwise(F.lit(24))
-            return let(F.substring(mac, F.lit(1), nibbles), reduced)
-
-        def reduced(digits: Column) -> Column:
-            long_digits = F.char_length(digits) - 12
-            high = F.conv(F.substring(digits, F.lit(1), long_digits), 16, 10).cast("decimal(20,0)")
-            low = F.conv(F.right(digits, F.lit(12)), 16, 10).cast("decimal(20,0)")
+        block = F.unhex(F.concat(
+            head, F.lpad(F.hex(i), 2, "0"), F.lpad(F.hex(b), width * 2, F.lit("0"))))
+        cbc = F.aes_encrypt(block, key, F.lit("CBC"), F.lit("PKCS"), zero_iv)
+        # Output is the IV, the cipher blocks of the input, and one padding block.
+        mac = F.hex(F.substring(cbc, F.octet_length(cbc) - 31, F.lit(12)))
+
+        def small(digits: Column) -> Column:
+            """64 bits by a modulus below 2**32, in long arithmetic."""
+            high = F.conv(F.substring(digits, 1, 8), 16, 10).cast("long")
+            low = F.conv(F.substring(digits, 9, 8), 16, 10).cast("long")
+            return ((high % modulus) * (F.lit(2**32) % modulus) % modulus + low % modulus) % modulus
+
+        def large(digits: Column) -> Column:
+            """96 bits by a modulus below 2**62, in decimal arithmetic."""
+            high = F.conv(F.substring(digits, 1, 12), 16, 10).cast("decimal(20,0)")
+            low = F.conv(F.substring(digits, 13, 12), 16, 10).cast("decimal(20,0)")
             m = modulus.cast("decimal(20,0)")
             shift = (F.lit(2**48).cast("decimal(20,0)") % m).cast("decimal(19,0)")
             mixed = (high % m).cast("decimal(18,0)") * shift + low
             return (mixed.cast("decimal(38,0)") % m).cast("long")
 
-        return let(F.element_at(self.widths, (v + 1).cast("int")), with_width)
+        # Width 4 means a half below 2**32; its modulus may still belong to the longer half.
+        fits = (width <= 4) & (modulus <= 2**31)
+        middle = (width <= 4) & (modulus > 2**31)
+        return let(mac, lambda digits: F.when(fits, small(digits)).when(
+            middle, large(F.concat(F.lit("00000000"), F.substring(digits, 1, 16)))).otherwise(large(digits)))
 
     def feistel(self, core: Column, decrypt: bool) -> Column:
         """Ten rounds over one symbol string."""
-        return let(F.floor(F.char_length(core) / 2).cast("int"),
-                   lambda u: let(F.char_length(core) - u,
-                                 lambda v: self._rounds(core, u, v, decrypt)))
-
-    def _rounds(self, core: Column, u: Column, v: Column, decrypt: bool) -> Column:
+        u = F.floor(F.char_length(core) / 2).cast("int")
+        v = F.char_length(core) - u
+        width = F.element_at(self.widths, (v + 1).cast("int"))
+        shape = F.struct(u.alias("u"), v.alias("v"), width.alias("width"),
+                         self._head(u, v, width).alias("head"))
+        return let(shape, lambda d: self._rounds(core, d["u"], d["v"], d["width"], d["head"], decrypt))
+
+    def _rounds(self, core: Column, u: Column, v: Column, width: Column, head: Column, decrypt: bool) -> Column:
         state = F.struct(
             self.number(F.substring(core, F.lit(1), u)).alias("a"),
             self.number(F.substring(core, u + 1, v)).alias("b"),
@@ -151,12 +159,8 @@ class _Ff1:
             seen, other = ("a", "b") if decrypt else ("b", "a")
 
             def mixed(modulus: Column) -> Column:
-                def fresh(y: Column) -> Column:
-                    if decrypt:
-                        return F.pmod(acc[other] - y, modulus)
-                    return F.pmod(acc[other] - (modulus - y), modulus)
-
-                return let(self._round_value(step, acc[seen], u, v, modulus), fresh)
+                y = self._round_value(step, acc[seen], head, width, modulus)
+                return F.pmod(acc[other] - y if decrypt else acc[other] - modulus + y, modulus)
 
             new = let(self._power(size), mixed)
             if decrypt:
@@ -164,8 +168,7 @@ class _Ff1:
             return F.struct(acc["b"].alias("a"), new.alias("b"))
 
         steps = list(range(ROUNDS))[::-1] if decrypt else list(range(ROUNDS))
-        order = F.array(*[F.lit(s) for s in steps])
-        done = F.aggregate(order, state, one_round)
+        done = F.aggregate(F.array(*[F.lit(s) for s in steps]), state, one_round)
         return let(done, lambda ab: F.concat(self.text(ab["a"], u), self.text(ab["b"], v)))
 
 

@@ -1,4 +1,4 @@
 """Derived views and the registered queries with their SQL twins."""
 
-from wardlake.plans import classification_queries, common_queries, masking_queries  # noqa: F401
+from wardlake.plans import audit_queries, classification_queries, common_queries, masking_queries, token_queries  # noqa: F401
 from wardlake.plans.registry import QUERIES  # noqa: F401

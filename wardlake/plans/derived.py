@@ -114,7 +114,8 @@ def audit_events(spark: SparkSession, base: str) -> DataFrame:
 def audit_lines(spark: SparkSession, base: str) -> DataFrame:
     """The nested events as JSON text, as a log file holds them."""
     e = audit_events(spark, base)
-    return e.select(F.to_json(F.struct(*[F.col(c) for c in e.columns])).alias("value"))
+    micros = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    return e.select(F.to_json(F.struct(*[F.col(c) for c in e.columns]), micros).alias("value"))
 
 
 # ── inventory, findings, decisions ──────────────────────────────────────────
