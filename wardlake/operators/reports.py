@@ -132,61 +132,64 @@ def expand_cron(definitions: DataFrame, start: dt.datetime, end: dt.datetime) ->
 # its timeline is cut into chunks that are solved apart: for each chunk, every
 # possible last acceptance before it leads to one last acceptance after it, a step
 # function with few steps. Folding these small functions per definition gives the
-# state before each chunk, and each chunk is then replayed on its own.
+# state before each chunk, and each chunk is then replayed on its own. Chunks are
+# solved by array expressions in the JVM; only the fold over steps uses pandas.
 
 _US = 1_000_000
-_STEP_DDL = "key string, chunk long, entry long, leave long"
-_STATE_DDL = "key string, chunk long, state long"
+_STATE = T.StructType([
+    T.StructField("key", T.StringType()), T.StructField("chunk", T.LongType()),
+    T.StructField("state", T.LongType()),
+])
+
 
+def _chunk_steps(chunks: DataFrame, gap: int, width: int) -> DataFrame:
+    """Per chunk: (entry, leave) for each trigger that may be the first accepted one.
 
-def _next_accepted(times: np.ndarray, gap: int) -> np.ndarray:
-    return np.searchsorted(times, times + gap, side="left")
+    A last acceptance before the chunk blocks at most ``gap`` of it, so candidates
+    are the triggers of that stretch and the first one behind it.
+    """
+    border = F.col("chunk") * F.lit(width) + F.lit(gap)
+    times = F.array_distinct(F.transform("rows", lambda r: r["us"]))
+    early = F.filter("times", lambda t: t < border)
+    behind = F.slice(F.filter("times", lambda t: t >= border), 1, 1)
 
+    def leave(entry):
+        return F.aggregate("times", entry, lambda last, t: F.when(t >= last + gap, t).otherwise(last))
 
-def _chunk_steps(pdf: pd.DataFrame, gap: int, width: int) -> pd.DataFrame:
-    times = np.unique(pdf["us"].to_numpy())
-    chunk = int(pdf["chunk"].iloc[0])
-    after = _next_accepted(times, gap)
-    leave = times.copy()
-    for i in range(len(times) - 1, -1, -1):
-        if after[i] < len(times):
-            leave[i] = leave[after[i]]
-    reach = int(np.searchsorted(times, chunk * width + gap, side="left"))
-    last = min(reach, len(times) - 1)
-    entry, out = times[: last + 1], leave[: last + 1]
-    keep = np.append(out[1:] != out[:-1], True)
-    return pd.DataFrame({"key": pdf["key"].iloc[0], "chunk": chunk, "entry": entry[keep], "leave": out[keep]})
+    steps = F.transform(F.concat(early, behind), lambda e: F.struct(e.alias("entry"), leave(e).alias("leave")))
+    per_chunk = chunks.select("key", "chunk", times.alias("times")).select("key", "chunk", steps.alias("steps"))
+    # Neighbouring entries with the same outcome are one step, named by the last of them.
+    changes = F.filter("steps", lambda s, i: (i == F.size("steps") - 1) | (F.get("steps", i + 1)["leave"] != s["leave"]))
+    return per_chunk.select("key", "chunk", F.explode(changes).alias("s")).select("key", "chunk", "s.entry", "s.leave")
 
 
 def _fold_steps(pdf: pd.DataFrame, gap: int) -> pd.DataFrame:
+    """The last acceptance before each chunk of one key."""
     pdf = pdf.sort_values(["chunk", "entry"])
-    state: int | None = None
-    start = pdf["state"].iloc[0]
-    if not pd.isna(start):
-        state = int(start)
-    chunks, before = [], []
-    for chunk, part in pdf.groupby("chunk", sort=True):
-        chunks.append(chunk)
+    chunk, entry, leave = (pdf[c].to_numpy() for c in ("chunk", "entry", "leave"))
+    state = None if pd.isna(pdf["state"].iloc[0]) else int(pdf["state"].iloc[0])
+    starts = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
+    ends = np.r_[starts[1:], len(chunk)]
+    before: list[int | None] = []
+    for lo, hi in zip(starts, ends):
         before.append(state)
-        entry, leave = part["entry"].to_numpy(), part["leave"].to_numpy()
-        at = 0 if state is None else int(np.searchsorted(entry, state + gap, side="left"))
-        if at < len(entry):
+        at = lo if state is None else lo + int(np.searchsorted(entry[lo:hi], state + gap, side="left"))
+        if at < hi:
             state = int(leave[at])
-    return pd.DataFrame({"key": pdf["key"].iloc[0], "chunk": chunks,
+    return pd.DataFrame({"key": pdf["key"].iloc[0], "chunk": chunk[starts],
                          "state": pd.array(before, dtype="Int64")})
 
 
-def _replay(rows: pd.DataFrame, states: pd.DataFrame, gap: int) -> pd.DataFrame:
-    rows = rows.sort_values(["us", "tie"], kind="stable")
-    times = rows["us"].to_numpy()
-    accepted = np.zeros(len(times), dtype=bool)
-    at = 0
-    if len(states) and not pd.isna(states["state"].iloc[0]):
-        at = int(np.searchsorted(times, int(states["state"].iloc[0]) + gap, side="left"))
-    while at < len(times):
-        accepted[at] = True
-        at = int(np.searchsorted(times, times[at] + gap, side="left"))
-    return rows.assign(accepted=accepted)
+def _accepted(gap: int) -> Column:
+    """Accepted rows of a chunk, given the state before it."""
+    start = F.struct(F.col("state").alias("last"), F.slice("rows", 1, 0).alias("taken"))
+
+    def step(acc: Column, row: Column) -> Column:
+        free = acc["last"].isNull() | (row["us"] >= acc["last"] + gap)
+        grown = F.struct(row["us"].alias("last"), F.array_append(acc["taken"], row).alias("taken"))
+        return F.when(free, grown).otherwise(acc)
+
+    return F.aggregate("rows", start, step, lambda acc: acc["taken"])
 
 
 def throttle_triggers(triggers: DataFrame, key: str = "definition_id", ts: str = "ts", tie: str = "event_id",
@@ -194,29 +197,31 @@ def throttle_triggers(triggers: DataFrame, key: str = "definition_id", ts: str =
                       last_accepted: DataFrame | None = None) -> DataFrame:
     """All triggers with ``accepted``: at most one per key within ``seconds`` of the last accepted.
 
-    Equal times are decided by the tie-breaker. ``last_accepted`` (key, state in
-    microseconds) carries acceptances from earlier data.
+    Equal times are decided by the tie-breaker, which is unique per key. Choose
+    ``chunk_seconds`` so that the triggers of the busiest key in one chunk fit a
+    task. ``last_accepted`` (key, state in microseconds) carries acceptances from
+    earlier data.
     """
     gap, width = seconds * _US, chunk_seconds * _US
     if chunk_seconds < seconds:
         raise ValueError("a chunk may not be shorter than the interval")
-    shape = triggers.select(
-        F.col(key).cast("string").alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
-        F.col(tie).cast("long").alias("tie"), F.col(ts).alias("ts"),
-    ).withColumn("chunk", F.floor(F.col("us") / F.lit(width)).cast("long"))
-    steps = shape.select("key", "chunk", "us").groupBy("key", "chunk").applyInPandas(
-        lambda pdf: _chunk_steps(pdf, gap, width), _STEP_DDL)
+    time_type = triggers.schema[ts].dataType
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    chunks = triggers.select(
+        F.col(key).cast("string").alias("key"), F.floor(us / F.lit(width)).cast("long").alias("chunk"),
+        F.struct(us.alias("us"), F.col(tie).cast("long").alias("tie")).alias("row"),
+    ).groupBy("key", "chunk").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    steps = _chunk_steps(chunks, gap, width)
     if last_accepted is None:
         seeded = steps.withColumn("state", F.lit(None).cast("long"))
     else:
         seeded = steps.join(last_accepted.select("key", "state"), "key", "left")
-    states = seeded.groupBy("key").applyInPandas(lambda pdf: _fold_steps(pdf, gap), _STATE_DDL)
-    schema = T.StructType([*shape.schema.fields, T.StructField("accepted", T.BooleanType())])
-    return (
-        shape.groupBy("key", "chunk").cogroup(states.groupBy("key", "chunk"))
-        .applyInPandas(lambda rows, st: _replay(rows, st, gap), schema)
-        .select(F.col("key").alias(key), F.col("ts").alias(ts), F.col("tie").alias(tie), "accepted")
-    )
+    states = seeded.groupBy("key").applyInPandas(lambda pdf: _fold_steps(pdf, gap), _STATE)
+    done = chunks.join(states, ["key", "chunk"]).withColumn("taken", _accepted(gap))
+    verdicts = done.select("key", "taken", F.explode("rows").alias("r"))
+    return verdicts.select(
+        F.col("key").alias(key), F.timestamp_micros("r.us").cast(time_type).alias(ts), F.col("r.tie").alias(tie),
+        F.array_contains("taken", F.col("r")).alias("accepted"))
 
 
 def review_coverage(instances: DataFrame, sign_offs: DataFrame, me: str) -> DataFrame:
