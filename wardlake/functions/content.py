@@ -20,7 +20,8 @@ FORMATS = ("JSON", "XML", "CSV", "PDF", "DOCX", "XLSX", "PNG", "JPEG", "ZIP", "G
 
 
 def _as_bytes(col: Column, binary: bool) -> Column:
-    return col if binary else F.encode(col, "UTF-8")
+    # A cast keeps the bytes as they are, also where they are not valid text.
+    return col if binary else col.cast("binary")
 
 
 def is_format(col: Column, content_format: str, binary: bool = False) -> Column:
@@ -38,12 +39,11 @@ def is_format(col: Column, content_format: str, binary: bool = False) -> Column:
         if fmt not in ZIP_MEMBER and fmt != "ZIP":
             return head.startswith(MAGIC[fmt])
         archive = head.startswith(MAGIC["ZIP"])
-        members = {k: F.contains(data, F.encode(F.lit(v), "UTF-8")) for k, v in ZIP_MEMBER.items()}
+        members = {k: F.contains(data, F.lit(v).cast("binary")) for k, v in ZIP_MEMBER.items()}
         if fmt == "ZIP":
             return archive & ~(members["DOCX"] | members["XLSX"])
         return archive & members[fmt]
-    text = F.decode(col, "UTF-8") if binary else col
-    body = F.trim(text)
+    body = F.trim(F.try_validate_utf8(col.cast("string")))
     if fmt == "JSON":
         parsed = F.call_function("try_parse_json", body)
         return F.substring(body, 1, 1).isin("{", "[") & parsed.isNotNull()

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wardlake.operators.common import as_list, keyset_rows, lower_in, ordering, sort_limit_offset
+from wardlake.operators.common import as_list, keyset_rows, lower_in, ordering, sort_limit_offset, time_literal
 
 # Limits of the three searches.
 SIDECAR_DEFAULT, SIDECAR_MAX = 10_000, 100_000
@@ -33,12 +33,12 @@ def _check_slice(limit: int, most: int, sort_by: str) -> None:
         raise ValueError(f"sort_by is one of {', '.join(SORTS)}")
 
 
-def _time_range(ts: str, start: dt.datetime | None, end: dt.datetime | None) -> list[Column]:
+def _time_range(df: DataFrame, ts: str, start: dt.datetime | None, end: dt.datetime | None) -> list[Column]:
     tests = []
     if start is not None:
-        tests.append(F.col(ts) >= F.lit(start))
+        tests.append(F.col(ts) >= time_literal(df, ts, start))
     if end is not None:
-        tests.append(F.col(ts) <= F.lit(end))
+        tests.append(F.col(ts) <= time_literal(df, ts, end))
     return tests
 
 
@@ -64,7 +64,7 @@ def search_audits(
     """Sidecar audits (nested events) that satisfy all given filters, as a sorted slice."""
     _check_slice(limit, SIDECAR_MAX, sort_by)
     user, request = F.col("user_identity.consuming_user"), F.col("statement_request")
-    tests = _time_range("event_time", from_date_time, to_date_time)
+    tests = _time_range(events, "event_time", from_date_time, to_date_time)
     if consuming_user is not None:
         tests.append(lower_in(user["username"], as_list(consuming_user)))
     plain = {
@@ -101,7 +101,7 @@ def search_query_audits(
     clock = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if to_date_time is not None and to_date_time > clock:
         raise ValueError("to_date_time must not be in the future")
-    tests = _time_range("event_time", from_date_time, to_date_time)
+    tests = _time_range(audits, "event_time", from_date_time, to_date_time)
     tests += [F.lower(F.col(c)) == v.lower() for c, v in filters.items() if v is not None]
     rows = reduce(lambda df, t: df.filter(t), tests, audits)
     return sort_limit_offset(rows, ["query_id"], sort_by, order_by, limit, offset)
@@ -120,7 +120,7 @@ def search_system_audits(audits: DataFrame, category: str, now: dt.datetime, lim
     if end - start > SYSTEM_WINDOW:
         raise ValueError("the time range may be at most one week")
     rows = audits.filter(F.col("category") == category)
-    rows = rows.filter((F.col("event_time") >= F.lit(start)) & (F.col("event_time") <= F.lit(end)))
+    rows = reduce(lambda df, t: df.filter(t), _time_range(audits, "event_time", start, end), rows)
     return sort_limit_offset(rows, ["event_id"], "event_time", "desc", limit, offset)
 
 

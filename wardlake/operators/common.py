@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -21,6 +22,11 @@ def lower_in(col: Column, values: Sequence[str]) -> Column:
     return F.lower(col).isin(*[v.lower() for v in values])
 
 
+def time_literal(df: DataFrame, column: str, value: dt.datetime) -> Column:
+    """A time in the column's own type, so that a comparison with it can reach the file scan."""
+    return F.lit(value).cast(df.schema[column].dataType)
+
+
 def list_filtered(
     df: DataFrame,
     eq: Mapping[str, Any] | None = None,

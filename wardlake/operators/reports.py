@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from wardlake.functions.cron import parse_cron
 from wardlake.functions.filters import compile_filters
 from wardlake.operators.audits import audit_summary
+from wardlake.operators.common import time_literal
 
 THROTTLE_SECONDS = 300
 
@@ -63,7 +64,8 @@ def build_report(audits: DataFrame, definition: ReportDefinition, trigger_ts: dt
                  summary_by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Detail rows of a report and their summary."""
     start, end = window_bounds(trigger_ts, definition.lookback_days, definition.timezone)
-    inside = (F.col(definition.ts) >= F.lit(start)) & (F.col(definition.ts) < F.lit(end))
+    ts = F.col(definition.ts)
+    inside = (ts >= time_literal(audits, definition.ts, start)) & (ts < time_literal(audits, definition.ts, end))
     detail = audits.filter(inside).filter(compile_filters(definition.filters, definition.integration_type))
     return detail, audit_summary(detail, summary_by or ["consuming_user"])
 

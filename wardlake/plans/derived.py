@@ -46,7 +46,7 @@ def text(*parts: Column | str) -> Column:
 def audits(spark: SparkSession, base: str) -> DataFrame:
     e = load(spark, base, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
     return e.selectExpr(
-        "event_id", "CAST(ts AS TIMESTAMP) AS event_time", "user_id", "k", "event_type",
+        "event_id", "ts AS event_time", "user_id", "k", "event_type",
         "'user_' || user_id AS consuming_user",
         "'user_' || user_id || '@example.com' AS consuming_user_email",
         "upper(event_type) AS statement_type", "'tpch' AS database_name", "'main' AS schema_name",
@@ -95,7 +95,7 @@ def audit_events(spark: SparkSession, base: str) -> DataFrame:
         "CAST(event_id AS STRING) AS event_id", "'Query' AS event_name", "'sidecar' AS event_source", "event_time",
         "0 AS event_time_nano_seconds", "'1.0' AS event_version", "'org' AS org_id",
         "'track_' || event_id AS tracking_id", "'cfg' AS configuration_version_id", "'pol' AS policy_version_id",
-        "named_struct('connection_id', 'conn_' || user_id, 'connection_time', event_time, 'host', '10.0.0.' || k, "
+        "named_struct('connection_id', 'conn_' || user_id, 'connection_time', CAST(event_time AS TIMESTAMP), 'host', '10.0.0.' || k, "
         "'port', 5432, 'application_name', 'psql') AS client",
         "named_struct('id', sidecar_id, 'instance_id', sidecar_instance_id, 'version', '1.2.3') AS sidecar",
         "named_struct('host', 'db.example.com', 'name', repo_name, 'port', 5432, 'type', 'Postgres') AS repo",
@@ -113,7 +113,7 @@ def audit_events(spark: SparkSession, base: str) -> DataFrame:
 
 def audit_lines(spark: SparkSession, base: str) -> DataFrame:
     """The nested events as JSON text, as a log file holds them."""
-    e = audit_events(spark, base)
+    e = audit_events(spark, base).withColumn("event_time", F.col("event_time").cast("timestamp"))
     micros = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
     return e.select(F.to_json(F.struct(*[F.col(c) for c in e.columns]), micros).alias("value"))
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardlake.operators import reports as R
+from wardlake.operators.common import time_literal
 from wardlake.plans import derived as D
 from wardlake.plans.registry import query, sql_stamp, stamp
 from wardlake.session import scratch_path
@@ -64,7 +65,8 @@ def report_snowflake(spark: SparkSession, base: str) -> DataFrame:
         {"field": "warehouse", "mode": "exclude", "patterns": [{"match_type": "contains", "value": "_3"}]}]}]}
     kept = rows.filter(R.compile_filters(spec, "snowflake"))
     start, end = R.window_bounds(TRIGGER, 10, "UTC")
-    kept = kept.filter((F.col("event_time") >= F.lit(start)) & (F.col("event_time") < F.lit(end)))
+    ts = F.col("event_time")
+    kept = kept.filter((ts >= time_literal(rows, "event_time", start)) & (ts < time_literal(rows, "event_time", end)))
     return kept.groupBy("username").agg(F.count(F.lit(1)).alias("queries"))
 
 
