@@ -19,6 +19,7 @@ HEADLINE = (
     "classify_documents", "classify_leaf_targets", "detect_entities", "profile_columns",
     "resolve_status", "findings_rollup", "propose_tags", "job_summary",
     "vault_tokenize", "detokenize", "tokenize_roundtrip_count", "delete_and_retokenize", "fpe_encrypt",
+    "fpe_encrypt_distinct", "fpe_roundtrip",
     "search_audits_top", "search_audits_columns", "audit_summary_cube", "explode_audit_columns",
     "read_audit_events", "ingest_postgres_log",
     "report_filters", "report_window", "expand_cron_january", "throttle_triggers", "throttle_triggers_dense",

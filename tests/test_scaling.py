@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from wardlake.operators.scaling import number_rows, skew_join
+from wardlake.operators.scaling import fan_out_join, number_rows, skew_join
 
 
 def test_skew_join_equals_plain_join(spark):
@@ -29,3 +29,12 @@ def test_row_numbers_are_gap_free(spark):
     rows = number_rows(df, [F.asc("v"), F.asc("id")]).orderBy("row_no").collect()
     assert [r["row_no"] for r in rows] == list(range(1, 5001))
     assert [r["v"] for r in rows] == sorted(r["v"] for r in rows)
+
+
+def test_fan_out_join_equals_plain_join(spark):
+    big = spark.range(500).select("id", (F.col("id") % 3).cast("string").alias("k"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    control = spark.createDataFrame([("0", 1), ("0", 2), ("1", 3)], "k string, v int")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        a = fan_out_join(big, control, ["k"], how).drop("m")
+        b = big.drop("m").join(control, ["k"], how)
+        assert sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect())), how

@@ -25,6 +25,12 @@ def _found(col: Column, pattern: str) -> Column:
     return F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
 
 
+def _found_with(col: Column, mark: str, pattern: str) -> Column:
+    """Hits of a pattern that needs a rare character; most values fail the byte search."""
+    none = F.array().cast("array<string>")
+    return F.when(F.contains(col, F.lit(mark)), _found(col, pattern)).when(col.isNotNull(), none)
+
+
 def _scored(hits: Column, score) -> Column:
     return F.transform(hits, lambda h: F.struct(h.alias("hit"), score(h).cast("int").alias("score")))
 
@@ -36,9 +42,9 @@ def _luhn(text: Column) -> Column:
 def entity_hits(col: Column, entity_type: str) -> Column:
     """``ARRAY<STRUCT<hit STRING, score INT>>`` of one entity type in a value."""
     if entity_type == "EMAIL":
-        return _scored(_found(col, EMAIL), lambda h: F.lit(95))
+        return _scored(_found_with(col, "@", EMAIL), lambda h: F.lit(95))
     if entity_type == "PHONE":
-        return _scored(_found(col, PHONE), lambda h: F.lit(80))
+        return _scored(_found_with(col, "+", PHONE), lambda h: F.lit(80))
     if entity_type == "CREDIT_DEBIT_NUMBER":
         runs = F.filter(_found(col, DIGIT_RUN), lambda h: F.char_length(h) <= 19)
         return _scored(runs, lambda h: F.when(_luhn(h), 99).otherwise(20))

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardlake.operators.scaling import skew_join
+from wardlake.operators.scaling import fan_out_join, skew_join
 
 # Name conditions and object types of an access rule.
 CONDITIONS = ("equals", "starts_with", "ends_with")
@@ -81,7 +81,7 @@ def rule_objects(rules: DataFrame, catalog: DataFrame) -> DataFrame:
     for column, types in (("database_name", ("database",)), ("schema_name", ("schema",)),
                           ("table_name", ("table", "view"))):
         hits = match_names(catalog, column, named.filter(F.col("type").isin(*types))).distinct()
-        rows = catalog.join(hits, column)
+        rows = fan_out_join(catalog, hits, [column])
         if column == "table_name":
             rows = rows.filter(F.col("object_type") == F.col("type"))
         found.append(rows.select("rule_id", *TABLE_KEYS))
@@ -94,7 +94,7 @@ def rule_objects(rules: DataFrame, catalog: DataFrame) -> DataFrame:
         if depth < 3:
             part = part.filter(F.col(TABLE_KEYS[depth]).isNull())
         part = part.select("rule_id", *TABLE_KEYS[:depth]).distinct()
-        found.append(catalog.join(part, list(TABLE_KEYS[:depth])).select("rule_id", *TABLE_KEYS))
+        found.append(fan_out_join(catalog, part, TABLE_KEYS[:depth]).select("rule_id", *TABLE_KEYS))
     return reduce(DataFrame.unionByName, found).distinct()
 
 
@@ -121,14 +121,14 @@ def tagged_objects(rules: DataFrame, catalog: DataFrame, tags: DataFrame) -> Dat
         "rule_id", "block", "tag_condition", "needed", "level", "tag_no",
         F.col("w.database").alias("tag_database"), F.col("w.schema").alias("tag_schema"),
         F.col("w.name").alias("tag_name"), F.col("w.value").alias("tag_value"))
-    hits = tags.join(wanted, ["level", "tag_database", "tag_schema", "tag_name", "tag_value"])
+    hits = fan_out_join(tags, wanted, ["level", "tag_database", "tag_schema", "tag_name", "tag_value"])
     held = hits.groupBy("rule_id", "block", "tag_condition", "needed", "level", *TABLE_KEYS).agg(
         F.count_distinct("tag_no").alias("present"))
     kept = held.filter((F.col("tag_condition") == "or") | (F.col("present") == F.col("needed")))
     found = []
     for depth, kinds in ((1, ["database"]), (2, ["schema"]), (3, ["table", "view"])):
         part = kept.filter(F.col("level").isin(*kinds)).select("rule_id", "level", *TABLE_KEYS[:depth]).distinct()
-        rows = catalog.join(part, list(TABLE_KEYS[:depth]))
+        rows = fan_out_join(catalog, part, TABLE_KEYS[:depth])
         if depth == 3:
             rows = rows.filter(F.col("object_type") == F.col("level"))
         found.append(rows.select("rule_id", *TABLE_KEYS))
@@ -143,10 +143,8 @@ def expand_grants(rules: DataFrame, roles: DataFrame, catalog: DataFrame,
         objects = objects.unionByName(tagged_objects(rules, catalog, tags)).distinct()
     access = rules.select("rule_id", F.explode("access").alias("a")).select(
         "rule_id", F.lower("a.name").alias("access")).distinct()
-    return (
-        objects.join(rule_roles(rules, roles).join(access, "rule_id"), "rule_id")
-        .select("rule_id", *GRANT_KEYS)
-    )
+    who = rule_roles(rules, roles).join(access, "rule_id")
+    return fan_out_join(objects, who, ["rule_id"]).select("rule_id", *GRANT_KEYS)
 
 
 def expand_oltp_grants(rules: DataFrame, users: DataFrame, catalog: DataFrame,
@@ -179,10 +177,8 @@ def expand_oltp_grants(rules: DataFrame, users: DataFrame, catalog: DataFrame,
         for m in range(16)
     ])
     columns = [f"{p}_name" for p in parts]
-    objects = (
-        catalog.select(*columns, F.explode(keys).alias("k")).select(*columns, "k.mask", "k.path")
-        .join(wanted, ["mask", "path"]).select("rule_id", *columns).distinct()
-    )
+    named = catalog.select(*columns, F.explode(keys).alias("k")).select(*columns, "k.mask", "k.path")
+    objects = fan_out_join(named, wanted, ["mask", "path"]).select("rule_id", *columns).distinct()
     actors = rules.select("rule_id", F.explode("actors").alias("a")).select(
         "rule_id", F.col("a.type").alias("type"), F.explode("a.identifiers").alias("name"))
     members = users.select("username", F.explode(F.concat(
@@ -194,7 +190,7 @@ def expand_oltp_grants(rules: DataFrame, users: DataFrame, catalog: DataFrame,
         actors.withColumn("name", fold(F.col("name"))).join(members, ["type", "name"])
         .select("rule_id", "username").distinct()
     )
-    return objects.join(who, "rule_id").select("rule_id", "username", *columns)
+    return fan_out_join(objects, who, ["rule_id"]).select("rule_id", "username", *columns)
 
 
 def compliance_check(expected: DataFrame, actual: DataFrame, keys: Sequence[str] = GRANT_KEYS) -> DataFrame:

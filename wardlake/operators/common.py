@@ -9,6 +9,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wardlake.operators.scaling import skew_join
+
 
 def as_list(value: Any) -> list | None:
     """A scalar counts as a one-element list; None means "not given"."""
@@ -155,9 +157,12 @@ def latest_version(df: DataFrame, keys: Sequence[str], version: str | Sequence[s
     return df.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*df.columns)
 
 
-def apply_tombstones(df: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hard removal by key."""
-    return df.join(deletes.select(*keys).distinct(), list(keys), "left_anti")
+def apply_tombstones(df: DataFrame, deletes: DataFrame, keys: Sequence[str], skewed: bool = False) -> DataFrame:
+    """Hard removal by key; ``skewed`` spreads keys that hold very many rows."""
+    gone = deletes.select(*keys).distinct()
+    if skewed:
+        return skew_join(df, gone, keys, "left_anti")
+    return df.join(gone, list(keys), "left_anti")
 
 
 def archive_state(events: DataFrame, keys: Sequence[str], ts: Sequence[str],

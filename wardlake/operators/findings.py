@@ -12,6 +12,7 @@ from wardlake.functions import detectors
 from wardlake.operators.common import as_list
 from wardlake.operators.rulesets import Classifier, CompiledSet, active_targets
 from wardlake.operators.sampling import KEYS, catalog_of, melt_columns, profile_columns, sample_rows
+from wardlake.operators.scaling import fan_out_join
 
 SCOPE = ("database_name", "schema_name", "table_name", "column_name", "classifier_name")
 # Scopes of a job, a database and a schema (depth 0 to 2) are shared by many findings.
@@ -303,8 +304,9 @@ def propose_tags(findings: DataFrame, classifier_tags: DataFrame, known_tags: Da
     approved = findings.filter(F.col("status") == "approved")
     existing = known_tags.select("tag_name", F.lit(True).alias("_known")).distinct()
     return (
-        approved.join(classifier_tags, "classifier_name")
-        .groupBy(*KEYS, "tag_name", "tag_value").agg(F.max("score").alias("score"))
-        .join(existing, "tag_name", "left")
+        fan_out_join(
+            fan_out_join(approved, classifier_tags, ["classifier_name"])
+            .groupBy(*KEYS, "tag_name", "tag_value").agg(F.max("score").alias("score")),
+            existing, ["tag_name"], "left")
         .withColumn("tag_missing", F.col("_known").isNull()).drop("_known")
     )

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wardlake.operators.scaling import fan_out_join
+
 COLUMN_KEYS = ("database_name", "schema_name", "table_name", "column_name")
 
 
@@ -21,7 +23,7 @@ def tag_coverage(catalog: DataFrame, assignments: DataFrame, policies: DataFrame
     tag = F.upper("tag_name")
     tagged = assignments.select(*COLUMN_KEYS, tag.alias("tag_name"))
     ruled = policies.select(F.upper("tag").alias("tag_name")).distinct()
-    no_policy = tagged.join(ruled, "tag_name", "left_anti").select(
+    no_policy = fan_out_join(tagged, ruled, ["tag_name"], "left_anti").select(
         F.lit("tagged_without_policy").alias("gap"), *COLUMN_KEYS, "tag_name")
     no_column = ruled.join(tagged.select("tag_name").distinct(), "tag_name", "left_anti").select(
         F.lit("policy_without_column").alias("gap"),

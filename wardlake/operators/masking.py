@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from wardlake.functions import masks
+from wardlake.operators.scaling import fan_out_join
 
 
 @dataclass(frozen=True)
@@ -129,9 +130,8 @@ def effective_levels(assignments: DataFrame, rules: DataFrame, roles: Sequence[s
     """
     listed = F.explode(F.array(*[F.lit(r) for r in roles])).alias("role")
     return (
-        assignments.select("*", listed)
-        .join(rules.select("tag_name", "tag_value", "role", "masking_policy"),
-              ["tag_name", "tag_value", "role"], "left")
+        fan_out_join(assignments.select("*", listed), rules.select("tag_name", "tag_value", "role", "masking_policy"),
+                     ["tag_name", "tag_value", "role"], "left")
         .select("role", "database_name", "schema_name", "table_name", "column_name",
                 "tag_name", "tag_value", "masking_policy")
     )
@@ -177,12 +177,11 @@ def match_policies(assignments: DataFrame, policies: DataFrame, database_id: Col
     push_side = policies.filter(
         (kind == "PUSHDOWN") & (F.size("database_ids") > 0)
     ).select("policy_id", "policy_type", F.lower("tag").alias("_tag"), F.explode("database_ids").alias("_db"))
-    rows = assignments.withColumn("_id", database_id)
-    by_tag = rows.join(tag_side.drop("_db"), F.upper("tag_name") == F.col("_tag"))
-    by_db = rows.join(
-        push_side, (F.lower("tag_name") == F.col("_tag")) & (F.col("_id") == F.col("_db"))
+    by_tag = fan_out_join(assignments.withColumn("_tag", F.upper("tag_name")), tag_side.drop("_db"), ["_tag"])
+    by_db = fan_out_join(
+        assignments.withColumns({"_tag": F.lower("tag_name"), "_db": database_id}), push_side, ["_tag", "_db"]
     ).drop("_db")
-    return by_tag.unionByName(by_db).drop("_tag", "_id")
+    return by_tag.unionByName(by_db).drop("_tag")
 
 
 def duplicate_policies(policies: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from wardlake.functions.cron import parse_cron
 from wardlake.functions.filters import compile_filters
 from wardlake.operators.audits import audit_summary
 from wardlake.operators.common import time_literal
+from wardlake.operators.scaling import skew_join
 
 THROTTLE_SECONDS = 300
 
@@ -124,7 +125,8 @@ def expand_cron(definitions: DataFrame, start: dt.datetime, end: dt.datetime) ->
                 & (F.col("due_at") < F.lit(end).cast("timestamp")))
         .select("cron", "timezone", "due_at")
     )
-    return live.join(due, ["cron", "timezone"]).select("id", "cron", "timezone", "due_at")
+    # Many definitions share a schedule, so a popular one is spread.
+    return skew_join(live, due, ["cron", "timezone"], "inner").select("id", "cron", "timezone", "due_at")
 
 
 # ── throttling ──────────────────────────────────────────────────────────────

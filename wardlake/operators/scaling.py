@@ -5,10 +5,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from wardlake.session import write_through
+
 HOT_SHARE = 0.001
 SALTS = 64
+CONTROL_SALTS = 16
+
+
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, (T.MapType, T.VariantType)):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    return isinstance(dtype, T.StructType) and any(_has_map(f.dataType) for f in dtype.fields)
+
+
+def row_salt(df: DataFrame, salts: int) -> Column:
+    """A number below ``salts`` from the row's own values: the same on every retry.
+
+    Maps cannot be hashed and are left out.
+    """
+    columns = [f.name for f in df.schema.fields if not _has_map(f.dataType)]
+    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int") if columns else F.lit(0)
 
 
 def skew_join(
@@ -35,10 +56,9 @@ def skew_join(
         .dropna(subset=keys)
         .select(*keys, F.lit(True).alias("_hot"))
     )
-    spread = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
     salted = (
         big.join(hot, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)))
+        .withColumn("_salt", F.when(F.col("_hot"), row_salt(big, salts)).otherwise(F.lit(0)))
         .drop("_hot")
     )
     copies = (
@@ -56,18 +76,41 @@ def skew_join(
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
+def fan_out_join(
+    big: DataFrame,
+    control: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    salts: int = CONTROL_SALTS,
+) -> DataFrame:
+    """Equi-join with a control table (rules, tags, policies) on keys that have few values.
+
+    Such keys are hot by nature: every row of ``big`` has one of a handful of
+    values. Rows of ``big`` get a salt from their hash and the control table is
+    repeated once per salt, so the hottest key is split ``salts`` ways without any
+    statistics. No side is forced to broadcast: Spark does so only when the
+    control table is under its size threshold.
+    """
+    keys = list(keys)
+    copies = control.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return big.withColumn("_salt", row_salt(big, salts)).join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
 def number_rows(df: DataFrame, order: Sequence[Column], name: str = "row_no") -> DataFrame:
     """Gap-free 1-based numbers in a global order without a single-task window.
 
-    Rows are range-partitioned by the order, numbered inside each partition and
-    shifted by the row counts of the partitions before. The only one-task step
-    handles one row per partition.
+    Rows are range-partitioned by the order and written with their partition
+    number: range bounds come from a sample, so two evaluations could cut
+    differently, and the table makes both uses see the same cut. Rows are then
+    numbered inside each part and shifted by the sizes of the parts before. The
+    only one-task step handles one row per part.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranged = write_through(
+        df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered")
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     )
-    sizes = local.groupBy("_part").agg(F.max("_local").alias("_size"))
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = sizes.withColumn(
         "_before",
         F.coalesce(

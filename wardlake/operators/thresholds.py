@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from wardlake.operators.scaling import fan_out_join
+
 # Accepted rate units (any case) and their window lengths.
 RATE_UNITS = {"MINUTE": "1 minute", "HOUR": "1 hour", "DAY": "1 day"}
 WEEKDAYS = ("SUNDAY", "MONDAY", "TUESDAY", "WEDNESDAY", "THURSDAY", "FRIDAY", "SATURDAY")
@@ -63,7 +65,7 @@ def access_rate_breaches(audits: DataFrame, rules: DataFrame, user: str = "consu
         )
         keys = ["role", "unit"]
     return (
-        counts.join(limits, keys)
+        fan_out_join(counts, limits, keys)
         .filter(F.col("accesses") > F.col("access_rate_limit"))
         .select("rule_id", user, "unit", "window_start", "accesses", "access_rate_limit", "action")
     )
@@ -106,7 +108,8 @@ def time_window_breaches(audits: DataFrame, rules: DataFrame, zones: list[str],
 
     Each event gets one row per zone with its local hour of the week; thresholds
     are spread over the hours they touch, so the match is an equi-join on (zone,
-    weekday, hour) and the minute test is a residual filter.
+    weekday, hour) and the minute test is a residual filter. These keys have few
+    values, so the join spreads each of them.
     """
     slots = time_window_slots(rules).filter("lo < hi").withColumn(
         "hour", F.explode(F.sequence(F.floor(F.col("lo") / 60), F.floor((F.col("hi") - 1) / 60)))
@@ -120,7 +123,7 @@ def time_window_breaches(audits: DataFrame, rules: DataFrame, zones: list[str],
         (F.hour("z.local") * 60 + F.minute("z.local")).alias("minute_of_day"),
     )
     return (
-        events.join(slots, ["zone", "weekday", "hour"])
+        fan_out_join(events, slots, ["zone", "weekday", "hour"])
         .filter((F.col("minute_of_day") >= F.col("lo")) & (F.col("minute_of_day") < F.col("hi")))
         .select(*audits.columns, "rule_id", "threshold_no", "zone", "action")
     )

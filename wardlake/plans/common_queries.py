@@ -124,7 +124,7 @@ WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_order
 def apply_tombstones(spark: SparkSession, base: str) -> DataFrame:
     deletes = D.load(spark, base, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
     rows = D.load(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return G.apply_tombstones(rows, deletes, ["l_orderkey"])
+    return G.apply_tombstones(rows, deletes, ["l_orderkey"], skewed=True)
 
 
 def _archive_events(spark: SparkSession, base: str) -> DataFrame:
