@@ -252,10 +252,10 @@ def resolve_status(findings: DataFrame, decisions: DataFrame,
     Decisions shrink to the latest one per scope first. A finding then looks up its
     own six scopes by equi-join. Scopes above a table are shared by very many
     findings, so there both sides carry a salt: findings by their column, each such
-    decision (one per job, database or schema) once per salt.
+    decision (one per job, database or schema) once per salt. Findings are distinct
+    rows without map columns.
     """
     depths = range(len(SCOPE) + 1)
-    keys = ["job_id", *SCOPE]
     spread = F.pmod(F.xxhash64("table_name", "column_name", "classifier_name"), F.lit(SCOPE_SALTS)).cast("int")
     paths = F.array(*[
         F.struct(F.lit(d).alias("depth"), _scope_key(d).alias("scope_key"),
@@ -272,16 +272,19 @@ def resolve_status(findings: DataFrame, decisions: DataFrame,
             F.when(F.col("depth") <= BROAD_DEPTH, F.sequence(F.lit(0), F.lit(SCOPE_SALTS - 1)))
             .otherwise(F.array(F.lit(0)))))
     )
-    probes = findings.select(*keys, F.explode(paths).alias("p")).select(*keys, "p.*")
+    probes = findings.select("*", F.explode(paths).alias("p")).select(*findings.columns, "p.*")
     # Depth and verdict as one number: the greatest is the most specific decision,
     # and a numeric maximum aggregates by hash.
     verdict = F.col("depth") * 2 + (F.col("decision") == "approved").cast("int")
-    decided = (
-        probes.join(latest, ["job_id", "depth", "scope_key", "salt"])
-        .groupBy(*keys).agg(F.max(verdict).alias("v"))
-        .select(*keys, F.when(F.col("v") % 2 == 1, "approved").otherwise("rejected").alias("status"))
+    # The depth-0 probe stands for the finding itself, so findings are read once.
+    joined = probes.join(latest, ["job_id", "depth", "scope_key", "salt"], "left").select(
+        *findings.columns, "depth", verdict.alias("v"))
+    status = F.when(F.col("v").isNull(), "pending").when(F.col("v") % 2 == 1, "approved").otherwise("rejected")
+    return (
+        joined.filter((F.col("depth") == 0) | F.col("v").isNotNull())
+        .groupBy(*findings.columns).agg(F.max("v").alias("v"))
+        .withColumn("status", status).drop("v")
     )
-    return findings.join(decided, keys, "left").withColumn("status", F.coalesce("status", F.lit("pending")))
 
 
 def revoke_decisions(decisions: DataFrame, job_id: str, **scope: str | None) -> DataFrame:

@@ -32,6 +32,19 @@ def row_salt(df: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int") if columns else F.lit(0)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_share: float = HOT_SHARE) -> DataFrame:
+    """Keys that hold more than ``hot_share`` of the rows: fewer than ``1 / hot_share`` of them.
+
+    The counts combine before the shuffle; the total is a sum over the same counts.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows").alias("_total")).scalar()
+    return (
+        counts.filter(F.col("_rows") > total * F.lit(hot_share))
+        .dropna(subset=list(keys)).select(*keys, F.lit(True).alias("_hot"))
+    )
+
+
 def skew_join(
     big: DataFrame,
     lookup: DataFrame,
@@ -39,38 +52,27 @@ def skew_join(
     how: str = "left",
     hot_share: float = HOT_SHARE,
     salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join in which heavy keys of ``big`` are spread over many tasks.
 
-    A key is hot when it holds more than ``hot_share`` of the rows, so there are
-    fewer than ``1 / hot_share`` hot keys: this list alone is broadcast. Rows of
-    a hot key get a salt from the hash of the whole row, the matching lookup rows
-    are repeated once per salt, and all other rows keep salt 0. The result equals
-    the plain join for inner, left, left_semi and left_anti.
+    Only the list of hot keys is broadcast, whose length is bounded. Rows of a hot
+    key get a salt from the hash of the whole row, the matching lookup rows are
+    repeated once per salt, and all other rows keep salt 0. The result equals the
+    plain join for inner, left, left_semi and left_anti. Pass ``hot`` when the keys
+    can be counted on something cheaper than ``big`` itself.
     """
     keys = list(keys)
-    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total")).scalar()
-    hot = F.broadcast(
-        counts.filter(F.col("_rows") > total * F.lit(hot_share))
-        .dropna(subset=keys)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
+    marks = F.broadcast(hot_keys(big, keys, hot_share) if hot is None else hot)
     salted = (
-        big.join(hot, keys, "left")
+        big.join(marks, keys, "left")
         .withColumn("_salt", F.when(F.col("_hot"), row_salt(big, salts)).otherwise(F.lit(0)))
         .drop("_hot")
     )
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
     copies = (
-        lookup.join(hot, keys, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
+        lookup.join(marks, keys, "left")
+        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
         .drop("_hot")
     )
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")

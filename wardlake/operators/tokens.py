@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlake.functions.fpe import KeyVersion, fpe_decrypt, fpe_encrypt
 from wardlake.operators.masking import MaskRule, levels_for_role, project_levels
-from wardlake.operators.scaling import number_rows, skew_join
+from wardlake.operators.scaling import hot_keys, number_rows, skew_join
 
 
 @dataclass(frozen=True)
@@ -107,8 +107,10 @@ def _tokenize_deterministic(df, cols, kind, secret, retired):
         for c in cols:
             looked_up = known.select(F.col("value_hash").alias(f"_hash_{c}"),
                                      F.col("generation").alias(f"_gen_{c}"))
-            marked = skew_join(marked.withColumn(f"_hash_{c}", F.sha2(F.col(c), 256)),
-                               looked_up, [f"_hash_{c}"], "left")
+            hashes = F.sha2(F.col(c), 256).alias(f"_hash_{c}")
+            # Hot keys are counted on the source table, not on the chain of joins.
+            marked = skew_join(marked.select("*", hashes), looked_up, [f"_hash_{c}"], "left",
+                               hot=hot_keys(df.select(hashes), [f"_hash_{c}"]))
             generations[c] = F.coalesce(f"_gen_{c}", F.lit(0))
     marked = marked.withColumns({
         f"_token_{c}": deterministic_token(_guard(F.col(c), kind), kind, secret, generations[c]) for c in cols
@@ -154,7 +156,8 @@ def _resolve(df: DataFrame, cols: Sequence[str], vault: DataFrame, strict: bool)
     out = df
     for c in cols:
         pairs = vault.select(F.col("token").alias(c), F.col("value").alias("_plain"))
-        joined = skew_join(out, pairs, [c], "left")
+        # Hot keys are counted on the source table, not on the chain of joins.
+        joined = skew_join(out, pairs, [c], "left", hot=hot_keys(df.select(c), [c]))
         if strict:
             missing = F.raise_error(F.concat(F.lit("not a valid token: "), F.col(c))).cast("string")
             value = F.when(F.col(c).isNotNull() & F.col("_plain").isNull(), missing).otherwise(F.col("_plain"))
