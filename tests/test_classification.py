@@ -178,3 +178,16 @@ def test_managed_set(spark):
     again = C.import_managed(C.import_managed(managed.limit(0), managed), managed)
     assert again.count() == managed.count() == len(C.MANAGED)
     assert C.managed_drift(again, managed).count() == 0
+
+
+def test_detector_plugin(spark):
+    import pandas as pd
+
+    @F.pandas_udf("array<struct<hit:string,score:int>>")
+    def badges(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [{"hit": w, "score": 70} for w in t.split() if w.startswith("B-")])
+
+    df = spark.createDataFrame([(1, "see B-12 and joe@x.org"), (2, "none")], "i int, t string")
+    out = C.detect_entities(df, "t", ["EMAIL"], plugins={"BADGE": badges}).collect()
+    assert sorted((r["i"], r["entity_type"], r["hit"], r["score"]) for r in out) == [
+        (1, "BADGE", "B-12", 70), (1, "EMAIL", "joe@x.org", 95)]

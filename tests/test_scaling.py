@@ -38,3 +38,27 @@ def test_fan_out_join_equals_plain_join(spark):
         a = fan_out_join(big, control, ["k"], how).drop("m")
         b = big.drop("m").join(control, ["k"], how)
         assert sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect())), how
+
+
+def test_a_key_with_a_third_of_the_rows_does_not_land_in_one_task(spark):
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
+                                           "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        big = spark.range(90000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+        lookup = big.select("k").distinct().withColumn("v", F.lit(1))
+
+        def largest(df):
+            sizes = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            return max(r["count"] for r in sizes)
+
+        assert largest(big.join(lookup, "k")) > 30000
+        assert largest(skew_join(big, lookup, ["k"], "inner")) < 15000
+        few = big.select("id", (F.col("id") % 2).alias("k"))
+        control = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
+        assert largest(fan_out_join(few, control, ["k"])) < 30000
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)

@@ -146,3 +146,21 @@ def test_protection_types(spark):
     assert pairs.count() == 1
     with pytest.raises(ValueError, match="unknown protection types"):
         K.protect_columns(df, [K.Protection("t", "magic")], [], "R")
+
+
+def test_random_map_tokens(spark):
+    df = spark.createDataFrame([(1, {"a": "x", "b": "x", "c": None})], "i int, m map<string,string>")
+    out, pairs = K.tokenize_map(df, "m", deterministic=False, row_key=["i"], secret="s")
+    m = out.first()["m"]
+    assert list(m) == ["a", "b", "c"] and m["a"] != m["b"] and m["a"].startswith("vaultn_") and m["c"] is None
+    assert K.detokenize_map(out, "m", pairs, ["i"]).first()["m"] == {"a": "x", "b": "x", "c": None}
+    with pytest.raises(ValueError, match="key columns"):
+        K.tokenize_map(df, "m", deterministic=False)
+
+
+def test_encrypt_distinct_equals_projection(spark):
+    v = [KeyVersion(NIST_KEY)]
+    df = spark.createDataFrame([(i, None if i == 5 else str(100000 + i % 3)) for i in range(30)], "i int, s string")
+    a = K.encrypt_distinct(df, "s", "numeric", v)
+    b = df.withColumn("s", fpe_encrypt(F.col("s"), "numeric", v))
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))

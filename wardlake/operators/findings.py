@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -35,15 +35,24 @@ class JobOptions:
 
 
 def detect_entities(df: DataFrame, column: str, entity_types: Sequence[str] = detectors.ENTITY_TYPES,
-                    minimum_score: float = 0.5) -> DataFrame:
-    """One row per hit with its entity type and score, at or above the minimum."""
+                    minimum_score: float = 0.5,
+                    plugins: Mapping[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """One row per hit with its entity type and score, at or above the minimum.
+
+    A plug-in is a column function, such as a pandas UDF, that yields
+    ``array<struct<hit: string, score: int>>`` with the score in hundredths.
+    """
+    extra = dict(plugins or {})
+
     def tagged_hits(entity_type: str) -> Column:
+        value = F.col(column)
+        hits = extra[entity_type](value) if entity_type in extra else detectors.entity_hits(value, entity_type)
         return F.transform(
-            detectors.entity_hits(F.col(column), entity_type),
+            hits,
             lambda h: F.struct(F.lit(entity_type).alias("entity_type"), h["hit"].alias("hit"),
                                h["score"].alias("score")))
 
-    tagged = [tagged_hits(t) for t in entity_types]
+    tagged = [tagged_hits(t) for t in dict.fromkeys([*entity_types, *extra])]
     hits = df.select("*", F.explode(F.concat(*tagged)).alias("e"))
     return hits.select(
         *[c for c in df.columns if c != column], "e.entity_type", "e.hit", "e.score"

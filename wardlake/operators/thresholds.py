@@ -44,7 +44,7 @@ def rate_rules(rules: DataFrame) -> DataFrame:
         "rule_id", "role", F.explode("access_rate_thresholds").alias("t")
     ).select(
         "rule_id", "role", F.upper("t.access_rate_unit").alias("unit"),
-        F.col("t.access_rate_limit").alias("access_rate_limit"), F.lower("t.action").alias("action"),
+        F.col("t.access_rate_limit").alias("access_rate_limit"), F.col("t.action").alias("action"),
     )
 
 
@@ -82,7 +82,7 @@ def time_window_slots(rules: DataFrame) -> DataFrame:
     end = F.col("t.end_time.hour") * 60 + F.col("t.end_time.minute")
     days = F.array(*[F.lit(d) for d in WEEKDAYS])
     base = t.select(
-        "rule_id", "n", F.col("t.timezone").alias("zone"), F.lower("t.action").alias("action"),
+        "rule_id", "n", F.col("t.timezone").alias("zone"), F.col("t.action").alias("action"),
         F.explode("t.day").alias("day_name"), start.alias("s"), end.alias("e"),
     ).withColumn("weekday", F.array_position(days, F.upper("day_name")).cast("int"))
     next_day = F.pmod(F.col("weekday"), F.lit(7)) + 1

@@ -56,15 +56,16 @@ def deterministic_token(value: Column, kind: str, secret: str, generation: Colum
 
 
 def random_token(value: Column, kind: str, secret: str, call: str, row_key: Sequence[str],
-                 column: str) -> Column:
+                 column: str | Column) -> Column:
     """A token per cell and call: the nonce of the call and the row key make it new.
 
     Unlike ``uuid()`` it comes out the same when a task is retried.
     """
     keys = [F.col(k).cast("string") for k in row_key]
+    name = F.lit(column) if isinstance(column, str) else column
     prefix = KINDS[kind].random_prefix
     return F.when(value.isNotNull(),
-                  F.concat(F.lit(prefix), _keyed_hash(secret, F.lit("n"), F.lit(call), F.lit(column), *keys)))
+                  F.concat(F.lit(prefix), _keyed_hash(secret, F.lit("n"), F.lit(call), name, *keys)))
 
 
 def too_large(col: Column, kind: str) -> Column:
@@ -197,22 +198,33 @@ def delete_tokens(vault: DataFrame, tokens: DataFrame, kind: str,
     return left, gone, unknown if kind == "vault" else unknown.limit(0)
 
 
-def tokenize_map(df: DataFrame, map_col: str, kind: str = "vault", secret: str = "") -> tuple[DataFrame, DataFrame]:
+def tokenize_map(df: DataFrame, map_col: str, kind: str = "vault", secret: str = "", deterministic: bool = True,
+                 row_key: Sequence[str] | None = None, call: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Tokenize the values of a map column; keys and their order stay.
 
     The tokens are computed inside the row, so the map is never taken apart and
-    put together by a shuffle.
+    put together by a shuffle. Random tokens need a unique ``row_key``; the map key
+    tells the cells of a row apart.
     """
-    entries = F.map_entries(map_col)
-    swapped = F.transform(entries, lambda e: F.struct(
-        e["key"].alias("key"), deterministic_token(_guard(e["value"], kind), kind, secret).alias("value")))
-    out = df.withColumn(map_col, F.map_from_entries(swapped))
-    values = df.select(F.explode(F.map_values(map_col)).alias("value")).filter(F.col("value").isNotNull())
-    pairs = values.select(
-        deterministic_token(F.col("value"), kind, secret).alias("token"), "value",
-        F.lit(kind).alias("kind"), F.lit(True).alias("deterministic"), F.lit(0).alias("generation"),
-    ).distinct()
-    return out, pairs
+    if not deterministic and not row_key:
+        raise ValueError("random tokens need the key columns of the table")
+    nonce = call or uuid.uuid4().hex
+
+    def token(key: Column, value: Column) -> Column:
+        if deterministic:
+            return deterministic_token(value, kind, secret)
+        return random_token(value, kind, secret, nonce, row_key, key)
+
+    def pair(e: Column) -> Column:
+        return F.struct(e["key"].alias("key"), token(e["key"], _guard(e["value"], kind)).alias("value"))
+
+    out = df.withColumn(map_col, F.map_from_entries(F.transform(F.map_entries(map_col), pair)))
+    cells = df.select(*(row_key or []), F.explode(F.map_entries(map_col)).alias("e")).filter(
+        F.col("e.value").isNotNull())
+    pairs = cells.select(
+        token(F.col("e.key"), F.col("e.value")).alias("token"), F.col("e.value").alias("value"),
+        F.lit(kind).alias("kind"), F.lit(deterministic).alias("deterministic"), F.lit(0).alias("generation"))
+    return out, pairs.distinct() if deterministic else pairs
 
 
 def detokenize_map(df: DataFrame, map_col: str, vault: DataFrame, row_key: Sequence[str]) -> DataFrame:

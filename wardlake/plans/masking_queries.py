@@ -253,8 +253,8 @@ def threshold_rules(spark: SparkSession) -> DataFrame:
 
 @query("rate_breaches", f"""
 WITH {D.AUDITS}, limits AS (
-  SELECT * FROM (VALUES ('r1', 'ADMIN', 'HOUR', 1, 'block'), ('r1', 'ADMIN', 'MINUTE', 1, 'alert'),
-    ('r2', 'ANALYST', 'DAY', 5, 'block'), ('r3', 'PUBLIC', 'HOUR', 2, 'alert'))
+  SELECT * FROM (VALUES ('r1', 'ADMIN', 'HOUR', 1, 'block'), ('r1', 'ADMIN', 'MINUTE', 1, 'ALERT'),
+    ('r2', 'ANALYST', 'DAY', 5, 'block'), ('r3', 'PUBLIC', 'HOUR', 2, 'ALERT'))
   AS l(rule_id, role, unit, access_rate_limit, action)),
 counts AS (
   SELECT consuming_user, executing_role, unit, date_trunc(lower(unit), event_time) AS w, count(*) AS accesses
@@ -290,7 +290,7 @@ m AS (SELECT *, dayofweek(ny) AS nyd, hour(ny) * 60 + minute(ny) AS nym, dayofwe
 SELECT event_id, consuming_user, 'r1' AS rule_id, 0 AS threshold_no, 'America/New_York' AS zone, 'block' AS action
 FROM m WHERE nyd BETWEEN 1 AND 5 AND nym >= 570 AND nym < 1020
 UNION ALL
-SELECT event_id, consuming_user, 'r2', 0, 'Europe/Berlin', 'alert' FROM m
+SELECT event_id, consuming_user, 'r2', 0, 'Europe/Berlin', 'ALERT' FROM m
 WHERE (bed IN (6, 0) AND bem >= 1320) OR (bed IN (0, 1) AND bem < 375)
 UNION ALL
 SELECT event_id, consuming_user, 'r2', 1, 'UTC', 'block' FROM m WHERE utd = 5""")
