@@ -107,14 +107,14 @@ def latest_version(spark: SparkSession, base: str) -> DataFrame:
 
 @query("key_versions", """
 SELECT 'ns_' || c_nationkey AS namespace, c_mktsegment AS name, max(CAST(c_custkey AS INTEGER)) AS sequence
-FROM customer WHERE c_custkey % 5 <> 0 GROUP BY ALL""")
+FROM customer WHERE c_acctbal >= 0 GROUP BY ALL""")
 def key_versions(spark: SparkSession, base: str) -> DataFrame:
     from wardlake.functions.fpe import latest_version as latest_key
 
     keys = D.load(spark, base, "customer").select(
         D.text("ns_", F.col("c_nationkey")).alias("namespace"), F.col("c_mktsegment").alias("name"),
         F.col("c_custkey").cast("string").alias("sequence"),
-        F.when(F.col("c_custkey") % 5 == 0, "deactivated").otherwise("ACTIVE").alias("status"))
+        F.when(F.col("c_acctbal") < 0, "deactivated").otherwise("ACTIVE").alias("status"))
     return latest_key(keys)
 
 
@@ -159,22 +159,22 @@ def reference_counts(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _guarded(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    customers = D.load(spark, base, "customer").select("c_custkey", "c_name")
-    requested = customers.filter("c_custkey % 2 = 0")
+    customers = D.load(spark, base, "customer").select("c_custkey", "c_name", "c_acctbal")
+    requested = customers.filter("c_acctbal < 5000")
     blockers = D.load(spark, base, "orders").filter("o_orderstatus = 'O'").select(F.col("o_custkey").alias("c_custkey"))
     return G.guarded_delete(customers, requested, blockers, ["c_custkey"])
 
 
 @query("guarded_delete_remaining", """
-SELECT c_custkey, c_name FROM customer
-WHERE c_custkey % 2 <> 0 OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')""")
+SELECT c_custkey, c_name, c_acctbal FROM customer
+WHERE c_acctbal >= 5000 OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')""")
 def guarded_delete_remaining(spark: SparkSession, base: str) -> DataFrame:
     return _guarded(spark, base)[0]
 
 
 @query("guarded_delete_refused", """
-SELECT c_custkey, c_name FROM customer
-WHERE c_custkey % 2 = 0 AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')""")
+SELECT c_custkey, c_name, c_acctbal FROM customer
+WHERE c_acctbal < 5000 AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')""")
 def guarded_delete_refused(spark: SparkSession, base: str) -> DataFrame:
     return _guarded(spark, base)[1]
 

@@ -151,8 +151,8 @@ tables AS (SELECT DISTINCT database_name, schema_name, table_name, object_type F
 
 
 def assignments(spark: SparkSession, base: str) -> DataFrame:
-    """Tags on the inventory's columns; a third of the columns has none."""
-    return inventory(spark, base).filter("column_id % 3 <> 0").selectExpr(
+    """Tags on the inventory's columns; the larger columns have none."""
+    return inventory(spark, base).filter("column_size <= 33").selectExpr(
         "column_id", "database_name", "schema_name", "table_name", "column_name",
         f"{spark_pick(('PII', 'Money', 'LEGACY', 'pac_level'), 'column_id')} AS tag_name",
         f"{spark_pick(TAG_VALUES, 'column_id')} AS tag_value")
@@ -163,7 +163,7 @@ assignments AS (
   SELECT column_id, database_name, schema_name, table_name, column_name,
     {sql_pick(('PII', 'Money', 'LEGACY', 'pac_level'), 'column_id')} AS tag_name,
     {sql_pick(TAG_VALUES, 'column_id')} AS tag_value
-  FROM inventory WHERE column_id % 3 <> 0
+  FROM inventory WHERE column_size <= 33
 )"""
 
 

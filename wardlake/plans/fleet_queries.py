@@ -23,7 +23,7 @@ def tag_values(spark: SparkSession, base: str) -> DataFrame:
 WITH {D.STATUS},
 assignments AS (
   SELECT column_id, database_name, schema_name, table_name, column_name,
-    {D.sql_pick(('PII', 'Money', 'LEGACY', 'pac_level'), 'column_id')} AS tag_name FROM inventory WHERE column_id % 3 <> 0),
+    {D.sql_pick(('PII', 'Money', 'LEGACY', 'pac_level'), 'column_id')} AS tag_name FROM inventory WHERE column_size <= 33),
 policies AS (SELECT unnest(['PII', 'MONEY', 'UNUSED']) AS tag_name)
 SELECT 'tagged_without_policy' AS gap, database_name, schema_name, table_name, column_name, upper(tag_name) AS tag_name
 FROM assignments WHERE upper(tag_name) NOT IN ('PII', 'MONEY', 'UNUSED')

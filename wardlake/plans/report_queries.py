@@ -106,7 +106,7 @@ def _cron_sql(start: str, end: str) -> str:
     branches = " OR ".join(f"(cron = '{c}' AND {t})" for c, t in zip(CRONS, _CRON_SQL))
     return f"""
 WITH defs AS (SELECT 'def_' || c_custkey AS id, {D.sql_pick(CRONS, 'c_custkey')} AS cron,
-    {D.sql_pick(_ZONES, 'c_nationkey')} AS zone FROM customer WHERE c_custkey % 10 <> 0),
+    {D.sql_pick(_ZONES, 'c_nationkey')} AS zone FROM customer WHERE c_acctbal >= 0),
 minutes AS (SELECT unnest(generate_series(TIMESTAMP '{start}', TIMESTAMP '{end}' - INTERVAL 1 MINUTE, INTERVAL 1 MINUTE)) AS due),
 local AS (SELECT due, zone, timezone(zone, timezone('UTC', due)) AS l FROM minutes CROSS JOIN (SELECT DISTINCT zone FROM defs)),
 parts AS (SELECT due, zone, hour(l) AS h, minute(l) AS m, dayofweek(l) AS dow, day(l) AS dom FROM local),
@@ -117,7 +117,7 @@ SELECT id, cron, zone AS timezone, {sql_stamp('due')} AS due_at FROM defs JOIN h
 def _due(spark: SparkSession, base: str, start: dt.datetime, end: dt.datetime) -> DataFrame:
     defs = D.load(spark, base, "customer").selectExpr(
         "'def_' || c_custkey AS id", f"{D.spark_pick(CRONS, 'c_custkey')} AS cron",
-        "c_custkey % 10 <> 0 AS enabled", f"{D.spark_pick(_ZONES, 'c_nationkey')} AS timezone")
+        "c_acctbal >= 0 AS enabled", f"{D.spark_pick(_ZONES, 'c_nationkey')} AS timezone")
     due = R.expand_cron(defs, start, end)
     return due.withColumn("due_at", stamp("due_at"))
 

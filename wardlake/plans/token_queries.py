@@ -112,16 +112,16 @@ def delete_tokens_left(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _deletion(spark: SparkSession, base: str, kind: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    customers = D.load(spark, base, "customer").select("c_custkey", "c_name")
+    customers = D.load(spark, base, "customer").select("c_custkey", "c_name", "c_acctbal")
     _, vault = K.vault_tokenize(customers, ["c_name"], kind=kind, secret=SECRET)
     names = D.load(spark, base, "orders").filter("o_orderstatus = 'P'").select(
         F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("name"))
     asked = names.select(K.deterministic_token(F.col("name"), kind, SECRET).alias("token")).unionByName(
-        customers.filter("c_custkey % 100 = 0").select(D.text("stray_", F.col("c_custkey")).alias("token")))
+        customers.filter("c_acctbal < 0").select(D.text("stray_", F.col("c_custkey")).alias("token")))
     return K.delete_tokens(vault, asked, kind)
 
 
-@query("delete_tokens_unknown", "SELECT 'stray_' || c_custkey AS token FROM customer WHERE c_custkey % 100 = 0")
+@query("delete_tokens_unknown", "SELECT 'stray_' || c_custkey AS token FROM customer WHERE c_acctbal < 0")
 def delete_tokens_unknown(spark: SparkSession, base: str) -> DataFrame:
     return _deletion(spark, base, "vault")[2]
 

@@ -148,18 +148,25 @@ def _blank() -> Column:
 
 
 def parse_postgres_log(lines: DataFrame, log_line_prefix: str, column: str = "value") -> DataFrame:
-    """Text log lines: statements (``LOG``) and failures (``ERROR``, ``FATAL``)."""
+    """Text log lines: statements (``LOG``) and failures (``ERROR``, ``FATAL``).
+
+    One regex run splits a line into all its fields. The fields come out of an
+    ``explode`` of at most one element, because a filter on them would be pushed
+    down and run the regex again for each of its conditions.
+    """
     pattern, groups = prefix_pattern(log_line_prefix)
+    count, mark = groups["message"], "\u0001"
+    marked = F.regexp_replace(column, pattern, "".join(f"{mark}${i}" for i in range(1, count + 1)))
+    whole = F.filter(F.array(F.split(marked, mark, count + 1)),
+                     lambda f: (F.size(f) == count + 1) & (F.get(f, F.lit(0)) == ""))
+    fields = lines.select(F.explode(whole).alias("f"))
 
     def part(name: str) -> Column:
-        if name not in groups:
-            return _blank()
-        return F.regexp_extract(column, pattern, groups[name])
+        return F.get("f", groups[name]) if name in groups else _blank()
 
     severity, message = part("severity"), part("message")
-    parsed = lines.filter(F.col(column).rlike(pattern))
     out = _common(
-        parsed, event_time=F.try_to_timestamp(part("log_time")), user=part("user_name"),
+        fields, event_time=F.try_to_timestamp(part("log_time")), user=part("user_name"),
         database=part("database_name"), host=part("client_host"),
         application=part("application_name"), statement=_statement(message),
         success=~severity.isin("ERROR", "FATAL", "PANIC"), message=message, source="postgresql",
