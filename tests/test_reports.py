@@ -33,8 +33,10 @@ def test_throttle_against_brute_force(spark, seed, step, seconds, chunk):
             rows.append((key, t, n))
             n += 1
     df = spark.createDataFrame(rows, "definition_id string, ts timestamp_ntz, event_id long")
-    got = R.throttle_triggers(df, seconds=seconds, chunk_seconds=chunk).collect()
-    assert {(r["definition_id"], r["event_id"]): r["accepted"] for r in got} == brute_throttle(rows, seconds)
+    want = brute_throttle(rows, seconds)
+    for per_span in (2, 168):
+        got = R.throttle_triggers(df, seconds=seconds, chunk_seconds=chunk, chunks_per_span=per_span).collect()
+        assert {(r["definition_id"], r["event_id"]): r["accepted"] for r in got} == want
 
 
 def test_throttle_exact_border(spark):

@@ -135,11 +135,17 @@ def expand_cron(definitions: DataFrame, start: dt.datetime, end: dt.datetime) ->
 # is sequential per definition. A definition may hold a third of all triggers, so
 # its timeline is cut into chunks that are solved apart: for each chunk, every
 # possible last acceptance before it leads to one last acceptance after it, a step
-# function with few steps. Folding these small functions per definition gives the
-# state before each chunk, and each chunk is then replayed on its own. Chunks are
-# solved by array expressions in the JVM; only the fold over steps uses pandas.
+# function with few steps. The functions of a span of chunks are composed into one,
+# of which again only the entries near the start of the span matter. Folding the
+# spans of a definition gives the state before each span, from there the state
+# before each chunk, and each chunk is then replayed on its own. Chunks are solved
+# by array expressions in the JVM; only the small step tables pass through pandas.
 
 _US = 1_000_000
+_STEP = T.StructType([
+    T.StructField("key", T.StringType()), T.StructField("chunk", T.LongType()),
+    T.StructField("entry", T.LongType()), T.StructField("leave", T.LongType()),
+])
 _STATE = T.StructType([
     T.StructField("key", T.StringType()), T.StructField("chunk", T.LongType()),
     T.StructField("state", T.LongType()),
@@ -167,23 +173,66 @@ def _chunk_steps(chunks: DataFrame, gap: int, width: int) -> DataFrame:
     return per_chunk.select("key", "chunk", F.explode(changes).alias("s")).select("key", "chunk", "s.entry", "s.leave")
 
 
+def _runs(chunk: np.ndarray) -> list[tuple[int, int]]:
+    """[from, to) of each chunk in a sorted column."""
+    starts = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
+    return list(zip(starts, np.r_[starts[1:], len(chunk)]))
+
+
+def _compose_steps(pdf: pd.DataFrame, gap: int, span_width: int) -> pd.DataFrame:
+    """The step functions of one key's chunks in one span, as one step function.
+
+    All candidate entries of the span walk through its chunks together.
+    """
+    pdf = pdf.sort_values(["chunk", "entry"])
+    chunk, entry, leave = (pdf[c].to_numpy() for c in ("chunk", "entry", "leave"))
+    span = int(pdf["span"].iloc[0])
+    near = int(np.searchsorted(entry, span * span_width + gap, side="left"))
+    candidates = entry[: min(near + 1, len(entry))]
+    # A candidate counts as the first acceptance, so the state before it lies a gap earlier.
+    state = candidates - gap
+    for lo, hi in _runs(chunk):
+        at = lo + np.searchsorted(entry[lo:hi], state + gap, side="left")
+        open_ = at < hi
+        state = np.where(open_, leave[np.minimum(at, hi - 1)], state)
+    keep = np.append(state[1:] != state[:-1], True)
+    return pd.DataFrame({"key": pdf["key"].iloc[0], "chunk": span, "entry": candidates[keep], "leave": state[keep]})
+
+
 def _fold_steps(pdf: pd.DataFrame, gap: int) -> pd.DataFrame:
-    """The last acceptance before each chunk of one key."""
+    """The last acceptance before each chunk (or span) of one key, from a first state on."""
     pdf = pdf.sort_values(["chunk", "entry"])
     chunk, entry, leave = (pdf[c].to_numpy() for c in ("chunk", "entry", "leave"))
     state = None if pd.isna(pdf["state"].iloc[0]) else int(pdf["state"].iloc[0])
-    starts = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
-    ends = np.r_[starts[1:], len(chunk)]
+    runs = _runs(chunk)
     before: list[int | None] = []
-    for lo, hi in zip(starts, ends):
+    for lo, hi in runs:
         before.append(state)
         at = lo if state is None else lo + int(np.searchsorted(entry[lo:hi], state + gap, side="left"))
         if at < hi:
             state = int(leave[at])
-    return pd.DataFrame({"key": pdf["key"].iloc[0], "chunk": chunk[starts],
+    return pd.DataFrame({"key": pdf["key"].iloc[0], "chunk": [chunk[lo] for lo, _ in runs],
                          "state": pd.array(before, dtype="Int64")})
 
 
+def _states_before(steps: DataFrame, gap: int, width: int, per_span: int, last: DataFrame | None) -> DataFrame:
+    """The state before each chunk, by way of the states before each span of chunks."""
+
+    def seeded(df: DataFrame, states: DataFrame | None, keys: list[str]) -> DataFrame:
+        if states is None:
+            return df.withColumn("state", F.lit(None).cast("long"))
+        return df.join(states, keys, "left")
+
+    in_spans = steps.withColumn("span", F.floor(F.col("chunk") / F.lit(per_span)).cast("long"))
+    spans = in_spans.groupBy("key", "span").applyInPandas(
+        lambda pdf: _compose_steps(pdf, gap, width * per_span), _STEP)
+    span_states = seeded(spans, None if last is None else last.select("key", "state"), ["key"]).groupBy(
+        "key").applyInPandas(lambda pdf: _fold_steps(pdf, gap), _STATE)
+    per_chunk = seeded(in_spans, span_states.withColumnRenamed("chunk", "span"), ["key", "span"])
+    return per_chunk.groupBy("key", "span").applyInPandas(
+        lambda pdf: _fold_steps(pdf, gap), _STATE)
+
+
 def _accepted(gap: int) -> Column:
     """Accepted rows of a chunk, given the state before it."""
     start = F.struct(F.col("state").alias("last"), F.slice("rows", 1, 0).alias("taken"))
@@ -198,7 +247,7 @@ def _accepted(gap: int) -> Column:
 
 def throttle_triggers(triggers: DataFrame, key: str = "definition_id", ts: str = "ts", tie: str = "event_id",
                       seconds: int = THROTTLE_SECONDS, chunk_seconds: int = 3600,
-                      last_accepted: DataFrame | None = None) -> DataFrame:
+                      chunks_per_span: int = 168, last_accepted: DataFrame | None = None) -> DataFrame:
     """All triggers with ``accepted``: at most one per key within ``seconds`` of the last accepted.
 
     Equal times are decided by the tie-breaker, which is unique per key. Choose
@@ -216,11 +265,7 @@ def throttle_triggers(triggers: DataFrame, key: str = "definition_id", ts: str =
         F.struct(us.alias("us"), F.col(tie).cast("long").alias("tie")).alias("row"),
     ).groupBy("key", "chunk").agg(F.sort_array(F.collect_list("row")).alias("rows"))
     steps = _chunk_steps(chunks, gap, width)
-    if last_accepted is None:
-        seeded = steps.withColumn("state", F.lit(None).cast("long"))
-    else:
-        seeded = steps.join(last_accepted.select("key", "state"), "key", "left")
-    states = seeded.groupBy("key").applyInPandas(lambda pdf: _fold_steps(pdf, gap), _STATE)
+    states = _states_before(steps, gap, width, chunks_per_span, last_accepted)
     done = chunks.join(states, ["key", "chunk"]).withColumn("taken", _accepted(gap))
     verdicts = done.select("key", "taken", F.explode("rows").alias("r"))
     return verdicts.select(
