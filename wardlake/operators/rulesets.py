@@ -11,7 +11,6 @@ import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
-from typing import Any
 
 from pyspark.sql import Column, functions as F
 
@@ -262,7 +261,3 @@ def compile_ruleset(ruleset: dict | str, active: frozenset[str] = frozenset(TARG
     classifier = Classifier.of("ruleset", ruleset)
     compiled = CompiledSet([classifier], active)
     return compiled.result(classifier.tree), compiled.counters
-
-
-def ruleset_from_any(value: Any) -> dict:
-    return json.loads(value) if isinstance(value, str) else dict(value)

@@ -45,7 +45,7 @@ def melt_columns(spark: SparkSession, base: str) -> DataFrame:
 
 
 TEXT_COLUMNS = (("documents", "text"), ("pages", "html"), ("benchmark", "text"), ("conversations", "text"))
-_LEAVES = {"email": detectors.EMAIL, "phone": detectors.PHONE, "secret": r'"[0-9a-f]{40}"'}
+_LEAVES = {"email": detectors.EMAIL_PRESENT, "phone": detectors.PHONE, "secret": r'"[0-9a-f]{40}"'}
 
 
 def _profile_sql() -> str:
@@ -119,12 +119,12 @@ def content_types(spark: SparkSession, base: str) -> DataFrame:
 COMPOUND = R.Classifier.of("MAIL_IN_TEXT", {
     "operator": "AND",
     "conditions": [
-        {"target": "ROW_DATA", "pattern": detectors.EMAIL, "comparator": "matches", "minimum_threshold": 0.5},
+        {"target": "ROW_DATA", "pattern": detectors.EMAIL_PRESENT, "comparator": "matches", "minimum_threshold": 0.5},
         {"target": "METADATA", "comparator": "contains", "pattern": "TEXT"},
     ],
 })
 COLLECTION = (
-    R.Classifier.of("EMAIL", pattern=detectors.EMAIL, minimum_threshold=1),
+    R.Classifier.of("EMAIL", pattern=detectors.EMAIL_PRESENT, minimum_threshold=1),
     R.Classifier.of("PHONE", pattern=detectors.PHONE, minimum_threshold=0.1),
     R.Classifier.of("SECRET_TOKEN", pattern=r'"[0-9a-f]{40}"', minimum_threshold=0.1),
     R.Classifier.of("NAME_LIKE", pattern=r"^Customer#", minimum_threshold=90),
@@ -148,7 +148,7 @@ def _measured_sql(tables: dict[str, tuple[str, ...]], patterns: dict[str, str])
     return " UNION ALL ".join(parts)
 
 
-_PATTERNS = {"email": detectors.EMAIL, "phone": detectors.PHONE, "secret": r'"[0-9a-f]{40}"', "cust": "^Customer#"}
+_PATTERNS = {"email": detectors.EMAIL_PRESENT, "phone": detectors.PHONE, "secret": r'"[0-9a-f]{40}"', "cust": "^Customer#"}
 
 
 def _classify_sql(where: str = "true") -> str:
