@@ -138,3 +138,18 @@ def test_report_filter_reaches_the_scan(spark, base):
     pushed = plan[plan.index("PushedFilters"):]
     assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>" in plan
+
+
+def test_worker_functions_do_not_need_the_package(tmp_path):
+    """Executors have no copy of the library: its functions must load without it."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    from wardlake.functions.cron import parse_cron
+
+    blob = tmp_path / "f.pkl"
+    blob.write_bytes(cloudpickle.dumps((R._fold_steps, R._compose_steps, parse_cron)))
+    code = ("import pickle, sys; fs = pickle.load(open(sys.argv[1], 'rb')); "
+            "assert fs[2]('0 9 * * ? *').hour == (9,); assert 'wardlake' not in sys.modules")
+    subprocess.run([sys.executable, "-c", code, str(blob)], cwd=tmp_path, check=True, timeout=60)
