@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlake.llm import quality_rules, sharding
+from wardlake.llm import piece_bpe, quality_rules, sharding
 from wardlake.llm.registry import query
 
 
@@ -68,3 +69,9 @@ def op9_rule_ledger(spark: SparkSession, base: str) -> DataFrame:
     return quality_rules.apply_policy(entries, quality_rules.STRICT).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~quality_rules.passes(F.col("bits"), quality_rules.BASE)).alias("base_failed"), "kept", "bits")
+
+
+@query("op10_piece_bpe")
+def op10_piece_bpe(spark: SparkSession, base: str) -> DataFrame:
+    return piece_bpe.encode(documents(spark, base).select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"),
+                            out=("n_tokens", "ids_sha256", "decoded_sha256"))
