@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wardlake.llm.wordcache import UnitTable, ragged
+from wardlake.llm.wordcache import UnitTable, kept_in_worker, ragged
 
 SPACE = "▁"
 NO_RANK = np.int64(1 << 40)
@@ -257,8 +257,7 @@ def _digest(values: np.ndarray) -> str:
 
 def encode_batches(batches: Iterator[pa.RecordBatch], model: bytes, text: str, out: list[str]) -> Iterator[pa.RecordBatch]:
     """The batches with token ids, their decoded text, and digests, as ``out`` asks."""
-    m = PieceModel(model)
-    table = UnitTable(m.encode_words)
+    m, table = kept_in_worker(("pieces", hash(model)), lambda: (p := PieceModel(model), UnitTable(p.encode_words)))
     for batch in batches:
         texts = batch.column(text)
         rest = [batch.column(i) for i in range(batch.num_columns) if batch.schema.field(i).name != text]

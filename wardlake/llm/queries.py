@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlake.llm import piece_bpe, quality_rules, sharding
+from wardlake.llm import packing, piece_bpe, quality_rules, sharding
 from wardlake.llm.registry import query
 
 
@@ -30,6 +30,11 @@ def op8_histogram_sort(spark: SparkSession, base: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op4_ordered_windows")
+def op4_ordered_windows(spark: SparkSession, base: str) -> DataFrame:
+    return packing.pack(documents(spark, base), public_tokenizers.path("word_bpe_49k.json"), limit=2048, end_id=1)
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),

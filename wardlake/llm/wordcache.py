@@ -7,7 +7,10 @@ the table. The table is bounded: when it is full it starts anew.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+import types
+from collections.abc import Callable, Hashable
+from typing import Any
 
 import numpy as np
 
@@ -15,6 +18,18 @@ import numpy as np
 MOST_UNITS = 600_000
 
 
+def kept_in_worker(key: Hashable, build: Callable[[], Any]) -> Any:
+    """``build()``, once for a Python worker, which serves many tasks.
+
+    Functions reach the workers by value, so what a module holds does not last
+    beyond a task; what a module in ``sys.modules`` holds does.
+    """
+    held = sys.modules.setdefault("wardlake_worker", types.ModuleType("wardlake_worker")).__dict__.setdefault("held", {})
+    if key not in held:
+        held[key] = build()
+    return held[key]
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places ``starts[i] .. starts[i] + lengths[i]`` of all i, one after the other."""
     ends = np.cumsum(lengths)
