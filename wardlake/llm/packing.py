@@ -34,7 +34,7 @@ BLOCK_TOKENS = 1 << 20
 #: Cut penalties in tokens of padding: at the end of a sentence, between words, inside a word.
 SENTENCE, WORD, INSIDE = 2, 5, 20
 #: Without the end of a sentence, cuts lie about so many tokens apart.
-GRID = 32
+GRID = 16
 
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*&%$#@)\]}]*)")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlake.llm import packing, piece_bpe, quality_rules, sharding
+from wardlake.llm import fingerprint, language, packing, piece_bpe, quality_rules, sharding
 from wardlake.llm.registry import query
 
 
@@ -35,6 +35,18 @@ def op4_ordered_windows(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack(documents(spark, base), public_tokenizers.path("word_bpe_49k.json"), limit=2048, end_id=1)
 
 
+@query("op5_one_permutation_minhash")
+def op5_one_permutation_minhash(spark: SparkSession, base: str) -> DataFrame:
+    return fingerprint.compare_with_next(documents(spark, base))
+
+
+@query("op6_naive_bayes")
+def op6_naive_bayes(spark: SparkSession, base: str) -> DataFrame:
+    docs = documents(spark, base).select("doc_id", "text", "lang", language.held_out(F.col("doc_id")).alias("held_out"))
+    model = language.fit(docs.where("not held_out"))
+    return language.predict(docs.select("doc_id", "held_out", "text"), model)
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
