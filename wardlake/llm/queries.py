@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlake.llm import fingerprint, language, packing, piece_bpe, quality_rules, sharding
+from wardlake.llm import fingerprint, language, near_dedup, packing, piece_bpe, quality_rules, sharding
 from wardlake.llm.registry import query
 
 
@@ -30,6 +30,11 @@ def op8_histogram_sort(spark: SparkSession, base: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op1_tensored_minhash")
+def op1_tensored_minhash(spark: SparkSession, base: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, base))
+
+
 @query("op4_ordered_windows")
 def op4_ordered_windows(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack(documents(spark, base), public_tokenizers.path("word_bpe_49k.json"), limit=2048, end_id=1)
