@@ -21,21 +21,25 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from wardlake.llm.wordcache import UnitTable, kept_in_worker
+from wardlake.llm.wordcache import UnitTable, kept_in_worker, ragged
 
 #: Tokens that one round of dynamic programming takes.
 BLOCK_TOKENS = 1 << 20
 #: Cut penalties in tokens of padding: at the end of a sentence, between words, inside a word.
 SENTENCE, WORD, INSIDE = 2, 5, 20
+#: Distinct parts of words kept by a Python worker.
+MOST_PARTS = 1_500_000
 #: Without the end of a sentence, cuts lie about so many tokens apart.
-GRID = 16
+GRID = 24
 
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*&%$#@)\]}]*)")
 
 
@@ -52,13 +56,30 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.parts = UnitTable(self._encode)
+        self.parts = UnitTable(self._encode, most=MOST_PARTS)
         self.table = UnitTable(self._by_parts, lambda u: u == "\n" or u[-1:] in ".!?")
 
     def _encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.array([i for x in ids for i in x], np.uint32), lengths
+        """Parts of letters are encoded in one text, where each is a word of its own; the others one by one."""
+        lengths, ids = np.zeros(len(parts), np.int64), [np.zeros(0, np.uint32)]
+        plain = np.fromiter((_LETTERS.fullmatch(p) is not None for p in parts), bool, len(parts))
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        words, others = [parts[k] for k in np.flatnonzero(plain)], [parts[k] for k in np.flatnonzero(~plain)]
+        for at in range(0, len(words), 20_000):
+            some = words[at:at + 20_000]
+            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            count = np.bincount(np.array(e.word_ids, np.int64), minlength=len(some))
+            if len(count) != len(some):
+                raise ValueError("the tokenizer splits plain words")
+            ids.append(np.array(e.ids, np.uint32))
+            lengths[order[at:at + len(some)]] = count
+        rest = [e.ids for e in self.tokenizer.encode_batch(others, add_special_tokens=False)]
+        lengths[order[len(words):]] = [len(x) for x in rest]
+        ids.append(np.fromiter(chain.from_iterable(rest), np.uint32))
+        flat, sizes = np.concatenate(ids), lengths[order]
+        begin = np.empty(len(parts), np.int64)
+        begin[order] = np.cumsum(sizes) - sizes
+        return flat[ragged(begin, lengths)], lengths
 
     def _by_parts(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts = []

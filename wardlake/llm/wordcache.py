@@ -40,8 +40,9 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class UnitTable:
     """``encode`` gives the ids of many units at once: flat ids and the count of each unit."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], flag: Callable[[str], bool] | None = None):
-        self.encode, self.flag = encode, flag
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], flag: Callable[[str], bool] | None = None,
+                 most: int = MOST_UNITS):
+        self.encode, self.flag, self.most = encode, flag, most
         self.clear()
 
     def clear(self) -> None:
@@ -54,7 +55,7 @@ class UnitTable:
     def add(self, units: list[list[str]]) -> None:
         """Encode the units that are new."""
         new = set().union(*units).difference(self.places) if units else set()
-        if len(self.places) + len(new) > MOST_UNITS and self.places:
+        if len(self.places) + len(new) > self.most and self.places:
             self.clear()
             new = set().union(*units)
         if not new:
