@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlake.llm import fingerprint, language, near_dedup, packing, piece_bpe, quality_rules, sharding
+from wardlake.llm import fingerprint, language, near_dedup, packing, piece_bpe, quality_model, quality_rules, sharding
 from wardlake.llm.registry import query
 
 
@@ -35,6 +35,18 @@ def op1_tensored_minhash(spark: SparkSession, base: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, base))
 
 
+#: Documents are kept at this probability of the best grade.
+KEEP_AT = 0.5
+
+
+@query("op2_ordinal_quality")
+def op2_ordinal_quality(spark: SparkSession, base: str) -> DataFrame:
+    docs = documents(spark, base).select("doc_id", "text")
+    model = quality_model.fit(docs, spark.read.parquet(f"{base}/labels.parquet"), quality_model.grade_of_labels(), 3)
+    return quality_model.predict(docs, model, tail=2).select(
+        "doc_id", "expected_grade", "tail_probability", (F.col("tail_probability") >= KEEP_AT).alias("kept"))
+
+
 @query("op4_ordered_windows")
 def op4_ordered_windows(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack(documents(spark, base), public_tokenizers.path("word_bpe_49k.json"), limit=2048, end_id=1)

@@ -50,17 +50,20 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of texts that lie one after the other, and how many each text has.
+def word_hashes(data: np.ndarray, starts: np.ndarray, gaps: np.ndarray = _GAP, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """Hashes of all words of texts that lie one after the other, how many each text has, and hashes of the words' first bytes.
 
     ``data`` holds the bytes, ``starts`` the first byte of each text and the end
     of the last. The hash of a word is a polynomial in random words for its
-    bytes, taken from running sums, so the work is linear in the bytes.
+    bytes, taken from running sums, so the work is linear in the bytes. ``gaps``
+    says which bytes separate words; for each number in ``prefixes`` there is one
+    more array, of the words cut to so many bytes.
     """
     n = len(data)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(starts) - 1, np.int64)
-    gap = _GAP[data]
+        none = np.zeros(0, np.uint64)
+        return (none, np.zeros(len(starts) - 1, np.int64), *[none for _ in prefixes])
+    gap = gaps[data]
     edge = np.zeros(n + 1, bool)
     edge[starts[starts < n]] = True
     before = np.empty(n, bool)
@@ -73,8 +76,11 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTES[data] * _powers(_BASE, n), out=sums[1:])
         back = _powers(_BASE_INVERSE, n)
-        h = mix((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64))
-    return h, np.diff(np.searchsorted(begin, starts))
+
+        def hashed(stop: np.ndarray) -> np.ndarray:
+            return mix((sums[stop] - sums[begin]) * back[begin] + (stop - begin).astype(np.uint64))
+
+        return (hashed(end), np.diff(np.searchsorted(begin, starts)), *[hashed(np.minimum(end, begin + k)) for k in prefixes])
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
