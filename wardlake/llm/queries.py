@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlake.llm import fingerprint, language, near_dedup, packing, piece_bpe, quality_model, quality_rules, sharding
+from wardlake.llm import fingerprint, language, licences, near_dedup, packing, piece_bpe, quality_model, quality_rules, sharding
 from wardlake.llm.registry import query
 
 
@@ -64,6 +64,12 @@ def op6_naive_bayes(spark: SparkSession, base: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "held_out", "text"), model)
 
 
+@query("op7_licence_sentences", licences.scan_sql())
+def op7_licence_sentences(spark: SparkSession, base: str) -> DataFrame:
+    found = licences.scan(documents(spark, base), ["doc_id"])
+    return found.select("doc_id", *[F.array_join(c, ",").alias(c) for c in ("sentence_ids", "licenses", "unmatched")])
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
