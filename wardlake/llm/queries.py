@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlake.llm import fingerprint, language, licences, near_dedup, packing, piece_bpe, quality_model, quality_rules, sharding
+from wardlake.llm import fingerprint, language, licences, near_dedup, packing, pii, piece_bpe, quality_model, quality_rules, sharding
 from wardlake.llm.registry import query
 
 
@@ -47,6 +47,15 @@ def op2_ordinal_quality(spark: SparkSession, base: str) -> DataFrame:
         "doc_id", "expected_grade", "tail_probability", (F.col("tail_probability") >= KEEP_AT).alias("kept"))
 
 
+#: The key of the surrogates; a deployment passes its own.
+SURROGATE_KEY = "surrogates of the query"
+
+
+@query("op3_surrogates")
+def op3_surrogates(spark: SparkSession, base: str) -> DataFrame:
+    return pii.replace_personal(documents(spark, base).select("doc_id", "text"), SURROGATE_KEY, count="n_replaced")
+
+
 @query("op4_ordered_windows")
 def op4_ordered_windows(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack(documents(spark, base), public_tokenizers.path("word_bpe_49k.json"), limit=2048, end_id=1)
