@@ -155,16 +155,21 @@ def _card(value: Column, noise: Column) -> Column:
     return F.when(_luhn(value) % 10 == 0, right).otherwise(drawn)
 
 
-def _name(value: Column, noise: Column, attempt: Column) -> Column:
-    """A given name of the gender and script, and a family name if there was one; later attempts add syllables."""
+def _name(key: str, value: Column, noise: Column, attempt: Column) -> Column:
+    """A given name of the gender and script if there was one, and a family name that depends on the family name alone.
+
+    Later attempts depend on the whole name and have more syllables.
+    """
     out = F.lit(None).cast("string")
+    family = F.substring_index(value, " ", -1)
+    of_family = F.when(attempt == 0, _noise(key, [F.lit("family"), family], F.lit(32))).otherwise(noise)
     for (script, gender), names in GIVEN.items():
         syllables = F.array(*[F.lit(s) for s in SYLLABLES[script]])
         given = F.get(F.array(*[F.lit(x) for x in names]), _number(noise, F.lit(0)) % len(names))
-        family = F.concat(F.initcap(F.array_join(F.transform(
+        new_family = let(of_family, lambda n: F.concat(F.initcap(F.array_join(F.transform(  # noqa: B023
             F.sequence(F.lit(1), F.least(attempt, F.lit(12)) + 3),
-            lambda i: F.get(syllables, _number(noise, i) % len(SYLLABLES[script]))), "")), F.lit(ENDINGS[script]))
-        full = F.when(F.size(F.split(value, " ")) > 3, F.concat(given, F.lit(" "), family)).otherwise(family)
+            lambda i: F.get(syllables, _number(n, i) % len(SYLLABLES[script]))), "")), F.lit(ENDINGS[script])))  # noqa: B023
+        full = F.when(F.size(F.split(value, " ")) > 3, F.concat(given, F.lit(" "), new_family)).otherwise(new_family)
         out = F.when(value.startswith(f"{script} {gender} "), F.concat(F.lit(f"{script} {gender} "), full)).otherwise(out)
     return out
 
@@ -193,7 +198,7 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
         iban = F.concat(F.substr(value, F.lit(1), F.lit(2)), F.substr(_same_shape(value, noise), F.lit(3)))
         return (
             F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "phone", _phone(value, noise)).when(kind == "card", _card(value, noise))
-            .when(kind == "iban", iban).when(kind == "name", _name(value, noise, attempt)).when(kind == "hex", _same_shape(value, noise, True))
+            .when(kind == "iban", iban).when(kind == "name", _name(key, value, noise, attempt)).when(kind == "hex", _same_shape(value, noise, True))
             .when((kind == "secret") & value.rlike("^(?=.*[a-f])[0-9a-f]+$"), _same_shape(value, noise, True)).otherwise(_same_shape(value, noise))
         )
     return let(_noise(key, [kind, value, attempt.cast("string")], F.greatest(F.char_length(value), F.lit(32))), made)
