@@ -53,7 +53,7 @@ _TITLED = "|".join(sorted({t for group in TITLES.values() for t in group}, key=l
 
 #: Kind and pattern, the first that matches a piece of text names its kind.
 KINDS = (
-    ("email", r"(?<![\w.%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*+[A-Za-z0-9])?\.)+[A-Za-z]{2,24}"),
+    ("email", r"(?<![\w.%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]++\.)+[A-Za-z]{2,24}"),
     ("secret", r"(?i:\b(?:password|passwd|pwd|token|secret|api[_\-]?key|access[_\-]?key)\b[\"']?[ \t]*[=:][ \t]*)[\"']?(?=[^\s\"',;]*\d)[^\s\"',;]{6,}+[\"']?"),
     ("hex", r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{32,}+(?![0-9A-Za-z])"),
     ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
