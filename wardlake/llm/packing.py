@@ -34,8 +34,8 @@ from wardlake.llm.wordcache import UnitTable, kept_in_worker, ragged
 BLOCK_TOKENS = 1 << 20
 #: Cut penalties in tokens of padding: at the end of a sentence, between words, inside a word.
 SENTENCE, WORD, INSIDE = 2, 5, 20
-#: Distinct parts of words kept by a Python worker.
-MOST_PARTS = 1_500_000
+#: Distinct units, and distinct parts of them, kept by a Python worker.
+MOST_UNITS, MOST_PARTS = 1_000_000, 1_500_000
 #: Without the end of a sentence, cuts lie about so many tokens apart.
 GRID = 24
 
@@ -57,7 +57,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_str(model)
         self.parts = UnitTable(self._encode, most=MOST_PARTS)
-        self.table = UnitTable(self._by_parts, lambda u: u == "\n" or u[-1:] in ".!?")
+        self.table = UnitTable(self._by_parts, lambda u: u == "\n" or u[-1:] in ".!?", MOST_UNITS)
 
     def _encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Parts of letters are encoded in one text, where each is a word of its own; the others one by one."""
