@@ -88,7 +88,7 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 ["grade", "columns"])
 
 
-#: Features enter the model if their chi-square against some split of the grades is this large.
+#: Features enter the model if their chi-square against some split of the grades is this large, or a fifth of the rows where these are few.
 LEAST_CHI_SQUARE = 30.0
 #: A feature may lower the grade far and raise it little, so that much harmless text cannot outweigh a defect.
 MOST_RAISE = 0.05
@@ -106,7 +106,7 @@ def telling_columns(rows: list[np.ndarray], grades: np.ndarray, n_grades: int) -
         seen = np.bincount(flat, np.repeat(high, sizes).astype(float), DIMS)
         spread = have * share * (1 - share) * (1 - have / n) + 1e-9
         most = np.maximum(most, np.where(have >= 3, (np.abs(seen - have * share) - 0.5) ** 2 / spread, 0.0))
-    return np.flatnonzero(most >= LEAST_CHI_SQUARE)
+    return np.flatnonzero(most >= min(LEAST_CHI_SQUARE, n / 5))
 
 
 def fit_rows(rows: list[np.ndarray], grades: np.ndarray, weight: np.ndarray, n_grades: int, epochs: int = 40, step: float = 0.3,

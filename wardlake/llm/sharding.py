@@ -121,22 +121,22 @@ def _probe(keys: DataFrame, parts: list[str], size: str, todo: list[Interval]) -
     for i, x in enumerate(todo):
         first = x.prefix[0] if x.prefix else x.lo
         data.append((i, first >> COARSE_SHIFT, len(x.prefix), x.lo, x.hi, *[*x.prefix, *[0] * depth][:depth]))
-    names = ["i", "coarse", "level", "low", "high", *[f"p{k}" for k in range(depth)]]
+    names = ["__i", "__coarse", "__level", "__low", "__high", *[f"__p{k}" for k in range(depth)]]
     opened = F.broadcast(spark.createDataFrame(data, ", ".join(f"{c} long" for c in names)))
     value, deeper, inside = F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(False)
     for level, part in enumerate(parts):
-        here = opened["level"] == level
+        here = opened["__level"] == level
         value = F.when(here, keys[part]).otherwise(value)
         if level + 1 < depth:
             deeper = F.when(here, keys[parts[level + 1]]).otherwise(deeper)
         for k in range(level):
-            here = here & (keys[parts[k]] == opened[f"p{k}"])
-        inside = inside | (here & keys[part].between(opened["low"], opened["high"]))
-    near = keys.join(opened, (F.shiftright(keys[parts[0]], COARSE_SHIFT) == opened["coarse"]) & inside)
-    width = opened["high"].cast("double") - opened["low"].cast("double") + 1
-    bin_ = F.least(F.lit(PROBES - 1), F.floor((value - opened["low"]).cast("double") / width * PROBES))
+            here = here & (keys[parts[k]] == opened[f"__p{k}"])
+        inside = inside | (here & keys[part].between(opened["__low"], opened["__high"]))
+    near = keys.join(opened, (F.shiftright(keys[parts[0]], COARSE_SHIFT) == opened["__coarse"]) & inside)
+    width = opened["__high"].cast("double") - opened["__low"].cast("double") + 1
+    bin_ = F.least(F.lit(PROBES - 1), F.floor((value - opened["__low"]).cast("double") / width * PROBES))
     out: dict[int, list] = {}
-    for r in sorted(near.groupBy("i", bin_.alias("bin")).agg(*_counts(parts, size, value, deeper)).collect(),
+    for r in sorted(near.groupBy(F.col("__i").alias("i"), bin_.alias("bin")).agg(*_counts(parts, size, value, deeper)).collect(),
                     key=lambda r: (r["i"], r["bin"])):
         out.setdefault(r["i"], []).append(r)
     return out
@@ -149,13 +149,14 @@ def histogram_sort(df: DataFrame, parts: list[str], size: str, shards: int = 40,
     ``parts`` name long columns without nulls; the first lies between 0 and
     2^63 - 1, the others within 62 bits. ``pieces`` is the number of tasks that
     write one shard, by default enough for ``spark.sql.shuffle.partitions``
-    tasks in all. Rows with equal keys lie side by side in any order. An empty
+    tasks in all. Columns of ``df`` named ``shard`` or ``slot`` give way. Rows with equal keys lie side by side in any order. An empty
     table gives an empty table.
     """
     spark = df.sparkSession
     pieces = pieces or max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
-    keys = write_through(df.select(*parts, size), "shard-keys")
-    splitters = find_splitters(keys, parts, size, shards, pieces, tolerance)
+    inner = [f"__k{k}" for k in range(len(parts))]
+    keys = write_through(df.select(*[F.col(c).alias(k) for c, k in zip(parts, inner)], F.col(size).alias("__size")), "shard-keys")
+    splitters = find_splitters(keys, inner, "__size", shards, pieces, tolerance)
     by_bin: dict[int, list] = {}
     for s in splitters[1:]:
         by_bin.setdefault(min(s.key[0] >> COARSE_SHIFT, (1 << COARSE_BITS) - 1), []).append(s.key)
