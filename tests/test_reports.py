@@ -153,3 +153,18 @@ def test_worker_functions_do_not_need_the_package(tmp_path):
     code = ("import pickle, sys; fs = pickle.load(open(sys.argv[1], 'rb')); "
             "assert fs[2]('0 9 * * ? *').hour == (9,); assert 'wardlake' not in sys.modules")
     subprocess.run([sys.executable, "-c", code, str(blob)], cwd=tmp_path, check=True, timeout=60)
+
+
+def test_throttle_of_one_busy_key_is_near_linear(spark):
+    """One hour of one key with very many triggers: time follows the rows, and most share few times."""
+    n = 1_000_000
+    df = spark.range(n).selectExpr("'d' AS definition_id", "timestamp_micros(1704067200000000 + id * 3600) AS ts", "id AS event_id")
+    got = R.throttle_triggers(df).where("accepted")
+    assert [r["event_id"] for r in got.orderBy("event_id").collect()] == [83_334 * i for i in range(12)]
+
+
+def test_throttle_keeps_rows_without_key_or_time(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [("a", t, 1), (None, t, 2), ("a", None, 3), ("a", t, 4)]
+    got = R.throttle_triggers(spark.createDataFrame(rows, "definition_id string, ts timestamp, event_id long"))
+    assert {r["event_id"]: r["accepted"] for r in got.collect()} == {1: True, 2: None, 3: None, 4: False}

@@ -45,12 +45,11 @@ def test_scalar_filter_equals_one_element_list(spark, tmp_path):
 def test_search_checks(spark):
     empty = spark.createDataFrame([], "event_id string, event_time timestamp, category string, query_id string, rows_accessed long")
     now = dt.datetime(2024, 1, 10)
-    for call in (lambda: A.search_audits(empty, limit=100_001), lambda: A.search_audits(empty, sort_by="x"),
-                 lambda: A.search_query_audits(empty, limit=10_001),
+    for call in (lambda: A.search_audits(empty, limit=0), lambda: A.search_audits(empty, sort_by="x"),
+                 lambda: A.search_query_audits(empty, limit=-1),
                  lambda: A.search_query_audits(empty, now=now, to_date_time=now + dt.timedelta(1)),
                  lambda: A.search_query_audits(empty, nope="x"),
-                 lambda: A.search_system_audits(empty, "Nope", now), lambda: A.search_system_audits(empty, "Data", now, limit=101),
-                 lambda: A.search_system_audits(empty, "Data", now, from_date_time=now - dt.timedelta(8))):
+                 lambda: A.search_system_audits(empty, "Nope"), lambda: A.search_system_audits(empty, "Data", limit=0)):
         with pytest.raises(ValueError):
             call()
 
@@ -62,6 +61,10 @@ def test_search_expires_after_thirty_days(spark, tmp_path):
     assert [r["event_id"] for r in A.read_search(spark, root, "a", dt.date(2024, 1, 31), limit=2, token=2).collect()] == [2, 1]
     assert A.read_search(spark, root, "a", dt.date(2024, 2, 1)).count() == 0
     assert A.read_search(spark, root, "b", dt.date(2024, 1, 1)).count() == 0
+    A.save_search(df, "b", root, dt.date(2024, 1, 1))
+    A.save_search(df, "a", root, dt.date(2024, 1, 1))  # the same search again replaces itself, and nothing else
+    assert A.read_search(spark, root, "a", dt.date(2024, 1, 2), limit=1000).count() == 5
+    assert A.read_search(spark, root, "b", dt.date(2024, 1, 2), limit=1000).count() == 5
 
 
 def test_postgres_prefixes(spark, tmp_path):
@@ -198,6 +201,6 @@ def test_stream_tokenize_stores_a_pair_once(spark, tmp_path):
     src, root, cp = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
     for values in (["x", "y"], ["y", "z"]):
         spark.createDataFrame([(v,) for v in values], "v string").coalesce(1).write.mode("append").parquet(src)
-        X.stream_tokenize(spark.readStream.schema("v string").parquet(src), ["v"], root, cp).awaitTermination()
+        X.stream_tokenize(spark.readStream.schema("v string").parquet(src), ["v"], root, cp, secret="k").awaitTermination()
     assert sorted(r["value"] for r in spark.read.parquet(f"{root}/vault").collect()) == ["x", "y", "z"]
     assert spark.read.parquet(f"{root}/rows").count() == 4

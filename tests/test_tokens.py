@@ -79,26 +79,26 @@ def test_roundtrip_is_identity(spark, values):
 
 def test_prefixes_and_length(spark):
     df = spark.createDataFrame([(1, "a")], "i int, v string")
-    assert K.vault_tokenize(df, ["v"])[0].first()["v"].startswith("vaultd_")
-    assert K.vault_tokenize(df, ["v"], deterministic=False, row_key=["i"])[0].first()["v"].startswith("vaultn_")
-    token = K.critical_tokenize(df, ["v"])[0].first()["v"]
+    assert K.vault_tokenize(df, ["v"], secret="k")[0].first()["v"].startswith("vaultd_")
+    assert K.vault_tokenize(df, ["v"], deterministic=False, row_key=["i"], secret="k")[0].first()["v"].startswith("vaultn_")
+    token = K.critical_tokenize(df, ["v"], secret="k")[0].first()["v"]
     assert token.startswith("token_") and len(token) >= 64
 
 
 def test_random_tokens_differ_per_cell_and_call_but_not_per_retry(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a")], "i int, v string")
-    first, _ = K.tokenize(df, ["v"], deterministic=False, row_key=["i"], call="c1")
-    again, _ = K.tokenize(df, ["v"], deterministic=False, row_key=["i"], call="c1")
-    other, _ = K.tokenize(df, ["v"], deterministic=False, row_key=["i"], call="c2")
+    first, _ = K.tokenize(df, ["v"], deterministic=False, row_key=["i"], call="c1", secret="k")
+    again, _ = K.tokenize(df, ["v"], deterministic=False, row_key=["i"], call="c1", secret="k")
+    other, _ = K.tokenize(df, ["v"], deterministic=False, row_key=["i"], call="c2", secret="k")
     a, b, c = ({r["v"] for r in d.collect()} for d in (first, again, other))
     assert len(a) == 2 and a == b and not a & c
     with pytest.raises(ValueError, match="key columns"):
-        K.tokenize(df, ["v"], deterministic=False)
+        K.tokenize(df, ["v"], deterministic=False, secret="k")
 
 
 def test_invalid_token_fails_the_job(spark):
     df = spark.createDataFrame([("a",)], "v string")
-    tokens, pairs = K.vault_tokenize(df, ["v"])
+    tokens, pairs = K.vault_tokenize(df, ["v"], secret="k")
     bad = tokens.unionByName(spark.createDataFrame([("vaultd_nope",)], "v string"))
     with pytest.raises(Exception, match="not a valid token"):
         K.detokenize(bad, ["v"], pairs).collect()
@@ -109,29 +109,29 @@ def test_invalid_token_fails_the_job(spark):
 
 def test_size_limits(spark):
     with pytest.raises(Exception, match="1024 characters"):
-        K.vault_tokenize(spark.createDataFrame([("x" * 1024,)], "v string"), ["v"])[0].collect()
-    K.vault_tokenize(spark.createDataFrame([("x" * 1023,)], "v string"), ["v"])[0].collect()
+        K.vault_tokenize(spark.createDataFrame([("x" * 1024,)], "v string"), ["v"], secret="k", strict_size=True)[0].collect()
+    K.vault_tokenize(spark.createDataFrame([("x" * 1023,)], "v string"), ["v"], secret="k", strict_size=True)[0].collect()
     with pytest.raises(Exception, match="128 bytes"):
-        K.critical_tokenize(spark.createDataFrame([("é" * 64,)], "v string"), ["v"])[0].collect()
+        K.critical_tokenize(spark.createDataFrame([("é" * 64,)], "v string"), ["v"], secret="k", strict_size=True)[0].collect()
 
 
 def test_vault_grows_only_by_new_pairs(spark):
     a = spark.createDataFrame([("x",), ("y",)], "v string")
     b = spark.createDataFrame([("y",), ("z",)], "v string")
-    _, vault = K.vault_tokenize(a, ["v"])
-    _, vault2 = K.vault_tokenize(b, ["v"], vault)
+    _, vault = K.vault_tokenize(a, ["v"], secret="k")
+    _, vault2 = K.vault_tokenize(b, ["v"], vault, secret="k")
     assert sorted(r["value"] for r in vault2.collect()) == ["x", "y", "z"]
 
 
 def test_delete_reports_unknown_for_vault_only(spark):
     df = spark.createDataFrame([("x",), ("y",)], "v string")
-    _, vault = K.vault_tokenize(df, ["v"])
+    _, vault = K.vault_tokenize(df, ["v"], secret="k")
     asked = vault.filter("value = 'x'").select("token").unionByName(spark.createDataFrame([("zz",)], "token string"))
     left, retired, unknown = K.delete_tokens(vault, asked, "vault")
     assert [r["value"] for r in left.collect()] == ["y"]
     assert retired.first()["generation"] == 1
     assert [r["token"] for r in unknown.collect()] == ["zz"]
-    _, cvault = K.critical_tokenize(df, ["v"])
+    _, cvault = K.critical_tokenize(df, ["v"], secret="k")
     assert K.delete_tokens(cvault, asked, "critical")[2].count() == 0
 
 
@@ -140,7 +140,7 @@ def test_protection_types(spark):
     plan = [K.Protection("t", "tokenized-vault"),
             K.Protection("f", "encryption-fpe", alphabet="numeric", versions=(KeyVersion(NIST_KEY),)),
             K.Protection("g", "governed", "T")]
-    out, pairs = K.protect_columns(df, plan, [K.MaskRule("R", "T", 10001)], "R")
+    out, pairs = K.protect_columns(df, plan, [K.MaskRule("R", "T", 10001)], "R", "k")
     row = out.first()
     assert row["t"].startswith("vaultd_") and row["f"] != "123456" and len(row["f"]) == 6 and row["g"] == "*"
     assert pairs.count() == 1
@@ -155,7 +155,7 @@ def test_random_map_tokens(spark):
     assert list(m) == ["a", "b", "c"] and m["a"] != m["b"] and m["a"].startswith("vaultn_") and m["c"] is None
     assert K.detokenize_map(out, "m", pairs, ["i"]).first()["m"] == {"a": "x", "b": "x", "c": None}
     with pytest.raises(ValueError, match="key columns"):
-        K.tokenize_map(df, "m", deterministic=False)
+        K.tokenize_map(df, "m", deterministic=False, secret="k")
 
 
 def test_encrypt_distinct_equals_projection(spark):
@@ -164,3 +164,19 @@ def test_encrypt_distinct_equals_projection(spark):
     a = K.encrypt_distinct(df, "s", "numeric", v)
     b = df.withColumn("s", fpe_encrypt(F.col("s"), "numeric", v))
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_secret_is_required_and_not_in_the_plan(spark):
+    df = spark.createDataFrame([("a",)], "v string")
+    with pytest.raises(ValueError, match="secret"):
+        K.tokenize(df, ["v"], secret="")
+    out = K.tokenize(df, ["v"], secret="hush-hush")[0]
+    assert "hush-hush" not in out._jdf.queryExecution().toString()
+
+
+def test_detokenize_knows_the_kind(spark):
+    df = spark.createDataFrame([("a",)], "v string")
+    tokens, pairs = K.vault_tokenize(df, ["v"], secret="k")
+    assert K.detokenize(tokens, ["v"], pairs.unionByName(pairs), "vault").count() == 1
+    with pytest.raises(Exception, match="not a valid token"):
+        K.detokenize(tokens, ["v"], pairs, "critical").collect()

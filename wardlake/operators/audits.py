@@ -10,12 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardlake.operators.common import as_list, keyset_rows, lower_in, ordering, sort_limit_offset, time_literal
 
-# Limits of the three searches.
-SIDECAR_DEFAULT, SIDECAR_MAX = 10_000, 100_000
-QUERY_DEFAULT, QUERY_MAX = 10_000, 10_000
-SYSTEM_DEFAULT, SYSTEM_MAX = 50, 100
-SYSTEM_WINDOW, SYSTEM_LOOKBACK = dt.timedelta(days=7), dt.timedelta(hours=48)
-PAGE_MAX, KEEP_DAYS = 250, 30
+PAGE, KEEP_DAYS = 250, 30
 SORTS = ("event_time", "rows_accessed")
 
 # Categories of system audits.
@@ -26,9 +21,9 @@ CATEGORIES = (
 )
 
 
-def _check_slice(limit: int, most: int, sort_by: str) -> None:
-    if not 0 < limit <= most:
-        raise ValueError(f"limit lies between 1 and {most}")
+def _check_slice(limit: int | None, sort_by: str) -> None:
+    if limit is not None and limit < 1:
+        raise ValueError("limit is at least 1, or None for all rows")
     if sort_by not in SORTS:
         raise ValueError(f"sort_by is one of {', '.join(SORTS)}")
 
@@ -58,11 +53,11 @@ def search_audits(
     sidecar_instance_id: str | list[str] | None = None, table_name: str | list[str] | None = None,
     schema_name: str | list[str] | None = None, database_name: str | list[str] | None = None,
     column_name: str | list[str] | None = None, statement_type: str | list[str] | None = None,
-    statement_text_contains: str | None = None, limit: int = SIDECAR_DEFAULT, offset: int = 0,
+    statement_text_contains: str | None = None, limit: int | None = None, offset: int = 0,
     order_by: str = "desc", sort_by: str = "event_time",
 ) -> DataFrame:
-    """Sidecar audits (nested events) that satisfy all given filters, as a sorted slice."""
-    _check_slice(limit, SIDECAR_MAX, sort_by)
+    """Sidecar audits (nested events) that satisfy all given filters, sorted; all of them unless ``limit`` is given."""
+    _check_slice(limit, sort_by)
     user, request = F.col("user_identity.consuming_user"), F.col("statement_request")
     tests = _time_range(events, "event_time", from_date_time, to_date_time)
     if consuming_user is not None:
@@ -84,11 +79,11 @@ def search_audits(
 
 def search_query_audits(
     audits: DataFrame, *, now: dt.datetime | None = None, from_date_time: dt.datetime | None = None,
-    to_date_time: dt.datetime | None = None, limit: int = QUERY_DEFAULT, offset: int = 0,
+    to_date_time: dt.datetime | None = None, limit: int | None = None, offset: int = 0,
     order_by: str = "desc", sort_by: str = "event_time", **filters: str | None,
 ) -> DataFrame:
-    """Masking audits; every filter is one value, compared without regard to case."""
-    _check_slice(limit, QUERY_MAX, sort_by)
+    """Masking audits, sorted; all of them unless ``limit`` is given. Every filter is one value, compared without regard to case."""
+    _check_slice(limit, sort_by)
     # Filter names of the query audit search.
     known = (
         "executing_role", "executing_user", "query_id", "policy_tag_name", "policy_tag_value",
@@ -107,26 +102,20 @@ def search_query_audits(
     return sort_limit_offset(rows, ["query_id"], sort_by, order_by, limit, offset)
 
 
-def search_system_audits(audits: DataFrame, category: str, now: dt.datetime, limit: int = SYSTEM_DEFAULT,
-                         offset: int = 0, from_date_time: dt.datetime | None = None,
-                         to_date_time: dt.datetime | None = None) -> DataFrame:
-    """System audits of one category in a window of at most one week."""
+def search_system_audits(audits: DataFrame, category: str, limit: int | None = None, offset: int = 0,
+                         from_date_time: dt.datetime | None = None, to_date_time: dt.datetime | None = None) -> DataFrame:
+    """System audits of one category, newest first; all of them unless a time range or ``limit`` is given."""
     if category not in CATEGORIES:
         raise ValueError(f"category is one of {', '.join(CATEGORIES)}")
-    if not 1 <= limit <= SYSTEM_MAX:
-        raise ValueError(f"limit lies between 1 and {SYSTEM_MAX}")
-    end = to_date_time or now
-    start = from_date_time or now - SYSTEM_LOOKBACK
-    if end - start > SYSTEM_WINDOW:
-        raise ValueError("the time range may be at most one week")
+    _check_slice(limit, "event_time")
     rows = audits.filter(F.col("category") == category)
-    rows = reduce(lambda df, t: df.filter(t), _time_range(audits, "event_time", start, end), rows)
+    rows = reduce(lambda df, t: df.filter(t), _time_range(audits, "event_time", from_date_time, to_date_time), rows)
     return sort_limit_offset(rows, ["event_id"], "event_time", "desc", limit, offset)
 
 
 def save_search(df: DataFrame, search_id: str, root: str, run_date: dt.date, sort_by: str = "event_time",
                 order: str = "desc", tie_breaker: Sequence[str] = ("event_id",)) -> None:
-    """Keep a result in its order below (run date, search id).
+    """Keep a result in its order below (run date, search id); a search id that was kept that day is replaced.
 
     Rows are range-partitioned, sorted and numbered without a one-task window.
     """
@@ -134,17 +123,17 @@ def save_search(df: DataFrame, search_id: str, root: str, run_date: dt.date, sor
 
     numbered = number_rows(df, ordering(sort_by, order, tie_breaker), "row_no")
     numbered.withColumns({"run_date": F.lit(run_date), "search_id": F.lit(search_id)}).write.mode(
-        "append").partitionBy("run_date", "search_id").parquet(root)
+        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date", "search_id").parquet(root)
 
 
-def read_search(spark: SparkSession, root: str, search_id: str, today: dt.date, limit: int = PAGE_MAX,
+def read_search(spark: SparkSession, root: str, search_id: str, today: dt.date, limit: int = PAGE,
                 token: int | None = None) -> DataFrame:
     """One page of a kept result; results older than 30 days are not found.
 
     The token is the number of the last row seen.
     """
-    if not 1 <= limit <= PAGE_MAX:
-        raise ValueError(f"limit lies between 1 and {PAGE_MAX}")
+    if limit < 1:
+        raise ValueError("limit is at least 1")
     kept = spark.read.parquet(root).filter(
         (F.col("search_id") == search_id) & (F.col("run_date") >= F.lit(today - dt.timedelta(days=KEEP_DAYS)))
     )

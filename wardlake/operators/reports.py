@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 from zoneinfo import ZoneInfo
 
@@ -152,25 +153,48 @@ _STATE = T.StructType([
 ])
 
 
-def _chunk_steps(chunks: DataFrame, gap: int, width: int) -> DataFrame:
-    """Per chunk: (entry, leave) for each trigger that may be the first accepted one.
+def _jumps(times: np.ndarray, state: np.ndarray, gap: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """From states to the next acceptances, again and again: a search per acceptance, not per trigger.
 
-    A last acceptance before the chunk blocks at most ``gap`` of it, so candidates
-    are the triggers of that stretch and the first one behind it.
+    Yields which states moved and where to; there are at most width / gap + 1 rounds in a chunk.
     """
-    border = F.col("chunk") * F.lit(width) + F.lit(gap)
-    times = F.array_distinct(F.transform("rows", lambda r: r["us"]))
-    early = F.filter("times", lambda t: t < border)
-    behind = F.slice(F.filter("times", lambda t: t >= border), 1, 1)
+    open_ = np.ones(len(state), bool)
+    state = state.copy()
+    while True:
+        at = np.searchsorted(times, state + gap, side="left")
+        open_ = open_ & (at < len(times))
+        if not open_.any():
+            return
+        state = np.where(open_, times[np.minimum(at, len(times) - 1)], state)
+        yield open_, state
+
 
-    def leave(entry):
-        return F.aggregate("times", entry, lambda last, t: F.when(t >= last + gap, t).otherwise(last))
+def _steps_of(batches: Iterator[pd.DataFrame], gap: int, width: int) -> Iterator[pd.DataFrame]:
+    """Per chunk: (entry, leave) for each time that may be the first accepted one.
 
-    steps = F.transform(F.concat(early, behind), lambda e: F.struct(e.alias("entry"), leave(e).alias("leave")))
-    per_chunk = chunks.select("key", "chunk", times.alias("times")).select("key", "chunk", steps.alias("steps"))
-    # Neighbouring entries with the same outcome are one step, named by the last of them.
-    changes = F.filter("steps", lambda s, i: (i == F.size("steps") - 1) | (F.get("steps", i + 1)["leave"] != s["leave"]))
-    return per_chunk.select("key", "chunk", F.explode(changes).alias("s")).select("key", "chunk", "s.entry", "s.leave")
+    A last acceptance before the chunk blocks at most ``gap`` of it, so candidates
+    are the times of that stretch and the first one behind it. Neighbouring entries
+    with the same outcome are one step, named by the last of them.
+    """
+    for pdf in batches:
+        for key, chunk, times in zip(pdf["key"], pdf["chunk"], pdf["times"]):
+            times = np.asarray(times, np.int64)
+            near = int(np.searchsorted(times, chunk * width + gap, side="left"))
+            entry = times[: near + 1]
+            leave = entry
+            for _, leave in _jumps(times, entry, gap):
+                pass
+            keep = np.append(leave[1:] != leave[:-1], True)
+            yield pd.DataFrame({"key": key, "chunk": chunk, "entry": entry[keep], "leave": leave[keep]})
+
+
+def _accepted_times(batches: Iterator[pd.DataFrame], gap: int) -> Iterator[pd.DataFrame]:
+    """The accepted times of each chunk, given the state before it."""
+    for pdf in batches:
+        for key, times, state in zip(pdf["key"], pdf["times"], pdf["state"]):
+            times = np.asarray(times, np.int64)
+            before = times[:1] - gap if pd.isna(state) else np.array([int(state)], np.int64)
+            yield pd.DataFrame({"key": key, "us": np.array([s[0] for _, s in _jumps(times, before, gap)], np.int64)})
 
 
 def _runs(chunk: np.ndarray) -> list[tuple[int, int]]:
@@ -233,44 +257,37 @@ def _states_before(steps: DataFrame, gap: int, width: int, per_span: int, last:
         lambda pdf: _fold_steps(pdf, gap), _STATE)
 
 
-def _accepted(gap: int) -> Column:
-    """Accepted rows of a chunk, given the state before it."""
-    start = F.struct(F.col("state").alias("last"), F.slice("rows", 1, 0).alias("taken"))
-
-    def step(acc: Column, row: Column) -> Column:
-        free = acc["last"].isNull() | (row["us"] >= acc["last"] + gap)
-        grown = F.struct(row["us"].alias("last"), F.array_append(acc["taken"], row).alias("taken"))
-        return F.when(free, grown).otherwise(acc)
-
-    return F.aggregate("rows", start, step, lambda acc: acc["taken"])
-
-
 def throttle_triggers(triggers: DataFrame, key: str = "definition_id", ts: str = "ts", tie: str = "event_id",
                       seconds: int = THROTTLE_SECONDS, chunk_seconds: int = 3600,
                       chunks_per_span: int = 168, last_accepted: DataFrame | None = None) -> DataFrame:
     """All triggers with ``accepted``: at most one per key within ``seconds`` of the last accepted.
 
-    Equal times are decided by the tie-breaker, which is unique per key. Choose
-    ``chunk_seconds`` so that the triggers of the busiest key in one chunk fit a
-    task. ``last_accepted`` (key, state in microseconds) carries acceptances from
-    earlier data.
+    Equal times are decided by the tie-breaker, which is unique per key. A trigger
+    without key or time gets no verdict (null). Only distinct times are gathered,
+    those of one key and chunk in one array; choose ``chunk_seconds`` so that they
+    fit a task. ``last_accepted`` (key, state in microseconds) carries acceptances
+    from earlier data.
     """
     gap, width = seconds * _US, chunk_seconds * _US
     if chunk_seconds < seconds:
         raise ValueError("a chunk may not be shorter than the interval")
-    time_type = triggers.schema[ts].dataType
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    chunks = triggers.select(
-        F.col(key).cast("string").alias("key"), F.floor(us / F.lit(width)).cast("long").alias("chunk"),
-        F.struct(us.alias("us"), F.col(tie).cast("long").alias("tie")).alias("row"),
-    ).groupBy("key", "chunk").agg(F.sort_array(F.collect_list("row")).alias("rows"))
-    steps = _chunk_steps(chunks, gap, width)
+    first = triggers.select(
+        F.col(key).cast("string").alias("key"), us.alias("us"), F.col(tie).cast("long").alias("tie"),
+    ).where("key is not null and us is not null").groupBy("key", "us").agg(F.min("tie").alias("tie"))
+    chunks = first.groupBy("key", F.floor(F.col("us") / F.lit(width)).cast("long").alias("chunk")).agg(
+        F.sort_array(F.collect_list("us")).alias("times"))
+    steps = chunks.mapInPandas(lambda batches: _steps_of(batches, gap, width), _STEP)
     states = _states_before(steps, gap, width, chunks_per_span, last_accepted)
-    done = chunks.join(states, ["key", "chunk"]).withColumn("taken", _accepted(gap))
-    verdicts = done.select("key", "taken", F.explode("rows").alias("r"))
-    return verdicts.select(
-        F.col("key").alias(key), F.timestamp_micros("r.us").cast(time_type).alias(ts), F.col("r.tie").alias(tie),
-        F.array_contains("taken", F.col("r")).alias("accepted"))
+    times = chunks.join(states, ["key", "chunk"]).select("key", "times", "state").mapInPandas(
+        lambda batches: _accepted_times(batches, gap), "key string, us long")
+    taken = times.join(first, ["key", "us"]).select(
+        F.col("key").alias("_key"), F.col("us").alias("_us"), F.col("tie").alias("_tie"))
+    judged = triggers.select(
+        F.col(key).cast("string").alias(key), F.col(ts), F.col(tie).cast("long").alias(tie), us.alias("us"))
+    same = (judged[key] == taken["_key"]) & (judged["us"] == taken["_us"]) & judged[tie].eqNullSafe(taken["_tie"])
+    known = F.col(key).isNotNull() & F.col("us").isNotNull()
+    return judged.join(taken, same, "left").select(key, ts, tie, F.when(known, F.col("_key").isNotNull()).alias("accepted"))
 
 
 def review_coverage(instances: DataFrame, sign_offs: DataFrame, me: str) -> DataFrame:

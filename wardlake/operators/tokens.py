@@ -8,16 +8,17 @@ a lookup, for their generation number.
 
 from __future__ import annotations
 
+import hashlib
+import hmac
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlake.functions.fpe import KeyVersion, fpe_decrypt, fpe_encrypt
 from wardlake.operators.masking import MaskRule, levels_for_role, project_levels
-from wardlake.operators.scaling import hot_keys, number_rows, skew_join
+from wardlake.operators.scaling import number_rows, skew_join
 
 
 @dataclass(frozen=True)
@@ -43,8 +44,24 @@ VAULT_DDL = "token string, value string, kind string, deterministic boolean, gen
 RETIRED_DDL = "value_hash string, kind string, generation int"
 
 
-def _keyed_hash(secret: str, *parts: Column) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(secret), *parts), 256)
+def derived_keys(secret: str) -> tuple[str, str]:
+    """Inner and outer key of the token hash. Plans carry these, never the secret."""
+    if not secret:
+        raise ValueError("tokens need a secret")
+    inner, outer = (hmac.new(secret.encode(), use, hashlib.sha256).hexdigest() for use in (b"inner", b"outer"))
+    return inner, outer
+
+
+def _keyed_hash(secret: str, message: Column) -> Column:
+    """A hash inside a hash with two keys, as HMAC does."""
+    inner, outer = derived_keys(secret)
+    return F.sha2(F.concat(F.lit(outer), F.sha2(F.concat(F.lit(inner), message), 256)), 256)
+
+
+def _part(value: Column) -> Column:
+    """A part of a key that cannot run into the next one: its length first; null differs from every text."""
+    text = value.cast("string")
+    return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
 
 def deterministic_token(value: Column, kind: str, secret: str, generation: Column | None = None) -> Column:
@@ -52,7 +69,7 @@ def deterministic_token(value: Column, kind: str, secret: str, generation: Colum
     gen = F.lit("0") if generation is None else generation.cast("string")
     prefix = KINDS[kind].deterministic_prefix
     return F.when(value.isNotNull(),
-                  F.concat(F.lit(prefix), _keyed_hash(secret, F.lit("d"), gen, value)))
+                  F.concat(F.lit(prefix), _keyed_hash(secret, F.concat(F.lit("d|"), gen, F.lit("|"), value.cast("string")))))
 
 
 def random_token(value: Column, kind: str, secret: str, call: str, row_key: Sequence[str],
@@ -61,19 +78,21 @@ def random_token(value: Column, kind: str, secret: str, call: str, row_key: Sequ
 
     Unlike ``uuid()`` it comes out the same when a task is retried.
     """
-    keys = [F.col(k).cast("string") for k in row_key]
     name = F.lit(column) if isinstance(column, str) else column
+    cell = F.concat(F.lit("n|"), *[_part(p) for p in (F.lit(call), name, *[F.col(k) for k in row_key])])
     prefix = KINDS[kind].random_prefix
     return F.when(value.isNotNull(),
-                  F.concat(F.lit(prefix), _keyed_hash(secret, F.lit("n"), F.lit(call), name, *keys)))
+                  F.concat(F.lit(prefix), _keyed_hash(secret, cell)))
 
 
 def too_large(col: Column, kind: str) -> Column:
     return KINDS[kind].size(col) >= KINDS[kind].max_size
 
 
-def _guard(col: Column, kind: str) -> Column:
-    """The value, or a failed job when it reaches the size limit."""
+def _guard(col: Column, kind: str, strict: bool) -> Column:
+    """The value; where the limits are strict, a failed job when it reaches the size limit."""
+    if not strict:
+        return col
     k = KINDS[kind]
     unit = "bytes" if k.size_in_bytes else "characters"
     message = F.lit(f"value reaches the {kind} limit of {k.max_size} {unit}")
@@ -81,40 +100,44 @@ def _guard(col: Column, kind: str) -> Column:
 
 
 def tokenize(
-    df: DataFrame, cols: Sequence[str], kind: str = "vault", deterministic: bool = True,
-    secret: str = "", retired: DataFrame | None = None, row_key: Sequence[str] | None = None,
-    call: str | None = None,
+    df: DataFrame, cols: Sequence[str], kind: str = "vault", deterministic: bool = True, *,
+    secret: str, retired: DataFrame | None = None, row_key: Sequence[str] | None = None,
+    call: str | None = None, strict_size: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """The table with tokens in place of values, and the vault rows they need.
 
     ``retired`` holds generation numbers of values whose tokens were deleted.
-    Random tokens need a unique ``row_key``.
+    Random tokens need a unique ``row_key``. ``strict_size`` fails the job at a
+    value that reaches the service's size limit; ``check_limits`` lists such values.
     """
     if deterministic:
-        return _tokenize_deterministic(df, cols, kind, secret, retired)
+        return _tokenize_deterministic(df, cols, kind, secret, retired, strict_size)
     if not row_key:
         raise ValueError("random tokens need the key columns of the table")
     nonce = call or uuid.uuid4().hex
     marked = df.withColumns({
-        f"_token_{c}": random_token(_guard(F.col(c), kind), kind, secret, nonce, row_key, c) for c in cols
+        f"_token_{c}": random_token(_guard(F.col(c), kind, strict_size), kind, secret, nonce, row_key, c) for c in cols
     })
     return _replace(df, marked, cols), _pairs(marked, cols, kind, False, {c: F.lit(0) for c in cols})
 
 
-def _tokenize_deterministic(df, cols, kind, secret, retired):
+def _generations(retired: DataFrame, kind: str) -> DataFrame:
+    """The latest generation of each deleted value of a kind."""
+    return retired.filter(F.col("kind") == kind).groupBy("value_hash").agg(F.max("generation").alias("generation"))
+
+
+def _tokenize_deterministic(df, cols, kind, secret, retired, strict_size):
     marked, generations = df, {c: F.lit(0) for c in cols}
     if retired is not None:
-        known = retired.filter(F.col("kind") == kind).select("value_hash", "generation")
+        known = _generations(retired, kind)
         for c in cols:
             looked_up = known.select(F.col("value_hash").alias(f"_hash_{c}"),
                                      F.col("generation").alias(f"_gen_{c}"))
-            hashes = F.sha2(F.col(c), 256).alias(f"_hash_{c}")
-            # Hot keys are counted on the source table, not on the chain of joins.
-            marked = skew_join(marked.select("*", hashes), looked_up, [f"_hash_{c}"], "left",
-                               hot=hot_keys(df.select(hashes), [f"_hash_{c}"]))
+            hashed = marked.withColumn(f"_hash_{c}", F.sha2(F.col(c).cast("string"), 256))
+            marked = hashed.join(looked_up, f"_hash_{c}", "left")
             generations[c] = F.coalesce(f"_gen_{c}", F.lit(0))
     marked = marked.withColumns({
-        f"_token_{c}": deterministic_token(_guard(F.col(c), kind), kind, secret, generations[c]) for c in cols
+        f"_token_{c}": deterministic_token(_guard(F.col(c), kind, strict_size), kind, secret, generations[c]) for c in cols
     })
     return _replace(df, marked, cols), _pairs(marked, cols, kind, True, generations)
 
@@ -153,12 +176,17 @@ def critical_tokenize(df: DataFrame, cols: Sequence[str], vault: DataFrame | Non
     return vault_tokenize(df, cols, vault, "critical", deterministic, **options)
 
 
-def _resolve(df: DataFrame, cols: Sequence[str], vault: DataFrame, strict: bool) -> DataFrame:
+def _resolve(df: DataFrame, cols: Sequence[str], vault: DataFrame, strict: bool, kind: str | None) -> DataFrame:
+    """One plain join per column; adaptive execution splits tokens that many rows have.
+
+    The vault is first reduced to one row per token, so a pair that is stored
+    twice does not double rows.
+    """
+    mine = vault if kind is None else vault.filter(F.col("kind") == kind)
+    single = mine.groupBy("token").agg(F.max("value").alias("_plain"))
     out = df
     for c in cols:
-        pairs = vault.select(F.col("token").alias(c), F.col("value").alias("_plain"))
-        # Hot keys are counted on the source table, not on the chain of joins.
-        joined = skew_join(out, pairs, [c], "left", hot=hot_keys(df.select(c), [c]))
+        joined = out.join(single.withColumnRenamed("token", c), c, "left")
         if strict:
             missing = F.raise_error(F.concat(F.lit("not a valid token: "), F.col(c))).cast("string")
             value = F.when(F.col(c).isNotNull() & F.col("_plain").isNull(), missing).otherwise(F.col("_plain"))
@@ -168,14 +196,14 @@ def _resolve(df: DataFrame, cols: Sequence[str], vault: DataFrame, strict: bool)
     return out
 
 
-def detokenize(df: DataFrame, cols: Sequence[str], vault: DataFrame) -> DataFrame:
-    """Recover the values; one invalid token fails the job. Case-sensitive."""
-    return _resolve(df, cols, vault, strict=True)
+def detokenize(df: DataFrame, cols: Sequence[str], vault: DataFrame, kind: str | None = None) -> DataFrame:
+    """Recover the values; one invalid token fails the job. Case-sensitive. ``kind`` admits one service's tokens only."""
+    return _resolve(df, cols, vault, True, kind)
 
 
-def partial_detokenize(df: DataFrame, cols: Sequence[str], vault: DataFrame) -> DataFrame:
+def partial_detokenize(df: DataFrame, cols: Sequence[str], vault: DataFrame, kind: str | None = None) -> DataFrame:
     """Recover valid tokens; everything else passes."""
-    return _resolve(df, cols, vault, strict=False)
+    return _resolve(df, cols, vault, False, kind)
 
 
 def delete_tokens(vault: DataFrame, tokens: DataFrame, kind: str,
@@ -198,44 +226,47 @@ def delete_tokens(vault: DataFrame, tokens: DataFrame, kind: str,
     return left, gone, unknown if kind == "vault" else unknown.limit(0)
 
 
-def tokenize_map(df: DataFrame, map_col: str, kind: str = "vault", secret: str = "", deterministic: bool = True,
-                 row_key: Sequence[str] | None = None, call: str | None = None) -> tuple[DataFrame, DataFrame]:
+def tokenize_map(df: DataFrame, map_col: str, kind: str = "vault", deterministic: bool = True, *, secret: str,
+                 row_key: Sequence[str] | None = None, call: str | None = None, retired: DataFrame | None = None,
+                 strict_size: bool = False) -> tuple[DataFrame, DataFrame]:
     """Tokenize the values of a map column; keys and their order stay.
 
     The tokens are computed inside the row, so the map is never taken apart and
-    put together by a shuffle. Random tokens need a unique ``row_key``; the map key
-    tells the cells of a row apart.
+    put together by a shuffle, unless ``retired`` says that some values had their
+    token deleted: then the entries look up their generation and are regrouped by
+    ``row_key``. Random tokens need a unique ``row_key`` too; the map key tells the
+    cells of a row apart.
     """
-    if not deterministic and not row_key:
-        raise ValueError("random tokens need the key columns of the table")
+    if (not deterministic or retired is not None) and not row_key:
+        raise ValueError("random tokens and generations need the key columns of the table")
     nonce = call or uuid.uuid4().hex
 
-    def token(key: Column, value: Column) -> Column:
+    def token(key: Column, value: Column, generation: Column | None = None) -> Column:
+        value = _guard(value, kind, strict_size)
         if deterministic:
-            return deterministic_token(value, kind, secret)
+            return deterministic_token(value, kind, secret, generation)
         return random_token(value, kind, secret, nonce, row_key, key)
 
-    def pair(e: Column) -> Column:
-        return F.struct(e["key"].alias("key"), token(e["key"], _guard(e["value"], kind)).alias("value"))
-
-    out = df.withColumn(map_col, F.map_from_entries(F.transform(F.map_entries(map_col), pair)))
-    cells = df.select(*(row_key or []), F.explode(F.map_entries(map_col)).alias("e")).filter(
-        F.col("e.value").isNotNull())
-    pairs = cells.select(
-        token(F.col("e.key"), F.col("e.value")).alias("token"), F.col("e.value").alias("value"),
-        F.lit(kind).alias("kind"), F.lit(deterministic).alias("deterministic"), F.lit(0).alias("generation"))
+    cells = df.select(*(row_key or []), F.posexplode(F.map_entries(map_col)).alias("n", "e")).select(
+        *(row_key or []), "n", F.col("e.key").alias("k"), F.col("e.value").cast("string").alias("v"))
+    generation = F.lit(0)
+    if deterministic and retired is not None:
+        known = _generations(retired, kind)
+        cells = cells.withColumn("value_hash", F.sha2("v", 256)).join(known, "value_hash", "left").drop("value_hash")
+        generation = F.coalesce("generation", F.lit(0))
+        out = _regroup(df, map_col, cells.withColumn("v", token(F.col("k"), F.col("v"), generation)), row_key)
+    else:
+        out = df.withColumn(map_col, F.map_from_entries(F.transform(F.map_entries(map_col), lambda e: F.struct(
+            e["key"].alias("key"), token(e["key"], e["value"]).alias("value")))))
+    pairs = cells.filter(F.col("v").isNotNull()).select(
+        token(F.col("k"), F.col("v"), generation).alias("token"), F.col("v").alias("value"),
+        F.lit(kind).alias("kind"), F.lit(deterministic).alias("deterministic"), generation.cast("int").alias("generation"))
     return out, pairs.distinct() if deterministic else pairs
 
 
-def detokenize_map(df: DataFrame, map_col: str, vault: DataFrame, row_key: Sequence[str]) -> DataFrame:
-    """Values of a map column back to plain text; what is no token passes.
-
-    The entries of one row are few; they are regrouped by the row key in order.
-    """
-    cells = df.select(*row_key, F.posexplode(F.map_entries(map_col)).alias("n", "e")).select(
-        *row_key, "n", F.col("e.key").alias("k"), F.col("e.value").alias("v"))
-    plain = partial_detokenize(cells, ["v"], vault)
-    maps = plain.groupBy(*row_key).agg(
+def _regroup(df: DataFrame, map_col: str, cells: DataFrame, row_key: Sequence[str]) -> DataFrame:
+    """The table with the map made of ``n``, ``k``, ``v`` cells; the entries of one row are few."""
+    maps = cells.groupBy(*row_key).agg(
         F.sort_array(F.collect_list(F.struct("n", "k", "v"))).alias("_e")
     ).select(*row_key, F.map_from_entries(
         F.transform("_e", lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value")))).alias("_m"))
@@ -245,6 +276,13 @@ def detokenize_map(df: DataFrame, map_col: str, vault: DataFrame, row_key: Seque
     )
 
 
+def detokenize_map(df: DataFrame, map_col: str, vault: DataFrame, row_key: Sequence[str], kind: str | None = None) -> DataFrame:
+    """Values of a map column back to plain text; what is no token passes."""
+    cells = df.select(*row_key, F.posexplode(F.map_entries(map_col)).alias("n", "e")).select(
+        *row_key, "n", F.col("e.key").alias("k"), F.col("e.value").alias("v"))
+    return _regroup(df, map_col, partial_detokenize(cells, ["v"], vault, kind), row_key)
+
+
 def call_batches(df: DataFrame, order: Sequence[str], kind: str) -> DataFrame:
     """Rows with the number of the call they would go into, full calls first."""
     numbered = number_rows(df, [F.asc(c) for c in order], "_row")
@@ -325,8 +363,12 @@ PROTECTION_TYPES = ("governed", "governed-pushdown", "tokenized-vault", "encrypt
 
 
 def protect_columns(df: DataFrame, protections: Sequence[Protection], rules: Sequence[MaskRule], role: str,
-                    secret: str = "") -> tuple[DataFrame, DataFrame | None]:
-    """Each column by its protection type, in one projection; vault rows when tokenized."""
+                    secret: str | None = None, retired: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Each column by its protection type, in one projection; vault rows when tokenized.
+
+    Tokenized columns need a ``secret``; ``retired`` gives values whose token was
+    deleted a new one.
+    """
     wrong = [p.protection_type for p in protections if p.protection_type not in PROTECTION_TYPES]
     if wrong:
         raise ValueError(f"unknown protection types {wrong}")
@@ -334,7 +376,7 @@ def protect_columns(df: DataFrame, protections: Sequence[Protection], rules: Seq
     out, pairs = df, None
     tokenized = [p.column for p in protections if p.protection_type == "tokenized-vault"]
     if tokenized:
-        out, pairs = tokenize(out, tokenized, "vault", True, secret)
+        out, pairs = tokenize(out, tokenized, "vault", True, secret=secret or "", retired=retired)
     sealed = {p.column: p for p in protections if p.protection_type == "encryption-fpe"}
     if sealed:
         out = out.withColumns({
@@ -345,6 +387,3 @@ def protect_columns(df: DataFrame, protections: Sequence[Protection], rules: Seq
         out = project_levels(out, levels_for_role(governed, rules, role))
     return out, pairs
 
-
-def union_vaults(vaults: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, vaults).distinct()

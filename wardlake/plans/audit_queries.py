@@ -83,7 +83,7 @@ def ingest_oracle_table(spark: SparkSession, base: str) -> DataFrame:
 
 
 _SLICE = """SELECT CAST(event_id AS VARCHAR) AS event_id, {t} AS event_time, consuming_user, row_count AS rows_accessed FROM (
-  SELECT * FROM audits WHERE {where} ORDER BY {order} LIMIT {limit})"""
+  SELECT * FROM audits WHERE {where} {slice})"""
 
 
 def _flat_slice(rows: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def _flat_slice(rows: DataFrame) -> DataFrame:
 
 
 @query("search_audits_top", f"WITH {D.AUDITS} " + _SLICE.format(
-    t=sql_stamp("event_time"), limit=10000, order="row_count DESC, CAST(event_id AS VARCHAR) DESC",
+    t=sql_stamp("event_time"), slice="",
     where="event_time >= TIMESTAMP '2024-01-05' AND event_time <= TIMESTAMP '2024-01-25' "
           "AND lower(consuming_user) IN ('user_7', 'user_12', 'user_40') AND statement_type IN ('VIEW', 'CLICK', 'PURCHASE')"))
 def search_audits_top(spark: SparkSession, base: str) -> DataFrame:
@@ -103,7 +103,7 @@ def search_audits_top(spark: SparkSession, base: str) -> DataFrame:
 
 
 @query("search_audits_columns", f"WITH {D.AUDITS} " + _SLICE.format(
-    t=sql_stamp("event_time"), limit=500, order="event_time, CAST(event_id AS VARCHAR)",
+    t=sql_stamp("event_time"), slice="ORDER BY event_time, CAST(event_id AS VARCHAR) LIMIT 500",
     where="(column_name IN ('col_3', 'out_1') OR (k % 2 = 0 AND 'out_' || (k % 3) IN ('col_3', 'out_1'))) "
           "AND table_name IN ('orders', 'part') AND sidecar_id = 'sc_2' AND contains(lower(statement_text), 'view')"))
 def search_audits_columns(spark: SparkSession, base: str) -> DataFrame:
@@ -112,12 +112,17 @@ def search_audits_columns(spark: SparkSession, base: str) -> DataFrame:
         statement_text_contains="VIEW", order_by="asc", limit=500))
 
 
+@query("search_audits_all", f"WITH {D.AUDITS} " + _SLICE.format(t=sql_stamp("event_time"), slice="", where="true"))
+def search_audits_all(spark: SparkSession, base: str) -> DataFrame:
+    """No filter and no limit: every audit comes back."""
+    return _flat_slice(A.search_audits(D.audit_events(spark, base)))
+
+
 @query("search_query_audits", f"""
 WITH {D.AUDITS}
 SELECT query_id, {sql_stamp('event_time')} AS event_time, executing_user, policy_tag_value, rows_accessed FROM (
   SELECT query_id, event_time, consuming_user AS executing_user, policy_tag_value, row_count AS rows_accessed
-  FROM audits WHERE executing_role = 'ANALYST' AND policy_tag_name = 'PII' AND table_name = 'orders'
-  ORDER BY event_time DESC, query_id DESC LIMIT 10000)""")
+  FROM audits WHERE executing_role = 'ANALYST' AND policy_tag_name = 'PII' AND table_name = 'orders')""")
 def search_query_audits(spark: SparkSession, base: str) -> DataFrame:
     a = D.audits(spark, base).selectExpr(
         "query_id", "event_time", "executing_role", "consuming_user AS executing_user", "policy_tag_name",
@@ -132,10 +137,9 @@ def search_query_audits(spark: SparkSession, base: str) -> DataFrame:
 @query("search_system_audits", f"""
 WITH {D.AUDITS}
 SELECT event_id, category, {sql_stamp('event_time')} AS event_time FROM (
-  SELECT * FROM audits WHERE category = 'Thresholds' AND event_time BETWEEN TIMESTAMP '2024-01-13' AND TIMESTAMP '2024-01-15'
-  ORDER BY event_time DESC, event_id DESC LIMIT 50)""")
+  SELECT * FROM audits WHERE category = 'Thresholds')""")
 def search_system_audits(spark: SparkSession, base: str) -> DataFrame:
-    rows = A.search_system_audits(D.audits(spark, base), "Thresholds", now=dt.datetime(2024, 1, 15))
+    rows = A.search_system_audits(D.audits(spark, base), "Thresholds")
     return rows.select("event_id", "category", stamp("event_time").alias("event_time"))
 
 

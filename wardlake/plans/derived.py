@@ -261,8 +261,8 @@ heartbeats AS (
 )"""
 
 
-def triggers(spark: SparkSession, base: str, event_type: str = "signup") -> DataFrame:
-    return load(spark, base, "events").filter(F.col("event_type") == event_type).select(
+def triggers(spark: SparkSession, base: str) -> DataFrame:
+    return load(spark, base, "events").select(
         text("d_", F.col("user_id") % 20).alias("definition_id"), "ts", "event_id")
 
 

@@ -122,9 +122,9 @@ def _due(spark: SparkSession, base: str, start: dt.datetime, end: dt.datetime) -
     return due.withColumn("due_at", stamp("due_at"))
 
 
-@query("expand_cron_january", _cron_sql("2024-01-01", "2024-01-03"))
+@query("expand_cron_january", _cron_sql("2024-01-01", "2024-02-01"))
 def expand_cron_january(spark: SparkSession, base: str) -> DataFrame:
-    return _due(spark, base, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3))
+    return _due(spark, base, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1))
 
 
 @query("expand_cron_clock_change", _cron_sql("2024-03-10", "2024-03-11"))
@@ -146,15 +146,27 @@ walk AS (
 SELECT definition_id, {t} AS ts, event_id, accepted FROM walk"""
 
 
-@query("throttle_triggers", _THROTTLE.format(where="event_type = 'signup'", s=300, t=sql_stamp("ts")))
+@query("throttle_triggers", _THROTTLE.format(where="true", s=300, t=sql_stamp("ts")))
 def throttle_triggers(spark: SparkSession, base: str) -> DataFrame:
     return R.throttle_triggers(D.triggers(spark, base)).withColumn("ts", stamp("ts"))
 
 
-@query("throttle_triggers_dense", _THROTTLE.format(where="event_type IN ('view', 'click')", s=14400, t=sql_stamp("ts")))
+@query("throttle_null_keys", _THROTTLE.format(where="user_id % 20 < 15 AND event_id % 10 <> 3", s=300, t=sql_stamp("ts")) + f"""
+UNION ALL SELECT CASE WHEN user_id % 20 < 15 THEN 'd_' || (user_id % 20) END,
+  CASE WHEN event_id % 10 <> 3 THEN {sql_stamp("ts")} END, event_id, CAST(NULL AS BOOLEAN) FROM events
+WHERE user_id % 20 >= 15 OR event_id % 10 = 3""")
+def throttle_null_keys(spark: SparkSession, base: str) -> DataFrame:
+    """Triggers without a definition or a time stay, without a verdict."""
+    e = D.load(spark, base, "events").selectExpr(
+        "CASE WHEN user_id % 20 < 15 THEN 'd_' || (user_id % 20) END AS definition_id",
+        "CASE WHEN event_id % 10 <> 3 THEN ts END AS ts", "event_id")
+    return R.throttle_triggers(e).withColumn("ts", stamp("ts"))
+
+
+@query("throttle_triggers_dense", _THROTTLE.format(where="true", s=14400, t=sql_stamp("ts")))
 def throttle_triggers_dense(spark: SparkSession, base: str) -> DataFrame:
     """A long interval over many triggers: most are refused, across chunk borders."""
-    e = D.load(spark, base, "events").filter("event_type IN ('view', 'click')").selectExpr(
+    e = D.load(spark, base, "events").selectExpr(
         "'d_' || (user_id % 20) AS definition_id", "ts", "event_id")
     return R.throttle_triggers(e, seconds=14400, chunk_seconds=20000).withColumn("ts", stamp("ts"))
 

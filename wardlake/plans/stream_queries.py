@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardlake.operators import masking as M
 from wardlake.plans import derived as D
+from wardlake.plans.token_queries import SECRET, retired_events, sql_token
 from wardlake.plans.registry import query, sql_stamp, stamp
 from wardlake.session import scratch_path
 from wardlake.streaming import live as X
@@ -66,7 +67,7 @@ def stream_instance_liveness(spark: SparkSession, base: str) -> DataFrame:
 @query("stream_throttle", f"""
 WITH RECURSIVE t AS (
   SELECT 'd_' || (user_id % 20) AS definition_id, ts, event_id,
-    row_number() OVER (PARTITION BY user_id % 20 ORDER BY ts, event_id) AS n FROM events WHERE event_type = 'signup'),
+    row_number() OVER (PARTITION BY user_id % 20 ORDER BY ts, event_id) AS n FROM events),
 walk AS (
   SELECT definition_id, n, ts, event_id, true AS accepted, ts AS last FROM t WHERE n = 1
   UNION ALL
@@ -75,7 +76,7 @@ walk AS (
   FROM walk JOIN t ON t.definition_id = walk.definition_id AND t.n = walk.n + 1)
 SELECT definition_id, {sql_stamp('ts')} AS ts, event_id, accepted FROM walk""")
 def stream_throttle(spark: SparkSession, base: str) -> DataFrame:
-    rows = event_stream(spark, base).filter("event_type = 'signup'").selectExpr(
+    rows = event_stream(spark, base).selectExpr(
         "'d_' || (user_id % 20) AS definition_id", "ts", "event_id")
     root = scratch_path(spark, "throttle")
     X.stream_throttle(rows, root, scratch_path(spark, "cp"), seconds=3600).awaitTermination()
@@ -83,13 +84,25 @@ def stream_throttle(spark: SparkSession, base: str) -> DataFrame:
     return out.withColumn("ts", stamp("ts"))
 
 
-@query("stream_tokenize", """
-SELECT event_id, event_type, 'vaultd_' || sha256('s|d|0|' || event_type) AS token FROM events""")
+@query("stream_tokenize", f"""
+SELECT event_id, event_type, {sql_token('event_type')} AS token FROM events""")
 def stream_tokenize(spark: SparkSession, base: str) -> DataFrame:
     """Tokenized rows joined with the vault that the stream wrote."""
     root = scratch_path(spark, "tokens")
     rows = event_stream(spark, base).select("event_id", "event_type")
-    X.stream_tokenize(rows, ["event_type"], root, scratch_path(spark, "cp"), secret="s").awaitTermination()
+    X.stream_tokenize(rows, ["event_type"], root, scratch_path(spark, "cp"), secret=SECRET).awaitTermination()
     vault = spark.read.parquet(f"{root}/vault").select(F.col("token"), F.col("value"))
     tokens = spark.read.parquet(f"{root}/rows").select("event_id", F.col("event_type").alias("token"))
     return tokens.join(vault, "token").select("event_id", F.col("value").alias("event_type"), "token")
+
+
+@query("delete_and_retokenize_stream", f"""
+SELECT event_id, {sql_token('event_type', generation="CASE WHEN event_type IN ('view', 'error') THEN '1' ELSE '0' END")} AS token
+FROM events""")
+def delete_and_retokenize_stream(spark: SparkSession, base: str) -> DataFrame:
+    """The stream looks at the generations of deleted values."""
+    root = scratch_path(spark, "tokens")
+    rows = event_stream(spark, base).select("event_id", "event_type")
+    X.stream_tokenize(rows, ["event_type"], root, scratch_path(spark, "cp"), secret=SECRET,
+                      retired=retired_events(spark, base)).awaitTermination()
+    return spark.read.parquet(f"{root}/rows").select("event_id", F.col("event_type").alias("token"))

@@ -16,8 +16,15 @@ KEYS = [KeyVersion("2B7E151628AED2A6ABF7158809CF4F3C", "39383736353433323130", 1
         KeyVersion("EF4359D8D580AA4F7F036D6F04FC6A94", "", 2, active=False)]
 
 
+INNER, OUTER = K.derived_keys(SECRET)
+
+
+def sql_token(value: str, kind: str = "vaultd_", generation: str = "'0'") -> str:
+    return f"'{kind}' || sha256('{OUTER}' || sha256('{INNER}' || 'd|' || {generation} || '|' || {value}))"
+
+
 def _token(value: str, kind: str = "vaultd_", generation: str = "0") -> str:
-    return f"'{kind}' || sha256('{SECRET}|d|{generation}|' || {value})"
+    return sql_token(value, kind, f"'{generation}'")
 
 
 @query("vault_tokenize", f"""
@@ -104,6 +111,60 @@ def delete_and_retokenize(spark: SparkSession, base: str) -> DataFrame:
     return K.tokenize(rows, ["c_mktsegment"], secret=SECRET, retired=retired)[0]
 
 
+def retired_events(spark: SparkSession, base: str) -> DataFrame:
+    """Generations after the tokens of two event types were deleted."""
+    rows = D.load(spark, base, "events").select("event_id", "event_type")
+    _, vault = K.vault_tokenize(rows, ["event_type"], secret=SECRET)
+    return K.delete_tokens(vault, vault.filter("value IN ('view', 'error')").select("token"), "vault")[1]
+
+
+_NEXT = "CASE WHEN {0} IN ('view', 'error') THEN '1' ELSE '0' END"
+
+
+@query("delete_and_retokenize_map", f"""
+SELECT event_id, 'user' AS key, {_token("'user_' || user_id")} AS value, 0 AS pos FROM events
+UNION ALL SELECT event_id, 'type', {sql_token('event_type', generation=_NEXT.format('event_type'))}, 1 FROM events""")
+def delete_and_retokenize_map(spark: SparkSession, base: str) -> DataFrame:
+    maps = D.load(spark, base, "events").select(
+        "event_id", F.create_map(F.lit("user"), D.text("user_", F.col("user_id")), F.lit("type"), F.col("event_type"))
+        .alias("fields"))
+    out, _ = K.tokenize_map(maps, "fields", secret=SECRET, row_key=["event_id"], retired=retired_events(spark, base))
+    return out.select("event_id", F.posexplode(F.map_entries("fields")).alias("pos", "e")).select(
+        "event_id", "e.key", "e.value", "pos")
+
+
+@query("delete_and_retokenize_protect", f"""
+SELECT event_id, {sql_token('event_type', generation=_NEXT.format('event_type'))} AS event_type FROM events""")
+def delete_and_retokenize_protect(spark: SparkSession, base: str) -> DataFrame:
+    rows = D.load(spark, base, "events").select("event_id", "event_type")
+    return K.protect_columns(rows, [K.Protection("event_type", "tokenized-vault")], RULES, "ANALYST", SECRET,
+                             retired_events(spark, base))[0]
+
+
+@query("random_composite_keys", """
+SELECT o_orderkey, 1 AS part, o_orderstatus, true AS own_token FROM orders
+UNION ALL SELECT o_orderkey, 2, o_orderstatus, true FROM orders""")
+def random_composite_keys(spark: SparkSession, base: str) -> DataFrame:
+    """Keys whose parts contain the separators of each other, or are null, and still get tokens of their own; all come back."""
+    orders = D.load(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    order, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    one = orders.select(F.concat(F.lit("a|"), order).alias("k1"), F.concat(F.lit("c:"), customer).alias("k2"), F.lit(1).alias("part"), "*")
+    two = orders.select(F.lit(None).cast("string").alias("k1"), F.concat(F.lit("a|"), order, F.lit("|c:"), customer).alias("k2"),
+                        F.lit(2).alias("part"), "*")
+    tokens, pairs = K.tokenize(one.unionByName(two), ["o_orderstatus"], deterministic=False, secret=SECRET, row_key=["k1", "k2"], call="c")
+    uses = tokens.groupBy(F.col("o_orderstatus").alias("token")).agg(F.count(F.lit(1)).alias("n"))
+    back = K.detokenize(tokens.withColumn("token", F.col("o_orderstatus")), ["o_orderstatus"], pairs)
+    return back.join(uses, "token").select("o_orderkey", "part", "o_orderstatus", (F.col("n") == 1).alias("own_token"))
+
+
+@query("detokenize_repeated_pairs", "SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders")
+def detokenize_repeated_pairs(spark: SparkSession, base: str) -> DataFrame:
+    """A vault that holds each pair twice, next to pairs of the other service."""
+    tokens, pairs = _tokenized_orders(spark, base)
+    other = pairs.withColumns({"kind": F.lit("critical"), "value": F.lit("wrong")})
+    return K.detokenize(tokens, ["o_orderpriority", "o_orderstatus"], pairs.unionByName(pairs).unionByName(other), kind="vault")
+
+
 @query("delete_tokens_left", f"""
 SELECT {_token('c_name')} AS token, c_name AS value FROM customer
 WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')""")

@@ -98,9 +98,11 @@ def stream_throttle(stream: DataFrame, root: str, checkpoint: str, seconds: int
 
 
 def stream_tokenize(stream: DataFrame, cols: Sequence[str], root: str, checkpoint: str,
-                    secret: str = "") -> StreamingQuery:
+                    *, secret: str, retired: DataFrame | None = None) -> StreamingQuery:
     """Tokenized rows below ``root/rows`` and new vault pairs below ``root/vault``.
 
+    Values in ``retired`` had their token deleted and get one of their next generation.
+
     Deterministic tokens make a repeated batch write the same rows; a batch looks
     at the pairs of other batches only to leave out what is already stored.
     """
@@ -108,7 +110,7 @@ def stream_tokenize(stream: DataFrame, cols: Sequence[str], root: str, checkpoin
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stored = _stored_pairs(spark, f"{root}/vault", batch_id)
-        rows, pairs = vault_tokenize(batch, cols, None, secret=secret)
+        rows, pairs = vault_tokenize(batch, cols, None, secret=secret, retired=retired)
         rows.write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
         fresh = pairs.join(stored.select("token"), "token", "left_anti")
         fresh.write.mode("overwrite").parquet(f"{root}/vault/batch={batch_id}")
