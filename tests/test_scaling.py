@@ -62,3 +62,20 @@ def test_a_key_with_a_third_of_the_rows_does_not_land_in_one_task(spark):
     finally:
         for k, v in keep.items():
             spark.conf.set(k, v)
+
+
+def test_a_small_control_table_does_not_move_the_data(spark, monkeypatch):
+    from wardlake.operators import scaling
+
+    big = spark.range(10_000).selectExpr("id % 3 AS k", "id AS v")
+    control = spark.createDataFrame([(0, "a"), (1, "b")], "k long, m string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = fan_out_join(big, control, ["k"])
+        assert "hashpartitioning" not in joined._jdf.queryExecution().toString()
+        monkeypatch.setattr(scaling, "BROADCAST_ROWS", 1)
+        salted = fan_out_join(big, control, ["k"])
+        assert "hashpartitioning" in salted._jdf.queryExecution().toString()
+        assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, salted.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -14,14 +14,19 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 # search does not rescan every word of a text.
 EMAIL_PRESENT = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}"
-DIGIT_RUN = r"[0-9]{13,}"
-SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
+# Digits, singly separated by a space or hyphen or not at all.
+DIGIT_RUN = r"[0-9](?:[ -]?[0-9]){12,}"
+CARD_DIGITS = (13, 19)
+# RE2 has no look-around, so one more character on each side tells where the number ends.
+SSN = r"[0-9-]*[0-9]{3}-[0-9]{2}-[0-9]{4}[0-9-]*"
+SSN_VALID = r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"
 IP = r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
 IP_VALID = (
     r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}"
     r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$"
 )
 SECRET = r"[0-9a-f]{40,}"
+SECRET_DIGITS = (40, 40)
 
 
 def _found(col: Column, pattern: str) -> Column:
@@ -42,21 +47,31 @@ def _luhn(text: Column) -> Column:
     return F.call_function("luhn_check", text)
 
 
-def entity_hits(col: Column, entity_type: str) -> Column:
-    """``ARRAY<STRUCT<hit STRING, score INT>>`` of one entity type in a value."""
+def _in_range(hit: Column, lengths: tuple[int, int]) -> Column:
+    return F.char_length(hit).between(*lengths)
+
+
+def entity_hits(col: Column, entity_type: str, card_digits: tuple[int, int] = CARD_DIGITS,
+                secret_digits: tuple[int, int] = SECRET_DIGITS) -> Column:
+    """``ARRAY<STRUCT<hit STRING, score INT>>`` of one entity type in a value.
+
+    Card numbers are given without their separators. ``card_digits`` and
+    ``secret_digits`` are the least and most digits that still count as a hit.
+    """
     if entity_type == "EMAIL":
         return _scored(_found_with(col, "@", EMAIL), lambda h: F.lit(95))
     if entity_type == "PHONE":
         return _scored(_found_with(col, "+", PHONE), lambda h: F.lit(80))
     if entity_type == "CREDIT_DEBIT_NUMBER":
-        runs = F.filter(_found(col, DIGIT_RUN), lambda h: F.char_length(h) <= 19)
+        bare = F.transform(_found(col, DIGIT_RUN), lambda h: F.regexp_replace(h, "[ -]", ""))
+        runs = F.filter(bare, lambda h: _in_range(h, card_digits))
         return _scored(runs, lambda h: F.when(_luhn(h), 99).otherwise(20))
     if entity_type == "SSN":
-        return _scored(_found(col, SSN), lambda h: F.lit(85))
+        return _scored(F.filter(_found(col, SSN), lambda h: h.rlike(SSN_VALID)), lambda h: F.lit(85))
     if entity_type == "IP_ADDRESS":
         return _scored(_found(col, IP), lambda h: F.when(h.rlike(IP_VALID), 90).otherwise(10))
     if entity_type == "SECRET_TOKEN":
-        keys = F.filter(_found(col, SECRET), lambda h: F.char_length(h) == 40)
+        keys = F.filter(_found(col, SECRET), lambda h: _in_range(h, secret_digits))
         return _scored(keys, lambda h: F.lit(90))
     raise ValueError(f"unknown entity type {entity_type!r}")
 

@@ -134,7 +134,8 @@ def merge_policy_types(frames: Mapping[str, DataFrame]) -> DataFrame:
 def patch_rows(base: DataFrame, patch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Partial update: a NULL or absent patch field keeps the old value.
 
-    Patch rows must be unique by key. Patches whose key has no base row are ignored.
+    Several patches of a key count as one: per field the greatest value that is not
+    NULL; reduce them with ``latest_version`` first if the latest shall win. Patches whose key has no base row are ignored.
     """
     fields = [c for c in patch.columns if c not in keys]
     if not fields:
@@ -142,7 +143,7 @@ def patch_rows(base: DataFrame, patch: DataFrame, keys: Sequence[str]) -> DataFr
     unknown = set(fields) - set(base.columns)
     if unknown:
         raise ValueError(f"patch fields {sorted(unknown)} are not in the base table")
-    renamed = patch.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in fields])
+    renamed = patch.groupBy(*keys).agg(*[F.max(c).alias(f"_new_{c}") for c in fields])
     joined = base.join(renamed, list(keys), "left")
     return joined.select(*[
         F.coalesce(f"_new_{c}", c).alias(c) if c in fields else F.col(c) for c in base.columns

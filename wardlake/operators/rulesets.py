@@ -209,6 +209,8 @@ class CompiledSet:
         else:
             test = _number_test(F.col("column_size"), leaf["comparator"], leaf["size"])
             result = F.coalesce(test, F.lit(False))
+        if target in NEEDS_DATA:  # a column of which no value was read is unknown, also to a negated leaf
+            result = F.when(has_rows, result)
         return ~result if leaf.get("negated") else result
 
     def result(self, tree: dict) -> Column:

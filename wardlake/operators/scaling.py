@@ -12,7 +12,8 @@ from wardlake.session import write_through
 
 HOT_SHARE = 0.001
 SALTS = 64
-CONTROL_SALTS = 16
+#: Control tables of up to so many rows are sent to all tasks; they hold names and numbers, a few hundred bytes a row.
+BROADCAST_ROWS = 20_000
 
 
 def _has_map(dtype: T.DataType) -> bool:
@@ -83,17 +84,20 @@ def fan_out_join(
     control: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    salts: int = CONTROL_SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Equi-join with a control table (rules, tags, policies) on keys that have few values.
 
-    Such keys are hot by nature: every row of ``big`` has one of a handful of
-    values. Rows of ``big`` get a salt from their hash and the control table is
-    repeated once per salt, so the hottest key is split ``salts`` ways without any
-    statistics. No side is forced to broadcast: Spark does so only when the
-    control table is under its size threshold.
+    The control table is counted first, up to ``BROADCAST_ROWS``. Within that it is
+    broadcast and ``big`` is not shuffled. Beyond, such keys are hot by nature:
+    rows of ``big`` get a salt from their hash and the control table is repeated
+    once per salt, as many as there are shuffle partitions, so that the hottest
+    key can use the whole cluster.
     """
     keys = list(keys)
+    if control.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(control), keys, how)
+    salts = salts or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     copies = control.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return big.withColumn("_salt", row_salt(big, salts)).join(copies, [*keys, "_salt"], how).drop("_salt")
 

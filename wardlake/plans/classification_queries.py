@@ -82,8 +82,8 @@ WITH hits AS (
   SELECT doc_id, 'EMAIL' AS entity_type, h AS hit, 95 AS score FROM {_hits(detectors.EMAIL)}
   UNION ALL SELECT doc_id, 'PHONE', h, 80 FROM {_hits(detectors.PHONE)}
   UNION ALL SELECT doc_id, 'CREDIT_DEBIT_NUMBER', h, CASE WHEN {_LUHN} THEN 99 ELSE 20 END
-    FROM {_hits(detectors.DIGIT_RUN)} WHERE length(h) <= 19
-  UNION ALL SELECT doc_id, 'SSN', h, 85 FROM {_hits(detectors.SSN)}
+    FROM (SELECT doc_id, replace(replace(h, ' ', ''), '-', '') AS h FROM {_hits(detectors.DIGIT_RUN)}) WHERE length(h) BETWEEN 13 AND 19
+  UNION ALL SELECT doc_id, 'SSN', h, 85 FROM {_hits(detectors.SSN)} WHERE regexp_matches(h, '{detectors.SSN_VALID}')
   UNION ALL SELECT doc_id, 'IP_ADDRESS', h, CASE WHEN regexp_matches(h, '{detectors.IP_VALID}') THEN 90 ELSE 10 END
     FROM {_hits(detectors.IP)}
   UNION ALL SELECT doc_id, 'SECRET_TOKEN', h, 90 FROM {_hits(detectors.SECRET)} WHERE length(h) = 40)
@@ -93,6 +93,22 @@ def detect_entities(spark: SparkSession, base: str) -> DataFrame:
     return C.detect_entities(docs, "text", minimum_score=0.2)
 
 
+@query("detect_written_numbers", f"""
+WITH t AS (SELECT o_orderkey AS doc_id, lpad(CAST(o_orderkey AS VARCHAR), 12, '4') AS d FROM orders),
+h AS (SELECT doc_id, '4111' || d AS h FROM t UNION ALL SELECT doc_id, '4222' || d FROM t UNION ALL SELECT doc_id, '4333' || d FROM t)
+SELECT doc_id, 'CREDIT_DEBIT_NUMBER' AS entity_type, h AS hit, CASE WHEN {_LUHN} THEN 99 ELSE 20 END AS score FROM h
+UNION ALL SELECT doc_id, 'SSN', '123-45-' || right(d, 4), 85 FROM t""")
+def detect_written_numbers(spark: SparkSession, base: str) -> DataFrame:
+    """Card numbers with hyphens, with spaces and without; a security number, and one inside longer digits that is none."""
+    d = F.lpad(F.col("o_orderkey").cast("string"), 12, "4")
+    quads = lambda sep: [F.concat(F.lit(sep), F.substring(d, i, 4)) for i in (1, 5, 9)]
+    text = F.concat(F.lit("pay 4111"), *quads("-"), F.lit(" or 4222"), *quads(" "), F.lit(" or 4333"), d,
+                    F.lit("; ssn 123-45-"), F.right(d, F.lit(4)), F.lit(", part 9123-45-6789-0."))
+    docs = D.load(spark, base, "orders").select(F.col("o_orderkey").alias("doc_id"), F.lit("en").alias("lang"), text.alias("text"))
+    found = C.detect_entities(docs, "text", minimum_score=0.2).where("entity_type IN ('CREDIT_DEBIT_NUMBER', 'SSN')")
+    return found.select("doc_id", "entity_type", "hit", "score")
+
+
 @query("content_types", """
 SELECT event_id,
   coalesce(left(v, 1) IN ('{', '[') AND json_valid(v), false) AS is_json,
