@@ -105,6 +105,26 @@ def test_mysql_lines(spark, tmp_path):
     assert [(r["statement_text"], r["statement_type"]) for r in out] == [("select 1", "SELECT")]
 
 
+def test_records_across_blocks(spark, tmp_path):
+    """Blocks of a few bytes: most borders lie inside a statement."""
+    log = "".join(f"2024-05-01 10:00:{i:02d} UTC [1] u{i}@d LOG:  statement: select {i},\n  'a',\n\n  b{i}\nfrom t\n" for i in range(40))
+    (tmp_path / "a.log").write_text(log)
+    thread = "2024-05-01T10:00:00Z\t 8 Connect\tbob@host on shop using TCP/IP\n" + "".join(
+        f"2024-05-01T10:00:01Z\t 8 Query\tselect {i}\n from t\n" for i in range(30))
+    (tmp_path / "q.txt").write_text(thread)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "97b")
+    try:
+        pg = L.ingest_native_audit_log(spark, str(tmp_path / "a.log"), "postgresql", "log", "%t [%p] %u@%d ").collect()
+        my = L.ingest_native_audit_log(spark, str(tmp_path / "q.txt"), "mysql", "log").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert {(r["repo_user"], r["statement_text"]) for r in pg} == {(f"u{i}", f"select {i},\n  'a',\n\n  b{i}\nfrom t") for i in range(40)}
+    assert len(pg) == 40
+    assert sorted((r["repo_user"], r["client_host"], r["statement_text"]) for r in my) == sorted(
+        ("bob", "host", f"select {i}\n from t") for i in range(30))
+
+
 def test_rules_of_several_pages(spark):
     def rule(level):
         return {"rule_id": "r", "role": "A", "tag_value": "T", "success_rule_json": {"masking_policy": level}}

@@ -11,7 +11,7 @@ from wardlake.plans import derived as D
 from wardlake.plans.registry import query, sql_stamp, stamp
 from wardlake.session import scratch_path
 from wardlake.sources.audit_log import (
-    flatten_audit_events, normalise_native_log, parse_audit_events,
+    flatten_audit_events, ingest_native_audit_log, normalise_native_log, parse_audit_events,
 )
 
 
@@ -53,6 +53,43 @@ def ingest_postgres_log(spark: SparkSession, base: str) -> DataFrame:
                       "statement_type", "execution_success")
 
 
+def _log_file(lines: DataFrame, order: str, name: str) -> str:
+    """Text files with the lines in order."""
+    path = scratch_path(lines.sparkSession, name)
+    lines.repartitionByRange(order).sortWithinPartitions(order).select("value").write.text(path)
+    return path
+
+
+@query("ingest_postgres_multiline", f"""
+WITH {D.AUDITS}
+SELECT {sql_stamp("date_trunc('second', event_time)")} AS event_time, consuming_user AS repo_user,
+  'select ' || event_id || ',' || chr(10) || '  "LOG: x"' || chr(10) || chr(10) || 'from ' || table_name AS statement_text,
+  'SELECT' AS statement_type FROM audits""")
+def ingest_postgres_multiline(spark: SparkSession, base: str) -> DataFrame:
+    """Statements over four lines, one of them empty, read from files."""
+    lines = D.audits(spark, base).select("event_id", F.concat(
+        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC [77] "), F.col("consuming_user"),
+        F.lit("@tpch LOG:  statement: select "), F.col("event_id").cast("string"), F.lit(',\n  "LOG: x"\n\nfrom '),
+        F.col("table_name")).alias("value"))
+    out = ingest_native_audit_log(spark, _log_file(lines, "event_id", "pg-log"), "postgresql", "log", "%t [%p] %u@%d ")
+    return out.select(stamp("event_time").alias("event_time"), "repo_user", "statement_text", "statement_type")
+
+
+@query("ingest_mysql_log", f"""
+WITH {D.AUDITS}
+SELECT {sql_stamp('event_time')} AS event_time, consuming_user AS repo_user, 'db' AS client_host,
+  'select ' || event_id || chr(10) || 'from ' || table_name AS statement_text FROM audits""")
+def ingest_mysql_log(spark: SparkSession, base: str) -> DataFrame:
+    """Two records of a thread: who connected, and a statement of two lines without a name."""
+    at = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    thread = F.col("event_id").cast("string")
+    lines = D.audits(spark, base).select("event_id", F.concat(
+        at, F.lit("\t"), thread, F.lit(" Connect\t"), F.col("consuming_user"), F.lit("@db on tpch using TCP/IP\n"),
+        at, F.lit("\t"), thread, F.lit(" Query\tselect "), thread, F.lit("\nfrom "), F.col("table_name")).alias("value"))
+    out = ingest_native_audit_log(spark, _log_file(lines, "event_id", "mysql-log"), "mysql", "log")
+    return out.select(stamp("event_time").alias("event_time"), "repo_user", "client_host", "statement_text")
+
+
 @query("ingest_mysql_table", f"""
 WITH {D.AUDITS}
 SELECT {sql_stamp('event_time')} AS event_time, consuming_user AS repo_user, '10.0.0.' || k AS client_host, statement_text

@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from wardlake.sources.log_records import read_records
+
 # The shape of a sidecar audit event.
 _COLUMN = "struct<database:string,schema:string,table:string,column:string>"
 EVENT_DDL = (
@@ -230,8 +232,9 @@ def _mysql_lines(df: DataFrame, column: str = "value") -> DataFrame:
     def part(i: int) -> Column:
         return F.regexp_extract(column, _MYSQL_LINE, i)
 
+    who = F.regexp_replace(F.coalesce("who", F.lit("")), "@", "@ ") if "who" in df.columns else F.lit("")
     rows = df.filter(F.col(column).rlike(_MYSQL_LINE)).select(
-        part(1).alias("event_time"), F.lit("").alias("user_host"), part(2).alias("thread_id"),
+        part(1).alias("event_time"), who.alias("user_host"), part(2).alias("thread_id"),
         part(3).alias("command_type"), part(4).alias("argument"))
     return _mysql(rows)
 
@@ -271,7 +274,11 @@ def normalise_native_log(df: DataFrame, db_type: str, file_type: str = "log",
 def ingest_native_audit_log(spark: SparkSession, path: str, db_type: str, file_type: str,
                             log_line_prefix: str = "%m [%p] ", initial_ts: Column | None = None,
                             stream: bool = False) -> DataFrame:
-    """Read native audit files, in batch or as a file stream."""
+    """Read native audit files, in batch or as a file stream.
+
+    Statements of several lines are put together; in a MySQL file log the user of a
+    thread is the one who connected.
+    """
     reader = spark.readStream if stream else spark.read
     kind = (db_type.lower(), file_type.lower())
     if kind == ("postgresql", "csv"):
@@ -282,6 +289,10 @@ def ingest_native_audit_log(spark: SparkSession, path: str, db_type: str, file_t
     elif kind[1] == "table":
         names = MYSQL_TABLE_COLUMNS if kind[0] == "mysql" else ORACLE_COLUMNS
         raw = reader.schema(", ".join(f"{c} string" for c in names)).option("header", True).csv(path)
+    elif kind == ("postgresql", "log"):
+        raw = read_records(spark, path, prefix_pattern(log_line_prefix)[0], stream=stream)
+    elif kind == ("mysql", "log"):
+        raw = read_records(spark, path, _MYSQL_LINE, threads=(2, 3, 4), stream=stream)
     else:
         raw = reader.text(path)
     return normalise_native_log(raw, db_type, file_type, log_line_prefix, initial_ts)
