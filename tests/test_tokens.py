@@ -55,8 +55,12 @@ def test_short_and_long_values(spark):
     with pytest.raises(Exception, match="symbols of the alphabet"):
         spark.createDataFrame([("1" * 40,)], "v string").select(fpe_encrypt(F.col("v"), "numeric", v)).collect()
     r = short.withColumn("c", fpe_encrypt(F.col("v"), "numeric", v, is_padded=True)).withColumn(
-        "p", fpe_decrypt(F.col("c"), "numeric", v, width=F.lit(2))).first()
-    assert len(r["c"]) == 6 and r["p"] == "42"
+        "p", fpe_decrypt(F.col("c"), "numeric", v, is_padded=True)).first()
+    assert len(r["c"]) == 7 and r["p"] == "42"
+    mixed = spark.createDataFrame([("012",), ("12",), ("1-2 x",), ("no",), ("000000000",), (None,)], "v string")
+    back = mixed.withColumn("c", fpe_encrypt(F.col("v"), "numeric", v, is_padded=True)).withColumn(
+        "p", fpe_decrypt(F.col("c"), "numeric", v, is_padded=True)).collect()
+    assert all(r["p"] == r["v"] for r in back) and len({r["c"] for r in back}) == 6
 
 
 def test_key_versions():

@@ -64,6 +64,10 @@ class _Ff1:
         self.longest = 2 * half
         # SP 800-38G asks for at least a million different inputs of the same length.
         self.shortest = max(2, math.ceil(6 / math.log10(self.radix) - 1e-9))
+        # Padded values begin with the number of padding symbols, in so many symbols.
+        self.mark = 1
+        while self.radix**self.mark <= self.shortest:
+            self.mark += 1
         self.powers = F.array(*[F.lit(self.radix**i).cast("long") for i in range(half + 1)])
         self.widths = F.array(
             *[F.lit((((self.radix**i - 1).bit_length() + 7) // 8) if i else 0) for i in range(half + 1)]
@@ -181,33 +185,41 @@ def _transform(col: Column, ff1: _Ff1, is_padded: bool, decrypt: bool) -> Column
 
     def on_core(core: Column) -> Column:
         n = F.char_length(core)
+        shortest, longest, body, spare = ff1.shortest, ff1.longest, core, 0
         if is_padded and not decrypt:
             # Short input is padded first, so one Feistel network serves both cases.
-            body = F.lpad(core, F.greatest(n, F.lit(ff1.shortest)), F.lit(ff1.symbols[0]))
-            too_short = F.lit(False)
-        else:
-            body, too_short = core, n < ff1.shortest
+            missing = F.greatest(F.lit(shortest) - n, F.lit(0))
+            body = F.concat(ff1.text(missing.cast("long"), F.lit(ff1.mark)), F.repeat(F.lit(ff1.symbols[0]), missing), core)
+            shortest, longest, spare = 1, longest - ff1.mark, missing + ff1.mark
         wrong = F.raise_error(F.concat(
-            F.lit(f"value needs {ff1.shortest} to {ff1.longest} symbols of the alphabet, has "),
-            n.cast("string"),
+            F.lit(f"value needs {shortest} to {longest} symbols of the alphabet, has "), n.cast("string"),
         )).cast("string")
         return (
             F.when(n == 0, col)
-            .when(too_short | (n > ff1.longest), wrong)
-            .otherwise(let(ff1.feistel(body, decrypt), lambda done: weave(done, n)))
+            .when((n < shortest) | (n > longest), wrong)
+            .otherwise(let(ff1.feistel(body, decrypt), lambda done: unpadded(done) if is_padded and decrypt else split(done, spare)))
         )
 
-    def weave(done: Column, n: Column) -> Column:
+    def split(done: Column, spare: Column | int) -> Column:
+        """Symbols that padding added stand in front; the others go where the old ones stood."""
+        if isinstance(spare, int):
+            return weave(done, col)
+        return F.concat(F.substring(done, F.lit(1), spare), weave(F.substr(done, spare + 1), col))
+
+    def unpadded(done: Column) -> Column:
+        spare = (ff1.number(F.substring(done, 1, ff1.mark)) + ff1.mark).cast("int")
+        return let(spare, lambda k: weave(F.substr(done, k + 1), F.substr(col, k + 1)))
+
+    def weave(done: Column, source: Column) -> Column:
         """Put the new symbols where the old ones stood."""
 
         def place(i: Column) -> Column:
-            here = F.substring(col, i, F.lit(1))
-            rank = F.char_length(F.regexp_replace(F.substring(col, F.lit(1), i), foreign, ""))
+            here = F.substring(source, i, F.lit(1))
+            rank = F.char_length(F.regexp_replace(F.substring(source, F.lit(1), i), foreign, ""))
             return F.when(here.rlike(foreign), here).otherwise(F.substring(done, rank, F.lit(1)))
 
-        spots = F.sequence(F.lit(1), F.char_length(col))
-        same_shape = (F.char_length(col) == n) | (F.char_length(done) > n)
-        return F.when(same_shape, done).otherwise(F.array_join(F.transform(spots, place), ""))
+        spots = F.sequence(F.lit(1), F.char_length(source))
+        return F.when(F.char_length(source) == F.char_length(done), done).otherwise(F.array_join(F.transform(spots, place), ""))
 
     return F.when(col.isNotNull(), let(F.regexp_replace(col, foreign, ""), on_core))
 
@@ -217,19 +229,20 @@ def fpe_encrypt(col: Column, alphabet: str, versions: list[KeyVersion],
     """Encrypt the symbols of the alphabet; other characters stay in place.
 
     A value without symbols of the alphabet is returned as it is. A shorter value
-    than FF1 allows raises, or is left-padded with the first symbol when
-    ``is_padded``; a value with more symbols than fit the arithmetic raises.
+    than FF1 allows raises, unless ``is_padded``: then every value is encrypted
+    together with the number of padding symbols before it, so that decryption gives
+    back its length; the result is longer by these symbols. A value with more
+    symbols than fit the arithmetic raises.
     """
     ff1 = _Ff1(alphabet, pick_version(versions, sequence, encrypt=True))
     return _transform(col, ff1, is_padded, decrypt=False)
 
 
 def fpe_decrypt(col: Column, alphabet: str, versions: list[KeyVersion],
-                sequence: int | None = None, width: Column | None = None) -> Column:
-    """Reverse ``fpe_encrypt``; ``width`` cuts padded values to their old length."""
+                sequence: int | None = None, is_padded: bool = False) -> Column:
+    """Reverse ``fpe_encrypt``, given the same ``is_padded``."""
     ff1 = _Ff1(alphabet, pick_version(versions, sequence, encrypt=False))
-    plain = _transform(col, ff1, False, decrypt=True)
-    return plain if width is None else F.right(plain, width)
+    return _transform(col, ff1, is_padded, decrypt=True)
 
 
 def latest_version(keys: DataFrame) -> DataFrame:

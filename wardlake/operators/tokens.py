@@ -342,8 +342,8 @@ def encrypt_distinct(df: DataFrame, column: str, alphabet: str, versions: Sequen
 
 
 def decrypt_distinct(df: DataFrame, column: str, alphabet: str, versions: Sequence[KeyVersion],
-                     sequence: int | None = None) -> DataFrame:
-    return map_distinct(df, column, lambda c: fpe_decrypt(c, alphabet, list(versions), sequence))
+                     sequence: int | None = None, is_padded: bool = False) -> DataFrame:
+    return map_distinct(df, column, lambda c: fpe_decrypt(c, alphabet, list(versions), sequence, is_padded))
 
 
 @dataclass(frozen=True)

@@ -267,6 +267,33 @@ def fpe_roundtrip(spark: SparkSession, base: str) -> DataFrame:
 @query("fpe_roundtrip_distinct", "SELECT o_orderkey, o_orderpriority FROM orders")
 def fpe_roundtrip_distinct(spark: SparkSession, base: str) -> DataFrame:
     sealed = write_through(fpe_encrypt_distinct(spark, base), "sealed")
-    opened = K.decrypt_distinct(sealed, "o_orderpriority", "alphanumeric", KEYS)
-    # Padding put zeros before the two short values.
-    return opened.withColumn("o_orderpriority", F.regexp_replace("o_orderpriority", "^0+", ""))
+    return K.decrypt_distinct(sealed, "o_orderpriority", "alphanumeric", KEYS, is_padded=True)
+
+
+@query("fpe_padded_roundtrip", """
+SELECT o_orderkey, k, v AS plain, v AS opened FROM (
+  SELECT o_orderkey, unnest(range(5)) AS k, unnest(['12', '012', CAST(o_orderkey AS VARCHAR), lpad(CAST(o_orderkey AS VARCHAR), 9, '0'),
+    'x-' || (o_orderkey % 10) || '/00']) AS v FROM orders)""")
+def fpe_padded_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """Short values, with and without leading zeros and other characters, come back as they were."""
+    number = F.col("o_orderkey").cast("string")
+    values = F.array(F.lit("12"), F.lit("012"), number, F.lpad(number, 9, "0"),
+                     F.concat(F.lit("x-"), (F.col("o_orderkey") % 10).cast("string"), F.lit("/00")))
+    rows = D.load(spark, base, "orders").select("o_orderkey", F.posexplode(values).alias("k", "plain"))
+    sealed = K.encrypt_distinct(rows.withColumn("opened", F.col("plain")), "opened", "numeric", KEYS, is_padded=True)
+    opened = K.decrypt_distinct(write_through(sealed, "sealed"), "opened", "numeric", KEYS, is_padded=True)
+    return opened.withColumn("k", F.col("k").cast("long"))
+
+
+@query("protect_columns_fpe", """
+SELECT c_custkey, c_name AS opened, true AS same_shape, true AS moved FROM customer""")
+def protect_columns_fpe(spark: SparkSession, base: str) -> DataFrame:
+    """The encrypted branch of the dispatch: letters and the separator stay, digits change, and they come back."""
+    rows = D.load(spark, base, "customer").select("c_custkey", "c_name")
+    plan = [K.Protection("c_name", "encryption-fpe", versions=tuple(KEYS))]
+    sealed, _ = K.protect_columns(rows, plan, RULES, "ANALYST")
+    both = write_through(sealed, "sealed").join(rows.withColumnRenamed("c_name", "plain"), "c_custkey")
+    return both.select(
+        "c_custkey", fpe_decrypt(F.col("c_name"), "numeric", KEYS).alias("opened"),
+        (F.regexp_replace("c_name", "[0-9]", "0") == F.regexp_replace("plain", "[0-9]", "0")).alias("same_shape"),
+        (F.col("c_name") != F.col("plain")).alias("moved"))
