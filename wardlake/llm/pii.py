@@ -63,7 +63,15 @@ KINDS = (
     ("card", r"(?<![\d\-.])\d(?:[ \-]?\d){12,18}(?![\d\-])"),
     ("name", rf"(?<![\p{{L}}\d])(?:{_TITLED})\.?[ \u00A0]{_WORD}(?:[ \u00A0]{_WORD})?"),
 )
-PATTERN = "|".join(f"(?:{p})" for _, p in KINDS)
+_OF = dict(KINDS)
+#: Entities that begin with a digit or sign are tried at such characters only, the others only where a word begins.
+PATTERN = (
+    "(?=[0-9+(])(?:" + "|".join(f"(?:{_OF[k]})" for k in ("email", "hex", "ip", "ssn", "phone", "card")) + ")"
+    + r"|(?<![\p{L}\p{N}])(?=[\p{L}._%\-])(?:" + "|".join(f"(?:{_OF[k]})" for k in ("email", "secret", "hex", "iban", "name")) + ")"
+)
+_FIRSTS = "".join(sorted({t[0] for group in TITLES.values() for t in group}))
+#: Every entity has a digit, an at sign or a title; texts without them are not searched.
+HINT = rf"[0-9@]|(?=[{_FIRSTS}])(?:{_TITLED})\.?[ \u00A0]\p{{Lu}}"
 SEPARATORS = r"[ \-.()]"
 
 
@@ -243,16 +251,18 @@ def assign_surrogates(found: DataFrame, key: str) -> DataFrame:
 def replace_personal(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text``; all rows and columns stay, and ``count`` names a column for the number of replacements.
 
-    Null stays null; texts without entities stay as they are and are not
-    shuffled. Repeated rows, and rows with the same entities, share their
+    Null stays null; texts without entities stay as they are, and those without a
+    digit, an at sign or a title are not even shuffled. Repeated rows, and rows with the same entities, share their
     replacements.
     """
     list_, digest, made = (free_name(docs, n) for n in ("__entities", "__digest", "__made"))
     body = F.col(f"`{text}`")
-    with_list = docs.withColumn(list_, entities(body))
+    hinted = F.coalesce(body.rlike(HINT), F.lit(False))
+    # a generator computes the list once for a row, where a filter and a projection would compute it twice
+    searched = docs.where(hinted).select("*", F.explode(F.array(entities(body))).alias(list_))
     joined = F.array_join(F.col(list_), "\u0001")
     lists = write_through(
-        with_list.where(F.size(list_) > 0).select(F.sha2(joined, 256).alias(digest), F.col(list_)).dropDuplicates([digest]), "entities")
+        searched.select(list_).where(F.size(list_) > 0).select(F.sha2(joined, 256).alias(digest), list_).dropDuplicates([digest]), "entities")
     forms = lists.select(F.explode(list_).alias("entity")).distinct().withColumn("kind", kind_of(F.col("entity")))
     forms = write_through(forms.withColumn("value", canonical(F.col("kind"), F.col("entity"))), "forms")
     chosen = assign_surrogates(forms.select("kind", "value").distinct(), key)
@@ -260,11 +270,14 @@ def replace_personal(docs: DataFrame, key: str, text: str = "text", count: str |
         "entity", written(F.col("kind"), F.col("entity"), F.col("surrogate")).alias("new")), "spelled")
     placed = lists.select(digest, F.posexplode(list_).alias("pos", "entity")).join(spelled, "entity")
     by_list = placed.groupBy(digest).agg(F.sort_array(F.collect_list(F.struct("pos", "new"))).alias(made))
-    touched = with_list.where(F.size(list_) > 0).withColumn(digest, F.sha2(joined, 256)).join(by_list, digest)
+    # texts without entities get a key of their own, so that they do not meet in one task
+    keyed = searched.withColumn(digest, F.when(F.size(list_) > 0, F.sha2(joined, 256)).otherwise(F.sha2(body, 256)))
+    touched = keyed.join(by_list, digest, "left")
     rebuilt = let(F.split(body, PATTERN, -1), lambda gaps: F.array_join(F.transform(
         gaps, lambda g, i: F.concat(g, F.coalesce(F.get(F.col(made), i)["new"], F.lit("")))), ""))
-    untouched = with_list.where(F.col(list_).isNull() | (F.size(list_) == 0))
-    extra = [] if count is None else [F.coalesce(F.size(list_), F.lit(0)).cast("long").alias(count)]
-    columns = lambda new: [(new if c == text else F.col(f"`{c}`")) for c in docs.columns if c != count]
-    clean = untouched.select(*columns(body), *[F.lit(0).cast("long").alias(count) for _ in extra])
-    return clean.unionByName(touched.select(*columns(rebuilt.alias(text)), *extra))
+    changed = F.when(F.col(made).isNull(), body).otherwise(rebuilt)
+    columns = lambda new: [(new.alias(text) if c == text else F.col(f"`{c}`")) for c in docs.columns if c != count]
+    found = [] if count is None else [F.size(list_).cast("long").alias(count)]
+    none = [] if count is None else [F.lit(0).cast("long").alias(count)]
+    clean = docs.where(~hinted).select(*columns(body), *none)
+    return clean.unionByName(touched.select(*columns(changed), *found))
