@@ -51,8 +51,12 @@ class OrdinalModel:
         return np.diff(edges, axis=1)
 
 
-def features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``first, columns, sizes`` for runs of texts: the distinct feature columns of each; none for a text without words."""
+def features(texts: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """``first, columns, sizes, wordy`` for runs of texts: the distinct feature columns of each, and whether it has words.
+
+    A text without words has no features. ``wanted`` marks the columns that matter;
+    others are left out before anything is sorted.
+    """
     mark = np.uint64(DIMS - 1)
     for first, _, data, starts in wordhash.text_blocks(texts):
         words, counts, *begins = wordhash.word_hashes(data, starts, _GAPS, PREFIXES)
@@ -60,8 +64,14 @@ def features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         doc = np.repeat(np.arange(n), counts)
         with np.errstate(over="ignore"):
             kinds = [words] + [wordhash.mix(b + np.uint64(k)) for k, b in zip(PREFIXES, begins)]
-            cells = [doc.astype(np.uint64) << np.uint64(DIMS_BITS) | h & mark for h in kinds]
-            cells = np.unique(np.concatenate(cells))
+            owner_of, cells = doc.astype(np.uint64) << np.uint64(DIMS_BITS), []
+            for h in kinds:
+                column = h & mark
+                if wanted is None:
+                    cells.append(owner_of | column)
+                else:
+                    matter = wanted[column.astype(np.int64)]
+                    cells.append(owner_of[matter] | column[matter])
             owner = np.repeat(np.arange(n), np.diff(starts))
             marks = np.bincount(owner * 256 + data, minlength=n * 256).reshape(n, 256) if len(data) else np.zeros((n, 256), np.int64)
             many = np.maximum(counts, 1)[:, None]
@@ -73,15 +83,15 @@ def features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             shapes = [(shape_doc, _PUNCTUATION[shape_col] * 1000 + dense[shape_doc, shape_col]),
                       (np.arange(n), 1_000_000 + capitals), (np.arange(n), 2_000_000 + variety)]
             extra = [d.astype(np.uint64) << np.uint64(DIMS_BITS) | wordhash.mix(v.astype(np.uint64) + np.uint64(1 << 40)) & mark for d, v in shapes]
-        cells = np.unique(np.concatenate([cells, *extra]))
+        cells = np.unique(np.concatenate([*cells, *extra]))
         owner = (cells >> np.uint64(DIMS_BITS)).astype(np.int64)
-        wordy = counts[owner] > 0
-        yield first, (cells[wordy] & mark).astype(np.int64), np.bincount(owner[wordy], minlength=n)
+        kept = counts[owner] > 0
+        yield first, (cells[kept] & mark).astype(np.int64), np.bincount(owner[kept], minlength=n), counts > 0
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, columns, sizes in features(batch.column(1)):
+        for first, columns, sizes, _ in features(batch.column(1)):
             ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(first, len(sizes)), pa.ListArray.from_arrays(pa.array(ends), pa.array(columns.astype(np.int32)))],
@@ -194,15 +204,15 @@ def predict(docs: DataFrame, model: OrdinalModel | None, tail: int, text: str =
     schema = T.StructType([*rows.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = None if model is None else model.weights != 0
         for batch in batches:
             expected, chance = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
             if model is None:
                 expected[:], chance[:] = float(tail), 1.0
             else:
-                for first, columns, sizes in features(batch.column(text)):
+                for first, columns, sizes, wordy in features(batch.column(text), wanted):
                     owner = np.repeat(np.arange(len(sizes)), sizes)
                     p = model.probabilities(np.bincount(owner, model.weights[columns], len(sizes)))
-                    wordy = sizes > 0
                     expected[first:first + len(sizes)] = np.where(wordy, p @ np.arange(p.shape[1]), 0.0)
                     chance[first:first + len(sizes)] = np.where(wordy, p[:, tail:].sum(1), 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(expected), pa.array(chance)], [*batch.schema.names, *names])
