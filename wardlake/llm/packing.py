@@ -34,13 +34,13 @@ from wardlake.llm.wordcache import UnitTable, kept_in_worker, ragged
 BLOCK_TOKENS = 1 << 20
 #: Cut penalties in tokens of padding: at the end of a sentence, between words, inside a word.
 SENTENCE, WORD, INSIDE = 2, 5, 20
-#: Distinct units, and distinct parts of them, kept by a Python worker.
-MOST_UNITS, MOST_PARTS = 1_000_000, 1_500_000
+#: Distinct units kept by a Python worker, and twice as many parts of them: about 300 MB. Fewer need less memory and more time.
+MOST_UNITS = 600_000
 #: Without the end of a sentence, cuts lie about so many tokens apart.
-GRID = 24
+GRID = 32
 
+_MARKS = ".,;:!?*&%$#@)]}"
 _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*&%$#@)\]}]*)")
 
 
 class WordTokenizer:
@@ -51,18 +51,18 @@ class WordTokenizer:
     plain word with punctuation behind it are those of both parts.
     """
 
-    def __init__(self, model: str):
+    def __init__(self, model: str, most_units: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.parts = UnitTable(self._encode, most=MOST_PARTS)
-        self.table = UnitTable(self._by_parts, lambda u: u == "\n" or u[-1:] in ".!?", MOST_UNITS)
+        self.parts = UnitTable(self._encode, most=2 * most_units)
+        self.table = UnitTable(self._by_parts, lambda u: u == "\n" or u[-1:] in ".!?", most_units)
 
     def _encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Parts of letters are encoded in one text, where each is a word of its own; the others one by one."""
         lengths, ids = np.zeros(len(parts), np.int64), [np.zeros(0, np.uint32)]
-        plain = np.fromiter((_LETTERS.fullmatch(p) is not None for p in parts), bool, len(parts))
+        plain = np.fromiter((p.isalpha() and (p.isascii() or _LETTERS.fullmatch(p) is not None) for p in parts), bool, len(parts))
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
         words, others = [parts[k] for k in np.flatnonzero(plain)], [parts[k] for k in np.flatnonzero(~plain)]
         for at in range(0, len(words), 20_000):
@@ -82,13 +82,14 @@ class WordTokenizer:
         return flat[ragged(begin, lengths)], lengths
 
     def _by_parts(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts = []
+        flat = []
         for u in units:
-            m = _PLAIN.fullmatch(u)
-            parts.append((m[1].lower(), m[2]) if m else (u, ""))
-        flat = [p for pair in parts for p in pair]
-        self.parts.add([flat])
-        places = self.parts.places_of(flat)
+            word = u.rstrip(_MARKS)
+            if word.isalpha() and (word.isascii() or _LETTERS.fullmatch(word)):
+                flat += word.lower(), u[len(word):]
+            else:
+                flat += u, ""
+        places = self.parts.look_up([flat])[0]
         return self.parts.ids_of(places), self.parts.lengths[places].reshape(-1, 2).sum(1)
 
     @staticmethod
@@ -211,8 +212,8 @@ class Packer:
 
 
 def pack_batches(batches: Iterator[pa.RecordBatch], model: str, model_name: str, limit: int, end_id: int, key_type: pa.DataType,
-                 with_ids: bool) -> Iterator[pa.RecordBatch]:
-    words = kept_in_worker(("words", model_name, hash(model)), lambda: WordTokenizer(model))
+                 with_ids: bool, most_units: int) -> Iterator[pa.RecordBatch]:
+    words = kept_in_worker(("words", model_name, hash(model), most_units), lambda: WordTokenizer(model, most_units))
     packer = Packer(limit, TaskContext.get().partitionId() << 32, with_ids)
     for batch in batches:
         keys, texts, first = batch.column(0), batch.column(1), 0
@@ -223,9 +224,7 @@ def pack_batches(batches: Iterator[pa.RecordBatch], model: str, model_name: str,
                 units.append(words.units(text))
                 size += len(text)
                 end += 1
-            words.table.add(units)
-            for k, u in zip(range(first, end), units):
-                places = words.table.places_of(u)
+            for k, places in zip(range(first, end), words.table.look_up(units)):
                 ids = np.append(words.table.ids_of(places), np.uint32(end_id))
                 packer.add(keys[k].as_py(), ids, *cuts_of(words.table.lengths[places], words.table.flags[places], 1))
                 if len(packer.pieces) >= 20_000:
@@ -248,13 +247,14 @@ def _table(packer: Packer, key_type: pa.DataType) -> pa.RecordBatch:
 
 
 def pack(docs: DataFrame, model_path: str, limit: int = 2048, end_id: int = 1, key: str = "doc_id", text: str = "text",
-         with_ids: bool = False) -> DataFrame:
+         with_ids: bool = False, most_units: int = MOST_UNITS) -> DataFrame:
     """One row per piece of a document: its place in the document and in its sequence.
 
     ``doc_id`` (the key), ``start``, ``length``, ``ids_crc32``, ``doc_tokens``,
     ``sequence_id``, ``offset``, and the piece's ``ids`` if asked for. A null text
     is empty and has the end id only. Repeated rows are packed as often as they
-    occur. Other columns of ``docs`` are left out.
+    occur. Other columns of ``docs`` are left out. ``most_units`` bounds the table of
+    encoded words in each Python worker.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -266,4 +266,4 @@ def pack(docs: DataFrame, model_path: str, limit: int = 2048, end_id: int = 1, k
     schema = f"doc_id {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     schema += ", ids array<int>" if with_ids else ""
     name = os.path.basename(model_path)
-    return rows.mapInArrow(lambda b: pack_batches(b, model, name, limit, end_id, key_type, with_ids), schema)
+    return rows.mapInArrow(lambda b: pack_batches(b, model, name, limit, end_id, key_type, with_ids, most_units), schema)

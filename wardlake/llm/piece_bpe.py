@@ -270,10 +270,9 @@ def encode_batches(batches: Iterator[pa.RecordBatch], model: bytes, text: str, o
                 units.append(m.units(value))
                 size += len(value)
                 end += 1
-            table.add(units)
             found: dict[str, list] = {k: [] for k in ("ids", "n_tokens", "ids_sha256", "decoded", "decoded_sha256")}
-            for u in units:
-                ids = np.concatenate([[m.bos], table.ids_of(table.places_of(u)), [m.eos]]).astype(np.int64)
+            for places in table.look_up(units):
+                ids = np.concatenate([[m.bos], table.ids_of(places), [m.eos]]).astype(np.int64)
                 found["n_tokens"].append(len(ids))
                 if "ids" in out:
                     found["ids"].append(ids.astype(np.int32))

@@ -10,12 +10,13 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Hashable
+from itertools import repeat
 from typing import Any
 
 import numpy as np
 
 #: Distinct units kept at a time.
-MOST_UNITS = 600_000
+MOST_UNITS = 300_000
 
 
 def kept_in_worker(key: Hashable, build: Callable[[], Any]) -> Any:
@@ -52,27 +53,36 @@ class UnitTable:
         self.lengths = np.zeros(0, np.int64)
         self.flags = np.zeros(0, bool)
 
-    def add(self, units: list[list[str]]) -> None:
-        """Encode the units that are new."""
-        new = set().union(*units).difference(self.places) if units else set()
-        if len(self.places) + len(new) > self.most and self.places:
-            self.clear()
-            new = set().union(*units)
+    def look_up(self, units: list[list[str]]) -> list[np.ndarray]:
+        """The places of the units of each text; what is new is encoded, all at once."""
+        places = [self._known(u) for u in units]
+        missing = [np.flatnonzero(p < 0) for p in places]
+        new = {u[k] for u, m in zip(units, missing) for k in m.tolist()}
         if not new:
-            return
-        order = list(new)
-        ids, lengths = self.encode(order)
+            return places
+        if self.places and len(self.places) + len(new) > self.most:  # full: keep what these texts need
+            self.clear()
+            self._add(list(set().union(*units)))
+            return [self._known(u) for u in units]
+        self._add(list(new))
+        for u, p, m in zip(units, places, missing):
+            if len(m):
+                p[m] = [self.places[u[k]] for k in m.tolist()]
+        return places
+
+    def _known(self, units: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.places.get, units, repeat(-1)), np.int64, len(units))
+
+    def _add(self, new: list[str]) -> None:
+        ids, lengths = self.encode(new)
         starts = np.cumsum(lengths) - lengths + len(self.ids)
         n = len(self.places)
-        self.places.update(zip(order, range(n, n + len(order))))
+        self.places.update(zip(new, range(n, n + len(new))))
         self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
         self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths])
         if self.flag:
-            self.flags = np.concatenate([self.flags, np.fromiter(map(self.flag, order), bool, len(order))])
-
-    def places_of(self, units: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.places.__getitem__, units), np.int64, len(units))
+            self.flags = np.concatenate([self.flags, np.fromiter(map(self.flag, new), bool, len(new))])
 
     def ids_of(self, places: np.ndarray) -> np.ndarray:
         return self.ids[ragged(self.starts[places], self.lengths[places])]

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 SHINGLE = 5
 #: Texts hashed together hold about so many bytes; one longer text is taken alone.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
