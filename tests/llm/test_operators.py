@@ -219,6 +219,25 @@ def test_surrogates_keep_kind_and_identity(spark):
     assert upper.lower() == lower and lower.split("@")[1] == re.search(r"@(\S+);", got[3])[1]
 
 
+def replaced(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [(r["text"], r["n"]) for r in pii.replace_personal(rows, "k", count="n").orderBy("doc_id").collect()]
+
+
+def test_surrogates_for_addresses_in_any_script(spark):
+    """Addresses behind letters of scripts without blanks, and with letters that are not ASCII."""
+    texts = ["联系john@example.com", "müller@firma.de", "josé.garcia@example.com", "mail john@example.com联系我们。", "иван@почта.рф, ok",
+             "请写用户@例子.公司。", "ติดต่อjohn@example.com", "联系password: abc12345", "账号DE89370400440532013000", "键abcdef0123456789abcdef0123456789"]
+    got = replaced(spark, texts)
+    for (new, n), parts in zip(got, ("john example", "müller firma ller", "josé garcia example", "john example", "иван почта", "用户 例子",
+                                     "john example", "abc12345", "370400440532013000", "abcdef0123456789"), strict=True):
+        assert n == 1 and not any(p in new for p in parts.split()), new
+    address = got[0][0].removeprefix("联系")
+    assert got[0][0].startswith("联系") and address.isascii() and address.endswith(".com")
+    assert got[3][0] == f"mail {address}联系我们。" and got[6][0] == f"ติดต่อ{address}"
+    assert got[1][0].endswith(".de") and got[4][0].endswith(".рф, ok")
+
+
 def test_surrogates_stay_distinct(spark):
     """More names than given names, and few digits: draws collide and are drawn again."""
     names = [(i, f"Mr. {a}{b} Stone") for i, (a, b) in enumerate((a, b) for a in "ABCDEFGH" for b in ("na", "no", "ni", "ne", "nu"))]

@@ -8,6 +8,10 @@ a card keeps its check digit right, an address its top-level domain, a name its
 script and the gender of its title. So equal entities, however written, get
 equal surrogates everywhere (coreference).
 
+Addresses may hold letters of any script. In scripts written without blanks an
+address in ASCII letters begins where they begin; one that has such letters right
+before the at sign, or in the label behind it, takes the whole run of letters.
+
 Different entities must stay different: surrogates that meet, or that are an
 entity of the table, are drawn again with a counter until none is left. The
 checks run on the distinct entities only, as joins and aggregations.
@@ -51,12 +55,20 @@ ENDINGS = {"latin": "son", "cyrillic": "енко", "greek": "ίδης"}
 _WORD = r"(?:\p{Lu}[\p{Ll}'’\-]+)"
 _TITLED = "|".join(sorted({t for group in TITLES.values() for t in group}, key=lambda t: (-len(t), t)))
 
+# Scripts written without blanks: a word in ASCII letters may begin and end anywhere in them.
+_DENSE = (r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3040-\u312F\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF"
+          r"\uFF66-\uFF9F\x{20000}-\x{3FFFF}")
+_NOT_ASCII = r"[\p{L}\p{M}&&[^\x00-\x7F]]"
+_SPACED = rf"[A-Za-z0-9._%+\-[\p{{L}}\p{{M}}\p{{N}}&&[^{_DENSE}]]]"
+_ADDRESS = r"[A-Za-z0-9._%+\-\p{L}\p{M}\p{N}]"
+_HOST = rf"(?:[A-Za-z0-9\-\p{{L}}\p{{M}}\p{{N}}]++\.)+(?:(?i:xn--)[A-Za-z0-9\-]{{2,59}}|[A-Za-z]{{2,24}}|{_NOT_ASCII}{{2,24}})"
+
 #: Kind and pattern, the first that matches a piece of text names its kind.
 KINDS = (
-    ("email", r"(?<![\w.%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]++\.)+[A-Za-z]{2,24}"),
-    ("secret", r"(?i:\b(?:password|passwd|pwd|token|secret|api[_\-]?key|access[_\-]?key)\b[\"']?[ \t]*[=:][ \t]*)[\"']?(?=[^\s\"',;]*\d)[^\s\"',;]{6,}+[\"']?"),
+    ("email", rf"(?:(?<!{_SPACED}){_SPACED}++@|(?<!{_ADDRESS}){_ADDRESS}++(?:(?<=[{_DENSE}])@|@(?=[A-Za-z0-9\-]*{_NOT_ASCII}))){_HOST}"),
+    ("secret", r"(?i:(?<!\w)(?:password|passwd|pwd|token|secret|api[_\-]?key|access[_\-]?key)[\"']?[ \t]*[=:][ \t]*)[\"']?(?=[^\s\"',;]*\d)[^\s\"',;]{6,}+[\"']?"),
     ("hex", r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{32,}+(?![0-9A-Za-z])"),
-    ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
+    ("iban", r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
     ("ip", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"),
     ("ssn", r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"),
     ("phone", r"\+\d{1,3}[ \-.]?(?:\(\d{1,4}\)[ \-.]?)?\d(?:[ \-.]?\d){5,12}(?!\d)|(?<!\d)\(\d{3}\)[ \-.]?\d{3}[ \-.]\d{4}(?!\d)|(?<![\d\-.])\d{3}[\-.]\d{3}[\-.]\d{4}(?![\d\-.])"),
@@ -64,10 +76,11 @@ KINDS = (
     ("name", rf"(?<![\p{{L}}\d])(?:{_TITLED})\.?[ \u00A0]{_WORD}(?:[ \u00A0]{_WORD})?"),
 )
 _OF = dict(KINDS)
-#: Entities that begin with a digit or sign are tried at such characters only, the others only where a word begins.
+#: Entities that begin with a digit or sign are tried at such characters only, the others nowhere behind an ASCII letter
+#: or digit; what else may stand before an entity is up to its kind.
 PATTERN = (
     "(?=[0-9+(])(?:" + "|".join(f"(?:{_OF[k]})" for k in ("email", "hex", "ip", "ssn", "phone", "card")) + ")"
-    + r"|(?<![\p{L}\p{N}])(?=[\p{L}._%\-])(?:" + "|".join(f"(?:{_OF[k]})" for k in ("email", "secret", "hex", "iban", "name")) + ")"
+    + r"|(?<![0-9A-Za-z])(?=[\p{L}\p{M}\p{N}._%\-])(?:" + "|".join(f"(?:{_OF[k]})" for k in ("email", "secret", "hex", "iban", "name")) + ")"
 )
 _FIRSTS = "".join(sorted({t[0] for group in TITLES.values() for t in group}))
 #: Every entity has a digit, an at sign or a title; texts without them are not searched.
@@ -142,7 +155,7 @@ def _same_shape(value: Column, noise: Column, hexadecimal: bool = False) -> Colu
         return (
             F.when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz"))
             .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(c.rlike(r"\p{Ll}"), pick("abcdefghijklmnopqrstuvwxyz"))
-            .when(c.rlike(r"\p{Lu}"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(c.rlike(r"\p{L}|\p{N}"), pick("abcdefghijklmnopqrstuvwxyz")).otherwise(c)
+            .when(c.rlike(r"\p{Lu}"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(c.rlike(r"\p{L}|\p{N}|\p{M}"), pick("abcdefghijklmnopqrstuvwxyz")).otherwise(c)
         )
     return F.array_join(F.transform(F.split(value, ""), char), "")
 
