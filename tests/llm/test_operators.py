@@ -238,6 +238,21 @@ def test_surrogates_for_addresses_in_any_script(spark):
     assert got[1][0].endswith(".de") and got[4][0].endswith(".рф, ok")
 
 
+def test_surrogates_at_sentence_ends_and_without_digits(spark):
+    texts = ["Call 555-123-4567.", "tel.555-123-4567", "1-555-123-4567", "555 123 4567", "Is it 555.123.4567?", "(1 555 123 4567).",
+             "password: correcthorse", "PWD='correcthorse'.", "passwd=!?!?!?"]
+    got = replaced(spark, texts)
+    for new, n in got:
+        assert n == 1 and not any(p in new for p in ("123", "4567", "correct", "!?!?!? ")), new
+    number = got[3][0].replace(" ", "")
+    assert got[0][0].startswith("Call ") and got[0][0].endswith(".") and got[2][0].startswith("1-")
+    assert all(new.translate(str.maketrans("", "", "Calteis?()-. I")).removeprefix("1").endswith(number) for new, _ in got[:6])
+    assert got[6][0].removeprefix("password: ") == got[7][0][5:-2] and got[8][0] != texts[8]
+    kept = ["version 2.555.123.4567", "12-555-123-4567", "555-123-4567-1", "555-123-4567.5", "password: ******", "password: abc", "token: somewhere"]
+    assert replaced(spark, kept) == [(t, 0) for t in kept]
+    assert replaced(spark, ["card 555 123 4567 8901"])[0][1] == 1
+
+
 def test_surrogates_stay_distinct(spark):
     """More names than given names, and few digits: draws collide and are drawn again."""
     names = [(i, f"Mr. {a}{b} Stone") for i, (a, b) in enumerate((a, b) for a in "ABCDEFGH" for b in ("na", "no", "ni", "ne", "nu"))]

@@ -16,6 +16,10 @@ Different entities must stay different: surrogates that meet, or that are an
 entity of the table, are drawn again with a counter until none is left. The
 checks run on the distinct entities only, as joins and aggregations.
 
+A password counts whatever its characters, unless it is only a mask such as
+``******``; other secrets need a digit. A 1 with a separator before a national
+phone number stays as it is, so that the number is the same with and without it.
+
 The key is part of the plan; keep plans and event logs as safe as the key.
 """
 
@@ -63,16 +67,20 @@ _SPACED = rf"[A-Za-z0-9._%+\-[\p{{L}}\p{{M}}\p{{N}}&&[^{_DENSE}]]]"
 _ADDRESS = r"[A-Za-z0-9._%+\-\p{L}\p{M}\p{N}]"
 _HOST = rf"(?:[A-Za-z0-9\-\p{{L}}\p{{M}}\p{{N}}]++\.)+(?:(?i:xn--)[A-Za-z0-9\-]{{2,59}}|[A-Za-z]{{2,24}}|{_NOT_ASCII}{{2,24}})"
 
+_CARD = r"(?<![\d\-.])\d(?:[ \-]?\d){12,18}(?![\d\-])"
+
 #: Kind and pattern, the first that matches a piece of text names its kind.
 KINDS = (
     ("email", rf"(?:(?<!{_SPACED}){_SPACED}++@|(?<!{_ADDRESS}){_ADDRESS}++(?:(?<=[{_DENSE}])@|@(?=[A-Za-z0-9\-]*{_NOT_ASCII}))){_HOST}"),
-    ("secret", r"(?i:(?<!\w)(?:password|passwd|pwd|token|secret|api[_\-]?key|access[_\-]?key)[\"']?[ \t]*[=:][ \t]*)[\"']?(?=[^\s\"',;]*\d)[^\s\"',;]{6,}+[\"']?"),
+    ("secret", r"(?i:(?<!\w)(?:password|passwd|pwd)[\"']?[ \t]*[=:][ \t]*)[\"']?(?=[^\s\"',;]*[^\s\"',;*.•_=#\-])[^\s\"',;]{6,}+[\"']?"
+     r"|(?i:(?<!\w)(?:token|secret|api[_\-]?key|access[_\-]?key)[\"']?[ \t]*[=:][ \t]*)[\"']?(?=[^\s\"',;]*\d)[^\s\"',;]{6,}+[\"']?"),
     ("hex", r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{32,}+(?![0-9A-Za-z])"),
     ("iban", r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
     ("ip", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"),
     ("ssn", r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"),
-    ("phone", r"\+\d{1,3}[ \-.]?(?:\(\d{1,4}\)[ \-.]?)?\d(?:[ \-.]?\d){5,12}(?!\d)|(?<!\d)\(\d{3}\)[ \-.]?\d{3}[ \-.]\d{4}(?!\d)|(?<![\d\-.])\d{3}[\-.]\d{3}[\-.]\d{4}(?![\d\-.])"),
-    ("card", r"(?<![\d\-.])\d(?:[ \-]?\d){12,18}(?![\d\-])"),
+    ("phone", r"\+\d{1,3}[ \-.]?(?:\(\d{1,4}\)[ \-.]?)?\d(?:[ \-.]?\d){5,12}(?!\d)|(?<!\d)\(\d{3}\)[ \-.]?\d{3}[ \-.]\d{4}(?!\d)|"
+     rf"(?:(?<!\d|\d[\-.])|(?<=(?<!\d|\d[\-.])1[\-.]))(?:\d{{3}}[\-.]\d{{3}}[\-.]\d{{4}}|(?!{_CARD})\d{{3}}[ \-.]\d{{3}}[ \-.]\d{{4}})(?!\d|[\-.]\d)"),
+    ("card", _CARD),
     ("name", rf"(?<![\p{{L}}\d])(?:{_TITLED})\.?[ \u00A0]{_WORD}(?:[ \u00A0]{_WORD})?"),
 )
 _OF = dict(KINDS)
@@ -83,8 +91,8 @@ PATTERN = (
     + r"|(?<![0-9A-Za-z])(?=[\p{L}\p{M}\p{N}._%\-])(?:" + "|".join(f"(?:{_OF[k]})" for k in ("email", "secret", "hex", "iban", "name")) + ")"
 )
 _FIRSTS = "".join(sorted({t[0] for group in TITLES.values() for t in group}))
-#: Every entity has a digit, an at sign or a title; texts without them are not searched.
-HINT = rf"[0-9@]|(?=[{_FIRSTS}])(?:{_TITLED})\.?[ \u00A0]\p{{Lu}}"
+#: Every entity has a digit, an at sign, a password's label or a title; texts without them are not searched.
+HINT = rf"[0-9@]|[pP](?i:assword|asswd|wd)[\"']?[ \t]*[=:]|(?=[{_FIRSTS}])(?:{_TITLED})\.?[ \u00A0]\p{{Lu}}"
 SEPARATORS = r"[ \-.()]"
 
 
@@ -220,6 +228,7 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
         return (
             F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "phone", _phone(value, noise)).when(kind == "card", _card(value, noise))
             .when(kind == "iban", iban).when(kind == "name", _name(key, value, noise, attempt)).when(kind == "hex", _same_shape(value, noise, True))
+            .when((kind == "secret") & (attempt > 1), F.concat(_same_shape(value, noise), _same_shape(F.lit("aaaa"), F.sha2(noise, 256))))
             .when((kind == "secret") & value.rlike("^(?=.*[a-f])[0-9a-f]+$"), _same_shape(value, noise, True)).otherwise(_same_shape(value, noise))
         )
     return let(_noise(key, [kind, value, attempt.cast("string")], F.greatest(F.char_length(value), F.lit(32))), made)
@@ -265,7 +274,7 @@ def replace_personal(docs: DataFrame, key: str, text: str = "text", count: str |
     """``docs`` with surrogates in ``text``; all rows and columns stay, and ``count`` names a column for the number of replacements.
 
     Null stays null; texts without entities stay as they are, and those without a
-    digit, an at sign or a title are not even shuffled. Repeated rows, and rows with the same entities, share their
+    digit, an at sign, a password's label or a title are not even shuffled. Repeated rows, and rows with the same entities, share their
     replacements.
     """
     list_, digest, made = (free_name(docs, n) for n in ("__entities", "__digest", "__made"))
