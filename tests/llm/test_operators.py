@@ -219,6 +219,55 @@ def test_surrogates_keep_kind_and_identity(spark):
     assert upper.lower() == lower and lower.split("@")[1] == re.search(r"@(\S+);", got[3])[1]
 
 
+def licences_of(spark, texts):
+    """Licences and unmatched identifiers by operator, held against the SQL twin."""
+    import duckdb
+    import pandas as pd
+
+    rows = list(enumerate(texts))
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).orderBy("doc_id").collect()
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # noqa: F841
+    twin = sorted(duckdb.sql(licences.scan_sql()).fetchall())
+    assert [(r["doc_id"], *(",".join(r[c]) for c in ("sentence_ids", "licenses", "unmatched"))) for r in got] == twin
+    return [(r["licenses"], r["unmatched"]) for r in got]
+
+
+GPL_NOTICE = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+"""
+
+
+def test_published_licence_notices(spark):
+    gpl_3, gpl_2 = GPL_NOTICE.format(":", ",", 3), GPL_NOTICE.format(";", ";", 2)
+    comment = lambda text, mark: "".join(f"{mark} {line}".rstrip() + "\n" for line in text.splitlines())
+    one_line = lambda text: " ".join(text.split())
+    texts = [gpl_3, gpl_2, comment(gpl_3, "#"), comment(gpl_2, " *"), one_line(gpl_3), one_line(gpl_2), MIT_TEXT, comment(MIT_TEXT, "//"),
+             "# SPDX-License-Identifier: MIT\nimport os", "/* SPDX-License-Identifier: Apache-2.0 */", "// SPDX-License-Identifier: GPL-3.0-only\n#include <a.h>\n"]
+    want = ["GPL-3.0-or-later", "GPL-2.0-or-later"] * 3 + ["MIT", "MIT", "MIT", "Apache-2.0", "GPL-3.0-only"]
+    assert licences_of(spark, texts) == [([w], []) for w in want]
+
+
 def replaced(spark, texts):
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     return [(r["text"], r["n"]) for r in pii.replace_personal(rows, "k", count="n").orderBy("doc_id").collect()]

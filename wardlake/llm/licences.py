@@ -6,8 +6,9 @@ rules are tried in a fixed order: a rule that finds its sequence of identifiers
 takes them out and names the licence; what no rule takes stays as unmatched.
 
 Sentences end at a line or after ``. ; : ! ?`` and a space; a line that begins
-with a small letter goes on with the sentence before it, and comment marks at
-the beginning of a line do not count. Normalising keeps ASCII letters and digits
+with a small letter, a bracket or one of the capital words inside licence notices
+goes on with the sentence before it, and comment marks at the beginning of a line
+do not count. An SPDX tag and its expression are one sentence. Normalising keeps ASCII letters and digits
 in lower case, with single spaces.
 
 Null and empty texts have no sentences. Texts of any length are scanned whole.
@@ -38,6 +39,10 @@ SENTENCES = {
         "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",),
     "GPL_2_TERMS": (
         "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",),
+    # the pieces of the notices that have a semicolon before the version
+    "GPL_TERMS": ("you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",),
+    "GPL_3_EITHER": ("either version 3 of the license or at your option any later version",),
+    "GPL_2_EITHER": ("either version 2 of the license or at your option any later version",),
     "GPL_HOPE": (
         "this program is distributed in the hope that it will be useful but without any warranty", 
         "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
@@ -71,6 +76,8 @@ RULES = (
     ("GPL-3.0-or-later", ("GPL_FREE?", "GPL_3_TERMS", "GPL_HOPE?", "GPL_IMPLIED?", "GPL_SEE?")),
     ("GPL-2.0-or-later", ("GPL_2_OR_LATER", "GPL_HOPE?", "GPL_IMPLIED?", "GPL_SEE?")),
     ("GPL-2.0-or-later", ("GPL_FREE?", "GPL_2_TERMS", "GPL_HOPE?", "GPL_IMPLIED?", "GPL_SEE?")),
+    ("GPL-3.0-or-later", ("GPL_FREE?", "GPL_TERMS", "GPL_3_EITHER", "GPL_HOPE?", "GPL_IMPLIED?", "GPL_SEE?")),
+    ("GPL-2.0-or-later", ("GPL_FREE?", "GPL_TERMS", "GPL_2_EITHER", "GPL_HOPE?", "GPL_IMPLIED?", "GPL_SEE?")),
     ("GPL-3.0-only", ("GPL_3_NAME",)),
     ("GPL-2.0-only", ("GPL_2_NAME",)),
     ("MIT", ("MIT_NAME?", "MIT_GRANT", "MIT_NOTICE", "AS_IS?")),
@@ -90,8 +97,14 @@ RULES = (
 CUES = ("licen", "redistribut", "permission", "copyright", "warrant", "rights reserved", "free software")
 
 COMMENT = r"(?m)^[ \t]*(?:#|//|\*|;|--|%)+[ \t]?"
-WRAPPED = r"\n[ \t]*([a-z])"
-ENDS = r"([.;:!?])[ \t]+"
+# Words with capitals that can begin a line inside a known sentence.
+_INSIDE = (
+    "GNU", "General Public", "Public License", "License", "Licenses", "Free Software", "Software", "Foundation", "Apache", "Version", "BASIS", "AS", "IS",
+    "WITHOUT", "WARRANTIES", "WARRANTY", "THE WARRANTIES", "CONDITIONS", "OR", "OF", "ANY", "KIND", "EXPRESS", "IMPLIED", "INCLUDING", "BUT", "NOT", "LIMITED",
+    "TO", "SOFTWARE", "PROVIDED", "MERCHANTABILITY", "FITNESS", "FOR", "A", "PARTICULAR", "PURPOSE", "AND", "NONINFRINGEMENT")
+WRAPPED = rf"\n[ \t]*([a-z(]|[\"'“]?(?:{'|'.join(_INSIDE)})\b)"
+_SPDX_ID = r"\(*[A-Za-z0-9.+\-]+\)*"
+ENDS = rf"((?i:SPDX-License-Identifier):[ \t]*{_SPDX_ID}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_SPDX_ID})*|[.;:!?][ \t])[ \t]*"
 
 
 def known() -> dict[str, str]:
