@@ -268,6 +268,19 @@ def test_published_licence_notices(spark):
     assert licences_of(spark, texts) == [([w], []) for w in want]
 
 
+def test_licence_names_and_tags(spark):
+    cases = {
+        "This project is licensed under the MIT License.": "MIT", "This file is licensed under the Apache License, Version 2.0": "Apache-2.0",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License": "CC-BY-4.0",
+        "This library is distributed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1-only",
+        "Licensed under the Mozilla Public License 2.0": "MPL-2.0", "This software is released under the ISC License": "ISC",
+        "The code is licensed under the GNU Affero General Public License v3.0": "AGPL-3.0-only",
+        **{f"// SPDX-License-Identifier: {x}\nint a;": x for x in (
+            "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL-2.1-or-later", "MPL-2.0", "ISC")}}
+    assert licences_of(spark, list(cases)) == [([x], []) for x in cases.values()]
+    assert licences_of(spark, ["We like the MIT License.", "# SPDX-License-Identifier: GPL-2.0+"]) == [([], [])] * 2
+
+
 def replaced(spark, texts):
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     return [(r["text"], r["n"]) for r in pii.replace_personal(rows, "k", count="n").orderBy("doc_id").collect()]

@@ -11,6 +11,12 @@ goes on with the sentence before it, and comment marks at the beginning of a lin
 do not count. An SPDX tag and its expression are one sentence. Normalising keeps ASCII letters and digits
 in lower case, with single spaces.
 
+Covered: the notices of Apache-2.0, GPL-2.0 and -3.0, MIT and BSD; sentences that
+name one of ``NAMES`` ("This project is licensed under the ..."); the SPDX tags
+in ``SPDX``. Full texts of other licences, other wordings, licences outside these
+lists, SPDX expressions of several licences and tags such as GPL-2.0 or GPL-2.0+
+are not recognised.
+
 Null and empty texts have no sentences. Texts of any length are scanned whole.
 """
 
@@ -68,6 +74,47 @@ SENTENCES = {
     "ALL_RIGHTS": ("all rights reserved",),
 }
 
+#: Every known sentence has one of these words, so a text without them needs no cutting.
+CUES = ("licen", "redistribut", "permission", "copyright", "warrant", "rights reserved", "free software")
+
+# Licences by the names under which texts say that something is licensed, normalised.
+NAMES = {
+    "MIT": ("the mit license",),
+    "Apache-2.0": ("the apache license version 2 0", "the apache license 2 0"),
+    "BSD-2-Clause": ("the bsd 2 clause license",),
+    "BSD-3-Clause": ("the bsd 3 clause license",),
+    "ISC": ("the isc license",),
+    "MPL-2.0": ("the mozilla public license version 2 0", "the mozilla public license 2 0"),
+    **{f"{short}-{version}-only": (f"the gnu {kind} public license version {v}", f"the gnu {kind} public license v{version.replace('.', ' ')}")
+       for short, kind, version, v in (("GPL", "general", "2.0", "2"), ("GPL", "general", "3.0", "3"), ("LGPL", "lesser general", "2.1", "2 1"),
+                                       ("LGPL", "lesser general", "3.0", "3"), ("AGPL", "affero general", "3.0", "3"))},
+    **{f"CC-{part}-4.0": (f"cc {part.replace('-', ' ').lower()} 4 0", f"a creative commons {name} 4 0 international license")
+       for part, name in (
+           ("BY", "attribution"), ("BY-SA", "attribution sharealike"), ("BY-NC", "attribution noncommercial"), ("BY-ND", "attribution noderivatives"),
+           ("BY-NC-SA", "attribution noncommercial sharealike"), ("BY-NC-ND", "attribution noncommercial noderivatives"))},
+}
+SUBJECTS = ("", *(f"this {what} is " for what in ("project", "software", "file", "work", "program", "library")), "the code is ")
+VERBS = ("licensed under", "released under", "distributed under")
+#: Tags in full; GPL-2.0 and GPL-2.0+ are the same when normalised, so neither is here.
+SPDX = tuple(dict.fromkeys((
+    *NAMES, "0BSD", "CC0-1.0", "Unlicense", "BSL-1.0", "Zlib", "EPL-2.0",
+    *(f"{x}-{end}" for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for end in ("only", "or-later")))))
+
+
+def _add_names() -> None:
+    """Sentences that name a licence, and SPDX tags, as identifiers of their own where none has them yet."""
+    taken = {x for texts in SENTENCES.values() for x in texts}
+    for licence, names in NAMES.items():
+        texts = [f"{subject}{verb} {name}" for subject in SUBJECTS for verb in VERBS for name in names]
+        SENTENCES[f"NAME_{licence}"] = tuple(x for x in texts if x not in taken and any(c in x for c in CUES))
+    for tag in SPDX:
+        text = f"spdx license identifier {tag.lower().replace('-', ' ').replace('.', ' ')}"
+        if text not in taken:
+            SENTENCES[f"TAG_{tag}"] = (text,)
+
+
+_add_names()
+
 #: Licence and sequence of identifiers, tried in this order; ``?`` marks one that may be missing.
 RULES = (
     ("Apache-2.0", ("APACHE_2_NAME", "APACHE_COMPLIANCE", "APACHE_COPY_AT?", "APACHE_UNLESS?", "APACHE_SEE?")),
@@ -90,12 +137,11 @@ RULES = (
     ("Apache-2.0", ("SPDX_APACHE_2",)),
     ("MIT", ("SPDX_MIT",)),
     ("GPL-3.0-only", ("SPDX_GPL_3",)),
+    *((x, (f"NAME_{x}",)) for x in NAMES),
+    *((x.removeprefix("TAG_"), (x,)) for x in SENTENCES if x.startswith("TAG_")),
     ("Proprietary", ("ALL_RIGHTS",)),
 )
 
-#: Every known sentence has one of these words, so a text without them needs no cutting.
-CUES = ("licen", "redistribut", "permission", "copyright", "warrant", "rights reserved", "free software")
-
 COMMENT = r"(?m)^[ \t]*(?:#|//|\*|;|--|%)+[ \t]?"
 # Words with capitals that can begin a line inside a known sentence.
 _INSIDE = (
