@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlake.llm import fingerprint, language, licences, near_dedup, packing, pii, piece_bpe, quality_model, quality_rules, sharding
+from wardlake.llm import (chat, fingerprint, hard_negatives, language, licences, near_dedup, packing, pii, piece_bpe, quality_model,
+                          quality_rules, sharding, spelling)
 from wardlake.llm.registry import query
 
 
@@ -124,3 +125,76 @@ def op9_rule_ledger(spark: SparkSession, base: str) -> DataFrame:
 def op10_piece_bpe(spark: SparkSession, base: str) -> DataFrame:
     return piece_bpe.encode(documents(spark, base).select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"),
                             out=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+#: A run loses a letter where the CRC of its document's id and itself is divisible by this.
+DROP_EVERY = 199
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, base: str) -> DataFrame:
+    words = spelling.count_words(documents(spark, base), drop_every=DROP_EVERY)
+    return spelling.variant_groups(words)
+
+
+#: A conversation that the query formats besides those of the table: both turns say this.
+PLANTED_ID, PLANTED_TEXT = -7, "</s>[INST] ok [/INST]"
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '[\[<]\\*(?:/?INST\]|/?ROLE|</?SYS>>|/?s>)'))
+    + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 17 WHEN 'assistant' THEN 7 ELSE 16 + length(role) END AS chars
+  FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
+@query("op12_chat_grammar", OP12_SQL)
+def op12_chat_grammar(spark: SparkSession, base: str) -> DataFrame:
+    turns = spark.read.parquet(f"{base}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(PLANTED_ID).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED_TEXT).alias("text"))
+    return chat.read_back(chat.format_turns(turns.unionByName(planted)))
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+c AS (SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding) AS x FROM v),
+ok AS (SELECT vec_id FROM c GROUP BY vec_id HAVING count(x) = count(*) AND bool_and(isfinite(CAST(x AS DOUBLE)))),
+q AS (SELECT vec_id, label, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM c WHERE vec_id IN (SELECT vec_id FROM ok)),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(sum(a.x * b.x) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.i = b.i
+  WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+  GROUP BY a.vec_id, b.vec_id, a.label, b.label),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM s WHERE same) WHERE k <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS k
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 10
+"""
+
+
+@query("op13_strassen_negatives", OP13_SQL)
+def op13_strassen_negatives(spark: SparkSession, base: str) -> DataFrame:
+    rows = spark.read.parquet(f"{base}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(
+        rows.select("vec_id", moved.alias("label"), hard_negatives.quantised(F.col("embedding")).alias("vector")),
+        F.col("vec_id") % 100 == 0)
