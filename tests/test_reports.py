@@ -20,10 +20,8 @@ def brute_throttle(rows, seconds, last=None):
     return out
 
 
-@pytest.mark.parametrize("seed,step,seconds,chunk", [
-    (1, 40, 300, 3600), (2, 290, 300, 300), (3, 5, 300, 900), (4, 1000, 300, 3600), (5, 150, 300, 301), (6, 60, 1, 1),
-])
-def test_throttle_against_brute_force(spark, seed, step, seconds, chunk):
+@pytest.mark.parametrize("seed,step,seconds", [(1, 40, 300), (2, 290, 300), (3, 5, 300), (4, 1000, 300), (5, 150, 300), (6, 60, 1), (7, 1, 3000)])
+def test_throttle_against_brute_force(spark, seed, step, seconds):
     random.seed(seed)
     start, rows, n = dt.datetime(2024, 1, 1), [], 0
     for key in ("hot", "b", "c"):
@@ -34,8 +32,8 @@ def test_throttle_against_brute_force(spark, seed, step, seconds, chunk):
             n += 1
     df = spark.createDataFrame(rows, "definition_id string, ts timestamp_ntz, event_id long")
     want = brute_throttle(rows, seconds)
-    for per_span in (2, 168):
-        got = R.throttle_triggers(df, seconds=seconds, chunk_seconds=chunk, chunks_per_span=per_span).collect()
+    for per_task in (20, 100, 10_000):  # ranges far narrower than the interval, and one range for all
+        got = R.throttle_triggers(df, seconds=seconds, rows_per_task=per_task).collect()
         assert {(r["definition_id"], r["event_id"]): r["accepted"] for r in got} == want
 
 

@@ -205,16 +205,25 @@ def write_batches(spark, path, ddl, batches):
 
 
 def test_stream_throttle_keeps_state_between_batches(spark, tmp_path):
+    """Each part is a micro-batch of its own and a new start from the checkpoint."""
     ddl = "definition_id string, ts timestamp, event_id long"
     t0 = dt.datetime(2024, 1, 1)
-    times = [0, 100, 350, 700, 900, 1001]
-    root, cp = str(tmp_path / "out"), str(tmp_path / "cp")
-    for n in range(0, 6, 2):
-        src = str(tmp_path / "in")
-        spark.createDataFrame([("a", t0 + dt.timedelta(seconds=s), s) for s in times[n:n + 2]], ddl).coalesce(1).write.mode("append").parquet(src)
-        X.stream_throttle(spark.readStream.schema(ddl).parquet(src), root, cp).awaitTermination()
-    got = spark.read.parquet(f"{root}/verdicts").filter("accepted").collect()
-    assert sorted(r["event_id"] for r in got) == [0, 350, 700, 1001]
+    src, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    parts = [
+        [("a", 0, 0), ("a", 100, 1), ("b", 50, 2), (None, 60, 13)],
+        [("a", 350, 3), ("a", 700, 4), ("a", 340, 14)],  # in the order of time inside a batch
+        [("a", 20_000, 5), ("b", 60, 6), ("a", 900, 7)],  # older than the last acceptance, or inside its interval
+        [("a", 20_100, 8), ("c", 17_000, 9), ("c", 17_100, 10), ("a", 300, 11), ("c", 16_000, 12)],  # the last two are behind the watermark
+        [("b", 20_200, 15), ("a", 20_300, 16)],  # b's state went with its timer
+    ]
+    for part in parts:
+        spark.createDataFrame([(k, t0 + dt.timedelta(seconds=s), e) for k, s, e in part], ddl).coalesce(1).write.mode("append").parquet(src)
+        got = X.run_to_files(X.stream_throttle(spark.readStream.schema(ddl).parquet(src)), out, cp)
+    verdicts = {r["event_id"]: r["accepted"] for r in got.collect()}
+    assert {e for e, ok in verdicts.items() if ok} == {0, 2, 14, 4, 5, 9, 15, 16}
+    assert {e for e, ok in verdicts.items() if not ok} >= {1, 3, 6, 7, 8, 10} and got.count() == len(verdicts)
+    again = X.run_to_files(X.stream_throttle(spark.readStream.schema(ddl).parquet(src)), out, cp)
+    assert {r["event_id"]: r["accepted"] for r in again.collect()} == verdicts
 
 
 def test_stream_tokenize_stores_a_pair_once(spark, tmp_path):

@@ -10,6 +10,9 @@ from zoneinfo import ZoneInfo
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +21,7 @@ from wardlake.functions.filters import compile_filters
 from wardlake.operators.audits import audit_summary
 from wardlake.operators.common import time_literal
 from wardlake.operators.scaling import skew_join
+from wardlake.session import write_through
 
 THROTTLE_SECONDS = 300
 
@@ -133,161 +137,207 @@ def expand_cron(definitions: DataFrame, start: dt.datetime, end: dt.datetime) ->
 # ── throttling ──────────────────────────────────────────────────────────────
 #
 # "At most one accepted trigger per interval, counted from the last accepted one"
-# is sequential per definition. A definition may hold a third of all triggers, so
-# its timeline is cut into chunks that are solved apart: for each chunk, every
-# possible last acceptance before it leads to one last acceptance after it, a step
-# function with few steps. The functions of a span of chunks are composed into one,
-# of which again only the entries near the start of the span matter. Folding the
-# spans of a definition gives the state before each span, from there the state
-# before each chunk, and each chunk is then replayed on its own. Chunks are solved
-# by array expressions in the JVM; only the small step tables pass through pandas.
+# is a walk along the pointers from each trigger to the first one that lies an
+# interval behind it. Triggers are cut into range partitions by key, time and
+# tie-breaker, so a definition of any size is spread. Inside a partition the walks
+# of all its definitions are found together by doubling the pointers, in numpy. Only
+# the definition that a partition begins with may have begun before: for it, the
+# partition gives a step function from the first trigger accepted there to the last
+# one. These few rows are folded along the partitions of each definition, and only
+# the triggers of such stretches are walked a second time.
 
 _US = 1_000_000
-_STEP = T.StructType([
-    T.StructField("key", T.StringType()), T.StructField("chunk", T.LongType()),
-    T.StructField("entry", T.LongType()), T.StructField("leave", T.LongType()),
-])
-_STATE = T.StructType([
-    T.StructField("key", T.StringType()), T.StructField("chunk", T.LongType()),
-    T.StructField("state", T.LongType()),
-])
+#: Triggers of a range partition, which a task holds in memory as numbers.
+ROWS_PER_TASK = 500_000
+_BEFORE_ALL = np.iinfo(np.int64).min
 
 
-def _jumps(times: np.ndarray, state: np.ndarray, gap: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """From states to the next acceptances, again and again: a search per acceptance, not per trigger.
+def _pointers(code: np.ndarray, us: np.ndarray, ready: np.ndarray) -> np.ndarray:
+    """For each row the first row of its key at or after ``ready``; the number of rows if there is none.
 
-    Yields which states moved and where to; there are at most width / gap + 1 rounds in a chunk.
+    Rows are sorted by ``code`` and ``us``. Times are replaced by their ranks, so that
+    key and time make one sorted number.
     """
-    open_ = np.ones(len(state), bool)
-    state = state.copy()
+    n = len(us)
+    if not n:
+        return np.zeros(0, np.int64)
+    times, rank = np.unique(us, return_inverse=True)
+    base = code * (len(times) + 1)
+    to = np.searchsorted(base + rank, base + np.searchsorted(times, ready), side="left")
+    found = (to < n) & (code[np.minimum(to, n - 1)] == code)
+    return np.where(found, to, n)
+
+
+def _walked(start: np.ndarray, pointers: np.ndarray) -> np.ndarray:
+    """Which rows the walks from ``start`` meet; each round doubles the steps taken."""
+    n = len(pointers)
+    met = np.zeros(n + 1, bool)
+    met[start] = True
+    jump = np.append(pointers, n)
     while True:
-        at = np.searchsorted(times, state + gap, side="left")
-        open_ = open_ & (at < len(times))
-        if not open_.any():
-            return
-        state = np.where(open_, times[np.minimum(at, len(times) - 1)], state)
-        yield open_, state
-
+        on = jump[np.flatnonzero(met[:n])]
+        if (on == n).all():
+            return met[:n]
+        met[on] = True
+        jump = jump[jump]
 
-def _steps_of(batches: Iterator[pd.DataFrame], gap: int, width: int) -> Iterator[pd.DataFrame]:
-    """Per chunk: (entry, leave) for each time that may be the first accepted one.
 
-    A last acceptance before the chunk blocks at most ``gap`` of it, so candidates
-    are the times of that stretch and the first one behind it. Neighbouring entries
-    with the same outcome are one step, named by the last of them.
+def _ends(pointers: np.ndarray) -> np.ndarray:
+    """The last row on the walk from each row."""
+    n = len(pointers)
+    jump = np.where(pointers < n, pointers, np.arange(n))
+    while True:
+        further = jump[jump]
+        if (further == jump).all():
+            return jump
+        jump = further
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray] | None:
+    """A partition as one table, and the number of the key of each row."""
+    parts = [b for b in batches if len(b)]
+    if not parts:
+        return None
+    rows = pa.Table.from_batches(parts).combine_chunks()
+    fresh = np.ones(len(rows), np.int64)
+    if len(rows) > 1:
+        key = rows.column("key").combine_chunks()
+        fresh[1:] = pc.not_equal(key.slice(1), key.slice(0, len(rows) - 1)).to_numpy(zero_copy_only=False)
+    return rows, np.cumsum(fresh) - 1
+
+
+def _judge_partition(batches: Iterator[pa.RecordBatch], gap: int) -> Iterator[pa.RecordBatch]:
+    """Verdicts of a partition, but for the key that it begins with, and the steps by which that one goes on.
+
+    Adds ``part``; ``accepted``, null for the first key; ``entry`` and ``leave`` on the
+    rows that are steps: of the first key, neighbouring entries with the same last
+    acceptance are one step, named by the last of them. The last key, unless it is
+    the first too, has one step without entry, which is its state behind the partition.
     """
-    for pdf in batches:
-        for key, chunk, times in zip(pdf["key"], pdf["chunk"], pdf["times"]):
-            times = np.asarray(times, np.int64)
-            near = int(np.searchsorted(times, chunk * width + gap, side="left"))
-            entry = times[: near + 1]
-            leave = entry
-            for _, leave in _jumps(times, entry, gap):
-                pass
-            keep = np.append(leave[1:] != leave[:-1], True)
-            yield pd.DataFrame({"key": key, "chunk": chunk, "entry": entry[keep], "leave": leave[keep]})
-
-
-def _accepted_times(batches: Iterator[pd.DataFrame], gap: int) -> Iterator[pd.DataFrame]:
-    """The accepted times of each chunk, given the state before it."""
-    for pdf in batches:
-        for key, times, state in zip(pdf["key"], pdf["times"], pdf["state"]):
-            times = np.asarray(times, np.int64)
-            before = times[:1] - gap if pd.isna(state) else np.array([int(state)], np.int64)
-            yield pd.DataFrame({"key": key, "us": np.array([s[0] for _, s in _jumps(times, before, gap)], np.int64)})
-
-
-def _runs(chunk: np.ndarray) -> list[tuple[int, int]]:
-    """[from, to) of each chunk in a sorted column."""
-    starts = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
-    return list(zip(starts, np.r_[starts[1:], len(chunk)]))
-
-
-def _compose_steps(pdf: pd.DataFrame, gap: int, span_width: int) -> pd.DataFrame:
-    """The step functions of one key's chunks in one span, as one step function.
-
-    All candidate entries of the span walk through its chunks together.
+    got = _gathered(batches)
+    if got is None:
+        return
+    rows, code = got
+    us, state = (rows.column(c).to_numpy() for c in ("us", "state"))
+    pointers = _pointers(code, us, state + gap)
+    n = len(us)
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    met, ends = _walked(starts, pointers), _ends(pointers)
+    first = int(starts[1]) if len(starts) > 1 else n
+    near = 1 if us[0] == _BEFORE_ALL else min(int(np.searchsorted(us[:first], us[0] + gap, side="left")) + 1, first)
+    leave = state[ends[:near]]
+    step = np.append(leave[1:] != leave[:-1], True)
+    entry, left = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    entry[:near], left[:near] = us[:near], leave
+    no_entry, no_leave = np.ones(n, bool), np.ones(n, bool)
+    no_entry[:near], no_leave[:near] = ~step, ~step
+    if len(starts) > 1:
+        last = starts[-1]
+        no_leave[last], left[last] = False, state[ends[last]]
+    yield pa.RecordBatch.from_arrays(
+        [*(rows.column(c).combine_chunks() for c in rows.column_names),
+         pa.array(np.full(n, TaskContext.get().partitionId(), np.int64)), pa.array(met, mask=np.arange(n) < first),
+         pa.array(entry, mask=no_entry), pa.array(left, mask=no_leave)],
+        [*rows.column_names, "part", "accepted", "entry", "leave"])
+
+
+def _fold_steps(batches: Iterator[pa.RecordBatch], gap: int) -> Iterator[pa.RecordBatch]:
+    """The state before each partition that begins with a key; steps come sorted by key, partition and entry.
+
+    Reads the steps once and holds one state.
     """
-    pdf = pdf.sort_values(["chunk", "entry"])
-    chunk, entry, leave = (pdf[c].to_numpy() for c in ("chunk", "entry", "leave"))
-    span = int(pdf["span"].iloc[0])
-    near = int(np.searchsorted(entry, span * span_width + gap, side="left"))
-    candidates = entry[: min(near + 1, len(entry))]
-    # A candidate counts as the first acceptance, so the state before it lies a gap earlier.
-    state = candidates - gap
-    for lo, hi in _runs(chunk):
-        at = lo + np.searchsorted(entry[lo:hi], state + gap, side="left")
-        open_ = at < hi
-        state = np.where(open_, leave[np.minimum(at, hi - 1)], state)
-    keep = np.append(state[1:] != state[:-1], True)
-    return pd.DataFrame({"key": pdf["key"].iloc[0], "chunk": span, "entry": candidates[keep], "leave": state[keep]})
-
-
-def _fold_steps(pdf: pd.DataFrame, gap: int) -> pd.DataFrame:
-    """The last acceptance before each chunk (or span) of one key, from a first state on."""
-    pdf = pdf.sort_values(["chunk", "entry"])
-    chunk, entry, leave = (pdf[c].to_numpy() for c in ("chunk", "entry", "leave"))
-    state = None if pd.isna(pdf["state"].iloc[0]) else int(pdf["state"].iloc[0])
-    runs = _runs(chunk)
-    before: list[int | None] = []
-    for lo, hi in runs:
-        before.append(state)
-        at = lo if state is None else lo + int(np.searchsorted(entry[lo:hi], state + gap, side="left"))
-        if at < hi:
-            state = int(leave[at])
-    return pd.DataFrame({"key": pdf["key"].iloc[0], "chunk": [chunk[lo] for lo, _ in runs],
-                         "state": pd.array(before, dtype="Int64")})
-
-
-def _states_before(steps: DataFrame, gap: int, width: int, per_span: int, last: DataFrame | None) -> DataFrame:
-    """The state before each chunk, by way of the states before each span of chunks."""
-
-    def seeded(df: DataFrame, states: DataFrame | None, keys: list[str]) -> DataFrame:
-        if states is None:
-            return df.withColumn("state", F.lit(None).cast("long"))
-        return df.join(states, keys, "left")
-
-    in_spans = steps.withColumn("span", F.floor(F.col("chunk") / F.lit(per_span)).cast("long"))
-    spans = in_spans.groupBy("key", "span").applyInPandas(
-        lambda pdf: _compose_steps(pdf, gap, width * per_span), _STEP)
-    span_states = seeded(spans, None if last is None else last.select("key", "state"), ["key"]).groupBy(
-        "key").applyInPandas(lambda pdf: _fold_steps(pdf, gap), _STATE)
-    per_chunk = seeded(in_spans, span_states.withColumnRenamed("chunk", "span"), ["key", "span"])
-    return per_chunk.groupBy("key", "span").applyInPandas(
-        lambda pdf: _fold_steps(pdf, gap), _STATE)
+    out: list[tuple] = []
+    key = part = state = None
+    taken = True  # whether this partition's step has been found
+    for batch in batches:
+        keys, parts = batch.column(0), batch.column(1).to_numpy()
+        edges = np.ones(len(batch), bool)
+        if len(batch) > 1:
+            edges[1:] = (parts[1:] != parts[:-1]) | pc.not_equal(keys.slice(1), keys.slice(0, len(batch) - 1)).to_numpy(zero_copy_only=False)
+        firsts = np.flatnonzero(edges)
+        entry, leave = batch.column(2), batch.column(3)
+        for a, b in zip(firsts.tolist(), [*firsts[1:].tolist(), len(batch)]):
+            here = (keys[a].as_py(), int(parts[a]))
+            if here != (key, part):
+                if here[0] != key:
+                    state = None
+                key, part = here
+                if entry[a].is_valid:
+                    out.append((key, part, state))
+                    taken = False
+            if not entry[a].is_valid:
+                state, taken = leave[a].as_py(), True
+            elif not taken:
+                at = a if state is None else a + int(np.searchsorted(entry.slice(a, b - a).to_numpy(), state + gap, side="left"))
+                if at < b:
+                    state, taken = leave[at].as_py(), True
+    if out:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64()))], ["key", "part", "before"])
+
+
+def _judge_first_keys(batches: Iterator[pa.RecordBatch], gap: int) -> Iterator[pa.RecordBatch]:
+    """Verdicts for the first keys of partitions, given the state before them."""
+    got = _gathered(batches)
+    if got is None:
+        return
+    rows, _ = got
+    part, us, state = (rows.column(c).to_numpy() for c in ("part", "us", "state"))
+    code = np.cumsum(np.r_[0, part[1:] != part[:-1]])
+    pointers = _pointers(code, us, state + gap)
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    known = rows.column("before").is_valid().to_numpy()[starts]
+    before = rows.column("before").fill_null(0).to_numpy()[starts]
+    times, rank = np.unique(us, return_inverse=True)
+    numbers = code * (len(times) + 1) + rank
+    entered = np.searchsorted(numbers, code[starts] * (len(times) + 1) + np.searchsorted(times, before + gap), side="left")
+    entered = np.where(known, np.minimum(entered, np.append(starts[1:], len(us))), starts)
+    begin = entered[entered < np.append(starts[1:], len(us))]
+    met = _walked(begin, pointers)
+    yield pa.RecordBatch.from_arrays(
+        [*(rows.column(c).combine_chunks() for c in ("key", "ts", "tie", "us")), pa.array(met)], ["key", "ts", "tie", "us", "accepted"])
 
 
 def throttle_triggers(triggers: DataFrame, key: str = "definition_id", ts: str = "ts", tie: str = "event_id",
-                      seconds: int = THROTTLE_SECONDS, chunk_seconds: int = 3600,
-                      chunks_per_span: int = 168, last_accepted: DataFrame | None = None) -> DataFrame:
+                      seconds: int = THROTTLE_SECONDS, last_accepted: DataFrame | None = None,
+                      rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """All triggers with ``accepted``: at most one per key within ``seconds`` of the last accepted.
 
     Equal times are decided by the tie-breaker, which is unique per key. A trigger
-    without key or time gets no verdict (null). Only distinct times are gathered,
-    those of one key and chunk in one array; choose ``chunk_seconds`` so that they
-    fit a task. ``last_accepted`` (key, state in microseconds) carries acceptances
-    from earlier data.
+    without key or time gets no verdict (null). Triggers are shuffled once, in ranges
+    of about ``rows_per_task``, and the verdicts are written to the scratch folder;
+    only keys that cross the border of a range are shuffled again. ``last_accepted``
+    (key, state in microseconds) carries acceptances from earlier data.
     """
-    gap, width = seconds * _US, chunk_seconds * _US
-    if chunk_seconds < seconds:
-        raise ValueError("a chunk may not be shorter than the interval")
+    spark = triggers.sparkSession
+    gap = seconds * _US
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    first = triggers.select(
-        F.col(key).cast("string").alias("key"), us.alias("us"), F.col(tie).cast("long").alias("tie"),
-    ).where("key is not null and us is not null").groupBy("key", "us").agg(F.min("tie").alias("tie"))
-    chunks = first.groupBy("key", F.floor(F.col("us") / F.lit(width)).cast("long").alias("chunk")).agg(
-        F.sort_array(F.collect_list("us")).alias("times"))
-    steps = chunks.mapInPandas(lambda batches: _steps_of(batches, gap, width), _STEP)
-    states = _states_before(steps, gap, width, chunks_per_span, last_accepted)
-    times = chunks.join(states, ["key", "chunk"]).select("key", "times", "state").mapInPandas(
-        lambda batches: _accepted_times(batches, gap), "key string, us long")
-    taken = times.join(first, ["key", "us"]).select(
-        F.col("key").alias("_key"), F.col("us").alias("_us"), F.col("tie").alias("_tie"))
-    judged = triggers.select(
-        F.col(key).cast("string").alias(key), F.col(ts), F.col(tie).cast("long").alias(tie), us.alias("us"))
-    same = (judged[key] == taken["_key"]) & (judged["us"] == taken["_us"]) & judged[tie].eqNullSafe(taken["_tie"])
-    known = F.col(key).isNotNull() & F.col("us").isNotNull()
-    return judged.join(taken, same, "left").select(key, ts, tie, F.when(known, F.col("_key").isNotNull()).alias("accepted"))
+    all_rows = triggers.select(
+        F.col(key).cast("string").alias("key"), F.col(ts).alias("ts"), F.col(tie).cast("long").alias("tie"), us.alias("us"))
+    known = F.col("key").isNotNull() & F.col("us").isNotNull()
+    rows = all_rows.where(known).withColumn("state", F.col("us"))
+    if last_accepted is not None:  # an acceptance of its own, before all triggers of the key
+        kind = rows.schema["ts"].dataType
+        rows = rows.unionByName(last_accepted.where("state is not null").select(
+            "key", F.lit(None).cast(kind).alias("ts"), F.lit(None).cast("long").alias("tie"),
+            F.lit(_BEFORE_ALL).alias("us"), "state"))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    plain = ", ".join(f"{c} {kinds[c]}" for c in ("key", "ts", "tie", "us"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-triggers.count() // rows_per_task))
+    order = ["key", "us", "tie"]
+    judged = write_through(
+        rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(
+            lambda b: _judge_partition(b, gap), f"{plain}, state long, part long, accepted boolean, entry long, leave long"), "verdicts")
+    steps = judged.where("leave is not null").select("key", "part", "entry", "leave")
+    before = steps.repartition("key").sortWithinPartitions("key", "part", "entry").mapInArrow(
+        lambda b: _fold_steps(b, gap), "key string, part long, before long")
+    open_rows = judged.where("accepted is null").join(before, ["key", "part"])
+    second = open_rows.select("part", *order, "ts", "state", "before").repartition("part").sortWithinPartitions("part", *order).mapInArrow(
+        lambda b: _judge_first_keys(b, gap), f"{plain}, accepted boolean")
+    out = judged.where("accepted is not null").select("key", "ts", "tie", "us", "accepted").unionByName(second)
+    out = out.where(F.col("us") > _BEFORE_ALL) if last_accepted is not None else out
+    unjudged = all_rows.where(~known).withColumn("accepted", F.lit(None).cast("boolean"))
+    return out.unionByName(unjudged).select(F.col("key").alias(key), F.col("ts").alias(ts), F.col("tie").alias(tie), "accepted")
 
 
 def review_coverage(instances: DataFrame, sign_offs: DataFrame, me: str) -> DataFrame:

@@ -165,10 +165,10 @@ def throttle_null_keys(spark: SparkSession, base: str) -> DataFrame:
 
 @query("throttle_triggers_dense", _THROTTLE.format(where="true", s=14400, t=sql_stamp("ts")))
 def throttle_triggers_dense(spark: SparkSession, base: str) -> DataFrame:
-    """A long interval over many triggers: most are refused, across chunk borders."""
+    """A long interval over many triggers: most are refused, across the borders of ranges."""
     e = D.load(spark, base, "events").selectExpr(
         "'d_' || (user_id % 20) AS definition_id", "ts", "event_id")
-    return R.throttle_triggers(e, seconds=14400, chunk_seconds=20000).withColumn("ts", stamp("ts"))
+    return R.throttle_triggers(e, seconds=14400).withColumn("ts", stamp("ts"))
 
 
 @query("review_coverage", f"""

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from wardlake.operators.masking import MaskRule, apply_masking
-from wardlake.operators.reports import THROTTLE_SECONDS, throttle_triggers
+from wardlake.operators.reports import THROTTLE_SECONDS
 from wardlake.operators.thresholds import RATE_UNITS, rate_rules
 from wardlake.operators.tokens import VAULT_DDL, vault_tokenize
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def mask_stream(stream: DataFrame, tags: Mapping[str, str], rules: Sequence[MaskRule], role: str) -> DataFrame:
     """The batch projection; it holds no state."""
     return apply_masking(stream, tags, rules, role)
@@ -54,47 +58,70 @@ def stream_instance_liveness(stream: DataFrame, gap: str, delay: str, owner: str
     )
 
 
-def _previous(spark: SparkSession, root: str, batch_id: int, ddl: str) -> DataFrame:
-    """The newest table written by an earlier batch."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    best = -1
-    if fs.exists(path):
-        for status in fs.listStatus(path):
-            name = status.getPath().getName()
-            done = fs.exists(hadoop.Path(status.getPath(), "_SUCCESS"))
-            if name.startswith("batch=") and done and int(name[6:]) < batch_id:
-                best = max(best, int(name[6:]))
-    if best < 0:
-        return spark.createDataFrame([], ddl)
-    return spark.read.schema(ddl).parquet(f"{root}/batch={best}")
-
-
-def stream_throttle(stream: DataFrame, root: str, checkpoint: str, seconds: int = THROTTLE_SECONDS,
-                    key: str = "definition_id", ts: str = "ts", tie: str = "event_id") -> StreamingQuery:
-    """Triggers with their verdict, batch by batch, below ``root/verdicts``.
-
-    Each batch runs the chunked throttle, which splits busy definitions, and starts
-    from the last acceptance per definition of the batches before. Output and state
-    are named by batch id, so a repeated batch overwrites itself.
-    """
-    state_ddl = "key string, state long"
+class Throttle(StatefulProcessor):
+    """Keeps the last accepted time of a definition and gives each trigger its verdict on arrival.
 
-    def one_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = _previous(spark, f"{root}/state", batch_id, state_ddl)
-        out = f"{root}/verdicts/batch={batch_id}"
-        throttle_triggers(batch, key, ts, tie, seconds, last_accepted=before).write.mode("overwrite").parquet(out)
-        newest = spark.read.parquet(out).filter("accepted").groupBy(F.col(key).alias("key")).agg(
-            F.max(F.unix_micros(F.col(ts).cast("timestamp"))).alias("state"))
-        merged = before.unionByName(newest).groupBy("key").agg(F.max("state").alias("state"))
-        merged.write.mode("overwrite").parquet(f"{root}/state/batch={batch_id}")
+    The triggers of one micro-batch are judged in the order of time and tie-breaker.
+    What is older than the last acceptance is refused. When the watermark has passed
+    the interval behind the last acceptance, a timer drops the state: what may still
+    arrive is free to be accepted, and what lies behind the watermark is refused.
+    """
 
-    return (
-        stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+    def __init__(self, seconds: int):
+        self.gap = seconds * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "us long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows)).sort_values(["us", "tie"], kind="stable")
+        us = pdf["us"].to_numpy(np.int64)
+        accepted = np.zeros(len(us), bool)
+        known = self.last.exists()
+        last = int(self.last.get()[0]) if known else None
+        open_from = max(timerValues.getCurrentWatermarkInMs(), 0) * 1000
+        at = int(np.searchsorted(us, max(open_from, last + self.gap) if known else open_from, side="left"))
+        if at < len(us):
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            while at < len(us):
+                accepted[at], last = True, int(us[at])
+                at = int(np.searchsorted(us, last + self.gap, side="left"))
+            self.last.update((last,))
+            self.handle.registerTimer(-(-(last + self.gap) // 1000))
+        yield pd.DataFrame({"key": key[0], "us": us, "tie": pdf["tie"].to_numpy(), "accepted": accepted})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def stream_throttle(stream: DataFrame, seconds: int = THROTTLE_SECONDS, delay: str = "1 hour",
+                    key: str = "definition_id", ts: str = "ts", tie: str = "event_id") -> DataFrame:
+    """The triggers of a stream with ``accepted``, at most one per key within ``seconds`` of the last accepted.
+
+    State is one time per key in the state store, so a query that starts again from its
+    checkpoint goes on where it stopped; the session's new streams use RocksDB from here
+    on. Verdicts follow the order of arrival: a trigger older than the last acceptance
+    is refused. What is older than the watermark (``delay`` behind the latest trigger
+    of earlier batches) is refused too, and Spark may leave it out of the result.
+    Triggers without key or time are left out.
+    """
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    time = F.col(ts).cast("timestamp")
+    rows = stream.select(
+        F.col(key).cast("string").alias("key"), time.alias("at"), F.unix_micros(time).alias("us"),
+        F.col(tie).cast("long").alias("tie")).where("key is not null and at is not null")
+    judged = (
+        rows.withWatermark("at", delay).groupBy("key")
+        .transformWithStateInPandas(Throttle(seconds), "key string, us long, tie long, accepted boolean", "Append", "EventTime")
     )
+    back = F.timestamp_micros("us").cast(stream.schema[ts].dataType)
+    return judged.select(F.col("key").alias(key), back.alias(ts), F.col("tie").alias(tie), "accepted")
 
 
 def stream_tokenize(stream: DataFrame, cols: Sequence[str], root: str, checkpoint: str,
@@ -138,7 +165,3 @@ def run_to_files(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
     query.awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def closed_before(max_event_time: dt.datetime, delay: dt.timedelta) -> dt.datetime:
-    """End of the windows that an append-mode stream has emitted."""
-    return max_event_time - delay
