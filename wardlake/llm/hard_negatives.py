@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardlake.session import write_through
@@ -128,7 +129,7 @@ def _arrays(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _width(table: pa.Table) -> int:
-    return int(pa.compute.max(pa.compute.list_value_length(table.column("vector"))).as_py() or 0)
+    return int(pc.max(pc.list_value_length(table.column("vector"))).as_py() or 0)
 
 
 def _scores(anchors: np.ndarray, candidates: np.ndarray) -> np.ndarray:

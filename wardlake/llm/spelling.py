@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlake.llm.wordcache import ragged
@@ -240,7 +241,7 @@ def _edges(rows: pa.Table, names: tuple[str, ...]) -> np.ndarray:
     for name in names:
         column = rows.column(name).combine_chunks()
         if len(rows) > 1:
-            differs[1:] |= pa.compute.not_equal(column.slice(1), column.slice(0, len(rows) - 1)).to_numpy(zero_copy_only=False)
+            differs[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(rows) - 1)).to_numpy(zero_copy_only=False)
     return np.flatnonzero(differs)
 
 
