@@ -36,6 +36,9 @@ BLOCK_TOKENS = 1 << 20
 SENTENCE, WORD, INSIDE = 2, 5, 20
 #: Distinct units kept by a Python worker, and twice as many parts of them: about 300 MB. Fewer need less memory and more time.
 MOST_UNITS = 600_000
+#: Characters of texts cut into units at a time, and pieces and token ids of a batch of results.
+BLOCK_CHARS = 1_000_000
+BATCH_PIECES, BATCH_IDS = 20_000, 500_000
 #: Without the end of a sentence, cuts lie about so many tokens apart.
 GRID = 32
 
@@ -163,7 +166,7 @@ class Packer:
     def __init__(self, limit: int, first_sequence: int, with_ids: bool):
         self.limit, self.sequence, self.with_ids = limit, first_sequence, with_ids
         self.docs: list[_Doc] = []
-        self.tokens = 0
+        self.tokens = self.packed = 0
         self.pieces: list[tuple] = []
 
     def add(self, key, ids: np.ndarray, at: np.ndarray, cost: np.ndarray) -> None:
@@ -207,6 +210,7 @@ class Packer:
 
     def _piece(self, d: _Doc, start: int, length: int, offset: int) -> None:
         ids = np.ascontiguousarray(d.ids[start:start + length], "<u4")
+        self.packed += length
         self.pieces.append((d.key, start, length, zlib.crc32(ids), len(d.ids), self.sequence, offset,
                             ids if self.with_ids else None))
 
@@ -219,31 +223,44 @@ def pack_batches(batches: Iterator[pa.RecordBatch], model: str, model_name: str,
         keys, texts, first = batch.column(0), batch.column(1), 0
         while first < len(texts):
             end, units, size = first, [], 0
-            while end < len(texts) and (size < 4_000_000 or end == first):
+            while end < len(texts) and (size < BLOCK_CHARS or end == first):
                 text = texts[end].as_py() or ""
                 units.append(words.units(text))
                 size += len(text)
                 end += 1
-            for k, places in zip(range(first, end), words.table.look_up(units)):
+            found = words.table.look_up(units)
+            del units
+            for k, places in zip(range(first, end), found):
                 ids = np.append(words.table.ids_of(places), np.uint32(end_id))
                 packer.add(keys[k].as_py(), ids, *cuts_of(words.table.lengths[places], words.table.flags[places], 1))
-                if len(packer.pieces) >= 20_000:
-                    yield _table(packer, key_type)
+                if len(packer.pieces) >= BATCH_PIECES or packer.with_ids and packer.packed >= BATCH_IDS:
+                    yield from _tables(packer, key_type)
+            del found
             first = end
     packer.pack(last=True)
-    if packer.pieces:
-        yield _table(packer, key_type)
+    yield from _tables(packer, key_type)
 
 
-def _table(packer: Packer, key_type: pa.DataType) -> pa.RecordBatch:
-    columns = list(zip(*packer.pieces))
+def _tables(packer: Packer, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """The pieces so far, in batches of about ``BATCH_IDS`` ids if these are asked for."""
+    pieces, packer.pieces, packer.packed = packer.pieces, [], 0
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    arrays = [pa.array(columns[0], key_type)] + [pa.array(c, pa.int64()) for c in columns[1:7]]
-    if packer.with_ids:
-        arrays.append(pa.array([x.astype(np.int32) for x in columns[7]], pa.list_(pa.int32())))
-        names.append("ids")
-    packer.pieces = []
-    return pa.RecordBatch.from_arrays(arrays, names)
+    first = 0
+    while first < len(pieces):
+        end, size = first, 0
+        while end < len(pieces) and end - first < BATCH_PIECES and (not packer.with_ids or size < BATCH_IDS):
+            size += pieces[end][2]
+            end += 1
+        columns = list(zip(*pieces[first:end]))
+        arrays = [pa.array(columns[0], key_type)] + [pa.array(c, pa.int64()) for c in columns[1:7]]
+        if packer.with_ids:
+            offsets = np.zeros(end - first + 1, np.int32)
+            np.cumsum(columns[2], out=offsets[1:])
+            flat = np.concatenate(columns[7]).view(np.int32)
+            arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
+        yield pa.RecordBatch.from_arrays(arrays, names + ["ids"] * packer.with_ids)
+        pieces[first:end] = [None] * (end - first)
+        first = end
 
 
 def pack(docs: DataFrame, model_path: str, limit: int = 2048, end_id: int = 1, key: str = "doc_id", text: str = "text",
