@@ -5,10 +5,13 @@ Each word shingle is hashed once; the top bits of the hash choose one of
 value of a filled one, tried in an order that is fixed for each bin (optimal
 densification: every bin draws its own sequence of others, so that two documents
 that share their filled bins also share the filled-in ones with the probability
-of a match). Of every value ``BITS`` low bits are stored. Two fingerprints agree
-in a bin by likeness or by chance; ``likeness`` takes the chance off.
+of a match). The low bits of a value are taken after mixing it with the number of
+the bin, so that a value that fills many bins does not stand in them as the same
+bits. Of every value ``BITS`` low bits are stored. Two fingerprints agree in a bin by
+likeness or by chance; ``likeness`` takes the chance off.
 
-A document without words has the fingerprint of all zeros.
+A document without words has the fingerprint of all zeros; one with words that would
+come out so has its last bit set.
 """
 
 from __future__ import annotations
@@ -58,8 +61,12 @@ def fingerprints(shingles: np.ndarray, sizes: np.ndarray, order: np.ndarray) ->
     for row, col in zip(d, i):
         at = np.flatnonzero(filled[row])
         values[row, col] = values[row, at[np.searchsorted(at, col) % len(at)]]
-    low = (values & np.uint64((1 << BITS) - 1)).astype(np.uint8)
-    return low[:, 0::2] << BITS | low[:, 1::2]
+    with np.errstate(over="ignore"):
+        salted = wordhash.mix(values ^ wordhash.seeds(BINS, 41))
+    low = np.where(filled.any(1)[:, None], salted & np.uint64((1 << BITS) - 1), np.uint64(0)).astype(np.uint8)
+    packed = low[:, 0::2] << BITS | low[:, 1::2]
+    packed[filled.any(1) & ~packed.any(1), -1] = 1
+    return packed
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
