@@ -165,6 +165,21 @@ def test_fingerprint_estimates():
         assert fingerprint.likeness(prints[:1], prints[:1])[0] == 1.0
 
 
+def test_fingerprints_of_short_texts_are_apart():
+    """One to ten shingles fill few bins; unrelated texts must not agree, equal ones must."""
+    order, rnd = fingerprint.draws(), np.random.default_rng(6)
+    empty = fingerprint.fingerprints(np.zeros(0, np.uint64), np.array([0]), order)
+    for size in (1, 2, 3, 5, 10):
+        pool = wordhash.mix(rnd.integers(1, 1 << 62, 400 * size).astype(np.uint64))
+        prints = fingerprint.fingerprints(np.concatenate([np.sort(x) for x in np.split(pool, 400)]), np.full(400, size), order)
+        assert fingerprint.likeness(prints[:200], prints[200:]).max() < 0.12
+        assert (fingerprint.likeness(prints, prints) == 1.0).all()
+        assert (fingerprint.likeness(prints, np.repeat(empty, 400, 0)) == 0.0).all()
+    assert fingerprint.likeness(empty, empty)[0] == 1.0
+    texts = fingerprint.of_texts(["one two", "three four", "", "one two"], order)
+    assert fingerprint.likeness(texts[:1], texts[3:])[0] == 1.0 and fingerprint.likeness(texts[:1], texts[1:2])[0] < 0.12
+
+
 def test_language_equals_plain_naive_bayes(spark):
     rows = [("the cat and the dog", "en"), ("der hund und die katze", "de"), ("the end", "en"), ("ein ende", "de"), (None, "en"), ("x", None)]
     model = language.fit(spark.createDataFrame(rows, "text string, lang string"), smoothing=0.5)
@@ -341,3 +356,31 @@ def test_ordinal_model_orders_grades(spark):
     assert means[0] < means[1] < means[2] and (got[got.g == 2].tail_probability > 0.5).mean() > 0.95
     assert np.allclose(model.probabilities(np.array([-3.0, 0.0, 5.0])).sum(1), 1)
     assert quality_model.fit(data, data.where("g = 1").select("doc_id", "g"), F.col("g"), 3) is None
+
+
+def test_surrogates_of_a_full_shape_end(spark):
+    """Shapes with fewer values than the table has entities are left behind, and every surrogate is new and distinct."""
+    letters = "абвгдежзийклмнопрстуфхцчшщэюяé"
+    rows = [(i, f"to {c}@firma.de now") for i, c in enumerate(letters)]
+    rows += [(1000 + i, f"at {a}.{b}.{c}.{d}") for i, (a, b, c, d) in enumerate((a, b, c, d) for a in range(1, 10) for b in range(1, 10) for c in (1, 2, 3) for d in range(1, 10))]
+    got = pii.replace_personal(spark.createDataFrame(rows, "doc_id long, text string"), "k", count="n").collect()
+    assert all(r["n"] == 1 for r in got) and len({r["text"] for r in got}) == len(rows)
+    assert not {r["text"] for r in got} & {t for _, t in rows}
+    few = spark.createDataFrame([("ip", f"{a}.{b}.1.1") for a in range(1, 10) for b in range(1, 10)] + [("email", "a@b.de")] + [
+        ("email", f"{c}@c.de") for c in "abcdefghijklmnopqrstuvwxyz"], "kind string, value string")
+    made = pii.assign_surrogates(few, "k").collect()
+    assert len({(r["kind"], r["surrogate"]) for r in made}) == len(made) == few.count()
+    assert not {r["surrogate"] for r in made} & {r["value"] for r in made}
+    again = {(r["value"], r["surrogate"]) for r in pii.assign_surrogates(few.orderBy("value"), "k").collect()}
+    assert again == {(r["value"], r["surrogate"]) for r in made}
+    long_ = [r["surrogate"] for r in made if r["kind"] == "email" and r["attempt"] >= pii.WIDEN]
+    assert long_ and all(len(x.split("@")[0]) > 1 for x in long_)
+
+
+def test_surrogates_keep_the_script(spark):
+    texts = ["иван@firma.de", "Ωmega@firma.de", "用户@例子.公司", "דוד@firma.de", "나라@firma.de", "สมชาย@firma.de"]
+    for text, (new, n), script in zip(texts, replaced(spark, texts), ("CYRILLIC", "GREEK", "CJK", "HEBREW", "HANGUL", "THAI")):
+        import unicodedata
+
+        local = new.split("@")[0]
+        assert n == 1 and local != text.split("@")[0] and unicodedata.name(local[0]).startswith(script), new

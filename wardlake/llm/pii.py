@@ -3,8 +3,8 @@
 Entities are found by one pattern: e-mail and IP addresses, phone, card and
 social security numbers, account numbers, secrets, and names behind a title. The
 distinct entities of the whole table each get a surrogate, made from a keyed
-hash: digits become digits, letters letters of the same case, separators stay;
-a card keeps its check digit right, an address its top-level domain, a name its
+hash: digits become digits, letters letters of the same script and case, separators
+stay; a card keeps its check digit right, an address its top-level domain, a name its
 script and the gender of its title. So equal entities, however written, get
 equal surrogates everywhere (coreference).
 
@@ -13,8 +13,12 @@ address in ASCII letters begins where they begin; one that has such letters righ
 before the at sign, or in the label behind it, takes the whole run of letters.
 
 Different entities must stay different: surrogates that meet, or that are an
-entity of the table, are drawn again with a counter until none is left. The
-checks run on the distinct entities only, as joins and aggregations.
+entity of the table, are drawn again with a counter until none is left. Only what
+met is drawn and checked again. A shape may have fewer values than the table has
+entities, so from attempt ``WIDEN`` on a surrogate has one more letter or digit with
+every attempt, and an IPv4 address any octets, later those of an IPv6 address of
+the documentation range: the rounds end. The checks run on the distinct entities
+only, as joins and aggregations.
 
 A password counts whatever its characters, unless it is only a mask such as
 ``******``; other secrets need a digit. A 1 with a separator before a national
@@ -54,6 +58,19 @@ SYLLABLES = {
     "cyrillic": ("ба", "бер", "вол", "дан", "зор", "кал", "лин", "мар", "нов", "пет", "рад", "сен", "тор", "фед", "хар", "чер"),
     "greek": ("βα", "γορ", "δαλ", "κελ", "λα", "λιν", "μαρ", "μον", "νερ", "παν", "ραλ", "σεν", "ταρ", "τορ", "φαν", "χαρ"),
 }
+# Letters that stand for others of their script, small and large where there are both; scripts not listed take Latin letters.
+LETTERS = {
+    "IsCyrillic": ("абвгдежзийклмнопрстуфхцчшщэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЭЮЯ"),
+    "IsGreek": ("αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"),
+    "IsHebrew": ("אבגדהוזחטיכלמנסעפצקרשת", None),
+    "IsArabic": ("ابتثجحخدذرزسشصضطظعغفقكلمنهوي", None),
+    "IsDevanagari": ("अआइईउऊएऐओऔकखगघचछजझटठडढतथदधनपफबभमयरलवशषसह", None),
+    "IsThai": ("กขคงจฉชซญดตถทธนบปผฝพฟภมยรลวศสหอ", None),
+    "IsHangul": ("가나다라마바사아자차카타파하고노도로모보소오조초코토포호", None),
+    "IsHiragana": ("あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわ", None),
+    "IsKatakana": ("アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ", None),
+    "IsHan": ("安白北成春大東方高光海和江金京李林梅明南平青人山石水天田文西小新雪永雨玉月中竹子", None),
+}
 ENDINGS = {"latin": "son", "cyrillic": "енко", "greek": "ίδης"}
 
 _WORD = r"(?:\p{Lu}[\p{Ll}'’\-]+)"
@@ -94,6 +111,8 @@ _FIRSTS = "".join(sorted({t[0] for group in TITLES.values() for t in group}))
 #: Every entity has a digit, an at sign, a password's label or a title; texts without them are not searched.
 HINT = rf"[0-9@]|[pP](?i:assword|asswd|wd)[\"']?[ \t]*[=:]|(?=[{_FIRSTS}])(?:{_TITLED})\.?[ \u00A0]\p{{Lu}}"
 SEPARATORS = r"[ \-.()]"
+#: Attempts after which a surrogate leaves the shape of its entity, and after which an address leaves IPv4.
+WIDEN, WIDEST = 6, 14
 
 
 def entities(text: Column) -> Column:
@@ -160,10 +179,17 @@ def _same_shape(value: Column, noise: Column, hexadecimal: bool = False) -> Colu
             h = F.substr(F.lit("0123456789abcdef"), n % 16 + 1, F.lit(1))
             return F.when(c.rlike("[0-9a-f]"), h).when(c.rlike("[A-F]"), F.upper(h)).otherwise(c)
         pick = lambda letters: F.substr(F.lit(letters), n % len(letters) + 1, F.lit(1))
-        return (
+        out = (
             F.when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz"))
-            .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(c.rlike(r"\p{Ll}"), pick("abcdefghijklmnopqrstuvwxyz"))
-            .when(c.rlike(r"\p{Lu}"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(c.rlike(r"\p{L}|\p{N}|\p{M}"), pick("abcdefghijklmnopqrstuvwxyz")).otherwise(c)
+            .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(c.rlike(r"[\x00-\x7F]|\p{M}"), c)
+        )
+        for script, (small, large) in LETTERS.items():
+            if large:
+                out = out.when(c.rlike(rf"[\p{{{script}}}&&\p{{Lu}}]"), pick(large))
+            out = out.when(c.rlike(rf"[\p{{{script}}}&&\p{{L}}]"), pick(small))
+        return (
+            out.when(c.rlike(r"\p{Lu}"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+            .when(c.rlike(r"\p{L}|\p{N}"), pick("abcdefghijklmnopqrstuvwxyz")).otherwise(c)
         )
     return F.array_join(F.transform(F.split(value, ""), char), "")
 
@@ -221,14 +247,20 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     def made(noise: Column) -> Column:
         host = F.substring_index(value, "@", -1)
         label, top = F.regexp_extract(host, r"^(.*)\.[^.]+$", 1), F.substring_index(host, ".", -1)
+        more = F.least(F.greatest(attempt - (WIDEN - 1), F.lit(0)), F.lit(16))
+        further = lambda c: let(F.sha2(noise, 256), lambda n: _same_shape(F.repeat(F.lit(c), more), n))
         host_noise = _noise(key, [F.lit("host"), host], F.char_length(host))
-        email = F.concat(_same_shape(F.substring_index(value, "@", 1), noise), F.lit("@"), let(host_noise, lambda n: _same_shape(label, n)), F.lit("."), top)
-        octets = F.array_join(F.transform(F.split(value, r"\."), lambda o, i: _octet(F.char_length(o), _number(noise, i)).cast("string")), ".")
+        email = F.concat(_same_shape(F.substring_index(value, "@", 1), noise), further("a"), F.lit("@"), let(host_noise, lambda n: _same_shape(label, n)), F.lit("."), top)
+        octet = lambda o, i: F.when(attempt < WIDEN, _octet(F.char_length(o), _number(noise, i))).otherwise(_number(noise, i) % 254 + 1)
+        octets = F.array_join(F.transform(F.split(value, r"\."), lambda o, i: octet(o, i).cast("string")), ".")
+        groups = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.lower(F.hex(_number(noise, i)))), ":")
+        octets = F.when(attempt < WIDEST, octets).otherwise(F.concat(F.lit("2001:db8:"), groups))
         iban = F.concat(F.substr(value, F.lit(1), F.lit(2)), F.substr(_same_shape(value, noise), F.lit(3)))
         return (
-            F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "phone", _phone(value, noise)).when(kind == "card", _card(value, noise))
-            .when(kind == "iban", iban).when(kind == "name", _name(key, value, noise, attempt)).when(kind == "hex", _same_shape(value, noise, True))
-            .when((kind == "secret") & (attempt > 1), F.concat(_same_shape(value, noise), _same_shape(F.lit("aaaa"), F.sha2(noise, 256))))
+            F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "phone", F.concat(_phone(value, noise), further("1")))
+            .when(kind == "card", F.concat(_card(value, noise), further("1"))).when(kind == "ssn", F.concat(_same_shape(value, noise), further("1")))
+            .when(kind == "iban", F.concat(iban, further("1"))).when(kind == "name", _name(key, value, noise, attempt)).when(kind == "hex", _same_shape(value, noise, True))
+            .when((kind == "secret") & (attempt > 1), F.concat(_same_shape(value, noise), _same_shape(F.lit("aaaa"), F.sha2(noise, 256)), further("a")))
             .when((kind == "secret") & value.rlike("^(?=.*[a-f])[0-9a-f]+$"), _same_shape(value, noise, True)).otherwise(_same_shape(value, noise))
         )
     return let(_noise(key, [kind, value, attempt.cast("string")], F.greatest(F.char_length(value), F.lit(32))), made)
@@ -239,7 +271,8 @@ def written(kind: Column, entity: Column, replacement: Column) -> Column:
     place = lambda c: F.when(c.rlike(SEPARATORS), F.lit(0)).otherwise(F.lit(1))
     def laid_out(chars: Column) -> Column:
         at = lambda i: F.aggregate(F.slice(chars, F.lit(1), i + 1), F.lit(0), lambda n, c: n + place(c))
-        return F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(SEPARATORS), c).otherwise(F.substr(replacement, at(i), F.lit(1)))), "")
+        spelled = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(SEPARATORS), c).otherwise(F.substr(replacement, at(i), F.lit(1)))), "")
+        return F.concat(spelled, F.substr(replacement, at(F.size(chars) - 1) + 1))
     label, value = _split_secret(entity)
     quote = F.substr(entity, F.char_length(label) + F.char_length(value) + 1)
     return (
@@ -254,20 +287,28 @@ def assign_surrogates(found: DataFrame, key: str) -> DataFrame:
     """``kind``, ``value``, ``attempt``, ``surrogate`` for the distinct canonical entities ``kind``, ``value``.
 
     Two entities of a kind never share a surrogate, and none is an entity of the
-    table. Who drew first keeps it (lower attempt, then value); the others draw
-    again.
+    table. Who drew first keeps it (lower attempt, then value); the others, and
+    only they, draw again.
     """
-    drawn = write_through(found.select("kind", "value", F.lit(0).alias("attempt")), "surrogates")
+    names = ["kind", "surrogate"]
+    taken = found.select("kind", F.col("value").alias("surrogate"))
+    waiting, kept, attempt = found.select("kind", "value"), [], 0
     while True:
-        made = write_through(drawn.withColumn("surrogate", surrogate(key, F.col("kind"), F.col("value"), F.col("attempt"))), "surrogates")
-        first = made.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "value")).alias("first"))
-        real = found.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("real"))
-        checked = made.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
-        again = F.coalesce("real", F.lit(False)) | (F.col("first.value") != F.col("value"))
-        drawn = write_through(checked.select("kind", "value", F.when(again, F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt"), again.alias("again")), "surrogates")
-        if not drawn.where("again").limit(1).count():
-            return made
-        drawn = drawn.drop("again")
+        made = write_through(waiting.select("kind", "value", F.lit(attempt).alias("attempt"), surrogate(
+            key, F.col("kind"), F.col("value"), F.lit(attempt)).alias("surrogate")), "drawn")
+        first = made.groupBy(*names).agg(F.min("value").alias("value"))
+        # what is taken already, looked up from the side of the draws, which are few after the first round
+        met = taken.join(first.select(*names), names, "left_semi")
+        kept.append(write_through(made.join(first.join(met, names, "left_anti"), [*names, "value"], "left_semi"), "surrogates"))
+        waiting = write_through(made.join(kept[-1].select("kind", "value"), ["kind", "value"], "left_anti").select("kind", "value"), "waiting")
+        if waiting.isEmpty():
+            break
+        taken = taken.unionByName(kept[-1].select(*names))
+        attempt += 1
+    out = kept[0]
+    for more in kept[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def replace_personal(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
