@@ -41,3 +41,17 @@ def test_stages_take_odd_rows(spark, base, monkeypatch):
     near = pipeline.near_dedup_stage(spark, odd.frame(spark), base).collect()
     ids = [r["doc_id"] for r in near]
     assert ids.count(4) == 1 and 5 not in ids and 14 not in ids and ids.count(None) == 2
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark, base):
+    other = " ".join(f"other{i}" for i in range(120))
+    rows = [(1, odd.BASE), (1, other), (1, odd.BASE), (2, odd.BASE + " tail"), (3, other + " more"), (1, None), (1, ""), (4, "few words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r["doc_id"], r["text"]) for r in pipeline.near_dedup_stage(spark, docs, base).collect()), key=str)
+    assert got == sorted([(1, odd.BASE), (1, other), (1, None), (1, ""), (4, "few words")], key=str)
+
+
+def test_packing_takes_odd_rows(spark, base):
+    for docs in (odd.frame(spark), odd.empty(spark)):
+        pieces = pipeline.packing_stage(spark, docs, base).collect()
+        assert sum(r["start"] == 0 for r in pieces) == docs.count() and all(len(r["ids"]) == r["length"] for r in pieces)
