@@ -45,19 +45,21 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id.
 
-    Texts without words and rows without an id are in no group and stay. Of rows
-    that share an id the one with the least text stays.
+    Texts without words and rows without an id are in no group and stay. Rows that
+    share an id are documents of their own: where ids repeat, documents are linked
+    by a row number, which is written once.
     """
-    found = near_dedup.near_duplicates(docs)
-    ids = write_through(found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
-    single, repeated = ids.where("n = 1").select("doc_id"), ids.where("n > 1").select("doc_id")
-    out = near_dedup.only_ids(docs, single, "doc_id").select(*docs.columns).unionByName(docs.where("doc_id is null"))
-    if repeated.isEmpty():
-        return out
-    some = near_dedup.only_ids(docs, repeated, "doc_id").select(*docs.columns)
+    named, nameless = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        ids = write_through(near_dedup.near_duplicates(named).where("kept").select("doc_id"), "kept")
+        return near_dedup.only_ids(named, ids, "doc_id").select(*docs.columns).unionByName(nameless)
     row = free_name(docs, "__row")
-    least = some.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), "text")).alias(row))
-    return out.unionByName(least.select(f"{row}.*"))
+    keyed = write_through(named.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    found = near_dedup.near_duplicates(keyed, row).select(F.col(row), F.col("component_id").alias("__component"))
+    least = found.join(keyed.select(row, F.col("doc_id").alias("__id")), row).groupBy("__component").agg(
+        F.min_by(row, F.struct("__id", row)).alias(row))
+    ids = write_through(least.select(row), "kept")
+    return near_dedup.only_ids(keyed, ids, row).select(*docs.columns).unionByName(nameless)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
