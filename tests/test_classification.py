@@ -191,3 +191,57 @@ def test_detector_plugin(spark):
     out = C.detect_entities(df, "t", ["EMAIL"], plugins={"BADGE": badges}).collect()
     assert sorted((r["i"], r["entity_type"], r["hit"], r["score"]) for r in out) == [
         (1, "BADGE", "B-12", 70), (1, "EMAIL", "joe@x.org", 95)]
+
+
+def test_review_scopes_against_brute_force(spark):
+    """Both ways, with a hot table, repeated findings, nulls in paths and a finding that carries a map."""
+    import random
+
+    rnd = random.Random(5)
+    path = lambda: tuple(rnd.choice(x) for x in (("j", "k"), ("d", "e"), ("s", "t"), ("t", "t", "u"), "abc", "XY"))
+    findings = [(*path(), i % 40) for i in range(600)] + [("j", "d", None, "t", "a", "X", 1), ("j", None, None, None, None, None, 2), (None, "d", "s", "t", "a", "X", 3)]
+    decisions = []
+    for i in range(90):
+        p, depth = path(), rnd.choice([0, 1, 2, 3, 4, 5])
+        decisions.append((*p[:1 + depth], *[None] * (5 - depth), rnd.choice(["approved", "rejected"]), i))
+    decisions = rnd.sample(decisions, 40)
+    want = []
+    for f in findings:
+        holding = [d for d in decisions if f[0] is not None and all(a is None or a == b for a, b in zip(d[:6], f[:6]))]
+        best = max(holding, key=lambda d: (sum(x is not None for x in d[:6]), d[7]), default=None)
+        want.append((f, best[6] if best else "pending"))
+    ddl = "job_id string, database_name string, schema_name string, table_name string, column_name string, classifier_name string, n int"
+    frame = spark.createDataFrame(findings, ddl).withColumn("extra", F.create_map(F.lit("a"), F.col("n")))
+    log = spark.createDataFrame(decisions, DECISION_DDL)
+    for limit in (C.DECISION_BYTES, 0):
+        got = C.resolve_status(frame, log, broadcast_bytes=limit)
+        assert got.columns == [*frame.columns, "status"]
+        rows = [(tuple(r)[:7], r["status"]) for r in got.collect()]
+        assert sorted(rows, key=str) == sorted(want, key=str)
+        none = C.resolve_status(frame, log.limit(0), broadcast_bytes=limit)
+        assert {r["status"] for r in none.collect()} == {"pending"}
+    assert {s for _, s in want} == {"approved", "rejected", "pending"}
+
+
+def test_review_reads_findings_once_and_does_not_move_them(spark, base):
+    findings = spark.read.parquet(f"{base}/documents.parquet").selectExpr(
+        "'j' AS job_id", "lang AS database_name", "source AS schema_name", "'t' AS table_name", "'c' AS column_name", "'X' AS classifier_name")
+    log = spark.createDataFrame([("j", "en", None, None, None, None, "approved", 1), ("j", None, None, None, None, None, "rejected", 1)], DECISION_DDL)
+    plan = C.resolve_status(findings, log)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("documents.parquet") == 1 and "Generate" not in plan and "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("text,hits", [
+    ("call 555-123-4567.", ["555-123-4567"]), ("+49 30 1234567 or +1 (555) 123-4567", ["+49 30 1234567", "+1 (555) 123-4567"]),
+    ("(555) 123-4567, 1-555-123-4567, 555.123.4567", ["(555) 123-4567", "1-555-123-4567", "555.123.4567"]),
+    ("4111-1111-1111-1111 and 2024-01-02 and 9123-45-6789-0 and +12", []), ("555-123-4567-8901", []),
+])
+def test_phone_forms(spark, text, hits):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert [r["hit"] for r in C.detect_entities(df, "t", ["PHONE"]).collect()] == hits
+
+
+def test_ip_boundaries(spark):
+    df = spark.createDataFrame([("1.2.3.4.5 then 10.0.0.1. or 300.1.1.1",)], "t string")
+    assert {r["hit"]: r["score"] for r in C.detect_entities(df, "t", ["IP_ADDRESS"], minimum_score=0).collect()} == {
+        "1.2.3.4.5": 10, "10.0.0.1": 90, "300.1.1.1": 10}

@@ -13,14 +13,19 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 # Enough to say whether there is an address; without the leading repetition the
 # search does not rescan every word of a text.
 EMAIL_PRESENT = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-PHONE = r"\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}"
+# International with a country code, or national with ten digits and separators.
+_NATIONAL = r"(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}"
+PHONE = r"\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,4}[0-9]*|[0-9-]*" + _NATIONAL + "[0-9-]*"
+PHONE_VALID = r"^(?:\+[0-9 ().-]+|(?:1-)?" + _NATIONAL + ")$"
+PHONE_DIGITS = (7, 15)
 # Digits, singly separated by a space or hyphen or not at all.
 DIGIT_RUN = r"[0-9](?:[ -]?[0-9]){12,}"
 CARD_DIGITS = (13, 19)
 # RE2 has no look-around, so one more character on each side tells where the number ends.
 SSN = r"[0-9-]*[0-9]{3}-[0-9]{2}-[0-9]{4}[0-9-]*"
 SSN_VALID = r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"
-IP = r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
+# Five and more numbers are one hit, which is no valid address.
+IP = r"[0-9]+(?:\.[0-9]+){3,}"
 IP_VALID = (
     r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}"
     r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$"
@@ -61,7 +66,8 @@ def entity_hits(col: Column, entity_type: str, card_digits: tuple[int, int] = CA
     if entity_type == "EMAIL":
         return _scored(_found_with(col, "@", EMAIL), lambda h: F.lit(95))
     if entity_type == "PHONE":
-        return _scored(_found_with(col, "+", PHONE), lambda h: F.lit(80))
+        valid = lambda h: h.rlike(PHONE_VALID) & _in_range(F.regexp_replace(h, "[^0-9]", ""), PHONE_DIGITS)
+        return _scored(F.filter(_found(col, PHONE), valid), lambda h: F.lit(80))
     if entity_type == "CREDIT_DEBIT_NUMBER":
         bare = F.transform(_found(col, DIGIT_RUN), lambda h: F.regexp_replace(h, "[ -]", ""))
         runs = F.filter(bare, lambda h: _in_range(h, card_digits))

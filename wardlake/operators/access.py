@@ -2,12 +2,19 @@
 
 Rules name objects by exact name, prefix, suffix or path. None of the matches is a
 nested-loop join: each distinct object name is expanded into the keys under which
-a rule could name it, and rules meet them by equi-join.
+a rule could name it, and rules meet them by equi-join. Only prefixes and suffixes
+of the lengths that occur in the rules are keys, and a path has a key for each
+combination of named parts that occurs in the rules.
+
+Rules stay factored: ``Grants`` holds who a rule is for and which paths it names,
+two relations that meet on the rule. Whether an access is covered is asked of
+these; only ``expand_grants`` and ``expand_oltp_grants`` write out the product.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,6 +26,9 @@ CONDITIONS = ("equals", "starts_with", "ends_with")
 OBJECT_TYPES = ("database", "schema", "table", "view")
 TABLE_KEYS = ("database_name", "schema_name", "table_name")
 GRANT_KEYS = ("role", *TABLE_KEYS, "access")
+#: What names an object of a rule: its path, and whether it is a table or a view.
+OBJECT_PARTS = (*TABLE_KEYS, "object_type")
+COLUMN_PARTS = ("database_name", "schema_name", "table_name", "column_name")
 
 _PART = "struct<name:string,wildcard:boolean>"
 RULE_DDL = (
@@ -39,24 +49,68 @@ OLTP_RULE_DDL = (
 )
 
 
-def _name_keys(name: Column) -> Column:
-    """Every (condition, text) under which a rule may name this object."""
-    size = F.char_length(name)
-    spots = F.sequence(F.lit(1), size)
-    exact = F.array(F.struct(F.lit("equals").alias("condition"), name.alias("text")))
-    starts = F.transform(spots, lambda i: F.struct(
-        F.lit("starts_with").alias("condition"), F.substring(name, F.lit(1), i).alias("text")))
-    ends = F.transform(spots, lambda i: F.struct(
-        F.lit("ends_with").alias("condition"), F.right(name, i).alias("text")))
-    return F.concat(exact, starts, ends)
+def match_names(names: DataFrame, name: str, patterns: DataFrame) -> DataFrame:
+    """Patterns (…, condition, text) with each matching name of a distinct list.
 
+    A name has one key for itself and one for each length of a prefix or suffix that
+    occurs in the patterns, so few of its beginnings are written out.
+    """
+    size = F.char_length("text")
+    lengths = patterns.where(size > 0).agg(
+        F.collect_set(F.when(F.col("condition") == "starts_with", size)).alias("starts"),
+        F.collect_set(F.when(F.col("condition") == "ends_with", size)).alias("ends"))
+    of = F.col(name)
+    key = lambda condition, text: F.struct(F.lit(condition).alias("condition"), text.alias("text"))
+    occurring = lambda kind: F.filter(kind, lambda n: n <= F.char_length(of))
+    keys = F.concat(
+        F.array(key("equals", of)),
+        F.transform(occurring("_starts"), lambda n: key("starts_with", F.left(of, n))),
+        F.transform(occurring("_ends"), lambda n: key("ends_with", F.right(of, n))))
+    found = names.select(name).distinct().filter(F.char_length(name) > 0).select(
+        name, lengths.select("starts").scalar().alias("_starts"), lengths.select("ends").scalar().alias("_ends"),
+    ).select(name, F.explode(keys).alias("k"))
+    return patterns.join(found.select(name, "k.condition", "k.text"), ["condition", "text"]).drop("condition", "text")
+
+
+def match_paths(rows: DataFrame, paths: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """``rows`` with the ``rule_id`` of each path of ``paths`` that names them; a null part of a path names any.
+
+    A row has a key for each combination of named parts that occurs in the paths. A
+    row with a null part is named only by paths that leave this part open.
+    """
+    bits = [1 << n for n in range(len(parts))]
+    free = reduce(lambda a, b: a + b, [F.when(F.col(p).isNull(), b).otherwise(0) for p, b in zip(parts, bits)])
+    wanted = paths.select(
+        "rule_id", free.cast("int").alias("_free"), *[F.coalesce(p, F.lit("")).alias(f"_{p}") for p in parts]).distinct()
+    occurring = wanted.agg(F.collect_set("_free")).scalar()
+    keyed = rows.select("*", F.explode(occurring).alias("_free")).select(
+        "*", *[F.when(F.col("_free").bitwiseAND(b) > 0, "").otherwise(F.col(p)).alias(f"_{p}") for p, b in zip(parts, bits)])
+    keys = ["_free", *[f"_{p}" for p in parts]]
+    return fan_out_join(keyed, wanted, keys).drop(*keys)
 
-def match_names(names: DataFrame, name: str, patterns: DataFrame) -> DataFrame:
-    """Patterns (…, condition, text) with each matching name of a distinct list."""
-    keys = names.select(name).distinct().filter(F.char_length(name) > 0).select(
-        name, F.explode(_name_keys(F.col(name))).alias("k")
-    ).select(name, "k.condition", "k.text")
-    return patterns.join(keys, ["condition", "text"]).drop("condition", "text")
+
+@dataclass(frozen=True)
+class Grants:
+    """Access rules as two relations: ``who`` (rule_id, principal, access) and ``what`` (rule_id and the parts of a path, null for any)."""
+
+    who: DataFrame
+    what: DataFrame
+    principal: str
+    parts: tuple[str, ...]
+
+    def covered(self, asked: DataFrame) -> DataFrame:
+        """The distinct rows (principal, access, parts) of ``asked`` that a rule grants.
+
+        The work follows what is asked, not the number of principals times objects.
+        """
+        keys = [self.principal, "access", *self.parts]
+        named = match_paths(asked.select(*keys).distinct(), self.what, self.parts)
+        return named.join(self.who, ["rule_id", self.principal, "access"], "left_semi").select(*keys).distinct()
+
+    def written_out(self, objects: DataFrame) -> DataFrame:
+        """A row for each rule, principal, access and object of a catalog."""
+        named = match_paths(objects, self.what, self.parts).select("rule_id", *objects.columns).distinct()
+        return fan_out_join(named, self.who, ["rule_id"])
 
 
 def rule_roles(rules: DataFrame, roles: DataFrame) -> DataFrame:
@@ -68,10 +122,17 @@ def rule_roles(rules: DataFrame, roles: DataFrame) -> DataFrame:
     return match_names(roles, "role", patterns).select("rule_id", "role").distinct()
 
 
-def rule_objects(rules: DataFrame, catalog: DataFrame) -> DataFrame:
-    """(rule_id, table): tables and views that the objects of a rule cover.
+def _paths(rows: DataFrame, **parts: Column) -> DataFrame:
+    """(rule_id and the four parts of an object), null where a part is not named."""
+    null = F.lit(None).cast("string")
+    return rows.select("rule_id", *[parts.get(p, null).alias(p) for p in OBJECT_PARTS])
+
+
+def object_paths(rules: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(rule_id, path): what the objects of a rule name, not expanded to the tables below.
 
-    ``catalog`` has one row per table or view with ``object_type``.
+    ``catalog`` has one row per table or view with ``object_type``; a rule's prefix or
+    suffix is looked up among its names.
     """
     objects = rules.select("rule_id", F.explode("objects").alias("o"))
     named = objects.filter(F.col("o.condition") != "fully_qualified").select(
@@ -80,26 +141,24 @@ def rule_objects(rules: DataFrame, catalog: DataFrame) -> DataFrame:
     found = []
     for column, types in (("database_name", ("database",)), ("schema_name", ("schema",)),
                           ("table_name", ("table", "view"))):
-        hits = match_names(catalog, column, named.filter(F.col("type").isin(*types))).distinct()
-        rows = fan_out_join(catalog, hits, [column])
-        if column == "table_name":
-            rows = rows.filter(F.col("object_type") == F.col("type"))
-        found.append(rows.select("rule_id", *TABLE_KEYS))
+        hits = match_names(catalog, column, named.filter(F.col("type").isin(*types)))
+        kind = {"object_type": F.col("type")} if column == "table_name" else {}
+        found.append(_paths(hits, **{column: F.col(column)}, **kind))
     paths = objects.filter(F.col("o.condition") == "fully_qualified").select(
-        "rule_id", F.explode("o.fully_qualified_identifiers").alias("q")).select(
-        "rule_id", F.col("q.database").alias("database_name"), F.col("q.schema").alias("schema_name"),
-        F.coalesce("q.table", "q.view").alias("table_name"))
-    for depth in (1, 2, 3):
-        part = paths.filter(F.col(TABLE_KEYS[depth - 1]).isNotNull())
-        if depth < 3:
-            part = part.filter(F.col(TABLE_KEYS[depth]).isNull())
-        part = part.select("rule_id", *TABLE_KEYS[:depth]).distinct()
-        found.append(fan_out_join(catalog, part, TABLE_KEYS[:depth]).select("rule_id", *TABLE_KEYS))
+        "rule_id", F.explode("o.fully_qualified_identifiers").alias("q"))
+    database, schema, table = F.col("q.database"), F.col("q.schema"), F.coalesce("q.table", "q.view")
+    whole = paths.filter(database.isNotNull() & (schema.isNotNull() | table.isNull()))
+    found.append(_paths(whole, database_name=database, schema_name=schema, table_name=table))
     return reduce(DataFrame.unionByName, found).distinct()
 
 
-def tagged_objects(rules: DataFrame, catalog: DataFrame, tags: DataFrame) -> DataFrame:
-    """(rule_id, table) by tags on the checked levels.
+def rule_objects(rules: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(rule_id, table): tables and views that the objects of a rule cover."""
+    return match_paths(catalog, object_paths(rules, catalog), OBJECT_PARTS).select("rule_id", *TABLE_KEYS).distinct()
+
+
+def tagged_paths(rules: DataFrame, tags: DataFrame) -> DataFrame:
+    """(rule_id, path) by tags on the checked levels.
 
     ``tags`` holds (level, database_name, schema_name, table_name, tag_database,
     tag_schema, tag_name, tag_value); the columns below the level are NULL. ``or``
@@ -125,72 +184,73 @@ def tagged_objects(rules: DataFrame, catalog: DataFrame, tags: DataFrame) -> Dat
     held = hits.groupBy("rule_id", "block", "tag_condition", "needed", "level", *TABLE_KEYS).agg(
         F.count_distinct("tag_no").alias("present"))
     kept = held.filter((F.col("tag_condition") == "or") | (F.col("present") == F.col("needed")))
-    found = []
-    for depth, kinds in ((1, ["database"]), (2, ["schema"]), (3, ["table", "view"])):
-        part = kept.filter(F.col("level").isin(*kinds)).select("rule_id", "level", *TABLE_KEYS[:depth]).distinct()
-        rows = fan_out_join(catalog, part, TABLE_KEYS[:depth])
-        if depth == 3:
-            rows = rows.filter(F.col("object_type") == F.col("level"))
-        found.append(rows.select("rule_id", *TABLE_KEYS))
+    level = F.col("level")
+    found = [
+        _paths(kept.filter(level == "database"), database_name=F.col("database_name")),
+        _paths(kept.filter(level == "schema"), database_name=F.col("database_name"), schema_name=F.col("schema_name")),
+        _paths(kept.filter(level.isin("table", "view")), object_type=level, **{c: F.col(c) for c in TABLE_KEYS}),
+    ]
     return reduce(DataFrame.unionByName, found).distinct()
 
 
-def expand_grants(rules: DataFrame, roles: DataFrame, catalog: DataFrame,
-                  tags: DataFrame | None = None) -> DataFrame:
-    """Concrete grants (rule, role, table, access) of access rules."""
-    objects = rule_objects(rules, catalog)
+def tagged_objects(rules: DataFrame, catalog: DataFrame, tags: DataFrame) -> DataFrame:
+    """(rule_id, table) by tags on the checked levels."""
+    return match_paths(catalog, tagged_paths(rules, tags), OBJECT_PARTS).select("rule_id", *TABLE_KEYS).distinct()
+
+
+def access_grants(rules: DataFrame, roles: DataFrame, catalog: DataFrame, tags: DataFrame | None = None) -> Grants:
+    """Access rules for roles on databases, schemas, tables and views, factored."""
+    paths = object_paths(rules, catalog)
     if tags is not None:
-        objects = objects.unionByName(tagged_objects(rules, catalog, tags)).distinct()
+        paths = paths.unionByName(tagged_paths(rules, tags)).distinct()
     access = rules.select("rule_id", F.explode("access").alias("a")).select(
         "rule_id", F.lower("a.name").alias("access")).distinct()
-    who = rule_roles(rules, roles).join(access, "rule_id")
-    return fan_out_join(objects, who, ["rule_id"]).select("rule_id", *GRANT_KEYS)
+    return Grants(rule_roles(rules, roles).join(access, "rule_id"), paths, "role", OBJECT_PARTS)
 
 
-def expand_oltp_grants(rules: DataFrame, users: DataFrame, catalog: DataFrame,
-                       case_sensitivity: str = "case_sensitive") -> DataFrame:
-    """(rule_id, username, column path) of OLTP rules.
+def expand_grants(rules: DataFrame, roles: DataFrame, catalog: DataFrame,
+                  tags: DataFrame | None = None) -> DataFrame:
+    """Concrete grants (rule, role, table, access) of access rules."""
+    return access_grants(rules, roles, catalog, tags).written_out(
+        catalog.select(*OBJECT_PARTS)).select("rule_id", *GRANT_KEYS).distinct()
+
 
-    A column can be named by 16 combinations of name and wildcard; each is a key.
+def oltp_grants(rules: DataFrame, users: DataFrame, case_sensitivity: str = "case_sensitive") -> Grants:
+    """OLTP rules for users and groups on column paths, factored.
+
+    A rule's type is its access, ``read`` if it has none. A part of a path that is
+    missing or a wildcard names any. Without case sensitivity, paths are in small
+    letters, and so must be what is matched against them.
     """
     if case_sensitivity not in ("case_sensitive", "case_insensitive"):
         raise ValueError("case_sensitivity is case_sensitive or case_insensitive")
     fold = (lambda c: c) if case_sensitivity == "case_sensitive" else F.lower
-    parts = ("database", "schema", "table", "column")
-    paths = rules.select("rule_id", F.explode("objects").alias("o")).select(
-        "rule_id", F.explode("o.identifiers").alias("i"))
-
-    def rule_mask() -> Column:
-        return reduce(lambda acc, n: acc + F.when(F.col(f"i.{parts[n]}.wildcard"), 1 << n).otherwise(0),
-                      range(4), F.lit(0))
-
-    def rule_key() -> Column:
-        return F.to_json(F.array(*[
-            F.when(F.col(f"i.{p}.wildcard"), F.lit("")).otherwise(fold(F.col(f"i.{p}.name"))) for p in parts
-        ]))
-
-    wanted = paths.select("rule_id", rule_mask().alias("mask"), rule_key().alias("path")).distinct()
-    keys = F.array(*[
-        F.struct(F.lit(m).alias("mask"), F.to_json(F.array(*[
-            F.lit("") if m >> n & 1 else fold(F.col(f"{parts[n]}_name")) for n in range(4)
-        ])).alias("path"))
-        for m in range(16)
-    ])
-    columns = [f"{p}_name" for p in parts]
-    named = catalog.select(*columns, F.explode(keys).alias("k")).select(*columns, "k.mask", "k.path")
-    objects = fan_out_join(named, wanted, ["mask", "path"]).select("rule_id", *columns).distinct()
-    actors = rules.select("rule_id", F.explode("actors").alias("a")).select(
-        "rule_id", F.col("a.type").alias("type"), F.explode("a.identifiers").alias("name"))
+    paths = rules.select("rule_id", F.explode("objects").alias("o")).select("rule_id", F.explode("o.identifiers").alias("i"))
+    named = lambda p: F.when(~F.coalesce(F.col(f"i.{p}.wildcard"), F.lit(False)), fold(F.col(f"i.{p}.name")))
+    what = paths.select("rule_id", *[named(c.removesuffix("_name")).alias(c) for c in COLUMN_PARTS]).distinct()
+    access = F.lower(F.coalesce("type", F.lit("read")))
+    actors = rules.select("rule_id", access.alias("access"), F.explode("actors").alias("a")).select(
+        "rule_id", "access", F.col("a.type").alias("type"), F.explode("a.identifiers").alias("name"))
     members = users.select("username", F.explode(F.concat(
         F.array(F.struct(F.lit("idp_user").alias("type"), fold(F.col("username")).alias("name"))),
         F.transform(F.coalesce("user_groups", F.array().cast("array<string>")), lambda g: F.struct(
             F.lit("idp_group").alias("type"), fold(g).alias("name"))),
     )).alias("m")).select("username", "m.type", "m.name")
-    who = (
-        actors.withColumn("name", fold(F.col("name"))).join(members, ["type", "name"])
-        .select("rule_id", "username").distinct()
-    )
-    return fan_out_join(objects, who, ["rule_id"]).select("rule_id", "username", *columns)
+    who = actors.withColumn("name", fold(F.col("name"))).join(members, ["type", "name"]).select("rule_id", "username", "access").distinct()
+    return Grants(who, what, "username", COLUMN_PARTS)
+
+
+def expand_oltp_grants(rules: DataFrame, users: DataFrame, catalog: DataFrame,
+                       case_sensitivity: str = "case_sensitive") -> DataFrame:
+    """(rule_id, username, column path, access) of OLTP rules."""
+    grants = oltp_grants(rules, users, case_sensitivity)
+    if case_sensitivity == "case_sensitive":
+        out = grants.written_out(catalog.select(*COLUMN_PARTS))
+    else:  # paths are matched in small letters and given back as they are written
+        folded = catalog.select(*[F.lower(c).alias(c) for c in COLUMN_PARTS], *[F.col(c).alias(f"_written_{c}") for c in COLUMN_PARTS])
+        out = grants.written_out(folded).select(
+            "rule_id", "username", "access", *[F.col(f"_written_{c}").alias(c) for c in COLUMN_PARTS])
+    return out.select("rule_id", "username", *COLUMN_PARTS, "access").distinct()
 
 
 def compliance_check(expected: DataFrame, actual: DataFrame, keys: Sequence[str] = GRANT_KEYS) -> DataFrame:
@@ -221,6 +281,21 @@ def unauthorised_accesses(accesses: DataFrame, grants: DataFrame, keys: Sequence
     return skew_join(accesses, grants.select(*keys).distinct(), keys, "left_anti")
 
 
+def uncovered_accesses(accesses: DataFrame, grants: Grants, catalog: DataFrame | None = None) -> DataFrame:
+    """Audit rows (principal, access and path) that no rule covers; a write under a read grant is not covered.
+
+    The distinct accesses are looked up in the factored rules, and the rows meet the
+    answers in one anti join. ``catalog`` tells tables from views where the rules do.
+    """
+    keys = [grants.principal, "access", *[p for p in grants.parts if p in accesses.columns]]
+    asked = accesses.select(*keys).distinct()
+    if "object_type" in grants.parts and "object_type" not in accesses.columns:
+        if catalog is None:
+            raise ValueError("rules on tables and views need a catalog")
+        asked = asked.join(catalog.select(*OBJECT_PARTS).distinct(), list(TABLE_KEYS), "left")
+    return skew_join(accesses, grants.covered(asked).select(*keys).distinct(), keys, "left_anti")
+
+
 # ── access requests ─────────────────────────────────────────────────────────
 
 # The ten states of a request, and what each event leads to.

@@ -6,18 +6,18 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wardlake.functions import detectors
 from wardlake.operators.common import as_list
 from wardlake.operators.rulesets import Classifier, CompiledSet, active_targets
 from wardlake.operators.sampling import KEYS, catalog_of, melt_columns, profile_columns, sample_rows
 from wardlake.operators.scaling import fan_out_join
+from wardlake.session import write_through
 
 SCOPE = ("database_name", "schema_name", "table_name", "column_name", "classifier_name")
-# Scopes of a job, a database and a schema (depth 0 to 2) are shared by many findings.
-BROAD_DEPTH = 2
-SCOPE_SALTS = 32
+#: Decisions of up to so many bytes are sent to all tasks.
+DECISION_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -138,7 +138,7 @@ MANAGED_STAMP = "2024-01-01T00:00:00Z"
 MANAGED = (
     Classifier.of("EMAIL", pattern=detectors.EMAIL_PRESENT, minimum_threshold=1, description="e-mail address"),
     Classifier.of("PHONE", pattern=detectors.PHONE, minimum_threshold=1, description="phone number"),
-    Classifier.of("CARD", pattern=r"(?:^|[^0-9])[0-9]{16}(?:[^0-9]|$)", minimum_threshold=1,
+    Classifier.of("CARD", pattern=r"(?:^|[^0-9])[0-9](?:[ -]?[0-9]){12,18}(?:[^0-9]|$)", minimum_threshold=1,
                   description="payment card number"),
     Classifier.of("SSN", pattern=r"(?:^|[^0-9])" + detectors.SSN + r"(?:[^0-9]|$)",
                   minimum_threshold=1, description="US social security number"),
@@ -232,11 +232,6 @@ def _scope_depth() -> Column:
     return F.expr(" + ".join(f"int({c} IS NOT NULL)" for c in SCOPE))
 
 
-def _scope_key(depth: int) -> Column:
-    """Unambiguous text of the first ``depth`` scope columns."""
-    return F.expr(f"to_json(array({', '.join(SCOPE[:depth])}))") if depth else F.lit("[]")
-
-
 def check_decision(**scope: str | None) -> None:
     """A scope names every level above its lowest one."""
     given = [scope.get(c) is not None for c in SCOPE]
@@ -254,46 +249,67 @@ def record_decision(decisions: DataFrame, rows: DataFrame) -> DataFrame:
     return decisions.unionByName(checked, allowMissingColumns=True)
 
 
-def resolve_status(findings: DataFrame, decisions: DataFrame,
-                   ts: Sequence[str] = ("decided_at",)) -> DataFrame:
+def resolve_status(findings: DataFrame, decisions: DataFrame, ts: Sequence[str] = ("decided_at",),
+                   broadcast_bytes: int = DECISION_BYTES) -> DataFrame:
     """Findings with their review status: the most specific scope wins, then the latest.
 
-    Decisions shrink to the latest one per scope first. A finding then looks up its
-    own six scopes by equi-join. Scopes above a table are shared by very many
-    findings, so there both sides carry a salt: findings by their column, each such
-    decision (one per job, database or schema) once per salt. Findings are distinct
-    rows without map columns.
+    Decisions shrink to the latest one per scope, a written table whose bytes are
+    counted. Up to ``broadcast_bytes`` it is sent to the findings, one lookup for each
+    depth that occurs: findings are read once and not moved. Beyond, findings and
+    decisions are sorted together by their path, where a scope stands right before
+    all that lies below it, and the scopes above are carried along (``_carried``).
     """
-    depths = range(len(SCOPE) + 1)
-    spread = F.pmod(F.xxhash64("table_name", "column_name", "classifier_name"), F.lit(SCOPE_SALTS)).cast("int")
-    paths = F.array(*[
-        F.struct(F.lit(d).alias("depth"), _scope_key(d).alias("scope_key"),
-                 (spread if d <= BROAD_DEPTH else F.lit(0)).alias("salt"))
-        for d in depths
-    ])
-    by_depth = reduce(lambda acc, d: F.when(F.col("depth") == d, _scope_key(d)).otherwise(acc),
-                      depths, F.lit(None).cast("string"))
-    latest = (
-        decisions.withColumn("depth", _scope_depth()).withColumn("scope_key", by_depth)
-        .groupBy("job_id", "depth", "scope_key")
-        .agg(F.max_by("confirmed_status", F.struct(*ts)).alias("decision"))
-        .withColumn("salt", F.explode(
-            F.when(F.col("depth") <= BROAD_DEPTH, F.sequence(F.lit(0), F.lit(SCOPE_SALTS - 1)))
-            .otherwise(F.array(F.lit(0)))))
-    )
-    probes = findings.select("*", F.explode(paths).alias("p")).select(*findings.columns, "p.*")
-    # Depth and verdict as one number: the greatest is the most specific decision,
-    # and a numeric maximum aggregates by hash.
-    verdict = F.col("depth") * 2 + (F.col("decision") == "approved").cast("int")
-    # The depth-0 probe stands for the finding itself, so findings are read once.
-    joined = probes.join(latest, ["job_id", "depth", "scope_key", "salt"], "left").select(
-        *findings.columns, "depth", verdict.alias("v"))
-    status = F.when(F.col("v").isNull(), "pending").when(F.col("v") % 2 == 1, "approved").otherwise("rejected")
-    return (
-        joined.filter((F.col("depth") == 0) | F.col("v").isNotNull())
-        .groupBy(*findings.columns).agg(F.max("v").alias("v"))
-        .withColumn("status", status).drop("v")
-    )
+    latest = write_through(
+        decisions.withColumn("depth", _scope_depth()).groupBy("job_id", *SCOPE, "depth")
+        .agg(F.max_by("confirmed_status", F.struct(*ts)).alias("decision")), "decisions")
+    path = ["job_id", *SCOPE]
+    size = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)) + 16 for c in path])
+    measured = latest.agg(F.sum(size).alias("bytes"), F.sort_array(F.collect_set("depth")).alias("depths")).first()
+    depths, found = measured["depths"], [f"_decision_{d}" for d in measured["depths"]]
+    if (measured["bytes"] or 0) > broadcast_bytes:
+        judged = _carried(findings, latest, depths)
+    else:
+        judged = findings
+        for d, name in zip(depths, found):
+            scopes = latest.where(F.col("depth") == d).select(*path[:d + 1], F.col("decision").alias(name))
+            judged = judged.join(F.broadcast(scopes), path[:d + 1], "left")
+    status = F.coalesce(*[F.col(n) for n in reversed(found)], F.lit("pending"))
+    return judged.select(*[F.col(c) for c in findings.columns], status.alias("status"))
+
+
+def _carried(findings: DataFrame, latest: DataFrame, depths: Sequence[int]) -> DataFrame:
+    """Findings with the decision of each depth that holds for them, by a carry along sorted paths.
+
+    Findings and decisions are cut into ranges of paths, whatever their scopes hold.
+    Within a range the last decision of each depth is carried to the rows behind it;
+    it holds where it names the beginning of their path. What holds for the first
+    path of a range, a row per range and depth, is looked up in the decisions.
+    """
+    path = ["job_id", *SCOPE]
+    kind = findings.select(F.struct(*findings.columns).alias("row")).schema["row"].dataType
+    rows = findings.select(*path, F.lit(1).alias("kind"), F.lit(None).cast("int").alias("depth"),
+                           F.lit(None).cast("string").alias("decision"), F.struct(*findings.columns).alias("row"))
+    both = rows.unionByName(latest.select(*path, F.lit(0).alias("kind"), "depth", "decision", F.lit(None).cast(kind).alias("row")))
+    ranged = write_through(both.repartitionByRange(*path, "kind").withColumn("part", F.spark_partition_id()), "paths")
+    first = ranged.groupBy("part").agg(F.min(F.struct(*path)).alias("first")).select("part", "first.*")
+    begun = first
+    for d in depths:
+        scopes = latest.where(F.col("depth") == d).select(
+            *path[:d + 1], F.struct(*path[:d + 1], F.col("decision").alias("decision")).alias(f"_first_{d}"))
+        begun = begun.join(scopes, path[:d + 1], "left")
+    begun = begun.select("part", *[f"_first_{d}" for d in depths])
+    before = Window.partitionBy("part").orderBy(*[F.asc_nulls_first(c) for c in path], "kind").rowsBetween(Window.unboundedPreceding, 0)
+    carried = ranged.select("*", *[
+        F.last(F.when((F.col("kind") == 0) & (F.col("depth") == d), F.struct(*path[:d + 1], "decision")), ignorenulls=True)
+        .over(before).alias(f"_last_{d}") for d in depths]).where("kind = 1")
+
+    def holds(name: str, d: int) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(f"{name}.{c}") == F.col(c) for c in path[:d + 1]])
+
+    decided = [F.coalesce(F.when(holds(f"_last_{d}", d), F.col(f"_last_{d}.decision")),
+                          F.when(holds(f"_first_{d}", d), F.col(f"_first_{d}.decision"))).alias(f"_decision_{d}") for d in depths]
+    # one row for each range
+    return carried.join(F.broadcast(begun), "part").select("row", *decided).select("row.*", *[f"_decision_{d}" for d in depths])
 
 
 def revoke_decisions(decisions: DataFrame, job_id: str, **scope: str | None) -> DataFrame:

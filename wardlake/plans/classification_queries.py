@@ -15,7 +15,7 @@ from wardlake.plans import derived as D
 from wardlake.plans.registry import query
 from wardlake.session import scratch_path
 from wardlake.sources.sinks import write_classification_report
-from wardlake.sources.tables import frames_catalog, load_tables
+from wardlake.sources.tables import column_catalog as read_catalog, frames_catalog, load_tables
 
 # ── sampling and profiles ───────────────────────────────────────────────────
 
@@ -39,29 +39,33 @@ def sample_rows_count(spark: SparkSession, base: str) -> DataFrame:
 SELECT 'tpch' AS database_name, 'main' AS schema_name, 'customer' AS table_name, column_name, value FROM (
   SELECT 'c_custkey' AS column_name, CAST(c_custkey AS VARCHAR) AS value FROM customer
   UNION ALL SELECT 'c_name', c_name FROM customer
+  UNION ALL SELECT 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM customer
+  UNION ALL SELECT 'c_acctbal', CAST(c_acctbal AS VARCHAR) FROM customer
   UNION ALL SELECT 'c_mktsegment', c_mktsegment FROM customer)""")
 def melt_columns(spark: SparkSession, base: str) -> DataFrame:
-    return S.melt_columns(D.load(spark, base, "customer"), "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    return S.melt_columns(D.load(spark, base, "customer"), "customer")
 
 
-TEXT_COLUMNS = (("documents", "text"), ("pages", "html"), ("benchmark", "text"), ("conversations", "text"))
+TEXT_TABLES = {"documents": ("doc_id", "text", "lang", "source", "n_chars"), "pages": ("page_id", "url", "html"),
+               "benchmark": ("item_id", "text"), "conversations": ("conv_id", "turn", "role", "text")}
 _LEAVES = {"email": detectors.EMAIL_PRESENT, "phone": detectors.PHONE, "secret": r'"[0-9a-f]{40}"'}
 
 
 def _profile_sql() -> str:
     parts = []
-    for t, c in TEXT_COLUMNS:
-        counts = ", ".join(f"count_if(regexp_matches({c}, '{p}')) AS {n}" for n, p in _LEAVES.items())
+    for t, c in [(t, c) for t, columns in TEXT_TABLES.items() for c in columns]:
+        v = f"CAST({c} AS VARCHAR)"
+        counts = ", ".join(f"count_if(regexp_matches({v}, '{p}')) AS {n}" for n, p in _LEAVES.items())
         parts.append(
             f"SELECT 'tpch' AS database_name, 'main' AS schema_name, '{t}' AS table_name, '{c}' AS column_name, "
-            f"count(*) AS sampled, count({c}) AS non_null, CAST(min(length({c})) AS INTEGER) AS min_length, "
-            f"CAST(max(length({c})) AS INTEGER) AS max_length, {counts} FROM {t}")
+            f"count(*) AS sampled, count({c}) AS non_null, CAST(min(length({v})) AS INTEGER) AS min_length, "
+            f"CAST(max(length({v})) AS INTEGER) AS max_length, {counts} FROM {t}")
     return " UNION ALL ".join(parts)
 
 
 @query("profile_columns", _profile_sql())
 def profile_columns(spark: SparkSession, base: str) -> DataFrame:
-    longs = [S.melt_columns(D.load(spark, base, t), t, [c]) for t, c in TEXT_COLUMNS]
+    longs = [S.melt_columns(D.load(spark, base, t), t) for t in TEXT_TABLES]
     counters: dict[str, Column] = {n: F.count_if(F.col("value").rlike(p)) for n, p in _LEAVES.items()}
     return S.profile_columns(reduce(DataFrame.unionByName, longs), counters)
 
@@ -81,6 +85,7 @@ def _hits(pattern: str) -> str:
 WITH hits AS (
   SELECT doc_id, 'EMAIL' AS entity_type, h AS hit, 95 AS score FROM {_hits(detectors.EMAIL)}
   UNION ALL SELECT doc_id, 'PHONE', h, 80 FROM {_hits(detectors.PHONE)}
+    WHERE regexp_matches(h, '{detectors.PHONE_VALID}') AND length(regexp_replace(h, '[^0-9]', '', 'g')) BETWEEN 7 AND 15
   UNION ALL SELECT doc_id, 'CREDIT_DEBIT_NUMBER', h, CASE WHEN {_LUHN} THEN 99 ELSE 20 END
     FROM (SELECT doc_id, replace(replace(h, ' ', ''), '-', '') AS h FROM {_hits(detectors.DIGIT_RUN)}) WHERE length(h) BETWEEN 13 AND 19
   UNION ALL SELECT doc_id, 'SSN', h, 85 FROM {_hits(detectors.SSN)} WHERE regexp_matches(h, '{detectors.SSN_VALID}')
@@ -148,7 +153,7 @@ COLLECTION = (
 )
 JOB_TABLES = {
     "documents": ("doc_id", "text", "lang", "source", "n_chars"), "pages": ("page_id", "url", "html"),
-    "customer": ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
     "conversations": ("conv_id", "turn", "role", "text"),
 }
 
@@ -228,7 +233,7 @@ LEAF_MIX = (
         {"target": "METADATA", "comparator": "matches", "pattern": "^(text|html|role)$"}]}),
     R.Classifier.of("SIZED", {"target": "COLUMN_SIZE", "comparator": "greater_than", "size": 10}),
 )
-_MIX_COLUMNS = {"documents": ("doc_id", "text"), "pages": ("page_id", "url", "html"), "conversations": ("role", "text")}
+_MIX_COLUMNS = {t: TEXT_TABLES[t] for t in ("documents", "pages", "conversations")}
 
 
 def _mix_sql() -> str:
@@ -236,7 +241,7 @@ def _mix_sql() -> str:
     for t, cols in _MIX_COLUMNS.items():
         for c in cols:
             v = f"CAST({c} AS VARCHAR)"
-            cards = f"[CASE WHEN {_LUHN} THEN 99 ELSE 20 END for h in regexp_extract_all({v}, '[0-9]{{13,}}') if length(h) <= 19]"
+            cards = f"[CASE WHEN {_LUHN} THEN 99 ELSE 20 END for h in [regexp_replace(r, '[ -]', '', 'g') for r in regexp_extract_all({v}, '{detectors.DIGIT_RUN}')] if length(h) <= 19]"
             parts.append(f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS sampled, count({c}) AS non_null,
   count_if(strlen(trim({v}, ' ')) > 200) AS long, count_if(regexp_matches(trim({v}, ' '), '^<[?!A-Za-z]') AND trim({v}, ' ') LIKE '%>') AS xml,
   CAST(sum(len({cards})) AS BIGINT) AS hits, CAST(sum(coalesce(list_sum({cards}), 0)) AS BIGINT) AS total FROM {t}""")
@@ -248,14 +253,16 @@ f AS (
   UNION ALL SELECT *, 'HTML', xml * CAST(100.0 AS DOUBLE) / non_null FROM m WHERE xml * 100.0 / non_null >= 50
   UNION ALL SELECT *, 'CARDS', total / (hits * CAST(100.0 AS DOUBLE)) * 100.0 FROM m WHERE hits > 0 AND total / (hits * 100.0) >= 0.3
   UNION ALL SELECT *, 'DOC_TABLE', CAST(100.0 AS DOUBLE) FROM m WHERE table_name = 'documents' OR column_name = 'url'
-  UNION ALL SELECT *, 'NOT_ID', CAST(100.0 AS DOUBLE) FROM m WHERE column_name IN ('text', 'html', 'role'))
+  UNION ALL SELECT *, 'NOT_ID', CAST(100.0 AS DOUBLE) FROM m WHERE column_name IN ('text', 'html', 'role')
+  UNION ALL SELECT *, 'SIZED', CAST(100.0 AS DOUBLE) FROM m WHERE table_name = 'documents' AND column_name = 'source')
 SELECT 'mix' AS job_id, 'tpch' AS database_name, 'main' AS schema_name, table_name, column_name, classifier_name,
   CAST(score AS DOUBLE) AS score, sampled, non_null FROM f"""
 
 
 @query("classify_leaf_targets", _mix_sql())
 def classify_leaf_targets(spark: SparkSession, base: str) -> DataFrame:
-    tables = {t: D.load(spark, base, t).select(*c) for t, c in _MIX_COLUMNS.items()}
+    database = D.register_tables(spark, base, list(_MIX_COLUMNS))
+    tables = {t: spark.table(f"{database}.{t}").select(*c) for t, c in _MIX_COLUMNS.items()}
     options = C.JobOptions(job_id="mix", condition_types=(
         "DATA_LENGTH", "CONTENT_TYPE", "AMAZON_COMPREHEND", "COLUMN_LOCATION", "METADATA", "COLUMN_SIZE"))
     return C.classify(tables, LEAF_MIX, options)
@@ -401,18 +408,21 @@ def propose_tags(spark: SparkSession, base: str) -> DataFrame:
     return C.propose_tags(_reviewed(spark, base), mapping, known)
 
 
-@query("column_catalog", " UNION ALL ".join(
+_SIZES_SQL = " ".join(f"WHEN table_name = '{t}' AND column_name = '{c}' THEN {n}" for (t, c), n in D.DECLARED.items())
+
+
+@query("column_catalog", "SELECT *, CASE " + _SIZES_SQL + " END AS column_size FROM (" + " UNION ALL ".join(
     f"SELECT table_name, column_name, CAST(ordinal_position - 1 AS INTEGER) AS ordinal, n AS rows FROM "
     f"(SELECT '{t}' AS table_name, unnest(range(1, 1 + len(cs))) AS ordinal_position, unnest(cs) AS column_name, "
     f"(SELECT count(*) FROM {t}) AS n FROM (SELECT {list(c)} AS cs))"
-    for t, c in JOB_TABLES.items()))
+    for t, c in JOB_TABLES.items()) + ")")
 def column_catalog(spark: SparkSession, base: str) -> DataFrame:
-    """Catalog of the protected tables with the size of each."""
-    tables = _job_tables(spark, base)
+    """Catalog of tables registered in the session's metastore, with declared lengths and the number of rows."""
+    database = D.register_tables(spark, base, list(JOB_TABLES))
     sizes = reduce(DataFrame.unionByName, [
-        df.agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(t)) for t, df in tables.items()])
-    return frames_catalog(spark, tables).join(sizes, "table_name").select(
-        "table_name", "column_name", "ordinal", "rows")
+        spark.table(f"{database}.{t}").agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(t)) for t in JOB_TABLES])
+    catalog = read_catalog(spark, [database]).where(F.col("table_name").isin(*JOB_TABLES))
+    return catalog.join(sizes, "table_name").select("table_name", "column_name", "ordinal", "rows", "column_size")
 
 
 @query("classification_report", f"""

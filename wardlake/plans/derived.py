@@ -7,9 +7,13 @@ operator works on data that grows with the tables.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardlake.operators.audits import CATEGORIES
+from wardlake.session import scratch_path
 
 TABLES = ("customer", "orders", "lineitem", "part", "supplier")
 ROLES = ("ADMIN", "ANALYST", "PUBLIC")
@@ -21,6 +25,22 @@ def load(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+#: Lengths under which a source declares text columns.
+DECLARED = {("documents", "lang"): 5, ("documents", "source"): 64, ("customer", "c_name"): 25, ("customer", "c_mktsegment"): 10,
+            ("conversations", "role"): 9}
+
+
+def register_tables(spark: SparkSession, base: str, names: Sequence[str]) -> str:
+    """A database of the session's metastore that holds the given tables where they lie, with declared lengths."""
+    database = f"wardlake_{zlib.crc32(base.encode()):08x}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{scratch_path(spark, database)}'")
+    for name in names:
+        kind = lambda f: f"varchar({n})" if (n := DECLARED.get((name, f.name))) else f.dataType.simpleString()  # noqa: E731, B023
+        columns = ", ".join(f"{f.name} {kind(f)}" for f in load(spark, base, name).schema)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet LOCATION '{base}/{name}.parquet'")
+    return database
+
+
 def pick(options: tuple[str, ...], index: Column) -> Column:
     """The option at an index, wrapping around."""
     return F.element_at(F.array(*[F.lit(o) for o in options]), (F.pmod(index, F.lit(len(options))) + 1).cast("int"))

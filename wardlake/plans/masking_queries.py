@@ -117,11 +117,11 @@ for _level, _name, _fn in (
 SELECT doc_id, email AS m10000, repeat('*', length(email)) AS m10001, {_email('email')} AS m10002,
   {_last4('email')} AS m10003, '*' AS m10004, sha256(email) AS m10006, {_email_hash('email')} AS m10007,
   {_last4_hash('email')} AS m10008
-FROM (SELECT doc_id, regexp_extract(text, '{_EMAIL}') AS email FROM documents) WHERE email <> ''""")
+FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_EMAIL}')) AS email FROM documents)""")
 def mask_levels_all_on_email(spark: SparkSession, base: str) -> DataFrame:
     # Texts without the sign cannot match, and the byte search is far cheaper than the regex.
     found = D.load(spark, base, "documents").filter(F.contains("text", F.lit("@"))).select(
-        "doc_id", F.regexp_extract("text", _EMAIL, 0).alias("email")).filter(F.col("email") != "")
+        "doc_id", F.explode(F.regexp_extract_all("text", F.lit(_EMAIL), F.lit(0))).alias("email"))
     levels = (10000, 10001, 10002, 10003, 10004, 10006, 10007, 10008)
     return found.select("doc_id", *[
         masks.mask(F.col("email"), T.StringType(), n).alias(f"m{n}") for n in levels])
