@@ -114,7 +114,6 @@ def test_sampling_strategies(spark):
     assert S.sample_rows(df, "COMBINED", 10, ["id"]).count() == 10
     assert S.sample_rows(df, "ROW_PERCENT", 100, ["id"]).count() == 1000
     assert 50 < S.sample_rows(df, "ROW_PERCENT", 10, ["id"]).count() < 150
-    assert S.quick_sample(df, 50).count() < 1000
     for bad in (("PERCENTILE", 5), ("ROW_PERCENT", 101)):
         with pytest.raises(ValueError):
             S.sample_rows(df, *bad, ["id"])
@@ -245,3 +244,55 @@ def test_ip_boundaries(spark):
     df = spark.createDataFrame([("1.2.3.4.5 then 10.0.0.1. or 300.1.1.1",)], "t string")
     assert {r["hit"]: r["score"] for r in C.detect_entities(df, "t", ["IP_ADDRESS"], minimum_score=0).collect()} == {
         "1.2.3.4.5": 10, "10.0.0.1": 90, "300.1.1.1": 10}
+
+
+# Sketches
+
+
+def test_column_samples(spark):
+    """The least digests of each column, whatever the layout, with hot rows and a sparse column."""
+    import hashlib
+
+    rows = [(i, "same" if i % 3 else f"v{i}", i if i % 50 == 0 else None) for i in range(900)] + [(7, "dup", None)] * 500
+    df = spark.createDataFrame(rows, "id int, t string, sparse int")
+    long, got = S.sample_columns(df, "t", 20, key=["id", "t"])
+    again = S.sample_columns(df.repartition(7).select("sparse", "id", "t"), "t", 20, ["id", "t", "sparse"], ["id", "t"])[1]
+    assert long.count() == 3 * len(rows)
+    for column, of in (("id", 0), ("t", 1), ("sparse", 2)):
+        want = sorted((hashlib.md5(f"0|{column}|{r[0]}|{r[1]}".encode()).hexdigest(), str(r[of])) for r in rows if r[of] is not None)[:20]
+        for frame in (got, again):
+            assert sorted((r["digest"], r["value"]) for r in frame.where(F.col("column_name") == column).collect()) == want
+    assert S.sample_columns(df.limit(0), "t", 20)[1].count() == 0
+    few = S.sample_columns(spark.createDataFrame([(None, "a")], "n int, t string"), "t", 5)[1].collect()
+    assert [(r["column_name"], r["value"]) for r in few] == [("t", "a")]
+
+
+def test_sampled_job_takes_values_of_each_column(spark):
+    df = spark.createDataFrame([(i, "joe@x.org" if i % 40 == 0 else None) for i in range(4000)], "id int, mail string")
+    found = C.classify({"t": df}, [R.Classifier.of("EMAIL", pattern="@", minimum_threshold=90)], C.JobOptions(strategy="ROWS", size=30)).collect()
+    assert [(r["column_name"], r["sampled"], r["score"]) for r in found] == [("mail", 30, 100.0)]
+
+
+def test_sketches_merge_and_keep_their_bounds(spark):
+    from wardlake.operators import sketches as K
+
+    n = 40_000
+    df = spark.range(n).selectExpr("id", "id % 5000 AS group", "repeat('x', CAST(id % 97 AS INT)) AS word",
+                                   "CASE WHEN id % 10 = 0 THEN 'a@b.org' ELSE 'none' END AS mail", "CAST(NULL AS STRING) AS empty")
+    parts = [df.where(f"id % 4 = {k}") for k in range(4)]
+    stored = K.sketch_columns(parts[0], "t", sample=500)
+    for part in parts[1:]:
+        stored = K.merge_sketches(stored.unionByName(K.sketch_columns(part, "t", sample=500)))
+    whole = {r["column_name"]: r.asDict() for r in K.sketch_columns(df, "t", sample=500).collect()}
+    merged = {r["column_name"]: r.asDict() for r in stored.collect()}
+    assert set(merged) == set(whole) == set(df.columns)
+    for name in df.columns:
+        assert all(merged[name][c] == whole[name][c] for c in ("rows", "non_null", "min_length", "max_length", "sample")), name
+    read = {r["column_name"]: r for r in K.read_sketches(stored, (0.5, 0.9)).collect()}
+    for name, distinct in (("id", n), ("group", 5000), ("word", 97), ("mail", 2), ("empty", 0)):
+        assert abs(read[name]["distinct_values"] - distinct) <= 0.05 * distinct
+    assert abs(read["word"]["length_p50"] - 48) <= 4 and abs(read["word"]["length_p90"] - 87) <= 4
+    assert abs(read["id"]["number_p50"] - n / 2) <= 0.04 * n and read["mail"]["number_p50"] is None
+    assert read["empty"]["length_p50"] is None and read["empty"]["sampled"] == 0 and read["id"]["sampled"] == 500
+    share = {r["column_name"]: r["share"] for r in K.sample_share(stored, F.contains("value", F.lit("@"))).collect()}
+    assert share["id"] == 0 and abs(share["mail"] - 0.1) < 0.06

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from wardlake.functions import detectors
 from wardlake.operators.common import as_list
 from wardlake.operators.rulesets import Classifier, CompiledSet, active_targets
-from wardlake.operators.sampling import KEYS, catalog_of, melt_columns, profile_columns, sample_rows
+from wardlake.operators.sampling import KEYS, catalog_of, melt_columns, profile_columns, sample_columns, sample_rows
 from wardlake.operators.scaling import fan_out_join
 from wardlake.session import write_through
 
@@ -22,7 +22,11 @@ DECISION_BYTES = 64 << 20
 
 @dataclass(frozen=True)
 class JobOptions:
-    """How a job samples and what it evaluates. ROW_PERCENT 100 reads everything."""
+    """How a job samples and what it evaluates.
+
+    ROW_PERCENT 100 reads everything; ROWS, ROW_COUNT and COMBINED take ``size`` values
+    of each column. Rows are told apart by ``row_keys`` of their table, else by all their columns.
+    """
 
     job_id: str = "job"
     job_kind: str = "native"
@@ -73,13 +77,14 @@ def profiled_catalog(tables: dict[str, DataFrame], compiled: CompiledSet, option
     if not compiled.needs_data or options.strategy.upper() == "METADATA":
         empty = {n: F.lit(0).cast("long").alias(n) for n in ("sampled", "non_null", *compiled.counters)}
         return catalog.select("*", *empty.values())
-    longs = [
-        melt_columns(
-            sample_rows(tables[t], options.strategy, options.size,
-                        options.row_keys.get(t, tables[t].columns[:1])),
-            t, c, options.database, options.schema)
-        for t, c in chosen.items() if c
-    ]
+
+    def values(t: str, c: list[str]) -> DataFrame:
+        key = options.row_keys.get(t, tables[t].columns)
+        if options.strategy.upper() != "ROW_PERCENT":
+            return sample_columns(tables[t], t, options.size, c, key, "0", options.database, options.schema)[1].drop("digest")
+        return melt_columns(sample_rows(tables[t], options.strategy, options.size, key), t, c, options.database, options.schema)
+
+    longs = [values(t, c) for t, c in chosen.items() if c]
     profile = profile_columns(reduce(DataFrame.unionByName, longs), compiled.counters)
     counts = ["sampled", "non_null", *compiled.counters]
     return catalog.join(profile.select(*KEYS, *counts), list(KEYS), "left").fillna(0, counts)

@@ -11,9 +11,10 @@ from wardlake.functions.content import is_format
 from wardlake.operators import findings as C
 from wardlake.operators import rulesets as R
 from wardlake.operators import sampling as S
+from wardlake.operators import sketches as K
 from wardlake.plans import derived as D
 from wardlake.plans.registry import query
-from wardlake.session import scratch_path
+from wardlake.session import scratch_path, write_through
 from wardlake.sources.sinks import write_classification_report
 from wardlake.sources.tables import column_catalog as read_catalog, frames_catalog, load_tables
 
@@ -46,6 +47,45 @@ def melt_columns(spark: SparkSession, base: str) -> DataFrame:
     return S.melt_columns(D.load(spark, base, "customer"), "customer")
 
 
+@query("sample_columns", " UNION ALL ".join(
+    f"(SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, md5('0|{c}|' || o_orderkey) AS digest FROM orders "
+    f"WHERE {c} IS NOT NULL ORDER BY digest LIMIT {S.DEFAULT_OLTP_ROWS})" for c in ("o_orderkey", "o_custkey", "o_orderstatus")))
+def sample_columns(spark: SparkSession, base: str) -> DataFrame:
+    """The default sample of an OLTP job: so many values of each column."""
+    orders = D.load(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return S.sample_columns(orders, "orders", S.DEFAULT_OLTP_ROWS, key=["o_orderkey"])[1].select("column_name", "value", "digest")
+
+
+_SKETCHED = {"documents": ("doc_id", "text", "lang", "source", "n_chars"), "customer": ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")}
+
+
+@query("merged_sketches", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows, count({c}) AS non_null, "
+    f"CAST(min(length(CAST({c} AS VARCHAR))) AS INTEGER) AS min_length, CAST(max(length(CAST({c} AS VARCHAR))) AS INTEGER) AS max_length, "
+    f"CAST(least(count({c}), {S.DEFAULT_OLTP_ROWS}) AS INTEGER) AS sampled, true AS distinct_close, true AS median_close FROM {t}"
+    for t, cs in _SKETCHED.items() for c in cs))
+def merged_sketches(spark: SparkSession, base: str) -> DataFrame:
+    """Sketches of a first job, stored, and of the rows that came later, merged; estimates against the exact numbers."""
+    out = []
+    for t, columns in _SKETCHED.items():
+        rows = D.load(spark, base, t).select(*columns)
+        later = F.col(columns[0]) % 3 == 0
+        sketch = lambda df: K.sketch_columns(df, t, key=[columns[0]], sample=S.DEFAULT_OLTP_ROWS)  # noqa: E731, B023
+        stored = write_through(sketch(rows.where(~later)), "sketches")
+        read = K.read_sketches(K.merge_sketches(stored.unionByName(sketch(rows.where(later)))), (0.5,))
+        long = S.melt_columns(rows, t)
+        size = F.char_length("value")
+        half = read.select("column_name", "length_p50")
+        exact = long.join(half, "column_name").groupBy("column_name").agg(
+            F.count_distinct("value").alias("k"), (F.count_if(size <= F.col("length_p50")) / F.count("value")).alias("upto"),
+            (F.count_if(size < F.col("length_p50")) / F.count("value")).alias("below"))
+        out.append(read.join(exact, "column_name").select(
+            "table_name", "column_name", "rows", "non_null", "min_length", "max_length", "sampled",
+            (F.abs(F.col("distinct_values") - F.col("k")) <= F.greatest(F.lit(1), 0.08 * F.col("k"))).alias("distinct_close"),
+            ((F.col("upto") >= 0.47) & (F.col("below") <= 0.53)).alias("median_close")))
+    return reduce(DataFrame.unionByName, out)
+
+
 TEXT_TABLES = {"documents": ("doc_id", "text", "lang", "source", "n_chars"), "pages": ("page_id", "url", "html"),
                "benchmark": ("item_id", "text"), "conversations": ("conv_id", "turn", "role", "text")}
 _LEAVES = {"email": detectors.EMAIL_PRESENT, "phone": detectors.PHONE, "secret": r'"[0-9a-f]{40}"'}
