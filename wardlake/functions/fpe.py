@@ -1,22 +1,26 @@
-"""Format-preserving encryption after NIST SP 800-38G (FF1) as column expressions.
+"""Format-preserving encryption after NIST SP 800-38G (FF1) as column functions.
 
-All work stays in the JVM: the ten Feistel rounds are one ``aggregate`` over a
-short sequence and the round function is AES-CBC from ``aes_encrypt``.
+Values go to Python in Arrow batches. The values of a batch with the same number of
+symbols are encrypted together, ten cipher calls for all of them (``ff1``); the
+length of a value is not bounded.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections import defaultdict
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from wardlake.functions.ff1 import Aes, ff1, to_numbers, to_symbols
+
 DIGITS = "0123456789"
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {"numeric": DIGITS, "alphabetic": LETTERS, "alphanumeric": DIGITS + LETTERS}
-ROUNDS = 10
 
 
 @dataclass(frozen=True)
@@ -44,184 +48,77 @@ def pick_version(versions: list[KeyVersion], sequence: int | None, encrypt: bool
     raise ValueError(f"no key version {sequence}")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind a value to a lambda variable, so that using it twice does not copy its tree."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
+@dataclass(frozen=True)
+class _Alphabet:
+    """The symbols of values, and how short a value may be."""
 
-class _Ff1:
-    """Plan-time tables for one alphabet and one key version."""
+    symbols: str
 
-    def __init__(self, alphabet: str, version: KeyVersion):
-        self.symbols = ALPHABETS.get(alphabet, alphabet)
-        if len(set(self.symbols)) != len(self.symbols) or len(self.symbols) < 2:
+    @classmethod
+    def of(cls, name: str) -> _Alphabet:
+        symbols = ALPHABETS.get(name, name)
+        if len(set(symbols)) != len(symbols) or len(symbols) < 2:
             raise ValueError("an alphabet needs two or more different symbols")
-        self.radix = len(self.symbols)
-        self.version = version
-        half = 1
-        while self.radix ** (half + 1) < 2**62:
-            half += 1
-        self.longest = 2 * half
-        # SP 800-38G asks for at least a million different inputs of the same length.
-        self.shortest = max(2, math.ceil(6 / math.log10(self.radix) - 1e-9))
-        # Padded values begin with the number of padding symbols, in so many symbols.
-        self.mark = 1
-        while self.radix**self.mark <= self.shortest:
-            self.mark += 1
-        self.powers = F.array(*[F.lit(self.radix**i).cast("long") for i in range(half + 1)])
-        self.widths = F.array(
-            *[F.lit((((self.radix**i - 1).bit_length() + 7) // 8) if i else 0) for i in range(half + 1)]
-        )
-        self.table = F.lit(self.symbols)
-
-    def _power(self, n: Column) -> Column:
-        return F.element_at(self.powers, (n + 1).cast("int"))
-
-    def number(self, text: Column) -> Column:
-        if self.symbols == DIGITS:
-            return F.coalesce(F.nullif(text, F.lit("")).cast("long"), F.lit(0).cast("long"))
-        spots = F.sequence(F.lit(1), F.greatest(F.char_length(text), F.lit(1)))
-        return F.aggregate(
-            spots,
-            F.lit(0).cast("long"),
-            lambda acc, i: acc * self.radix + F.instr(self.table, F.substring(text, i, F.lit(1))) - 1,
-        )
-
-    def text(self, number: Column, length: Column) -> Column:
-        if self.symbols == DIGITS:
-            return F.lpad(number.cast("string"), length, F.lit("0"))
-        spots = F.sequence(F.lit(1), length)
-        return F.array_join(
-            F.transform(
-                spots,
-                lambda i: F.substring(
-                    self.table,
-                    (F.call_function("div", number, self._power(length - i)) % self.radix + 1).cast("int"),
-                    F.lit(1),
-                ),
-            ),
-            "",
-        )
-
-    def _head(self, u: Column, v: Column, width: Column) -> Column:
-        """The part of the round input that does not change from round to round (hex)."""
-        tweak = self.version.tweak_hex.upper()
-        t = len(tweak) // 2
-        pad = F.pmod(-F.lit(t + 1) - width, F.lit(16))
-        return F.concat(
-            F.lit(f"010201{self.radix:06X}0A"), F.lpad(F.hex(F.pmod(u, F.lit(256))), 2, "0"),
-            F.lpad(F.hex(u + v), 8, "0"), F.lit(f"{t:08X}{tweak}"), F.repeat(F.lit("00"), pad))
-
-    def _round_value(self, i: Column, b: Column, head: Column, width: Column, modulus: Column) -> Column:
-        """The round function reduced by the modulus of this round."""
-        key = F.unhex(F.lit(self.version.key_hex))
-        zero_iv = F.unhex(F.lit("00" * 16))
-        block = F.unhex(F.concat(
-            head, F.lpad(F.hex(i), 2, "0"), F.lpad(F.hex(b), width * 2, F.lit("0"))))
-        cbc = F.aes_encrypt(block, key, F.lit("CBC"), F.lit("PKCS"), zero_iv)
-        # Output is the IV, the cipher blocks of the input, and one padding block.
-        mac = F.hex(F.substring(cbc, F.octet_length(cbc) - 31, F.lit(12)))
-
-        def small(digits: Column) -> Column:
-            """64 bits by a modulus below 2**32, in long arithmetic."""
-            high = F.conv(F.substring(digits, 1, 8), 16, 10).cast("long")
-            low = F.conv(F.substring(digits, 9, 8), 16, 10).cast("long")
-            return ((high % modulus) * (F.lit(2**32) % modulus) % modulus + low % modulus) % modulus
-
-        def large(digits: Column) -> Column:
-            """96 bits by a modulus below 2**62, in decimal arithmetic."""
-            high = F.conv(F.substring(digits, 1, 12), 16, 10).cast("decimal(20,0)")
-            low = F.conv(F.substring(digits, 13, 12), 16, 10).cast("decimal(20,0)")
-            m = modulus.cast("decimal(20,0)")
-            shift = (F.lit(2**48).cast("decimal(20,0)") % m).cast("decimal(19,0)")
-            mixed = (high % m).cast("decimal(18,0)") * shift + low
-            return (mixed.cast("decimal(38,0)") % m).cast("long")
-
-        # Width 4 means a half below 2**32; its modulus may still belong to the longer half.
-        fits = (width <= 4) & (modulus <= 2**31)
-        middle = (width <= 4) & (modulus > 2**31)
-        return let(mac, lambda digits: F.when(fits, small(digits)).when(
-            middle, large(F.concat(F.lit("00000000"), F.substring(digits, 1, 16)))).otherwise(large(digits)))
-
-    def feistel(self, core: Column, decrypt: bool) -> Column:
-        """Ten rounds over one symbol string."""
-        u = F.floor(F.char_length(core) / 2).cast("int")
-        v = F.char_length(core) - u
-        width = F.element_at(self.widths, (v + 1).cast("int"))
-        shape = F.struct(u.alias("u"), v.alias("v"), width.alias("width"),
-                         self._head(u, v, width).alias("head"))
-        return let(shape, lambda d: self._rounds(core, d["u"], d["v"], d["width"], d["head"], decrypt))
-
-    def _rounds(self, core: Column, u: Column, v: Column, width: Column, head: Column, decrypt: bool) -> Column:
-        state = F.struct(
-            self.number(F.substring(core, F.lit(1), u)).alias("a"),
-            self.number(F.substring(core, u + 1, v)).alias("b"),
-        )
-
-        def one_round(acc: Column, step: Column) -> Column:
-            size = F.when(step % 2 == 0, u).otherwise(v)
-            seen, other = ("a", "b") if decrypt else ("b", "a")
-
-            def mixed(modulus: Column) -> Column:
-                y = self._round_value(step, acc[seen], head, width, modulus)
-                return F.pmod(acc[other] - y if decrypt else acc[other] - modulus + y, modulus)
-
-            new = let(self._power(size), mixed)
-            if decrypt:
-                return F.struct(new.alias("a"), acc["a"].alias("b"))
-            return F.struct(acc["b"].alias("a"), new.alias("b"))
-
-        steps = list(range(ROUNDS))[::-1] if decrypt else list(range(ROUNDS))
-        done = F.aggregate(F.array(*[F.lit(s) for s in steps]), state, one_round)
-        return let(done, lambda ab: F.concat(self.text(ab["a"], u), self.text(ab["b"], v)))
-
-
-def _quote(symbols: str) -> str:
-    return "[^" + "".join("\\" + s if not s.isalnum() else s for s in symbols) + "]"
-
-
-def _transform(col: Column, ff1: _Ff1, is_padded: bool, decrypt: bool) -> Column:
-    foreign = _quote(ff1.symbols)
-
-    def on_core(core: Column) -> Column:
-        n = F.char_length(core)
-        shortest, longest, body, spare = ff1.shortest, ff1.longest, core, 0
+        return cls(symbols)
+
+    @property
+    def shortest(self) -> int:
+        """SP 800-38G asks for at least a million different inputs of the same length."""
+        return max(2, math.ceil(6 / math.log10(len(self.symbols)) - 1e-9))
+
+    @property
+    def mark(self) -> int:
+        """Padded values begin with the number of padding symbols, in so many symbols."""
+        mark = 1
+        while len(self.symbols) ** mark <= self.shortest:
+            mark += 1
+        return mark
+
+
+def _padding(missing: int, alphabet: _Alphabet) -> list[int]:
+    """The number of missing symbols, and as many of the first symbol."""
+    return to_symbols([missing], len(alphabet.symbols), alphabet.mark)[0].tolist() + [0] * missing
+
+
+def _run(values: pd.Series, alphabet: _Alphabet, version: KeyVersion, is_padded: bool, decrypt: bool) -> pd.Series:
+    cipher, tweak = Aes(bytes.fromhex(version.key_hex)), bytes.fromhex(version.tweak_hex)
+    number = {c: i for i, c in enumerate(alphabet.symbols)}
+    groups: dict[int, list[tuple[int, list[int]]]] = defaultdict(list)
+    for row, value in enumerate(values):
+        body = [] if value is None else [number[c] for c in value if c in number]
+        if not body:
+            continue
         if is_padded and not decrypt:
-            # Short input is padded first, so one Feistel network serves both cases.
-            missing = F.greatest(F.lit(shortest) - n, F.lit(0))
-            body = F.concat(ff1.text(missing.cast("long"), F.lit(ff1.mark)), F.repeat(F.lit(ff1.symbols[0]), missing), core)
-            shortest, longest, spare = 1, longest - ff1.mark, missing + ff1.mark
-        wrong = F.raise_error(F.concat(
-            F.lit(f"value needs {shortest} to {longest} symbols of the alphabet, has "), n.cast("string"),
-        )).cast("string")
-        return (
-            F.when(n == 0, col)
-            .when((n < shortest) | (n > longest), wrong)
-            .otherwise(let(ff1.feistel(body, decrypt), lambda done: unpadded(done) if is_padded and decrypt else split(done, spare)))
-        )
-
-    def split(done: Column, spare: Column | int) -> Column:
-        """Symbols that padding added stand in front; the others go where the old ones stood."""
-        if isinstance(spare, int):
-            return weave(done, col)
-        return F.concat(F.substring(done, F.lit(1), spare), weave(F.substr(done, spare + 1), col))
-
-    def unpadded(done: Column) -> Column:
-        spare = (ff1.number(F.substring(done, 1, ff1.mark)) + ff1.mark).cast("int")
-        return let(spare, lambda k: weave(F.substr(done, k + 1), F.substr(col, k + 1)))
-
-    def weave(done: Column, source: Column) -> Column:
-        """Put the new symbols where the old ones stood."""
-
-        def place(i: Column) -> Column:
-            here = F.substring(source, i, F.lit(1))
-            rank = F.char_length(F.regexp_replace(F.substring(source, F.lit(1), i), foreign, ""))
-            return F.when(here.rlike(foreign), here).otherwise(F.substring(done, rank, F.lit(1)))
-
-        spots = F.sequence(F.lit(1), F.char_length(source))
-        return F.when(F.char_length(source) == F.char_length(done), done).otherwise(F.array_join(F.transform(spots, place), ""))
-
-    return F.when(col.isNotNull(), let(F.regexp_replace(col, foreign, ""), on_core))
+            body = _padding(max(alphabet.shortest - len(body), 0), alphabet) + body
+        elif len(body) < alphabet.shortest:
+            raise ValueError(f"value needs {alphabet.shortest} or more symbols of the alphabet, has {len(body)}")
+        groups[len(body)].append((row, body))
+    out = values.tolist()
+    for rows in groups.values():
+        done = ff1(np.array([body for _, body in rows], np.int64), len(alphabet.symbols), cipher, tweak, decrypt).tolist()
+        for (row, _), codes in zip(rows, done):
+            spare, source = 0, out[row]
+            front = ""
+            if is_padded and decrypt:
+                # symbols that padding added stand in front, before any other character
+                spare = to_numbers(np.array([codes[:alphabet.mark]]), len(alphabet.symbols))[0] + alphabet.mark
+                source = source[spare:]
+            elif is_padded:
+                spare = len(codes) - sum(c in number for c in source)
+                front = "".join(alphabet.symbols[k] for k in codes[:spare])
+            new = iter(codes[spare:])
+            out[row] = front + "".join(alphabet.symbols[next(new)] if c in number else c for c in source)
+    return pd.Series(out, dtype=object)
+
+
+def _transform(col: Column, alphabet: str, version: KeyVersion, is_padded: bool, decrypt: bool) -> Column:
+    known = _Alphabet.of(alphabet)
+
+    @F.pandas_udf("string")
+    def run(values: pd.Series) -> pd.Series:
+        return _run(values, known, version, is_padded, decrypt)
+
+    return run(col)
 
 
 def fpe_encrypt(col: Column, alphabet: str, versions: list[KeyVersion],
@@ -231,18 +128,16 @@ def fpe_encrypt(col: Column, alphabet: str, versions: list[KeyVersion],
     A value without symbols of the alphabet is returned as it is. A shorter value
     than FF1 allows raises, unless ``is_padded``: then every value is encrypted
     together with the number of padding symbols before it, so that decryption gives
-    back its length; the result is longer by these symbols. A value with more
-    symbols than fit the arithmetic raises.
+    back its length; the result is longer by these symbols. A value may be as long
+    as a string.
     """
-    ff1 = _Ff1(alphabet, pick_version(versions, sequence, encrypt=True))
-    return _transform(col, ff1, is_padded, decrypt=False)
+    return _transform(col, alphabet, pick_version(versions, sequence, encrypt=True), is_padded, decrypt=False)
 
 
 def fpe_decrypt(col: Column, alphabet: str, versions: list[KeyVersion],
                 sequence: int | None = None, is_padded: bool = False) -> Column:
     """Reverse ``fpe_encrypt``, given the same ``is_padded``."""
-    ff1 = _Ff1(alphabet, pick_version(versions, sequence, encrypt=False))
-    return _transform(col, ff1, is_padded, decrypt=True)
+    return _transform(col, alphabet, pick_version(versions, sequence, encrypt=False), is_padded, decrypt=True)
 
 
 def latest_version(keys: DataFrame) -> DataFrame:

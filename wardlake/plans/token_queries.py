@@ -237,20 +237,58 @@ def protect_columns(spark: SparkSession, base: str) -> DataFrame:
     return K.protect_columns(D.load(spark, base, "customer"), plan, RULES, "ANALYST", SECRET)[0]
 
 
-@query("fpe_encrypt", None)
+def _sealed(rows: DataFrame, key: str, alphabet: str, is_padded: bool) -> DataFrame:
+    """Rows (key, plain, sealed) with what encryption promises: the shape stays, values stay distinct, and come back."""
+    symbols = {"numeric": "[0-9]", "alphanumeric": "[0-9A-Za-z]"}[alphabet]
+    shape = lambda c: F.regexp_replace(c, symbols, "0")
+    pairs = rows.select("plain", "sealed").distinct()
+    keeps = F.endswith(shape("sealed"), shape("plain")) if is_padded else shape("sealed") == shape("plain")
+    one_to_one = pairs.groupBy("sealed").agg(F.count(F.lit(1)).alias("values_of_sealed"))
+    forms = pairs.groupBy("plain").agg(F.count(F.lit(1)).alias("forms_of_value"))
+    return rows.join(one_to_one, "sealed").join(forms, "plain").select(
+        key, fpe_decrypt(F.col("sealed"), alphabet, KEYS, is_padded=is_padded).alias("opened"), keeps.alias("same_shape"),
+        (F.col("sealed") != F.col("plain")).alias("moved"), "values_of_sealed", "forms_of_value")
+
+
+def _phones(spark: SparkSession, base: str) -> DataFrame:
+    return D.load(spark, base, "customer").select("c_custkey", F.format_string("555-%07d", F.col("c_custkey")).alias("plain"))
+
+
+@query("fpe_encrypt", """
+SELECT c_custkey, '555-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS opened, true AS same_shape, true AS moved,
+  1 AS values_of_sealed, 1 AS forms_of_value FROM customer""")
 def fpe_encrypt_query(spark: SparkSession, base: str) -> DataFrame:
-    """Ciphertext of phone numbers; AES is not part of the SQL engine."""
-    rows = D.load(spark, base, "customer").select("c_custkey", F.format_string("555-%07d", F.col("c_custkey")).alias("phone"))
-    return rows.withColumn("phone", fpe_encrypt(F.col("phone"), "numeric", KEYS))
+    """Phone numbers: the separator stays, no two meet, all come back; AES itself is not part of the SQL engine."""
+    rows = write_through(_phones(spark, base).withColumn("sealed", fpe_encrypt(F.col("plain"), "numeric", KEYS)), "sealed")
+    return _sealed(rows, "c_custkey", "numeric", False)
 
 
-@query("fpe_encrypt_distinct", None)
-def fpe_encrypt_distinct(spark: SparkSession, base: str) -> DataFrame:
+def _sealed_priorities(spark: SparkSession, base: str) -> DataFrame:
     """A column with few different values: each one is encrypted once."""
     rows = D.load(spark, base, "orders").select("o_orderkey", "o_orderpriority")
     return K.encrypt_distinct(rows, "o_orderpriority", "alphanumeric", KEYS, is_padded=True)
 
 
+@query("fpe_encrypt_distinct", """
+SELECT o_orderkey, o_orderpriority AS opened, true AS same_shape, true AS moved, 1 AS values_of_sealed, 1 AS forms_of_value FROM orders""")
+def fpe_encrypt_distinct(spark: SparkSession, base: str) -> DataFrame:
+    """The same for a column with few values, each encrypted once and padded."""
+    sealed = write_through(_sealed_priorities(spark, base), "sealed").select("o_orderkey", F.col("o_orderpriority").alias("sealed"))
+    rows = sealed.join(D.load(spark, base, "orders").select("o_orderkey", F.col("o_orderpriority").alias("plain")), "o_orderkey")
+    return _sealed(rows, "o_orderkey", "alphanumeric", True)
+
+
+@query("fpe_long_values", """
+SELECT o_orderkey, repeat(lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || '-', 7) AS opened, true AS same_shape, true AS moved,
+  1 AS values_of_sealed, 1 AS forms_of_value FROM orders""")
+def fpe_long_values(spark: SparkSession, base: str) -> DataFrame:
+    """Values of 63 digits."""
+    plain = F.repeat(F.concat(F.lpad(F.col("o_orderkey").cast("string"), 9, "0"), F.lit("-")), F.lit(7))
+    rows = D.load(spark, base, "orders").select("o_orderkey", plain.alias("plain"))
+    rows = write_through(rows.withColumn("sealed", fpe_encrypt(F.col("plain"), "numeric", KEYS)), "sealed")
+    return _sealed(rows, "o_orderkey", "numeric", False)
+
+
 @query("fpe_roundtrip", """
 SELECT count(*) AS rows, count(*) AS same, count(*) AS same_shape, true AS moved FROM customer""")
 def fpe_roundtrip(spark: SparkSession, base: str) -> DataFrame:
@@ -266,7 +304,7 @@ def fpe_roundtrip(spark: SparkSession, base: str) -> DataFrame:
 
 @query("fpe_roundtrip_distinct", "SELECT o_orderkey, o_orderpriority FROM orders")
 def fpe_roundtrip_distinct(spark: SparkSession, base: str) -> DataFrame:
-    sealed = write_through(fpe_encrypt_distinct(spark, base), "sealed")
+    sealed = write_through(_sealed_priorities(spark, base), "sealed")
     return K.decrypt_distinct(sealed, "o_orderpriority", "alphanumeric", KEYS, is_padded=True)
 
 
