@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlake.llm import wordhash
 from wardlake.llm.components import connected_components
+from wardlake.llm.wordcache import give_back_memory
 from wardlake.session import write_through
 
 #: Up to so many ids (16 MB) are broadcast to filter the documents; more are joined by a shuffle.
@@ -83,6 +84,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], banding: Banding) -> Iterator
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(first, len(sizes)), pa.array(sizes), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
                  half(values[:, :banding.m]), half(values[:, banding.m:])], ["id", "n", "d1", "d2", "u", "v"])
+    give_back_memory()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,6 +94,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = [shingles[e - n:e].tobytes() for e, n in zip(ends, sizes)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(first, len(sizes)), pa.array(sizes), pa.array(sets, pa.binary())], ["id", "n", "shingles"])
+    give_back_memory()
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -108,6 +111,8 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             if common and 100 * common >= percent * (len(held_set) + len(right) - common):
                 keep.append(k)
         yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(keep, pa.int64())) for i in (0, 1)], ["a", "b"])
+    held = held_set = None
+    give_back_memory()
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

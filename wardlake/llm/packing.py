@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from wardlake.llm.wordcache import UnitTable, kept_in_worker, ragged
+from wardlake.llm.wordcache import UnitTable, give_back_memory, kept_in_worker, ragged
 
 #: Tokens that one round of dynamic programming takes.
 BLOCK_TOKENS = 1 << 20
@@ -239,6 +239,8 @@ def pack_batches(batches: Iterator[pa.RecordBatch], model: str, model_name: str,
             first = end
     packer.pack(last=True)
     yield from _tables(packer, key_type)
+    del packer
+    give_back_memory()
 
 
 def _tables(packer: Packer, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlake.llm import wordhash
+from wardlake.llm.wordcache import give_back_memory
 
 DIMS_BITS = 20
 DIMS = 1 << DIMS_BITS
@@ -216,6 +217,7 @@ def predict(docs: DataFrame, model: OrdinalModel | None, tail: int, text: str =
                     expected[first:first + len(sizes)] = np.where(wordy, p @ np.arange(p.shape[1]), 0.0)
                     chance[first:first + len(sizes)] = np.where(wordy, p[:, tail:].sum(1), 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(expected), pa.array(chance)], [*batch.schema.names, *names])
+        give_back_memory()
 
     return rows.mapInArrow(run, schema)
 

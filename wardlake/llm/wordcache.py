@@ -7,6 +7,8 @@ the table. The table is bounded: when it is full it starts anew.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Hashable
@@ -14,6 +16,7 @@ from itertools import repeat
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
 
 #: Distinct units kept at a time.
 MOST_UNITS = 300_000
@@ -31,6 +34,16 @@ def kept_in_worker(key: Hashable, build: Callable[[], Any]) -> Any:
     return held[key]
 
 
+def give_back_memory() -> None:
+    """Return freed memory to the system at the end of a task; a Python worker lives on and serves other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places ``starts[i] .. starts[i] + lengths[i]`` of all i, one after the other."""
     ends = np.cumsum(lengths)
