@@ -153,6 +153,17 @@ def test_worker_functions_do_not_need_the_package(tmp_path):
     subprocess.run([sys.executable, "-c", code, str(blob)], cwd=tmp_path, check=True, timeout=60)
 
 
+@pytest.mark.parametrize("cron,zone,day,expected", [
+    # Troll turns its clock back by two hours: the local times from 01:00 to 03:00 come twice.
+    ("30 1,2 ? * * *", "Antarctica/Troll", 27, ["10-26 23:30", "10-27 00:30", "10-27 01:30", "10-27 02:30"]),
+    ("0 2 ? * * *", "Europe/Berlin", 27, ["10-27 00:00", "10-27 01:00"]),
+    ("15 2 ? * * *", "Australia/Lord_Howe", 6, []),  # half an hour is skipped
+])
+def test_cron_at_clock_changes(spark, cron, zone, day, expected):
+    start = dt.datetime(2024, 10, day) - dt.timedelta(hours=12)
+    assert due(spark, cron, zone, start, start + dt.timedelta(days=1)) == expected
+
+
 def test_throttle_of_one_busy_key_is_near_linear(spark):
     """One hour of one key with very many triggers: time follows the rows, and most share few times."""
     n = 1_000_000

@@ -226,10 +226,34 @@ def test_stream_throttle_keeps_state_between_batches(spark, tmp_path):
     assert {r["event_id"]: r["accepted"] for r in again.collect()} == verdicts
 
 
-def test_stream_tokenize_stores_a_pair_once(spark, tmp_path):
+def test_stream_tokenize_reads_a_pair_once(spark, tmp_path):
+    """Batches write their own pairs only; reading and compacting give each once, and a compaction counts from its end on."""
     src, root, cp = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
-    for values in (["x", "y"], ["y", "z"]):
+    assert X.read_vault(spark, root).count() == 0 and X.compact_vault(spark, root) is None
+    for n, values in enumerate((["x", "y"], ["y", "z"], ["z", "x", "w"])):
         spark.createDataFrame([(v,) for v in values], "v string").coalesce(1).write.mode("append").parquet(src)
         X.stream_tokenize(spark.readStream.schema("v string").parquet(src), ["v"], root, cp, secret="k").awaitTermination()
-    assert sorted(r["value"] for r in spark.read.parquet(f"{root}/vault").collect()) == ["x", "y", "z"]
-    assert spark.read.parquet(f"{root}/rows").count() == 4
+        assert spark.read.parquet(f"{root}/log/batch={n}").count() == len(values)
+        if n == 1:
+            assert X.compact_vault(spark, root) == X.compact_vault(spark, root) == 1
+            assert spark.read.parquet(f"{root}/compacted/upto=1").count() == 3
+    assert sorted(r["value"] for r in X.read_vault(spark, root).collect()) == ["w", "x", "y", "z"]
+    assert X.compact_vault(spark, root) == 2
+    spark.read.parquet(f"{root}/log/batch=2").withColumn("value", F.lit("late")).write.mode("append").partitionBy("bucket").parquet(f"{root}/log/batch=1")
+    assert sorted(r["value"] for r in X.read_vault(spark, root).collect()) == ["w", "x", "y", "z"]  # batches of the compaction are not read
+    assert spark.read.parquet(f"{root}/rows").count() == 7
+
+@pytest.mark.parametrize("order", ["asc", "desc"])
+def test_deep_pages(spark, monkeypatch, order):
+    """Pages of every depth, with nulls, equal keys and few different values in front."""
+    monkeypatch.setattr(G, "DEEP_OFFSET", 40)
+    monkeypatch.setattr(G, "SAMPLED_KEYS", 300)
+    rows = [(None if i % 11 == 0 else (7 if i % 3 else i % 97), f"k{i:05d}", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "n int, k string, t timestamp_ntz").repartition(5)
+    least = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    want = sorted(rows, key=least, reverse=order == "desc")
+    for offset in (41, 500, 1999, 3500, 3990, 4000, 9000):
+        got = G.sort_limit_offset(df, ["k"], "n", order, 20, offset).collect()
+        assert [r["k"] for r in got] == [r[1] for r in want[offset:offset + 20]], offset
+    part, before = G.page_range(df, ["t"], False, 3000, 10)
+    assert part.count() < 400 and 2600 < before <= 3000

@@ -69,11 +69,61 @@ def ordering(sort_by: str, order: str, tie_breaker: Sequence[str]) -> list[Colum
     return [F.desc(c) if descending else F.asc(c) for c in (sort_by, *tie_breaker)]
 
 
+#: Rows that a page may skip by sorting them, keys that are looked at to place a page, and ranges that are counted.
+DEEP_OFFSET, SAMPLED_KEYS, RANGES = 10_000, 20_000, 128
+
+
+def page_range(df: DataFrame, keys: Sequence[str], descending: bool, offset: int, limit: int) -> tuple[DataFrame, int]:
+    """A range of rows that holds a page, and how many rows come before the range.
+
+    A bounded sample of keys cuts the order into ranges, whose rows are counted
+    exactly in one pass without a shuffle of rows. The range of the page is cut again
+    while it is much larger than the page and gets smaller. Rows of equal keys stay
+    together.
+    """
+    row = F.struct(*keys)
+    left, before = df, 0
+    n = df.count()
+    while n > 2 * (DEEP_OFFSET + limit):
+        sample = left.select(*keys).sample(fraction=min(1.0, SAMPLED_KEYS / n), seed=1).distinct()
+        ranked = sample.orderBy(*[F.desc(k) if descending else F.asc(k) for k in keys]).limit(2 * SAMPLED_KEYS).collect()
+        cuts = [ranked[i] for i in sorted({len(ranked) * k // RANGES for k in range(1, RANGES)}) if i < len(ranked)]
+        kinds = [left.schema[k].dataType for k in keys]
+        bounds = [F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(keys, cut, kinds)]) for cut in cuts]
+        behind = (lambda b: row <= b) if descending else (lambda b: row >= b)
+        place = reduce(lambda a, b: a + b, [behind(b).cast("int") for b in bounds], F.lit(0))
+        sizes = dict(left.groupBy(place.alias("place")).count().collect())
+        first, seen = 0, 0
+        while first < len(bounds) and seen + sizes.get(first, 0) <= offset - before:
+            seen += sizes.get(first, 0)
+            first += 1
+        last, upto = first, seen + sizes.get(first, 0)
+        while last < len(bounds) and upto < offset - before + limit:
+            last += 1
+            upto += sizes.get(last, 0)
+        if upto - seen >= n:  # all rows are alike in what was looked at
+            break
+        inside = F.lit(True)
+        if first > 0:
+            inside = inside & behind(bounds[first - 1])
+        if last < len(bounds):
+            inside = inside & ~behind(bounds[last])
+        left, before, n = left.where(inside), before + seen, upto - seen
+    return left, before
+
+
 def sort_limit_offset(df: DataFrame, tie_breaker: Sequence[str], sort_by: str = "event_time",
                       order: str = "desc", limit: int | None = None, offset: int = 0) -> DataFrame:
-    """An ordered slice. The tie-breaker makes pages repeatable."""
+    """An ordered slice. The tie-breaker makes pages repeatable.
+
+    A page behind ``DEEP_OFFSET`` rows is cut out of the range of the order in which it
+    lies (``page_range``); the rows before it are counted, not sorted.
+    """
     if offset < 0 or (limit is not None and limit < 0):
         raise ValueError("limit and offset may not be negative")
+    if limit is not None and offset > DEEP_OFFSET:
+        df, before = page_range(df, [sort_by, *tie_breaker], order.lower() == "desc", offset, limit)
+        offset -= before
     out = df.orderBy(*ordering(sort_by, order, tie_breaker))
     if offset:
         out = out.offset(offset)

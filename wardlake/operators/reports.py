@@ -120,11 +120,16 @@ def expand_cron(definitions: DataFrame, start: dt.datetime, end: dt.datetime) ->
         .withColumn("local_time", F.timestamp_seconds(
             F.unix_seconds(F.col("d").cast("timestamp")) + F.col("h") * 3600 + F.col("m") * 60))
     )
-    base = F.unix_seconds(F.to_utc_timestamp("local_time", F.col("timezone")))
-    shifts = F.explode(F.array(*[F.lit(60 * m) for m in (-60, -30, 0, 30, 60)])).alias("shift")
+    def offset(days: int) -> Column:
+        """Seconds by which the zone's clock is ahead, so many days from the local time."""
+        instant = F.timestamp_seconds(F.unix_seconds("local_time") + days * 86_400)
+        return F.unix_seconds(F.from_utc_timestamp(instant, F.col("timezone"))) - F.unix_seconds(instant)
+
+    # a change of the clock, however large, lies between the offsets of the day before and the day after
+    instants = F.explode(F.array_distinct(F.array(*[F.unix_seconds("local_time") - offset(d) for d in (-1, 1)])))
     due = (
-        local.withColumn("base", base).select("*", shifts)
-        .withColumn("due_at", F.timestamp_seconds(F.col("base") + F.col("shift")))
+        local.select("*", instants.alias("base"))
+        .withColumn("due_at", F.timestamp_seconds("base"))
         .filter(F.from_utc_timestamp("due_at", F.col("timezone")) == F.col("local_time"))
         .filter((F.col("due_at") >= F.lit(start).cast("timestamp"))
                 & (F.col("due_at") < F.lit(end).cast("timestamp")))

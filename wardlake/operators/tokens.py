@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wardlake.functions.fpe import KeyVersion, fpe_decrypt, fpe_encrypt
 from wardlake.operators.masking import MaskRule, levels_for_role, project_levels
 from wardlake.operators.scaling import number_rows, skew_join
+from wardlake.session import write_through
 
 
 @dataclass(frozen=True)
@@ -177,23 +178,32 @@ def critical_tokenize(df: DataFrame, cols: Sequence[str], vault: DataFrame | Non
 
 
 def _resolve(df: DataFrame, cols: Sequence[str], vault: DataFrame, strict: bool, kind: str | None) -> DataFrame:
-    """One plain join per column; adaptive execution splits tokens that many rows have.
+    """Look up the tokens of all columns at once; adaptive execution splits tokens that many rows have.
 
-    The vault is first reduced to one row per token, so a pair that is stored
-    twice does not double rows.
+    The vault is reduced to one row per token once, so a pair that is stored twice does
+    not double rows. One column is a plain join. The cells of several columns are
+    looked up together and put back by a row number: the cells move twice and the
+    rows once, whatever the number of columns.
     """
     mine = vault if kind is None else vault.filter(F.col("kind") == kind)
     single = mine.groupBy("token").agg(F.max("value").alias("_plain"))
-    out = df
-    for c in cols:
-        joined = out.join(single.withColumnRenamed("token", c), c, "left")
-        if strict:
-            missing = F.raise_error(F.concat(F.lit("not a valid token: "), F.col(c))).cast("string")
-            value = F.when(F.col(c).isNotNull() & F.col("_plain").isNull(), missing).otherwise(F.col("_plain"))
-        else:
-            value = F.coalesce("_plain", c)
-        out = joined.withColumn(c, value).drop("_plain").select(*df.columns)
-    return out
+
+    def value(token: Column, plain: Column) -> Column:
+        if not strict:
+            return F.coalesce(plain, token)
+        missing = F.raise_error(F.concat(F.lit("not a valid token: "), token)).cast("string")
+        return F.when(token.isNotNull() & plain.isNull(), missing).otherwise(plain)
+
+    if len(cols) == 1:
+        c = cols[0]
+        joined = df.join(single.withColumnRenamed("token", c), c, "left")
+        return joined.withColumn(c, value(F.col(c), F.col("_plain"))).select(*df.columns)
+    rows = write_through(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    cells = rows.select("_row", F.posexplode(F.array(*cols)).alias("_column", "token")).where("token IS NOT NULL")
+    found = cells.join(single, "token").groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_column", "_plain"))).alias("_found"))
+    plain = lambda i: F.element_at("_found", F.lit(i))
+    return rows.join(found, "_row", "left").select(*[
+        value(F.col(c), plain(list(cols).index(c))).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def detokenize(df: DataFrame, cols: Sequence[str], vault: DataFrame, kind: str | None = None) -> DataFrame:

@@ -51,6 +51,16 @@ def active_jobs(spark: SparkSession, base: str) -> DataFrame:
     return G.active_jobs(jobs)
 
 
+@query("deep_page", """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey DESC, l_linenumber DESC
+LIMIT 40 OFFSET (SELECT CAST(floor(count(*) * 0.8) AS BIGINT) FROM lineitem)""")
+def deep_page(spark: SparkSession, base: str) -> DataFrame:
+    """A page behind four fifths of the table."""
+    rows = D.load(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return G.sort_limit_offset(rows, ["l_orderkey", "l_linenumber"], "l_extendedprice", "desc", 40, rows.count() * 8 // 10)
+
+
 @query("sort_limit_offset", f"""
 WITH {D.AUDITS}
 SELECT event_id, {sql_stamp('event_time')} AS event_time, row_count FROM (

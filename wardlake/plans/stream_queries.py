@@ -92,11 +92,16 @@ def stream_throttle(spark: SparkSession, base: str) -> DataFrame:
 @query("stream_tokenize", f"""
 SELECT event_id, event_type, {sql_token('event_type')} AS token FROM events""")
 def stream_tokenize(spark: SparkSession, base: str) -> DataFrame:
-    """Tokenized rows joined with the vault that the stream wrote."""
-    root = scratch_path(spark, "tokens")
-    rows = event_stream(spark, base).select("event_id", "event_type")
-    X.stream_tokenize(rows, ["event_type"], root, scratch_path(spark, "cp"), secret=SECRET).awaitTermination()
-    vault = spark.read.parquet(f"{root}/vault").select(F.col("token"), F.col("value"))
+    """Events in three micro-batches, the vault compacted after the first; tokens joined with the vault that they wrote."""
+    root, inbox, checkpoint = (scratch_path(spark, n) for n in ("tokens", "inbox", "cp"))
+    rows = spark.read.parquet(f"{base}/events.parquet").select("event_id", "event_type")
+    for part in range(3):
+        rows.where(F.col("event_id") % 3 == part).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(rows.schema).parquet(inbox)
+        X.stream_tokenize(stream, ["event_type"], root, checkpoint, secret=SECRET).awaitTermination()
+        if part == 0:
+            X.compact_vault(spark, root)
+    vault = X.read_vault(spark, root).select("token", "value")
     tokens = spark.read.parquet(f"{root}/rows").select("event_id", F.col("event_type").alias("token"))
     return tokens.join(vault, "token").select("event_id", F.col("value").alias("event_type"), "token")
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -126,21 +127,19 @@ def stream_throttle(stream: DataFrame, seconds: int = THROTTLE_SECONDS, delay: s
 
 def stream_tokenize(stream: DataFrame, cols: Sequence[str], root: str, checkpoint: str,
                     *, secret: str, retired: DataFrame | None = None) -> StreamingQuery:
-    """Tokenized rows below ``root/rows`` and new vault pairs below ``root/vault``.
+    """Tokenized rows below ``root/rows`` and the pairs they need below ``root/log``, both by batch.
 
-    Values in ``retired`` had their token deleted and get one of their next generation.
-
-    Deterministic tokens make a repeated batch write the same rows; a batch looks
-    at the pairs of other batches only to leave out what is already stored.
+    The vault is a log: a batch writes its own pairs, in buckets of the token, and reads
+    none of the earlier ones, so its cost does not grow with the vault. Folders are named
+    by batch, so a repeated batch overwrites itself. ``read_vault`` gives each pair once,
+    ``compact_vault`` merges the log from time to time. Values in ``retired`` had their
+    token deleted and get one of their next generation.
     """
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stored = _stored_pairs(spark, f"{root}/vault", batch_id)
         rows, pairs = vault_tokenize(batch, cols, None, secret=secret, retired=retired)
         rows.write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
-        fresh = pairs.join(stored.select("token"), "token", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{root}/vault/batch={batch_id}")
+        _in_buckets(pairs).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/log/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
@@ -148,12 +147,49 @@ def stream_tokenize(stream: DataFrame, cols: Sequence[str], root: str, checkpoin
     )
 
 
-def _stored_pairs(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(root)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], VAULT_DDL)
-    return spark.read.schema(VAULT_DDL + ", batch long").parquet(root).filter(F.col("batch") < batch_id)
+def _in_buckets(pairs: DataFrame) -> DataFrame:
+    """Pairs with the first two hexadecimal digits of their token, one task for each bucket or a part of it."""
+    bucket = F.substring(F.substring_index("token", "_", -1), 1, 2)
+    return pairs.withColumn("bucket", bucket).repartition("bucket").sortWithinPartitions("bucket", "token")
+
+
+def _stored(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """A folder of pairs by batch and bucket; empty before the first one is written."""
+    ddl = f"{VAULT_DDL}, {by} long, bucket string"
+    try:
+        return spark.read.schema(ddl).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ddl)
+
+
+def read_vault(spark: SparkSession, root: str) -> DataFrame:
+    """Each pair of the log once: the last compaction, and the batches after it."""
+    compacted = _stored(spark, f"{root}/compacted", "upto")
+    last = compacted.agg(F.max("upto")).first()[0]
+    last = -1 if last is None else last
+    log = _stored(spark, f"{root}/log", "batch").where(F.col("batch") > last)
+    return compacted.where(F.col("upto") == last).drop("upto").unionByName(log.drop("batch")).distinct().drop("bucket")
+
+
+def compact_vault(spark: SparkSession, root: str) -> int | None:
+    """Write the pairs of all batches so far as one table in buckets; gives the last batch that is in it.
+
+    Runs apart from the stream, which goes on writing batches; readers take up the
+    compaction when it is complete. Older tables and batches may be deleted after that.
+    """
+    upto = _stored(spark, f"{root}/log", "batch").agg(F.max("batch")).first()[0]
+    if upto is None:
+        return None
+    earlier = _stored(spark, f"{root}/compacted", "upto")
+    last = earlier.agg(F.max("upto")).first()[0]
+    last = -1 if last is None else last
+    if upto > last:
+        log = _stored(spark, f"{root}/log", "batch").where((F.col("batch") > last) & (F.col("batch") <= upto))
+        pairs = earlier.where(F.col("upto") == last).drop("upto").unionByName(log.drop("batch")).distinct().drop("bucket")
+        _in_buckets(pairs).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/compacted/upto={upto}")
+    return max(upto, last)
 
 
 def run_to_files(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
