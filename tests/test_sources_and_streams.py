@@ -257,3 +257,37 @@ def test_deep_pages(spark, monkeypatch, order):
         assert [r["k"] for r in got] == [r[1] for r in want[offset:offset + 20]], offset
     part, before = G.page_range(df, ["t"], False, 3000, 10)
     assert part.count() < 400 and 2600 < before <= 3000
+
+
+@pytest.mark.parametrize("block", ["300", "2000", "128m"])
+def test_streamed_logs_equal_batch_whatever_the_blocks(spark, tmp_path, block):
+    """Statements cross block borders, one is longer than several blocks; threads connect in earlier blocks; files come in two batches."""
+    long = "\n".join(f"  col_{i}," for i in range(120))
+    pg, my = [], []
+    for i in range(80):
+        body = long if i == 40 else "\n".join(f"  part {k}" for k in range(i % 5))
+        pg.append(f"2024-01-01 00:00:{i % 60:02d} UTC [7] u{i}@d LOG:  statement: select {i}\n{body}\n\nfrom t")
+        if i < 8:
+            my.append(f"2024-01-01T00:00:00.000000Z\t{i} Connect\tuser{i}@h on d using TCP/IP")
+        my.append(f"2024-01-01T00:00:{i % 60:02d}.000000Z\t{i % 8} Query\tselect {i}\n{body}")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for kind, lines, prefix in (("postgresql", pg, "%t [%p] %u@%d "), ("mysql", my, "")):
+            src, out, cp = (tmp_path / f"{kind}-{n}" for n in ("in", "out", "cp"))
+            src.mkdir()
+            spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+            for n, part in enumerate((lines[:30], lines[30:])):
+                if kind == "mysql" and n:
+                    part = [x for x in lines if "Connect" in x] + part
+                (src / f"log{n}.txt").write_text("\n".join(part) + "\n")
+                L.stream_native_log(spark, str(src), kind, "log", str(out), str(cp), prefix).awaitTermination()
+            got = [(r["repo_user"], r["statement_text"]) for r in spark.read.parquet(str(out)).collect()]
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+            whole = L.ingest_native_audit_log(spark, str(src), kind, "log", prefix)
+            want = [(r["repo_user"], r["statement_text"]) for r in whole.collect()]
+            assert sorted(got) == sorted(want) and len(got) >= 80 and all(u for u, _ in got)
+            assert any("col_119" in t for _, t in got)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    with pytest.raises(ValueError, match="stream_native_log"):
+        L.ingest_native_audit_log(spark, str(tmp_path), "mysql", "log", stream=True)

@@ -11,7 +11,7 @@ from wardlake.plans import derived as D
 from wardlake.plans.registry import query, sql_stamp, stamp
 from wardlake.session import scratch_path
 from wardlake.sources.audit_log import (
-    flatten_audit_events, ingest_native_audit_log, normalise_native_log, parse_audit_events,
+    PG_CSV_COLUMNS, flatten_audit_events, ingest_native_audit_log, normalise_native_log, parse_audit_events, stream_native_log,
 )
 
 
@@ -75,6 +75,62 @@ def ingest_postgres_multiline(spark: SparkSession, base: str) -> DataFrame:
     return out.select(stamp("event_time").alias("event_time"), "repo_user", "statement_text", "statement_type")
 
 
+@query("stream_postgres_log", f"""
+WITH {D.AUDITS}
+SELECT {sql_stamp("date_trunc('second', event_time)")} AS event_time, consuming_user AS repo_user,
+  'select ' || event_id || ',' || chr(10) || '  "LOG: x"' || chr(10) || chr(10) || 'from ' || table_name AS statement_text,
+  'SELECT' AS statement_type FROM audits""")
+def stream_postgres_log(spark: SparkSession, base: str) -> DataFrame:
+    """Statements over four lines in files that arrive in two parts."""
+    rows = D.audits(spark, base)
+    inbox, out, checkpoint = (scratch_path(spark, n) for n in ("pg-inbox", "pg-stream", "cp"))
+    for part in range(2):
+        lines = rows.where(F.col("event_id") % 2 == part).select("event_id", F.concat(
+            F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC [77] "), F.col("consuming_user"),
+            F.lit("@tpch LOG:  statement: select "), F.col("event_id").cast("string"), F.lit(',\n  "LOG: x"\n\nfrom '),
+            F.col("table_name")).alias("value"))
+        lines.repartitionByRange("event_id").sortWithinPartitions("event_id").select("value").write.mode("append").text(inbox)
+        stream_native_log(spark, inbox, "postgresql", "log", out, checkpoint, "%t [%p] %u@%d ").awaitTermination()
+    return spark.read.parquet(out).select(stamp("event_time").alias("event_time"), "repo_user", "statement_text", "statement_type")
+
+
+@query("ingest_postgres_csv", f"""
+WITH {D.AUDITS}
+SELECT {sql_stamp('event_time')} AS event_time, consuming_user AS repo_user, database_name, '10.0.0.' || k AS client_host,
+  'select "' || event_id || '",' || chr(10) || 'x from ' || table_name AS statement_text, 'SELECT' AS statement_type, execution_success FROM audits""")
+def ingest_postgres_csv(spark: SparkSession, base: str) -> DataFrame:
+    """The csv log: quoted statements over two lines, failed ones in the query column."""
+    ok, statement = F.col("execution_success"), D.text('select "', F.col("event_id"), '",\nx from ', F.col("table_name"))
+    values = {
+        "log_time": stamp("event_time"), "user_name": F.col("consuming_user"), "database_name": F.col("database_name"),
+        "connection_from": D.text("10.0.0.", F.col("k"), ":5432"), "error_severity": F.when(ok, "LOG").otherwise("ERROR"),
+        "message": F.when(ok, F.concat(F.lit("statement: "), statement)).otherwise("permission denied"), "query": F.when(~ok, statement)}
+    none = F.lit(None).cast("string")
+    path = scratch_path(spark, "pg-csv")
+    D.audits(spark, base).select(*[values.get(c, none).alias(c) for c in PG_CSV_COLUMNS]).write.option("escape", '"').csv(path)
+    out = ingest_native_audit_log(spark, path, "postgresql", "csv")
+    return out.select(stamp("event_time").alias("event_time"), "repo_user", "database_name", "client_host", "statement_text",
+                      "statement_type", "execution_success")
+
+
+@query("ingest_postgres_json", f"""
+WITH {D.AUDITS}
+SELECT {sql_stamp('event_time')} AS event_time, consuming_user AS repo_user, database_name, '10.0.0.' || k AS client_host,
+  'select ' || event_id || chr(10) || 'from ' || table_name AS statement_text, execution_success FROM audits""")
+def ingest_postgres_json(spark: SparkSession, base: str) -> DataFrame:
+    """The json log: a record a line, whatever line breaks its statement has."""
+    ok, statement = F.col("execution_success"), D.text("select ", F.col("event_id"), "\nfrom ", F.col("table_name"))
+    record = F.to_json(F.struct(
+        stamp("event_time").alias("timestamp"), F.col("consuming_user").alias("user"), F.col("database_name").alias("dbname"),
+        D.text("10.0.0.", F.col("k")).alias("remote_host"), F.when(ok, "LOG").otherwise("ERROR").alias("error_severity"),
+        F.when(ok, F.concat(F.lit("statement: "), statement)).otherwise("permission denied").alias("message"),
+        F.when(~ok, statement).alias("statement")))
+    path = scratch_path(spark, "pg-json")
+    D.audits(spark, base).select(record.alias("value")).write.text(path)
+    out = ingest_native_audit_log(spark, path, "postgresql", "json")
+    return out.select(stamp("event_time").alias("event_time"), "repo_user", "database_name", "client_host", "statement_text", "execution_success")
+
+
 @query("ingest_mysql_log", f"""
 WITH {D.AUDITS}
 SELECT {sql_stamp('event_time')} AS event_time, consuming_user AS repo_user, 'db' AS client_host,

@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from wardlake.sources.log_records import read_records
+from wardlake.sources.log_records import text_lines, whole_records
 
 # The shape of a sidecar audit event.
 _COLUMN = "struct<database:string,schema:string,table:string,column:string>"
@@ -271,17 +272,28 @@ def normalise_native_log(df: DataFrame, db_type: str, file_type: str = "log",
     return out if initial_ts is None else out.filter(F.col("event_time") >= initial_ts)
 
 
+def _record_start(db_type: str, file_type: str, log_line_prefix: str) -> tuple | None:
+    """How records of a line-based log begin, and where it names threads; None for other files."""
+    return {("postgresql", "log"): (prefix_pattern(log_line_prefix)[0], None),
+            ("mysql", "log"): (_MYSQL_LINE, (2, 3, 4))}.get((db_type.lower(), file_type.lower()))
+
+
 def ingest_native_audit_log(spark: SparkSession, path: str, db_type: str, file_type: str,
                             log_line_prefix: str = "%m [%p] ", initial_ts: Column | None = None,
                             stream: bool = False) -> DataFrame:
-    """Read native audit files, in batch or as a file stream.
+    """Read native audit files, in batch or, where a row is a record, as a file stream.
 
     Statements of several lines are put together; in a MySQL file log the user of a
-    thread is the one who connected.
+    thread is the one who connected. Streams of such logs need ``stream_native_log``.
     """
     reader = spark.readStream if stream else spark.read
     kind = (db_type.lower(), file_type.lower())
-    if kind == ("postgresql", "csv"):
+    records = _record_start(db_type, file_type, log_line_prefix)
+    if records is not None:
+        if stream:
+            raise ValueError("records of several lines are put together by micro-batch: use stream_native_log")
+        raw = whole_records(text_lines(reader, path), *records)
+    elif kind == ("postgresql", "csv"):
         ddl = ", ".join(f"{c} string" for c in PG_CSV_COLUMNS)
         raw = reader.schema(ddl).option("multiLine", True).option("escape", '"').csv(path)
     elif kind == ("postgresql", "json"):
@@ -289,10 +301,29 @@ def ingest_native_audit_log(spark: SparkSession, path: str, db_type: str, file_t
     elif kind[1] == "table":
         names = MYSQL_TABLE_COLUMNS if kind[0] == "mysql" else ORACLE_COLUMNS
         raw = reader.schema(", ".join(f"{c} string" for c in names)).option("header", True).csv(path)
-    elif kind == ("postgresql", "log"):
-        raw = read_records(spark, path, prefix_pattern(log_line_prefix)[0], stream=stream)
-    elif kind == ("mysql", "log"):
-        raw = read_records(spark, path, _MYSQL_LINE, threads=(2, 3, 4), stream=stream)
     else:
         raw = reader.text(path)
     return normalise_native_log(raw, db_type, file_type, log_line_prefix, initial_ts)
+
+
+def stream_native_log(spark: SparkSession, path: str, db_type: str, file_type: str, out: str, checkpoint: str,
+                      log_line_prefix: str = "%m [%p] ", initial_ts: Column | None = None) -> StreamingQuery:
+    """Native audit files as they arrive, in the common shape below ``out``, a folder for each micro-batch.
+
+    A file arrives whole in one micro-batch, however many blocks it has, so its records
+    and the users of its threads are put together as in batch: pieces at the borders of
+    blocks are joined, none is lost. A repeated batch overwrites its folder.
+    """
+    records = _record_start(db_type, file_type, log_line_prefix)
+    if records is None:
+        rows = ingest_native_audit_log(spark, path, db_type, file_type, log_line_prefix, initial_ts, stream=True)
+    else:
+        rows = text_lines(spark.readStream, path)
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        if records is not None:
+            whole = whole_records(batch, *records)
+            batch = normalise_native_log(whole, db_type, file_type, log_line_prefix, initial_ts)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return rows.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

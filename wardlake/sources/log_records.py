@@ -12,7 +12,8 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.window import Window
 
 _DDL = "path string, block long, n long, value string, thread string, who string, command string"
@@ -58,18 +59,19 @@ def _assemble(batches: Iterator[pd.DataFrame], start: str, threads: tuple[int, i
         yield pd.DataFrame(out, columns=[c.split()[0] for c in _DDL.split(", ")])
 
 
-def read_records(spark: SparkSession, path: str, start: str, threads: tuple[int, int, int] | None = None,
-                 stream: bool = False) -> DataFrame:
+def text_lines(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
+    """Lines with the file and the block in which a task reads them."""
+    return reader.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
+
+
+def whole_records(lines: DataFrame, start: str, threads: tuple[int, int, int] | None = None) -> DataFrame:
     """``value``, a whole record each, and ``who``, if the log tells by thread.
 
-    A stream joins lines within a block only; give it files below
-    ``spark.sql.files.maxPartitionBytes``, which are one block.
+    ``lines`` are those of whole files, as ``text_lines`` gives them: a table, or a
+    micro-batch of a stream, in which a file arrives whole.
     """
-    lines = (spark.readStream if stream else spark.read).text(path).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
     pieces = lines.mapInPandas(lambda batches: _assemble(batches, start, threads), _DDL)
-    if stream:
-        return pieces.where("n > 0").select("value", "who")
     per_block = pieces.groupBy("path", "block").agg(
         F.max("n").alias("last"), F.max(F.when(F.col("n") == 0, F.col("value"))).alias("head"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
