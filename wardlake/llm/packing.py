@@ -216,8 +216,11 @@ class Packer:
 
 
 def pack_batches(batches: Iterator[pa.RecordBatch], model: str, model_name: str, limit: int, end_id: int, key_type: pa.DataType,
-                 with_ids: bool, most_units: int) -> Iterator[pa.RecordBatch]:
-    words = kept_in_worker(("words", model_name, hash(model), most_units), lambda: WordTokenizer(model, most_units))
+                 with_ids: bool, most_units: int, keep_words: bool = True) -> Iterator[pa.RecordBatch]:
+    def build() -> WordTokenizer:
+        return WordTokenizer(model, most_units)
+
+    words = kept_in_worker(("words", model_name, hash(model), most_units), build) if keep_words else build()
     packer = Packer(limit, TaskContext.get().partitionId() << 32, with_ids)
     for batch in batches:
         keys, texts, first = batch.column(0), batch.column(1), 0
@@ -239,7 +242,7 @@ def pack_batches(batches: Iterator[pa.RecordBatch], model: str, model_name: str,
             first = end
     packer.pack(last=True)
     yield from _tables(packer, key_type)
-    del packer
+    del packer, words
     give_back_memory()
 
 
@@ -266,14 +269,14 @@ def _tables(packer: Packer, key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
 
 
 def pack(docs: DataFrame, model_path: str, limit: int = 2048, end_id: int = 1, key: str = "doc_id", text: str = "text",
-         with_ids: bool = False, most_units: int = MOST_UNITS) -> DataFrame:
+         with_ids: bool = False, most_units: int = MOST_UNITS, keep_words: bool = True) -> DataFrame:
     """One row per piece of a document: its place in the document and in its sequence.
 
     ``doc_id`` (the key), ``start``, ``length``, ``ids_crc32``, ``doc_tokens``,
     ``sequence_id``, ``offset``, and the piece's ``ids`` if asked for. A null text
     is empty and has the end id only. Repeated rows are packed as often as they
     occur. Other columns of ``docs`` are left out. ``most_units`` bounds the table of
-    encoded words in each Python worker.
+    encoded words in each Python worker; ``keep_words`` keeps it there for later tasks.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -285,4 +288,4 @@ def pack(docs: DataFrame, model_path: str, limit: int = 2048, end_id: int = 1, k
     schema = f"doc_id {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     schema += ", ids array<int>" if with_ids else ""
     name = os.path.basename(model_path)
-    return rows.mapInArrow(lambda b: pack_batches(b, model, name, limit, end_id, key_type, with_ids, most_units), schema)
+    return rows.mapInArrow(lambda b: pack_batches(b, model, name, limit, end_id, key_type, with_ids, most_units, keep_words), schema)
