@@ -23,7 +23,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 KEEP_AT = 0.5
 SURROGATE_KEY = "surrogates of the pipeline"
 SEQUENCE_TOKENS, END_ID = 2048, 1
-#: The workers serve all stages, so packing keeps a small table of words in them.
+#: The workers serve all stages, so packing has a small table of words and drops it with its task.
 MOST_UNITS = 150_000
 
 
@@ -73,7 +73,8 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their token ids and their places in sequences."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS, END_ID, with_ids=True, most_units=MOST_UNITS)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS, END_ID, with_ids=True,
+                        most_units=MOST_UNITS, keep_words=False)
 
 
 STAGES: list[tuple[str, Stage]] = [
