@@ -296,3 +296,12 @@ def test_sketches_merge_and_keep_their_bounds(spark):
     assert read["empty"]["length_p50"] is None and read["empty"]["sampled"] == 0 and read["id"]["sampled"] == 500
     share = {r["column_name"]: r["share"] for r in K.sample_share(stored, F.contains("value", F.lit("@"))).collect()}
     assert share["id"] == 0 and abs(share["mail"] - 0.1) < 0.06
+
+
+def test_detector_limits_reach_jobs_and_entities(spark):
+    token = "0123456789abcdef" * 4
+    df = spark.createDataFrame([(f"key {token}",)], "t string")
+    assert C.detect_entities(df, "t", ["SECRET_TOKEN"]).count() == 0
+    assert [r["hit"] for r in C.detect_entities(df, "t", ["SECRET_TOKEN"], secret_digits=(40, 64)).collect()] == [token]
+    leaf_of = lambda **k: leaf(target="AMAZON_COMPREHEND", entity_type="SECRET_TOKEN", minimum_score=0.5, **k)
+    assert not fires(spark, [token], leaf_of()) and fires(spark, [token], leaf_of(secret_digits=[40, 64]))

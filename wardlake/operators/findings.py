@@ -40,17 +40,21 @@ class JobOptions:
 
 def detect_entities(df: DataFrame, column: str, entity_types: Sequence[str] = detectors.ENTITY_TYPES,
                     minimum_score: float = 0.5,
-                    plugins: Mapping[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+                    plugins: Mapping[str, Callable[[Column], Column]] | None = None,
+                    card_digits: tuple[int, int] = detectors.CARD_DIGITS,
+                    secret_digits: tuple[int, int] = detectors.SECRET_DIGITS) -> DataFrame:
     """One row per hit with its entity type and score, at or above the minimum.
 
     A plug-in is a column function, such as a pandas UDF, that yields
-    ``array<struct<hit: string, score: int>>`` with the score in hundredths.
+    ``array<struct<hit: string, score: int>>`` with the score in hundredths. The least
+    and most digits of cards and secrets are those of ``entity_hits``.
     """
     extra = dict(plugins or {})
 
     def tagged_hits(entity_type: str) -> Column:
         value = F.col(column)
-        hits = extra[entity_type](value) if entity_type in extra else detectors.entity_hits(value, entity_type)
+        hits = extra[entity_type](value) if entity_type in extra else detectors.entity_hits(
+            value, entity_type, card_digits, secret_digits)
         return F.transform(
             hits,
             lambda h: F.struct(F.lit(entity_type).alias("entity_type"), h["hit"].alias("hit"),

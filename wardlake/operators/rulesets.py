@@ -161,7 +161,8 @@ class CompiledSet:
             for f in formats:
                 self.counters[f"{n}_{f.lower()}"] = F.count_if(is_format(value, f))
         else:
-            scores = F.transform(entity_hits(value, _entity(leaf)), lambda h: h["score"])
+            limits = {k: tuple(leaf[k]) for k in ("card_digits", "secret_digits") if k in leaf}
+            scores = F.transform(entity_hits(value, _entity(leaf), **limits), lambda h: h["score"])
             total = F.aggregate(scores, F.lit(0), lambda acc, s: acc + s)
             self.counters[f"{n}_hits"] = F.sum(F.coalesce(F.size(scores), F.lit(0)))
             self.counters[f"{n}_score"] = F.sum(F.coalesce(total, F.lit(0)))

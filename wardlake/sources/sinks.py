@@ -23,9 +23,7 @@ def classification_report(findings: DataFrame) -> DataFrame:
 def write_classification_report(findings: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Findings as JSON lines in one folder per job.
 
-    Rows are spread by job and a hash of the column, so a large job is written by
-    many tasks and a small one does not leave a file per task.
+    Rows are rebalanced by job: adaptive execution splits a large job over as many
+    tasks as its bytes ask for, and a small one does not leave a file per task.
     """
-    rows = classification_report(findings)
-    spread = F.pmod(F.xxhash64("database_name", "schema_name", "table_name"), F.lit(32))
-    rows.repartition("job_id", spread).write.mode(mode).partitionBy("job_id").json(path)
+    classification_report(findings).hint("rebalance", "job_id").write.mode(mode).partitionBy("job_id").json(path)
