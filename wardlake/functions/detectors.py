@@ -18,6 +18,8 @@ _NATIONAL = r"(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}"
 PHONE = r"\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,4}[0-9]*|[0-9-]*" + _NATIONAL + "[0-9-]*"
 PHONE_VALID = r"^(?:\+[0-9 ().-]+|(?:1-)?" + _NATIONAL + ")$"
 PHONE_DIGITS = (7, 15)
+# Says whether there is a number; without the leading repetition.
+PHONE_PRESENT = r"\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,4}|(?:^|[^0-9-])" + _NATIONAL + "(?:[^0-9-]|$)"
 # Digits, singly separated by a space or hyphen or not at all.
 DIGIT_RUN = r"[0-9](?:[ -]?[0-9]){12,}"
 CARD_DIGITS = (13, 19)
@@ -67,7 +69,9 @@ def entity_hits(col: Column, entity_type: str, card_digits: tuple[int, int] = CA
         return _scored(_found_with(col, "@", EMAIL), lambda h: F.lit(95))
     if entity_type == "PHONE":
         valid = lambda h: h.rlike(PHONE_VALID) & _in_range(F.regexp_replace(h, "[^0-9]", ""), PHONE_DIGITS)
-        return _scored(F.filter(_found(col, PHONE), valid), lambda h: F.lit(80))
+        none = F.array().cast("array<string>")
+        found = F.when(F.contains(col, F.lit("+")) | col.rlike("[0-9]{3}[-. ][0-9]{4}"), _found(col, PHONE)).when(col.isNotNull(), none)
+        return _scored(F.filter(found, valid), lambda h: F.lit(80))
     if entity_type == "CREDIT_DEBIT_NUMBER":
         bare = F.transform(_found(col, DIGIT_RUN), lambda h: F.regexp_replace(h, "[ -]", ""))
         runs = F.filter(bare, lambda h: _in_range(h, card_digits))

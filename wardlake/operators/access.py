@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlake.operators.scaling import fan_out_join, skew_join
+from wardlake.session import write_through
 
 # Name conditions and object types of an access rule.
 CONDITIONS = ("equals", "starts_with", "ends_with")
@@ -49,39 +50,39 @@ OLTP_RULE_DDL = (
 )
 
 
-def match_names(names: DataFrame, name: str, patterns: DataFrame) -> DataFrame:
-    """Patterns (…, condition, text) with each matching name of a distinct list.
+def match_names(names: DataFrame, name: str, patterns: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Patterns (…, condition, text) with each matching name of a distinct list; columns in ``by`` must agree.
 
     A name has one key for itself and one for each length of a prefix or suffix that
     occurs in the patterns, so few of its beginnings are written out.
     """
     size = F.char_length("text")
-    lengths = patterns.where(size > 0).agg(
+    lengths = patterns.where(size > 0).agg(F.struct(
         F.collect_set(F.when(F.col("condition") == "starts_with", size)).alias("starts"),
-        F.collect_set(F.when(F.col("condition") == "ends_with", size)).alias("ends"))
+        F.collect_set(F.when(F.col("condition") == "ends_with", size)).alias("ends"))).scalar()
     of = F.col(name)
     key = lambda condition, text: F.struct(F.lit(condition).alias("condition"), text.alias("text"))
-    occurring = lambda kind: F.filter(kind, lambda n: n <= F.char_length(of))
+    occurring = lambda kind: F.filter(f"_lengths.{kind}", lambda n: n <= F.char_length(of))
     keys = F.concat(
         F.array(key("equals", of)),
-        F.transform(occurring("_starts"), lambda n: key("starts_with", F.left(of, n))),
-        F.transform(occurring("_ends"), lambda n: key("ends_with", F.right(of, n))))
-    found = names.select(name).distinct().filter(F.char_length(name) > 0).select(
-        name, lengths.select("starts").scalar().alias("_starts"), lengths.select("ends").scalar().alias("_ends"),
-    ).select(name, F.explode(keys).alias("k"))
-    return patterns.join(found.select(name, "k.condition", "k.text"), ["condition", "text"]).drop("condition", "text")
+        F.transform(occurring("starts"), lambda n: key("starts_with", F.left(of, n))),
+        F.transform(occurring("ends"), lambda n: key("ends_with", F.right(of, n))))
+    found = names.select(*by, name).distinct().filter(F.char_length(name) > 0).select(
+        *by, name, lengths.alias("_lengths")).select(*by, name, F.explode(keys).alias("k"))
+    return patterns.join(found.select(*by, name, "k.condition", "k.text"), [*by, "condition", "text"]).drop("condition", "text")
 
 
 def match_paths(rows: DataFrame, paths: DataFrame, parts: Sequence[str]) -> DataFrame:
     """``rows`` with the ``rule_id`` of each path of ``paths`` that names them; a null part of a path names any.
 
     A row has a key for each combination of named parts that occurs in the paths. A
-    row with a null part is named only by paths that leave this part open.
+    row with a null part is named only by paths that leave this part open. The
+    distinct paths are written once, since they are counted before they are joined.
     """
     bits = [1 << n for n in range(len(parts))]
     free = reduce(lambda a, b: a + b, [F.when(F.col(p).isNull(), b).otherwise(0) for p, b in zip(parts, bits)])
-    wanted = paths.select(
-        "rule_id", free.cast("int").alias("_free"), *[F.coalesce(p, F.lit("")).alias(f"_{p}") for p in parts]).distinct()
+    wanted = write_through(paths.select(
+        "rule_id", free.cast("int").alias("_free"), *[F.coalesce(p, F.lit("")).alias(f"_{p}") for p in parts]).distinct(), "paths")
     occurring = wanted.agg(F.collect_set("_free")).scalar()
     keyed = rows.select("*", F.explode(occurring).alias("_free")).select(
         "*", *[F.when(F.col("_free").bitwiseAND(b) > 0, "").otherwise(F.col(p)).alias(f"_{p}") for p, b in zip(parts, bits)])
@@ -135,15 +136,17 @@ def object_paths(rules: DataFrame, catalog: DataFrame) -> DataFrame:
     suffix is looked up among its names.
     """
     objects = rules.select("rule_id", F.explode("objects").alias("o"))
+    kind = F.lower("o.type")
+    level = F.when(kind == "database", "database_name").when(kind == "schema", "schema_name").when(
+        kind.isin("table", "view"), "table_name")
     named = objects.filter(F.col("o.condition") != "fully_qualified").select(
-        "rule_id", F.lower("o.type").alias("type"), F.col("o.condition").alias("condition"),
+        "rule_id", kind.alias("type"), level.alias("level"), F.col("o.condition").alias("condition"),
         F.explode("o.identifiers").alias("text"))
-    found = []
-    for column, types in (("database_name", ("database",)), ("schema_name", ("schema",)),
-                          ("table_name", ("table", "view"))):
-        hits = match_names(catalog, column, named.filter(F.col("type").isin(*types)))
-        kind = {"object_type": F.col("type")} if column == "table_name" else {}
-        found.append(_paths(hits, **{column: F.col(column)}, **kind))
+    listed = catalog.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("level"), F.col(c).alias("name")) for c in TABLE_KEYS])).alias("n")).select("n.*")
+    hits = match_names(listed, "name", named, ["level"])
+    at = lambda c: F.when(F.col("level") == c, F.col("name"))
+    found = [_paths(hits, object_type=F.when(F.col("level") == "table_name", F.col("type")), **{c: at(c) for c in TABLE_KEYS})]
     paths = objects.filter(F.col("o.condition") == "fully_qualified").select(
         "rule_id", F.explode("o.fully_qualified_identifiers").alias("q"))
     database, schema, table = F.col("q.database"), F.col("q.schema"), F.coalesce("q.table", "q.view")

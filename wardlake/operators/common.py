@@ -91,7 +91,15 @@ def page_range(df: DataFrame, keys: Sequence[str], descending: bool, offset: int
         kinds = [left.schema[k].dataType for k in keys]
         bounds = [F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(keys, cut, kinds)]) for cut in cuts]
         behind = (lambda b: row <= b) if descending else (lambda b: row >= b)
-        place = reduce(lambda a, b: a + b, [behind(b).cast("int") for b in bounds], F.lit(0))
+
+        def place_among(lo: int, hi: int) -> Column:
+            """How many of the bounds a row lies behind, found by halving."""
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(behind(bounds[mid]), place_among(mid + 1, hi)).otherwise(place_among(lo, mid))  # noqa: B023
+
+        place = place_among(0, len(bounds))
         sizes = dict(left.groupBy(place.alias("place")).count().collect())
         first, seen = 0, 0
         while first < len(bounds) and seen + sizes.get(first, 0) <= offset - before:

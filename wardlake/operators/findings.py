@@ -146,7 +146,7 @@ def job_scope(catalog: DataFrame, previous: DataFrame, findings: DataFrame, job_
 MANAGED_STAMP = "2024-01-01T00:00:00Z"
 MANAGED = (
     Classifier.of("EMAIL", pattern=detectors.EMAIL_PRESENT, minimum_threshold=1, description="e-mail address"),
-    Classifier.of("PHONE", pattern=detectors.PHONE, minimum_threshold=1, description="phone number"),
+    Classifier.of("PHONE", pattern=detectors.PHONE_PRESENT, minimum_threshold=1, description="phone number"),
     Classifier.of("CARD", pattern=r"(?:^|[^0-9])[0-9](?:[ -]?[0-9]){12,18}(?:[^0-9]|$)", minimum_threshold=1,
                   description="payment card number"),
     Classifier.of("SSN", pattern=r"(?:^|[^0-9])" + detectors.SSN + r"(?:[^0-9]|$)",

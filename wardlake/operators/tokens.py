@@ -177,13 +177,18 @@ def critical_tokenize(df: DataFrame, cols: Sequence[str], vault: DataFrame | Non
     return vault_tokenize(df, cols, vault, "critical", deterministic, **options)
 
 
+#: Vaults of up to so many tokens are broadcast; a token and its value take about a kilobyte at most.
+VAULT_ROWS = 20_000
+
+
 def _resolve(df: DataFrame, cols: Sequence[str], vault: DataFrame, strict: bool, kind: str | None) -> DataFrame:
-    """Look up the tokens of all columns at once; adaptive execution splits tokens that many rows have.
+    """Look up the tokens of all columns in a vault that is reduced to one row per token once.
 
-    The vault is reduced to one row per token once, so a pair that is stored twice does
-    not double rows. One column is a plain join. The cells of several columns are
-    looked up together and put back by a row number: the cells move twice and the
-    rows once, whatever the number of columns.
+    A pair that is stored twice does not double rows. A vault of up to ``VAULT_ROWS``
+    tokens, counted, is sent to the rows. Beyond, one column is a plain join, whose hot
+    tokens adaptive execution splits; the cells of several columns are looked up
+    together and put back by a row number: the cells move twice and the rows once,
+    whatever the number of columns.
     """
     mine = vault if kind is None else vault.filter(F.col("kind") == kind)
     single = mine.groupBy("token").agg(F.max("value").alias("_plain"))
@@ -194,10 +199,15 @@ def _resolve(df: DataFrame, cols: Sequence[str], vault: DataFrame, strict: bool,
         missing = F.raise_error(F.concat(F.lit("not a valid token: "), token)).cast("string")
         return F.when(token.isNotNull() & plain.isNull(), missing).otherwise(plain)
 
-    if len(cols) == 1:
-        c = cols[0]
-        joined = df.join(single.withColumnRenamed("token", c), c, "left")
-        return joined.withColumn(c, value(F.col(c), F.col("_plain"))).select(*df.columns)
+    small = mine.select("token").distinct().limit(VAULT_ROWS + 1).count() <= VAULT_ROWS
+    if small:
+        single = F.broadcast(write_through(single, "vault"))
+    if small or len(cols) == 1:
+        out = df
+        for c in cols:
+            joined = out.join(single.withColumnRenamed("token", c), c, "left")
+            out = joined.withColumn(c, value(F.col(c), F.col("_plain"))).select(*df.columns)
+        return out
     rows = write_through(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     cells = rows.select("_row", F.posexplode(F.array(*cols)).alias("_column", "token")).where("token IS NOT NULL")
     found = cells.join(single, "token").groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_column", "_plain"))).alias("_found"))

@@ -88,7 +88,7 @@ def merged_sketches(spark: SparkSession, base: str) -> DataFrame:
 
 TEXT_TABLES = {"documents": ("doc_id", "text", "lang", "source", "n_chars"), "pages": ("page_id", "url", "html"),
                "benchmark": ("item_id", "text"), "conversations": ("conv_id", "turn", "role", "text")}
-_LEAVES = {"email": detectors.EMAIL_PRESENT, "phone": detectors.PHONE, "secret": r'"[0-9a-f]{40}"'}
+_LEAVES = {"email": detectors.EMAIL_PRESENT, "phone": detectors.PHONE_PRESENT, "secret": r'"[0-9a-f]{40}"'}
 
 
 def _profile_sql() -> str:
@@ -186,7 +186,7 @@ COMPOUND = R.Classifier.of("MAIL_IN_TEXT", {
 })
 COLLECTION = (
     R.Classifier.of("EMAIL", pattern=detectors.EMAIL_PRESENT, minimum_threshold=1),
-    R.Classifier.of("PHONE", pattern=detectors.PHONE, minimum_threshold=0.1),
+    R.Classifier.of("PHONE", pattern=detectors.PHONE_PRESENT, minimum_threshold=0.1),
     R.Classifier.of("SECRET_TOKEN", pattern=r'"[0-9a-f]{40}"', minimum_threshold=0.1),
     R.Classifier.of("NAME_LIKE", pattern=r"^Customer#", minimum_threshold=90),
     COMPOUND,
@@ -209,7 +209,7 @@ def _measured_sql(tables: dict[str, tuple[str, ...]], patterns: dict[str, str])
     return " UNION ALL ".join(parts)
 
 
-_PATTERNS = {"email": detectors.EMAIL_PRESENT, "phone": detectors.PHONE, "secret": r'"[0-9a-f]{40}"', "cust": "^Customer#"}
+_PATTERNS = {"email": detectors.EMAIL_PRESENT, "phone": detectors.PHONE_PRESENT, "secret": r'"[0-9a-f]{40}"', "cust": "^Customer#"}
 
 
 def _classify_sql(where: str = "true") -> str:

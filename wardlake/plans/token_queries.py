@@ -241,13 +241,14 @@ def _sealed(rows: DataFrame, key: str, alphabet: str, is_padded: bool) -> DataFr
     """Rows (key, plain, sealed) with what encryption promises: the shape stays, values stay distinct, and come back."""
     symbols = {"numeric": "[0-9]", "alphanumeric": "[0-9A-Za-z]"}[alphabet]
     shape = lambda c: F.regexp_replace(c, symbols, "0")
-    pairs = rows.select("plain", "sealed").distinct()
+    pairs = write_through(rows.select("plain", "sealed").distinct(), "pairs")
     keeps = F.endswith(shape("sealed"), shape("plain")) if is_padded else shape("sealed") == shape("plain")
     one_to_one = pairs.groupBy("sealed").agg(F.count(F.lit(1)).alias("values_of_sealed"))
     forms = pairs.groupBy("plain").agg(F.count(F.lit(1)).alias("forms_of_value"))
-    return rows.join(one_to_one, "sealed").join(forms, "plain").select(
-        key, fpe_decrypt(F.col("sealed"), alphabet, KEYS, is_padded=is_padded).alias("opened"), keeps.alias("same_shape"),
+    judged = pairs.join(one_to_one, "sealed").join(forms, "plain").select(
+        "plain", "sealed", fpe_decrypt(F.col("sealed"), alphabet, KEYS, is_padded=is_padded).alias("opened"), keeps.alias("same_shape"),
         (F.col("sealed") != F.col("plain")).alias("moved"), "values_of_sealed", "forms_of_value")
+    return rows.join(judged, ["plain", "sealed"]).select(key, "opened", "same_shape", "moved", "values_of_sealed", "forms_of_value")
 
 
 def _phones(spark: SparkSession, base: str) -> DataFrame:
