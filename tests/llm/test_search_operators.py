@@ -194,6 +194,16 @@ def test_negatives_against_brute_force(spark, monkeypatch, blocks):
     assert result(got) == want and len(want) > 100
 
 
+def test_negatives_of_large_scores(spark):
+    """A hundred times these scores does not fit in a long."""
+    rnd = random.Random(2)
+    rows = [(i, [rnd.randint(2**29, 2**30) for _ in range(4)], i % 3) for i in range(40)]
+    rows += [(100 + i, [-x // 2 for x in rows[i][1]], i % 3) for i in range(10)]
+    got = hard_negatives.mine(spark.createDataFrame(rows, "vec_id long, vector array<long>, label int"), F.col("vec_id") % 10 == 0)
+    want = mined(rows, lambda i: i % 10 == 0)
+    assert result(got) == want and max(r[5] for r in want) > 2**58
+
+
 def test_negatives_of_odd_tables(spark):
     none = spark.createDataFrame([], "vec_id long, vector array<long>, label int")
     assert hard_negatives.mine(none, F.col("vec_id") % 2 == 0).count() == 0

@@ -28,8 +28,8 @@ LEAF = 16
 ANCHOR_BLOCK, CANDIDATE_BLOCK, TILE = 2048, 8192, 1024
 #: Tasks of a pass; with more cells than that a task works on several, one after the other.
 MOST_TASKS = 20_000
-#: Bound on a squared norm, so that a hundred times a score fits in a long.
-MOST_NORM = float(2**55)
+#: Bound on a squared norm, so that every score fits in a long.
+MOST_NORM = float(2**62)
 
 _NONE = np.iinfo(np.int64).min
 
@@ -161,7 +161,9 @@ def _negative_batches(batches: Iterator[pa.RecordBatch], size: int, window: tupl
         counts = positives.value_lengths().to_numpy(zero_copy_only=False)
         owner = np.repeat(np.arange(len(ids)), counts)
         place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-        positive = positives.flatten().to_numpy(zero_copy_only=False)
+        bounds = positives.flatten().to_pylist()
+        least = np.array([-(-low * p // 100) for p in bounds], np.int64)  # the window in whole scores, rounded inwards
+        most = np.array([high * p // 100 for p in bounds], np.int64)
         heaps = Heaps(len(owner), size)
         for some in rest:
             cid, clabel, cvectors = _arrays(some, _width(some))
@@ -173,8 +175,8 @@ def _negative_batches(batches: Iterator[pa.RecordBatch], size: int, window: tupl
             other = clabel[columns] != labels[:, None]
             for p in range(int(counts.max(initial=0))):  # the p-th positive of all anchors
                 lists = np.flatnonzero(place == p)
-                rows, bound = owner[lists], positive[lists][:, None]
-                inside = other[rows] & (100 * ordered[rows] <= high * bound) & (100 * ordered[rows] >= low * bound)
+                rows = owner[lists]
+                inside = other[rows] & (ordered[rows] <= most[lists][:, None]) & (ordered[rows] >= least[lists][:, None])
                 rank = np.cumsum(inside, axis=1)
                 inside &= rank <= size
                 some_lists = np.flatnonzero(inside.any(axis=1))
