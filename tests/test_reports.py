@@ -147,7 +147,7 @@ def test_worker_functions_do_not_need_the_package(tmp_path):
     from wardlake.functions.cron import parse_cron
 
     blob = tmp_path / "f.pkl"
-    blob.write_bytes(cloudpickle.dumps((R._fold_steps, R._compose_steps, parse_cron)))
+    blob.write_bytes(cloudpickle.dumps((R._fold_steps, R._judge_partition, parse_cron)))
     code = ("import pickle, sys; fs = pickle.load(open(sys.argv[1], 'rb')); "
             "assert fs[2]('0 9 * * ? *').hour == (9,); assert 'wardlake' not in sys.modules")
     subprocess.run([sys.executable, "-c", code, str(blob)], cwd=tmp_path, check=True, timeout=60)
