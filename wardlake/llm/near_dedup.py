@@ -14,11 +14,13 @@ From keys to links without all pairs of a bucket:
 2. Every document of a bucket is compared with the bucket's smallest id. The
    links make components.
 3. A bucket whose other members are then in different components is settled by
-   an exact way: for all its documents, shingles are ordered from rare to
-   frequent, and only pairs that share one of their rarest shingles, and whose
-   sizes and places allow the likeness, are compared (prefix and position
-   filter). Nothing is capped; a shingle in thousands of documents is among the
-   frequent ones of each.
+   an exact way: for all its documents, shingles that lie in the same documents
+   form classes, ordered from rare to frequent. Only pairs that share one of
+   their first classes, and whose sizes and weights allow the likeness, are
+   compared (prefix and position filter). Where many share a class, they must
+   share a second one, a third and so on (``_rare_pairs``), so that texts from
+   one template are told apart by the values in several of its slots. Nothing
+   is capped.
 
 Only documents that share a bucket have their shingle sets moved.
 """
@@ -30,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardlake.llm import wordhash
 from wardlake.llm.components import connected_components
@@ -39,6 +41,9 @@ from wardlake.session import write_through
 
 #: Up to so many ids (16 MB) are broadcast to filter the documents; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: A node is compared pair by pair up to so many partners of a member, and beyond unless its
+#: children are ``WORTH`` times fewer than its pairs. Both choose between exact ways.
+MOST_PARTNERS, WORTH = 8, 4
 
 
 @dataclass(frozen=True)
@@ -134,36 +139,95 @@ def only_ids(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, key, "left_semi")
 
 
-def _rare_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that can be alike enough, through their rarest shingles."""
+def _classes(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """The classes of shingles of each set, with the weight before each in the order from rare to frequent.
+
+    Shingles that lie in exactly the same sets are one class, whose weight is their
+    number: the words of one template, or of one value in a slot of it, move together.
+    Classes of one component only are left out; their weight counts in ``before``.
+    """
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                s = np.frombuffer(batch.column(3)[k].as_buffer(), np.int64)
-                fixed = [np.full(len(s), batch.column(i)[k].as_py(), np.int64) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*fixed, s)], ["id", "n", "label", "shingle"])
-
-    labelled = sets.join(labels, sets["id"] == labels["node"], "left").select("id", "n", F.coalesce("label", "id").alias("label"), "shingles")
-    p = write_through(labelled.mapInArrow(postings, "id long, n long, label long, shingle long"), "postings")
-    frequency = p.groupBy("shingle").agg(
-        F.count("*").alias("f"), (F.min("label") != F.max("label")).alias("mixed"))
-    # a rarest-first order needs all shingles of a document in one place: its own set, no more
-    ranked = p.join(frequency, "shingle").groupBy("id", "n", "label").agg(
-        F.sort_array(F.collect_list(F.struct("f", "shingle", "mixed"))).alias("s"))
-    probe = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    index = F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent)) + 1
-    first = ranked.select("id", "n", "label", index.alias("index"), F.posexplode(F.slice("s", F.lit(1), probe.cast("int"))).alias("pos", "e")).where(
-        "e.mixed").select("id", "n", "label", "index", (F.col("pos") + 1).alias("pos"), F.col("e.shingle").alias("shingle"))
-    first = write_through(first, "prefixes")
-    x = first.select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "label", "pos")])
-    y = first.where("pos <= index").select("shingle", *[F.col(c).alias(f"{c}_y") for c in ("id", "n", "label", "pos")])
-    rest = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) + 1
+                s = np.frombuffer(batch.column(4)[k].as_buffer(), np.int64)
+                fixed = [np.full(len(s), batch.column(i)[k].as_py(), np.int64) for i in range(4)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*fixed, s)], ["row", "id", "n", "label", "shingle"])
+
+    labelled = sets.join(labels, sets["id"] == labels["node"], "left").select(
+        F.monotonically_increasing_id().alias("row"), "id", "n", F.coalesce("label", "id").alias("label"), "shingles")
+    p = write_through(labelled.mapInArrow(postings, "row long, id long, n long, label long, shingle long"), "postings")
+    where = p.groupBy("shingle").agg(
+        F.count("*").alias("f"), F.bit_xor(F.xxhash64("row")).alias("c"), (F.min("label") != F.max("label")).alias("mixed"))
+    # the order needs all classes of a set in one place: its own set, no more
+    weighed = p.join(where, "shingle").repartition("row").groupBy("row", "id", "n", "label", "f", "c", "mixed").agg(F.count("*").alias("w"))
+    order = Window.partitionBy("row").orderBy("f", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = weighed.withColumn("through", F.sum("w").over(order)).where("mixed")
+    return write_through(
+        ordered.select("row", "id", "n", "label", F.xxhash64("f", "c").alias("class"), "w", "through"), "classes")
+
+
+def _rare_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that can be alike enough, through the first classes they share.
+
+    Sets that are alike lose little weight before the first class they share, so
+    each set is a member of the nodes of its first classes (prefix filter). A node
+    with many members is opened where that costs less than its pairs: its members
+    go on to nodes for the second class they share, and so on. Members that may
+    share no more end in a node of their own. Every choice is one of a whole node,
+    so alike sets always meet; what is left open by it is cost alone.
+    """
+    # weight that a set may lose to a smaller one that is alike, and to one at least as large
+    to_smaller = F.col("n") - F.ceil(F.col("n") * percent / 100)
+    to_larger = F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent))
+    lost = F.col("through") - F.col("shared")
+    classes = _classes(sets, labels)
+    nodes = write_through(
+        classes.select("row", "id", "n", "label", F.col("class").alias("node"), F.col("w").alias("shared"), "through", F.lit(False).alias("ended"))
+        .where(lost <= to_smaller), "nodes")
+    found = []
+    following = classes.select("row", "class", F.col("w").alias("next_w"), F.col("through").alias("next_through"))
+    while True:
+        sizes = nodes.groupBy("node").agg(F.count("*").alias("members"), F.count_if(lost <= to_larger).alias("partners"), F.first("ended").alias("end"))
+        large = write_through(sizes.where((F.col("partners") > MOST_PARTNERS) & ~F.col("end")).select(
+            "node", (F.col("members") * F.col("partners").cast("double")).alias("pairs")), "large")
+        if large.isEmpty():
+            return _union(found + [_meeting(nodes, percent, to_larger)]).distinct()
+        inside = nodes.join(large.select("node"), "node")
+        onward = inside.join(following, "row").where(F.col("next_through") > F.col("through")).select(
+            "row", "id", "n", "label", F.col("node").alias("parent"), F.xxhash64("node", "class").alias("node"),
+            (F.col("shared") + F.col("next_w")).alias("shared"), F.col("next_through").alias("through"), F.lit(False).alias("ended"),
+        ).where(lost <= to_smaller)
+        at_end = inside.where(F.col("shared") * 100 >= F.col("n") * percent).select(
+            "row", "id", "n", "label", F.col("node").alias("parent"), F.xxhash64("node", F.lit("end")).alias("node"),
+            "shared", F.col("n").alias("through"), F.lit(True).alias("ended"))
+        children = write_through(onward.unionByName(at_end), "children")
+        cost = children.groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("cost"))
+        opened = write_through(large.join(cost, "node", "left").where(
+            F.coalesce("cost", F.lit(0)) * WORTH < F.col("pairs")).select("node"), "opened")
+        found.append(_meeting(nodes.join(opened, "node", "left_anti"), percent, to_larger))
+        nodes = children.join(opened.select(F.col("node").alias("parent")), "parent", "left_semi").drop("parent")
+        nodes = write_through(nodes, "nodes")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _meeting(nodes: DataFrame, percent: int, to_larger: Column) -> DataFrame:
+    """Pairs ``a`` < ``b`` within nodes whose sizes and remaining weights allow the likeness."""
+    cols = ("id", "n", "label", "shared", "through")
+    x = nodes.select("node", *[F.col(c).alias(f"{c}_x") for c in cols])
+    y = nodes.where(F.col("through") - F.col("shared") <= to_larger).select("node", *[F.col(c).alias(f"{c}_y") for c in cols])
+    most = F.least("shared_x", "shared_y") + F.least(F.col("n_x") - F.col("through_x"), F.col("n_y") - F.col("through_y"))
     possible = (
         (F.col("n_x") >= F.col("n_y")) & fits(F.col("n_x"), F.col("n_y"), percent) & (F.col("label_x") != F.col("label_y"))
-        & (rest * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent)
+        & (most * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent)
     )
-    pairs = x.join(y, (x["shingle"] == y["shingle"]) & possible)
-    return pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).where("a <> b").distinct()
+    pairs = x.join(y, (x["node"] == y["node"]) & possible)
+    return pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).where("a <> b")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", banding: Banding = Banding()) -> DataFrame:
