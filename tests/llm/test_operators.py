@@ -235,6 +235,27 @@ def test_language_equals_plain_naive_bayes(spark):
     assert language.score("123 !", model) == ("und", 0.0) and language.score(None, model) == ("und", 0.0)
 
 
+def test_language_scores_do_not_depend_on_the_batch(monkeypatch):
+    import pyarrow as pa
+
+    rnd = random.Random(8)
+    model = language.LanguageModel(("a", "b", "c"), np.log([0.5, 0.3, 0.2]), np.log(np.random.default_rng(1).dirichlet(
+        np.ones(256), 3).T + 1e-9).astype(np.float32))
+    texts = ["".join(rnd.choice("abc déß ж") for _ in range(rnd.choice([0, 1, 2, 30, 3000]))) for _ in range(200)] + [None, "  ", "7", "x" * 200_000]
+    alone = [language.score(t, model) for t in texts]
+    for t, (name, p) in zip(texts, alone):
+        grams = language.n_grams(t, 256) if t else None
+        if grams is None:
+            assert (name, p) == ("und", 0.0)
+            continue
+        logs = model.log_prior + np.bincount(grams, minlength=256) @ model.log_prob.astype(np.float64)
+        assert name == model.languages[int(logs.argmax())] and abs(p - 1 / np.exp(logs - logs.max()).sum()) < 1e-9
+    for grams, count in ((1 << 19, 1 << 12), (1, 1), (5000, 7)):
+        monkeypatch.setattr(language, "BLOCK_GRAMS", grams)
+        monkeypatch.setattr(language, "BLOCK_TEXTS", count)
+        assert list(zip(*language.score_texts(pa.array(texts, pa.string()), model))) == alone
+
+
 def test_licence_rules(spark):
     apache = """# Licensed under the Apache License, Version 2.0 (the "License");
 # you may not use this file except in compliance with the License.

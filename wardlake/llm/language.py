@@ -4,7 +4,8 @@ Texts are lower-cased, everything but letters becomes one space, and each run of
 one to three characters is hashed into ``dims`` columns. Learning counts them by
 language over all labelled rows, in one pass: a task adds up its own counts and
 sends them once. The log-probability matrix, languages times columns, goes to
-the tasks; they score a text by its sparse counts. Its size is checked.
+the tasks, which multiply it by the sparse counts of a block of texts at a time.
+Its size is checked.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from wardlake.llm.wordcache import kept_in_worker
 DIMS = 1 << 15
 #: Bytes that the log-probability matrix may take; beyond, fit with fewer dims.
 MOST_BYTES = 256 << 20
+#: Texts are scored together until they have so many n-grams, or are so many.
+BLOCK_GRAMS, BLOCK_TEXTS = 1 << 17, 1 << 12
 UNDETERMINED = "und"
 SPACE = 32
 
@@ -105,25 +108,72 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dims: int = DIM
     return LanguageModel(tuple(languages), prior, np.stack(columns, 1) if columns else np.zeros((dims, 0), np.float32))
 
 
+def sparse_counts(grams: list[np.ndarray], dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' n-grams as a sparse matrix: start of each row, columns, and counts."""
+    sizes = np.array([len(g) for g in grams], np.int64)
+    codes = np.repeat(np.arange(len(grams), dtype=np.uint32) * np.uint32(dims), sizes) + np.concatenate(grams)
+    codes.sort()
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    counts = np.diff(np.append(first, len(codes)))
+    codes = codes[first]
+    starts = np.searchsorted(codes, np.arange(len(grams), dtype=np.uint32) * np.uint32(dims))
+    return starts, codes % np.uint32(dims), counts
+
+
+def posteriors(grams: list[np.ndarray], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the likeliest language of each text, and its posterior probability.
+
+    Every text has an n-gram. The product of counts and log-probabilities is added
+    up row by row, so a text's result does not depend on the others of its batch.
+    """
+    starts, columns, counts = sparse_counts(grams, model.dims)
+    logs = np.add.reduceat(model.log_prob[columns] * counts[:, None].astype(np.float64), starts, axis=0) + model.log_prior
+    best = logs.argmax(axis=1)
+    return best, 1.0 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
+
+
+def score_texts(texts: pa.Array, model: LanguageModel) -> tuple[list[str], list[float]]:
+    """Languages and posterior probabilities, in blocks of texts with a bounded number of n-grams."""
+    names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+    block: list[np.ndarray] = []
+    at: list[int] = []
+    held, most_texts = 0, min(BLOCK_TEXTS, (1 << 32) // model.dims)
+
+    def settle() -> None:
+        for k, best, p in zip(at, *posteriors(block, model)):
+            names[k], scores[k] = model.languages[best], float(p)
+        block.clear()
+        at.clear()
+
+    for k, text in enumerate(texts):
+        text = text.as_py()
+        grams = n_grams(text, model.dims) if text and model.languages else None
+        if grams is None:
+            continue
+        block.append(grams)
+        at.append(k)
+        held += len(grams)
+        if held >= BLOCK_GRAMS or len(block) >= most_texts:
+            settle()
+            held = 0
+    if block:
+        settle()
+    return names, scores
+
+
 def score(text: str | None, model: LanguageModel) -> tuple[str, float]:
-    """The likeliest language and its posterior probability."""
-    grams = n_grams(text, model.dims) if text and model.languages else None
-    if grams is None:
-        return UNDETERMINED, 0.0
-    counts = np.bincount(grams, minlength=model.dims)
-    at = np.flatnonzero(counts)
-    logs = model.log_prior + counts[at] @ model.log_prob[at].astype(np.float64)
-    best = int(np.argmax(logs))
-    return model.languages[best], float(1.0 / np.exp(logs - logs[best]).sum())
+    """The likeliest language of one text and its posterior probability."""
+    names, scores = score_texts(pa.array([text], pa.string()), model)
+    return names[0], scores[0]
 
 
 def predict_batches(batches: Iterator[pa.RecordBatch], model: LanguageModel, text: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = [n for n in batch.schema.names if n != text]
-        found = [score(t.as_py(), model) for t in batch.column(text)]
+        kept = [n for n in batch.schema.names if n != text]
+        names, scores = score_texts(batch.column(text), model)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(n) for n in names] + [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-            names + ["lang_pred", "score"])
+            [batch.column(n) for n in kept] + [pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+            kept + ["lang_pred", "score"])
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
