@@ -41,9 +41,9 @@ from wardlake.session import write_through
 
 #: Up to so many ids (16 MB) are broadcast to filter the documents; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
-#: A node is compared pair by pair up to so many partners of a member, and beyond unless its
-#: children are ``WORTH`` times fewer than its pairs. Both choose between exact ways.
-MOST_PARTNERS, WORTH = 8, 4
+#: Nodes with fewer partners a member, or fewer pairs for each member of their children, are
+#: compared pair by pair. Both choose between exact ways.
+MOST_PARTNERS, WORTH = 8, 1
 
 
 @dataclass(frozen=True)
@@ -162,8 +162,9 @@ def _classes(sets: DataFrame, labels: DataFrame) -> DataFrame:
     weighed = p.join(where, "shingle").repartition("row").groupBy("row", "id", "n", "label", "f", "c", "mixed").agg(F.count("*").alias("w"))
     order = Window.partitionBy("row").orderBy("f", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ordered = weighed.withColumn("through", F.sum("w").over(order)).where("mixed")
+    onward = Window.partitionBy("row").orderBy("f", "c").rowsBetween(1, Window.unboundedFollowing)
     return write_through(
-        ordered.select("row", "id", "n", "label", F.xxhash64("f", "c").alias("class"), "w", "through"), "classes")
+        ordered.select("row", "id", "n", "label", F.xxhash64("f", "c").alias("class"), "w", "through", F.count("*").over(onward).alias("after")), "classes")
 
 
 def _rare_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -173,8 +174,11 @@ def _rare_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     each set is a member of the nodes of its first classes (prefix filter). A node
     with many members is opened where that costs less than its pairs: its members
     go on to nodes for the second class they share, and so on. Members that may
-    share no more end in a node of their own. Every choice is one of a whole node,
-    so alike sets always meet; what is left open by it is cost alone.
+    share no more end in a node of their own. Nodes that gain most are opened first,
+    as long as all children have no more members than the first nodes, half of it in
+    the next round, and so on; children that are hardly smaller than their parent stay
+    closed. Every choice is one of a whole node, between exact ways, so alike sets
+    always meet.
     """
     # weight that a set may lose to a smaller one that is alike, and to one at least as large
     to_smaller = F.col("n") - F.ceil(F.col("n") * percent / 100)
@@ -182,31 +186,47 @@ def _rare_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     lost = F.col("through") - F.col("shared")
     classes = _classes(sets, labels)
     nodes = write_through(
-        classes.select("row", "id", "n", "label", F.col("class").alias("node"), F.col("w").alias("shared"), "through", F.lit(False).alias("ended"))
-        .where(lost <= to_smaller), "nodes")
-    found = []
-    following = classes.select("row", "class", F.col("w").alias("next_w"), F.col("through").alias("next_through"))
+        classes.select("row", "id", "n", "label", F.col("class").alias("node"), F.col("w").alias("shared"), "through", "after",
+                       F.lit(float("inf")).alias("above")).where(lost <= to_smaller), "nodes")
+    following = classes.select("row", "class", F.col("w").alias("next_w"), F.col("through").alias("next_through"), F.col("after").alias("next_after"))
+    found, room = [], nodes.count()
     while True:
-        sizes = nodes.groupBy("node").agg(F.count("*").alias("members"), F.count_if(lost <= to_larger).alias("partners"), F.first("ended").alias("end"))
-        large = write_through(sizes.where((F.col("partners") > MOST_PARTNERS) & ~F.col("end")).select(
-            "node", (F.col("members") * F.col("partners").cast("double")).alias("pairs")), "large")
-        if large.isEmpty():
+        # pairs of different labels, and a bound of the members that the children would have
+        of_label = nodes.groupBy("node", "label").agg(
+            F.count("*").cast("double").alias("m"), F.count_if(lost <= to_larger).cast("double").alias("p"),
+            F.sum(F.col("after") + 1).alias("cost"), F.max("after").alias("after"), F.first("above").alias("above"))
+        large = write_through(
+            of_label.groupBy("node").agg(
+                (F.sum("m") * F.sum("p") - F.sum(F.col("m") * F.col("p"))).alias("pairs"), F.sum("m").alias("m"), F.sum("cost").alias("cost"),
+                F.max("after").alias("after"), F.first("above").alias("above"))
+            .where((F.col("after") > 0) & (F.col("pairs") > MOST_PARTNERS * F.col("m")) & (F.col("pairs") > WORTH * F.col("cost"))
+                   & (F.col("pairs") * 2 <= F.col("above")))
+            .select("node", "pairs", "cost", F.floor(F.log2(F.col("pairs") / F.col("cost"))).alias("worth")), "large")
+        least = _least_worth(large, room)
+        if least is None:
             return _union(found + [_meeting(nodes, percent, to_larger)]).distinct()
-        inside = nodes.join(large.select("node"), "node")
+        opened = large.where(F.col("worth") >= least).select("node", "pairs")
+        inside = nodes.drop("above").join(opened, "node")
         onward = inside.join(following, "row").where(F.col("next_through") > F.col("through")).select(
-            "row", "id", "n", "label", F.col("node").alias("parent"), F.xxhash64("node", "class").alias("node"),
-            (F.col("shared") + F.col("next_w")).alias("shared"), F.col("next_through").alias("through"), F.lit(False).alias("ended"),
-        ).where(lost <= to_smaller)
+            "row", "id", "n", "label", F.xxhash64("node", "class").alias("node"), (F.col("shared") + F.col("next_w")).alias("shared"),
+            F.col("next_through").alias("through"), F.col("next_after").alias("after"), F.col("pairs").alias("above")).where(lost <= to_smaller)
         at_end = inside.where(F.col("shared") * 100 >= F.col("n") * percent).select(
-            "row", "id", "n", "label", F.col("node").alias("parent"), F.xxhash64("node", F.lit("end")).alias("node"),
-            "shared", F.col("n").alias("through"), F.lit(True).alias("ended"))
-        children = write_through(onward.unionByName(at_end), "children")
-        cost = children.groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("cost"))
-        opened = write_through(large.join(cost, "node", "left").where(
-            F.coalesce("cost", F.lit(0)) * WORTH < F.col("pairs")).select("node"), "opened")
+            "row", "id", "n", "label", F.xxhash64("node", F.lit("end")).alias("node"), "shared", F.col("n").alias("through"),
+            F.lit(0).cast("long").alias("after"), F.col("pairs").alias("above"))
         found.append(_meeting(nodes.join(opened, "node", "left_anti"), percent, to_larger))
-        nodes = children.join(opened.select(F.col("node").alias("parent")), "parent", "left_semi").drop("parent")
-        nodes = write_through(nodes, "nodes")
+        nodes = write_through(onward.unionByName(at_end), "nodes")
+        room //= 2
+
+
+def _least_worth(large: DataFrame, room: int) -> int | None:
+    """The least power of two of pairs over cost at which all nodes above it have children with ``room``; None if no node has."""
+    least = None
+    for r in large.groupBy("worth").agg(F.sum("cost").alias("cost")).orderBy(F.desc("worth")).collect():  # a row per power of two
+        room -= r["cost"]
+        if room < 0:
+            break
+        least = r["worth"]
+    return least
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
