@@ -80,24 +80,6 @@ def _templated(n, seed, values=20):
     return out
 
 
-def test_near_duplicates_of_one_template(spark, monkeypatch):
-    """All texts share most tables; pairs that are compared stay few a text, and links are those of brute force."""
-    compared = []
-    rare_pairs = near_dedup._rare_pairs
-
-    def counted(*args):
-        pairs = rare_pairs(*args)
-        compared.append(pairs.count())
-        return pairs
-
-    monkeypatch.setattr(near_dedup, "_rare_pairs", counted)
-    for n, seed in ((500, 1), (2000, 2)):
-        docs = dict(enumerate(_templated(n, seed)))
-        got = near_dedup.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
-        assert {r["doc_id"]: r["component_id"] for r in got.collect()} == odd.components(docs)
-    assert compared[0] <= 10 * 500 and compared[1] <= 10 * 2000
-
-
 def test_near_duplicates_of_small_templates(spark):
     """Few values a slot, so that many texts are alike, next to texts of other lengths."""
     texts = _templated(300, 4, 4) + [" ".join(t.split()[:k]) for t in _templated(40, 5, 4) for k in (50, 56)]
