@@ -85,3 +85,20 @@ def test_oltp_rules_have_a_type_and_open_parts(spark):
     asked = catalog.withColumns({"username": F.lit("u2"), "access": F.lit("write")})
     left = P.uncovered_accesses(asked, P.oltp_grants(rules, users)).collect()
     assert [(r["database_name"], r["column_name"]) for r in left] == [("DB", "x")]
+
+
+def test_approved_requests_beyond_a_broadcast(spark, monkeypatch):
+    from wardlake.operators import scaling
+
+    monkeypatch.setattr(scaling, "BROADCAST_ROWS", 10)
+    states = spark.createDataFrame([(f"r{i}", "CLOSED_APPROVED" if i % 2 else "OPEN") for i in range(120)], "request_id string, status string")
+    requests = spark.createDataFrame(
+        [(f"r{i}", [("role", "equals", ["A"])], [("table", "equals", [f"t{i % 7}"], None)], [("read",)], None) for i in range(120)],
+        P.RULE_DDL.replace("rule_id", "request_id")).drop("tagged_objects")
+    roles = spark.createDataFrame([("A",), ("B",)], "role string")
+    catalog = spark.createDataFrame([("d", f"s{s}", f"t{t}", kind) for s in range(4) for t in range(9) for kind in ("table", "view")],
+                                    "database_name string, schema_name string, table_name string, object_type string")
+    out = P.grants_from_requests(states, requests, roles, catalog)
+    assert "BroadcastHashJoin Inner" not in out._jdf.queryExecution().executedPlan().toString()
+    got = sorted(tuple(r) for r in out.select("request_id", "role", "schema_name", "table_name", "access").collect())
+    assert got == sorted((f"r{i}", "A", f"s{s}", f"t{i % 7}", "read") for i in range(1, 120, 2) for s in range(4))

@@ -79,3 +79,21 @@ def test_a_small_control_table_does_not_move_the_data(spark, monkeypatch):
         assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, salted.collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_large_control_table_is_cut_by_pairs_and_never_broadcast(spark, monkeypatch):
+    from wardlake.operators import scaling
+
+    monkeypatch.setattr(scaling, "BROADCAST_ROWS", 10)
+    key = lambda i: "hot" if i % 2 else (None if i % 10 == 0 else f"k{i % 40}")
+    big = spark.createDataFrame([(i, key(i)) for i in range(600)], "i int, k string")
+    for n in (90, 1500):  # the control table has fewer rows of the hot key than big, then more
+        control = spark.createDataFrame([(i, key(i + i // 60)) for i in range(n)], "v int, k string")
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            cut, plain = fan_out_join(big, control, ["k"], how), big.join(control, ["k"], how)
+            assert "SortMergeJoin" in cut._jdf.queryExecution().executedPlan().toString(), how
+            assert sorted(map(str, cut.select(*plain.columns).collect())) == sorted(map(str, plain.collect())), (n, how)
+        at = scaling._pieces(big, control, ["k"], "inner", 16).where("k = 'hot'").first()
+        assert (at["_bigs"] > 1, at["_controls"] > 1) == (n == 90, n == 1500)
+    unique = spark.range(3000).select("id", F.col("id").cast("string").alias("k"))
+    assert scaling._pieces(unique, unique, ["k"], "inner", 16).count() == 0

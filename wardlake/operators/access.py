@@ -92,7 +92,7 @@ def match_paths(rows: DataFrame, paths: DataFrame, parts: Sequence[str]) -> Data
 
 @dataclass(frozen=True)
 class Grants:
-    """Access rules as two relations: ``who`` (rule_id, principal, access) and ``what`` (rule_id and the parts of a path, null for any)."""
+    """Access rules as two relations of distinct rows: ``who`` (rule_id, principal, access) and ``what`` (rule_id and the parts of a path, null for any)."""
 
     who: DataFrame
     what: DataFrame
@@ -108,10 +108,14 @@ class Grants:
         named = match_paths(asked.select(*keys).distinct(), self.what, self.parts)
         return named.join(self.who, ["rule_id", self.principal, "access"], "left_semi").select(*keys).distinct()
 
-    def written_out(self, objects: DataFrame) -> DataFrame:
-        """A row for each rule, principal, access and object of a catalog."""
-        named = match_paths(objects, self.what, self.parts).select("rule_id", *objects.columns).distinct()
-        return fan_out_join(named, self.who, ["rule_id"])
+    def written_out(self, objects: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """A row for each rule, principal, access and object of a catalog, an object being what ``columns`` tell apart.
+
+        Both sides are distinct before they meet, so the product is, and need not be
+        moved again. They are written once, since they are counted before they are joined.
+        """
+        named = match_paths(objects, self.what, self.parts).select("rule_id", *columns).distinct()
+        return fan_out_join(write_through(named, "named"), write_through(self.who, "who"), ["rule_id"])
 
 
 def rule_roles(rules: DataFrame, roles: DataFrame) -> DataFrame:
@@ -215,7 +219,7 @@ def expand_grants(rules: DataFrame, roles: DataFrame, catalog: DataFrame,
                   tags: DataFrame | None = None) -> DataFrame:
     """Concrete grants (rule, role, table, access) of access rules."""
     return access_grants(rules, roles, catalog, tags).written_out(
-        catalog.select(*OBJECT_PARTS)).select("rule_id", *GRANT_KEYS).distinct()
+        catalog.select(*OBJECT_PARTS), TABLE_KEYS).select("rule_id", *GRANT_KEYS)
 
 
 def oltp_grants(rules: DataFrame, users: DataFrame, case_sensitivity: str = "case_sensitive") -> Grants:
@@ -248,12 +252,12 @@ def expand_oltp_grants(rules: DataFrame, users: DataFrame, catalog: DataFrame,
     """(rule_id, username, column path, access) of OLTP rules."""
     grants = oltp_grants(rules, users, case_sensitivity)
     if case_sensitivity == "case_sensitive":
-        out = grants.written_out(catalog.select(*COLUMN_PARTS))
+        out = grants.written_out(catalog.select(*COLUMN_PARTS), COLUMN_PARTS)
     else:  # paths are matched in small letters and given back as they are written
         folded = catalog.select(*[F.lower(c).alias(c) for c in COLUMN_PARTS], *[F.col(c).alias(f"_written_{c}") for c in COLUMN_PARTS])
-        out = grants.written_out(folded).select(
+        out = grants.written_out(folded, [f"_written_{c}" for c in COLUMN_PARTS]).select(
             "rule_id", "username", "access", *[F.col(f"_written_{c}").alias(c) for c in COLUMN_PARTS])
-    return out.select("rule_id", "username", *COLUMN_PARTS, "access").distinct()
+    return out.select("rule_id", "username", *COLUMN_PARTS, "access")
 
 
 def compliance_check(expected: DataFrame, actual: DataFrame, keys: Sequence[str] = GRANT_KEYS) -> DataFrame:
@@ -344,5 +348,5 @@ def request_state(events: DataFrame, order: Sequence[str] = ("ts", "event_id"))
 def grants_from_requests(states: DataFrame, requests: DataFrame, roles: DataFrame, catalog: DataFrame) -> DataFrame:
     """Grants of approved requests, each linked to the request it fulfils."""
     approved = states.filter(F.col("status") == "CLOSED_APPROVED").select("request_id")
-    rules = requests.join(approved, "request_id", "left_semi").withColumnRenamed("request_id", "rule_id")
+    rules = write_through(requests.join(approved, "request_id", "left_semi").withColumnRenamed("request_id", "rule_id"), "rules")
     return expand_grants(rules, roles, catalog).withColumnRenamed("rule_id", "request_id")

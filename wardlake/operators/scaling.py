@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,8 @@ from wardlake.session import write_through
 
 HOT_SHARE = 0.001
 SALTS = 64
+#: Pieces of the pairs of a join that a task gets, about.
+SPREAD = 4
 #: Control tables of up to so many rows are sent to all tasks; they hold names and numbers, a few hundred bytes a row.
 BROADCAST_ROWS = 20_000
 
@@ -89,17 +92,46 @@ def fan_out_join(
     """Equi-join with a control table (rules, tags, policies) on keys that have few values.
 
     The control table is counted first, up to ``BROADCAST_ROWS``. Within that it is
-    broadcast and ``big`` is not shuffled. Beyond, such keys are hot by nature:
-    rows of ``big`` get a salt from their hash and the control table is repeated
-    once per salt, as many as there are shuffle partitions, so that the hottest
-    key can use the whole cluster.
+    broadcast and ``big`` is not shuffled. Beyond, both are shuffled, and a key that
+    makes more than one of ``salts`` parts of the pairs is cut (``_pieces``): one side
+    of it is dealt out by the hash of its rows and the other repeated, so that the
+    hottest key can use the whole cluster and no other rows are repeated. Spark takes
+    repeated rows for one, and so must not choose a broadcast of them by their size.
     """
     keys = list(keys)
     if control.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return big.join(F.broadcast(control), keys, how)
-    salts = salts or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    copies = control.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big.withColumn("_salt", row_salt(big, salts)).join(copies, [*keys, "_salt"], how).drop("_salt")
+    tasks = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = F.broadcast(_pieces(big, control, keys, how, salts or SPREAD * tasks))
+    # a null key meets nothing, and any task can say so
+    lost = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1))
+    of = lambda df, n: F.coalesce(F.pmod(row_salt(df, 1 << 30), n), F.lit(0))
+    left = big.join(pieces, keys, "left").withColumn(
+        "_big", F.when(lost, row_salt(big, tasks)).otherwise(of(big, F.col("_bigs")))).withColumn("_control", each(F.col("_controls")))
+    right = control.join(pieces, keys, "left").withColumn(
+        "_control", of(control, F.col("_controls"))).withColumn("_big", each(F.col("_bigs")))
+    on = [*keys, "_big", "_control"]
+    dealt = [df.drop("_bigs", "_controls").repartition(tasks, *on) for df in (left, right)]
+    return dealt[0].join(dealt[1].hint("merge"), on, how).drop("_big", "_control")
+
+
+def _pieces(big: DataFrame, control: DataFrame, keys: Sequence[str], how: str, parts: int) -> DataFrame:
+    """(keys, _bigs, _controls): into how many pieces the rows of a heavy key are cut on either side; at most ``parts`` keys.
+
+    The pairs of a key are counted, a row without any as one. The side with more rows
+    is cut, but a control table only where each row may be missed (an inner join).
+    """
+    count = lambda df, name: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    rows, met = F.col("_rows"), F.coalesce("_met", F.lit(0))
+    pairs = count(big, "_rows").join(count(control, "_met"), keys, "inner" if how == "inner" else "left").select(
+        *keys, "_rows", met.alias("_met"), (rows.cast("double") * F.greatest(met, F.lit(1))).alias("_pairs"))
+    total = pairs.agg(F.sum("_pairs")).scalar()
+    n = F.ceil(F.col("_pairs") * parts / total)
+    cut = F.lit(how == "inner") & (F.col("_met") > rows)
+    return pairs.dropna(subset=list(keys)).filter(F.col("_pairs") * parts > total).select(
+        *keys, F.when(cut, 1).otherwise(F.least(n, rows)).cast("int").alias("_bigs"),
+        F.when(cut, F.least(n, "_met")).otherwise(1).cast("int").alias("_controls"))
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], name: str = "row_no") -> DataFrame:
