@@ -102,3 +102,22 @@ def test_approved_requests_beyond_a_broadcast(spark, monkeypatch):
     assert "BroadcastHashJoin Inner" not in out._jdf.queryExecution().executedPlan().toString()
     got = sorted(tuple(r) for r in out.select("request_id", "role", "schema_name", "table_name", "access").collect())
     assert got == sorted((f"r{i}", "A", f"s{s}", f"t{i % 7}", "read") for i in range(1, 120, 2) for s in range(4))
+
+
+def test_a_product_is_spread_and_not_moved_again(spark):
+    part = lambda name: (name, name is None)
+    rules = spark.createDataFrame([
+        ("a", None, [("idp_group", "equals", ["g", "G"])], [("column", [(part("d"), part(None), part(None), part(None)), (part("D"), part("s1"), part(None), part(None))])]),
+    ], P.OLTP_RULE_DDL)
+    users = spark.createDataFrame([(f"u{i}", ["g", "G"]) for i in range(30)] * 2, "username string, user_groups array<string>")
+    catalog = spark.createDataFrame([(d, f"s{i % 3}", "t", f"c{i}") for i in range(50) for d in ("d", "D")] * 2,
+                                    "database_name string, schema_name string, table_name string, column_name string")
+    for case, databases in (("case_sensitive", "d"), ("case_insensitive", "dD")):
+        out = P.expand_oltp_grants(rules, users, catalog, case)
+        assert "Aggregate" not in out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(tuple(r) for r in out.select("username", "database_name", "schema_name", "column_name").collect())
+        extra = [] if case == "case_insensitive" else ["D"]
+        want = [(f"u{u}", d, f"s{i % 3}", f"c{i}") for u in range(30) for i in range(50) for d in databases]
+        want += [(f"u{u}", d, "s1", f"c{i}") for u in range(30) for i in range(50) for d in extra if i % 3 == 1]
+        assert got == sorted(want)
+        assert out.groupBy(F.spark_partition_id()).count().count() == 4  # all shuffle partitions of the session

@@ -112,10 +112,12 @@ class Grants:
         """A row for each rule, principal, access and object of a catalog, an object being what ``columns`` tell apart.
 
         Both sides are distinct before they meet, so the product is, and need not be
-        moved again. They are written once, since they are counted before they are joined.
+        moved again. They are written once, since they are counted before they are joined,
+        and objects are dealt out to all tasks, since each makes many rows.
         """
-        named = match_paths(objects, self.what, self.parts).select("rule_id", *columns).distinct()
-        return fan_out_join(write_through(named, "named"), write_through(self.who, "who"), ["rule_id"])
+        named = write_through(match_paths(objects, self.what, self.parts).select("rule_id", *columns).distinct(), "named")
+        tasks = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return fan_out_join(named.repartition(tasks, *named.columns), write_through(self.who, "who"), ["rule_id"])
 
 
 def rule_roles(rules: DataFrame, roles: DataFrame) -> DataFrame:
