@@ -305,3 +305,22 @@ def test_detector_limits_reach_jobs_and_entities(spark):
     assert [r["hit"] for r in C.detect_entities(df, "t", ["SECRET_TOKEN"], secret_digits=(40, 64)).collect()] == [token]
     leaf_of = lambda **k: leaf(target="AMAZON_COMPREHEND", entity_type="SECRET_TOKEN", minimum_score=0.5, **k)
     assert not fires(spark, [token], leaf_of()) and fires(spark, [token], leaf_of(secret_digits=[40, 64]))
+
+
+def test_exact_counts_beside_sketches_do_not_move_values_by_column(spark, tmp_path):
+    from wardlake.plans import classification_queries as Q
+
+    words = "'w' || (id % 40) AS {}"
+    spark.range(300).selectExpr("id AS doc_id", words.format("text"), words.format("lang"), "'web' AS source", "id AS n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(300).selectExpr("id AS c_custkey", words.format("c_name"), "id % 5 AS c_nationkey", words.format("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = Q.merged_sketches(spark, str(tmp_path))
+        # of each table only the few rows of its columns are joined by a sort
+        assert out._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 2
+        rows = {(r["table_name"], r["column_name"]): r for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert len(rows) == 9 and all(r["rows"] == 300 and r["distinct_close"] for r in rows.values())
+    assert rows["documents", "text"]["sampled"] == 300

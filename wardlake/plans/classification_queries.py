@@ -72,12 +72,12 @@ def merged_sketches(spark: SparkSession, base: str) -> DataFrame:
         later = F.col(columns[0]) % 3 == 0
         sketch = lambda df: K.sketch_columns(df, t, key=[columns[0]], sample=S.DEFAULT_OLTP_ROWS)  # noqa: E731, B023
         stored = write_through(sketch(rows.where(~later)), "sketches")
-        read = K.read_sketches(K.merge_sketches(stored.unionByName(sketch(rows.where(later)))), (0.5,))
+        read = write_through(K.read_sketches(K.merge_sketches(stored.unionByName(sketch(rows.where(later)))), (0.5,)), "read")
         long = S.melt_columns(rows, t)
         size = F.char_length("value")
-        half = read.select("column_name", "length_p50")
+        half = F.broadcast(read.select("column_name", "length_p50"))  # one row for each column; values are not moved
         exact = long.join(half, "column_name").groupBy("column_name").agg(
-            F.count_distinct("value").alias("k"), (F.count_if(size <= F.col("length_p50")) / F.count("value")).alias("upto"),
+            F.count_distinct(F.unhex(F.md5("value"))).alias("k"), (F.count_if(size <= F.col("length_p50")) / F.count("value")).alias("upto"),
             (F.count_if(size < F.col("length_p50")) / F.count("value")).alias("below"))
         out.append(read.join(exact, "column_name").select(
             "table_name", "column_name", "rows", "non_null", "min_length", "max_length", "sampled",
