@@ -324,3 +324,20 @@ def test_exact_counts_beside_sketches_do_not_move_values_by_column(spark, tmp_pa
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
     assert len(rows) == 9 and all(r["rows"] == 300 and r["distinct_close"] for r in rows.values())
     assert rows["documents", "text"]["sampled"] == 300
+
+
+def test_decisions_on_columns_and_classifiers_need_no_sorted_paths(spark):
+    path = "job_id string, database_name string, schema_name string, table_name string, column_name string, classifier_name string"
+    rows = [("j", f"d{d}", "s", f"t{t}", f"c{c}", k) for d in range(3) for t in range(3) for c in range(4) for k in ("A", "B", None)]
+    findings = spark.createDataFrame(rows + rows[:7] + [("j", "d0", None, "t0", "c0", "A"), (None, "d0", "s", "t0", "c0", "A")], path)
+    scopes = [("j",) + (None,) * 5, ("j", "d1") + (None,) * 4, ("j", "d1", "s", "t1", None, None), ("j", "d0", "s", "t0", "c0", None),
+              ("j", "d0", "s", "t0", "c0", "A"), ("j", "d1", "s", "t1", "c2", "B"), ("j", "d2", "s", "t2", "c3", None), ("j", "d2", "s", None, "c3", "A"),
+              ("j", "d0", None, "t0", "c0", None), ("k", "d0", "s", "t0", "c0", "B")]
+    decisions = spark.createDataFrame([(*s, ("approved", "rejected")[(i + n) % 2], n) for i, s in enumerate(scopes) for n in (1, 2)],
+                                      f"{path}, confirmed_status string, decided_at int")
+    seen = lambda df: sorted(map(str, df.collect()))
+    sent = C.resolve_status(findings, decisions)
+    for limit, sorts in ((450, False), (0, True)):
+        got = C.resolve_status(findings, decisions, broadcast_bytes=limit)
+        assert ("Window" in got._jdf.queryExecution().executedPlan().toString()) == sorts, limit
+        assert seen(got) == seen(sent), limit
