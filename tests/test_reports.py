@@ -177,3 +177,12 @@ def test_throttle_keeps_rows_without_key_or_time(spark):
     rows = [("a", t, 1), (None, t, 2), ("a", None, 3), ("a", t, 4)]
     got = R.throttle_triggers(spark.createDataFrame(rows, "definition_id string, ts timestamp, event_id long"))
     assert {r["event_id"]: r["accepted"] for r in got.collect()} == {1: True, 2: None, 3: None, 4: False}
+
+
+def test_runs_of_one_schedule_are_spread(spark):
+    defs = spark.createDataFrame([(f"d{i}", "0 9 ? * MON *", i % 9 > 0, "UTC") for i in range(400)],
+                                 "id string, cron string, enabled boolean, timezone string").coalesce(1)
+    out = R.expand_cron(defs, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1))
+    live = [f"d{i}" for i in range(400) if i % 9]
+    assert sorted((r["id"], r["due_at"].day) for r in out.collect()) == sorted((i, d) for i in live for d in (1, 8, 15, 22, 29))
+    assert out.groupBy(F.spark_partition_id()).count().count() == 4  # all shuffle partitions of the session

@@ -20,7 +20,7 @@ from wardlake.functions.cron import parse_cron
 from wardlake.functions.filters import compile_filters
 from wardlake.operators.audits import audit_summary
 from wardlake.operators.common import time_literal
-from wardlake.operators.scaling import skew_join
+from wardlake.operators.scaling import fan_out_join
 from wardlake.session import write_through
 
 THROTTLE_SECONDS = 300
@@ -135,8 +135,10 @@ def expand_cron(definitions: DataFrame, start: dt.datetime, end: dt.datetime) ->
                 & (F.col("due_at") < F.lit(end).cast("timestamp")))
         .select("cron", "timezone", "due_at")
     )
-    # Many definitions share a schedule, so a popular one is spread.
-    return skew_join(live, due, ["cron", "timezone"], "inner").select("id", "cron", "timezone", "due_at")
+    # Many definitions share a schedule, and each makes many rows: definitions are dealt out, whatever their schedule.
+    tasks = int(live.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return fan_out_join(live.repartition(tasks, *live.columns), write_through(due, "due"), ["cron", "timezone"]).select(
+        "id", "cron", "timezone", "due_at")
 
 
 # ── throttling ──────────────────────────────────────────────────────────────
