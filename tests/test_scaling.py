@@ -97,3 +97,22 @@ def test_a_large_control_table_is_cut_by_pairs_and_never_broadcast(spark, monkey
         assert (at["_bigs"] > 1, at["_controls"] > 1) == (n == 90, n == 1500)
     unique = spark.range(3000).select("id", F.col("id").cast("string").alias("k"))
     assert scaling._pieces(unique, unique, ["k"], "inner", 16).count() == 0
+
+
+def test_a_tiled_product_equals_the_plain_join(spark, monkeypatch):
+    from wardlake.operators import scaling
+
+    key = lambda i: None if i % 11 == 0 else f"k{i % 3}" if i % 5 else f"k{i}"
+    big = spark.createDataFrame([(key(i), None if i % 7 == 0 else f"o{i // 2}", i % 4) for i in range(300)], "k string, o string, n int")
+    control = spark.createDataFrame([(key(i), None if i % 13 == 0 else f"u{i // 2}") for i in range(120)], "k string, u string")
+    want = sorted(map(str, big.join(control, ["k"]).select("k", "o", "n", "u").collect()))
+    for rows, size, tile in ((20_000, 8 << 20, (256, 256)), (20_000, 8 << 20, (3, 4)), (5, 8 << 20, (256, 4)), (20_000, 100, (3, 256))):
+        monkeypatch.setattr(scaling, "BROADCAST_ROWS", rows)
+        monkeypatch.setattr(scaling, "TILED_BYTES", size)
+        monkeypatch.setattr(scaling, "TILE", tile)
+        got = scaling.tiled_product(big, control, ["k"])
+        sent = rows == 20_000 and size > 100
+        assert ("SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()) != sent
+        assert got.columns == ["k", "o", "n", "u"] and sorted(map(str, got.collect())) == want
+    assert scaling.tiled_product(big, control.limit(0), ["k"]).count() == scaling.tiled_product(big.limit(0), control, ["k"]).count() == 0
+    assert scaling._arrays(control.where("k = 'k1'"), ["k"], 4, "_right").selectExpr("max(size(_right))").first()[0] == 4

@@ -19,7 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardlake.operators.scaling import fan_out_join, skew_join
+from wardlake.operators.scaling import fan_out_join, skew_join, tiled_product
 from wardlake.session import write_through
 
 # Name conditions and object types of an access rule.
@@ -112,12 +112,13 @@ class Grants:
         """A row for each rule, principal, access and object of a catalog, an object being what ``columns`` tell apart.
 
         Both sides are distinct before they meet, so the product is, and need not be
-        moved again. They are written once, since they are counted before they are joined,
-        and objects are dealt out to all tasks, since each makes many rows.
+        moved again. They are written once, since they are counted before they are joined.
+        The product has tiles of few principals and objects, so that as a file it takes
+        little more than its sides.
         """
         named = write_through(match_paths(objects, self.what, self.parts).select("rule_id", *columns).distinct(), "named")
-        tasks = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return fan_out_join(named.repartition(tasks, *named.columns), write_through(self.who, "who"), ["rule_id"])
+        who = write_through(self.who.select("rule_id", "access", self.principal), "who")
+        return tiled_product(named, who, ["rule_id"])
 
 
 def rule_roles(rules: DataFrame, roles: DataFrame) -> DataFrame:

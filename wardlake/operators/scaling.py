@@ -17,6 +17,10 @@ SALTS = 64
 SPREAD = 4
 #: Control tables of up to so many rows are sent to all tasks; they hold names and numbers, a few hundred bytes a row.
 BROADCAST_ROWS = 20_000
+#: Rows of the two sides of a product that one tile holds at most.
+TILE = (256, 256)
+#: The second side of a product is sent to all tasks up to so many bytes of text.
+TILED_BYTES = 8 << 20
 
 
 def _has_map(dtype: T.DataType) -> bool:
@@ -101,6 +105,11 @@ def fan_out_join(
     keys = list(keys)
     if control.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return big.join(F.broadcast(control), keys, how)
+    return _cut_join(big, control, keys, how, salts)
+
+
+def _cut_join(big: DataFrame, control: DataFrame, keys: list[str], how: str, salts: int | None = None) -> DataFrame:
+    """``fan_out_join`` beyond a broadcast."""
     tasks = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = F.broadcast(_pieces(big, control, keys, how, salts or SPREAD * tasks))
     # a null key meets nothing, and any task can say so
@@ -134,6 +143,44 @@ def _pieces(big: DataFrame, control: DataFrame, keys: Sequence[str], how: str, p
         F.when(cut, F.least(n, "_met")).otherwise(1).cast("int").alias("_controls"))
 
 
+def tiled_product(big: DataFrame, control: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join of two tables on keys of which each makes many pairs, in tiles.
+
+    Written row by row, each row of ``big`` is followed by all rows of ``control``, whose
+    values then come again too late for the dictionary and the compression of a file.
+    Here few rows of ``control`` meet few of ``big`` before the next ones do: either side
+    is gathered in rows of arrays (``TILE``), and a pair of them is a tile. The arrays of
+    ``big`` are dealt out evenly to all tasks and those of ``control`` broadcast, up to
+    ``BROADCAST_ROWS`` of them and ``TILED_BYTES``; beyond, they are cut as in
+    ``fan_out_join``.
+    """
+    keys, tasks = list(keys), int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = max(1, min(TILE[0], big.count() // (SPREAD * tasks)))
+    left, right = _arrays(big, keys, rows, "_left"), _arrays(control, keys, TILE[1], "_right")
+    text = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in control.columns])
+    arrays, size = right.count(), control.agg(F.sum(text.cast("long"))).first()[0] or 0
+    if arrays <= BROADCAST_ROWS and size <= TILED_BYTES:
+        tiles = left.repartition(tasks).join(F.broadcast(right), keys)
+    else:
+        tiles = _cut_join(left, right, keys, "inner")
+    # A function over an array is not compiled into one loop with the join below it or the
+    # arrays above it, so a task holds the rows of one row of big at a time, not those of its tiles.
+    each = tiles.select(*keys, "_right", F.inline(F.transform("_left", lambda row: row)))
+    return each.select(*each.drop("_right").columns, F.inline("_right"))
+
+
+def _arrays(rows: DataFrame, keys: list[str], size: int, name: str) -> DataFrame:
+    """(keys, name): up to ``size`` rows of the same keys as a sorted array of what is beside the keys; written once.
+
+    Rows are counted off in ranges of their order, so no key is gathered in one task.
+    """
+    values = [c for c in rows.columns if c not in keys]
+    ranged = rows.repartitionByRange(*keys, *values).sortWithinPartitions(*keys, *values)
+    arrays = ranged.withColumn("_array", F.expr(f"monotonically_increasing_id() div {size}")).groupBy(*keys, "_array").agg(
+        F.sort_array(F.collect_list(F.struct(*values))).alias(name))
+    return write_through(arrays.drop("_array"), "arrays")
+
+
 def number_rows(df: DataFrame, order: Sequence[Column], name: str = "row_no") -> DataFrame:
     """Gap-free 1-based numbers in a global order without a single-task window.
 
