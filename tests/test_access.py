@@ -123,7 +123,7 @@ def test_a_product_is_spread_and_not_moved_again(spark):
         assert out.groupBy(F.spark_partition_id()).count().count() == 4  # all shuffle partitions of the session
 
 
-def test_a_written_product_takes_little_more_than_its_sides(spark, tmp_path):
+def test_a_written_product_takes_less_than_half_a_byte_a_row(spark, tmp_path):
     part = lambda name: (name, name is None)
     rules = spark.createDataFrame([
         ("a", None, [("idp_group", "equals", ["g"])], [("column", [(part("d"), part(None), part(None), part(None))])]),
@@ -131,7 +131,7 @@ def test_a_written_product_takes_little_more_than_its_sides(spark, tmp_path):
     users = spark.range(2001).selectExpr("'u' || id AS username", "array('g') AS user_groups")
     catalog = spark.range(480).selectExpr("'d' AS database_name", "'s' AS schema_name", "'t' || id % 7 AS table_name", "'c' || id AS column_name")
     P.expand_oltp_grants(rules, users, catalog).write.parquet(path := str(tmp_path / "grants"))
-    assert sum(f.stat().st_size for f in (tmp_path / "grants").glob("*.parquet")) < 2001 * 480 / 2  # half a byte a row
+    assert sum(f.stat().st_size for f in (tmp_path / "grants").glob("*.parquet")) < 2001 * 480 / 2
     got = spark.read.parquet(path)
     assert got.count() == got.distinct().count() == 2001 * 480
     assert got.groupBy("username").agg(F.count_distinct("table_name", "column_name").alias("n")).where("n = 480").count() == 2001

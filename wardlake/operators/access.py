@@ -113,8 +113,8 @@ class Grants:
 
         Both sides are distinct before they meet, so the product is, and need not be
         moved again. They are written once, since they are counted before they are joined.
-        The product has tiles of few principals and objects, so that as a file it takes
-        little more than its sides.
+        The product has tiles of few principals and objects, so that files of it repeat
+        nearby values and stay small.
         """
         named = write_through(match_paths(objects, self.what, self.parts).select("rule_id", *columns).distinct(), "named")
         who = write_through(self.who.select("rule_id", "access", self.principal), "who")
